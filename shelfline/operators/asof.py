@@ -18,21 +18,27 @@ def latest_receipts(supply: DataFrame) -> DataFrame:
 
 
 def asof_carry(daily: DataFrame, receipts: DataFrame) -> DataFrame:
-    """Add ``ven_acc`` to rows of ``daily``; rows without an earlier receipt are dropped.
+    """Add ``ven_acc`` and ``day_number`` to rows of ``daily``; rows without an earlier receipt are dropped.
 
     Both sides hold at most one row per (SKU, date) and scope, so one key's
     window is bounded by the number of dates, however many raw rows it had.
+    The result stays sorted by SKU and ``day_number``, which later windows on
+    those columns reuse.
     """
-    left = daily.withColumns({"_day": F.unix_date("movement_date"), "_side": F.lit(1)})
-    right = receipts.select("mat_sku", "ven_acc", F.unix_date("rcvd_date").alias("_day"), F.lit(0).alias("_side"))
+    left = daily.withColumns({"day_number": F.unix_date("movement_date"), "_side": F.lit(1)})
+    right = receipts.select(
+        "mat_sku", "ven_acc", F.unix_date("rcvd_date").alias("day_number"), F.lit(0).alias("_side")
+    )
     so_far = (
-        Window.partitionBy("mat_sku").orderBy("_day", "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        Window.partitionBy("mat_sku")
+        .orderBy("day_number", "_side")
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     return (
         left.unionByName(right, allowMissingColumns=True)
         .withColumn("ven_acc", F.last("ven_acc", ignorenulls=True).over(so_far))
         .where((F.col("_side") == 1) & F.col("ven_acc").isNotNull())
-        .select(*daily.columns, "ven_acc")
+        .select(*daily.columns, "ven_acc", "day_number")
     )
 
 

@@ -13,10 +13,14 @@ from shelfline.sources import RawInputs, clean_items, clean_movements, clean_sup
 
 
 @dataclass(frozen=True)
-class Star:
+class Dims:
     items: DataFrame
     vendors: DataFrame
     calendar: DataFrame
+
+
+@dataclass(frozen=True)
+class Star(Dims):
     fact: DataFrame
 
 
@@ -26,6 +30,7 @@ TABLES = {
     "dim_calendar": schemas.DIM_CALENDAR,
     "fact_inventory": schemas.FACT,
 }
+DIM_TABLES = ("dim_item", "dim_vendor", "dim_calendar")
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: str | None = None) -> int:
@@ -55,8 +60,7 @@ def write_fact(fact: DataFrame, path: str, mode: str = "overwrite") -> int:
 
 
 def read_star(spark: SparkSession, path: str) -> Star:
-    items, vendors, calendar, fact = (read_table(spark, f"{path}/{name}", schema) for name, schema in TABLES.items())
-    return Star(items, vendors, calendar, fact)
+    return Star(*(read_table(spark, f"{path}/{name}", schema) for name, schema in TABLES.items()))
 
 
 def register_views(star: Star, names: dict[str, str] | None = None) -> None:
@@ -67,29 +71,38 @@ def register_views(star: Star, names: dict[str, str] | None = None) -> None:
         frame.createOrReplaceTempView(names.get(table, table))
 
 
-def load_star(spark: SparkSession, raw: RawInputs, path: str, previous: Star | None = None) -> dict[str, int]:
-    """Full load into ``path``; returns rows written per table.
+def read_dims(spark: SparkSession, path: str) -> Dims:
+    return Dims(*(read_table(spark, f"{path}/{name}", TABLES[name]) for name in DIM_TABLES))
+
 
-    ``path`` must be new. With ``previous`` the dimensions are merged into that
-    version, keeping its ids; the fact is always rebuilt.
+def load_dims(
+    spark: SparkSession, raw: RawInputs, days: DataFrame, path: str, previous: Dims | Star | None = None
+) -> dict[str, int]:
+    """Write the three dimensions; ``days`` holds every valid movement date.
+
+    With ``previous`` they are merged into that version, keeping its ids.
+    """
+    loaded = {
+        "dim_item": load_items(clean_items(raw.items), previous and previous.items),
+        "dim_vendor": load_vendors(clean_vendors(raw.vendors), previous and previous.vendors),
+        "dim_calendar": load_calendar(days, previous and previous.calendar),
+    }
+    return {name: write_table(df, f"{path}/{name}") for name, df in loaded.items()}
+
+
+def load_star(spark: SparkSession, raw: RawInputs, path: str, previous: Star | None = None) -> dict[str, int]:
+    """Full load into ``path``, which must be new; returns rows written per table.
 
     Movements are read once: their daily sums are written first, and calendar
     and fact both start from that table. It also cuts the lineage, so a lost
-    executor never forces a second pass over the raw files.
+    executor never forces a second pass over the raw files. The fact is always
+    rebuilt; the dimensions continue ``previous``.
     """
     staged = f"{path}/_daily_movements"
     rows = {"daily_movements": write_table(daily_movements(clean_movements(raw.movements)), staged)}
     daily = spark.read.parquet(staged)
-    rows["dim_item"] = write_table(
-        load_items(clean_items(raw.items), previous and previous.items), f"{path}/dim_item"
-    )
-    rows["dim_vendor"] = write_table(
-        load_vendors(clean_vendors(raw.vendors), previous and previous.vendors), f"{path}/dim_vendor"
-    )
-    rows["dim_calendar"] = write_table(load_calendar(daily, previous and previous.calendar), f"{path}/dim_calendar")
-    items, vendors, calendar = (
-        read_table(spark, f"{path}/{name}", TABLES[name]) for name in ("dim_item", "dim_vendor", "dim_calendar")
-    )
-    fact = build_fact(daily, clean_supply(raw.supply), items, calendar, vendors)
+    rows |= load_dims(spark, raw, daily, path, previous)
+    dims = read_dims(spark, path)
+    fact = build_fact(daily, clean_supply(raw.supply), dims.items, dims.calendar, dims.vendors)
     rows["fact_inventory"] = write_fact(fact, f"{path}/fact_inventory")
     return rows

@@ -19,7 +19,7 @@ from shelfline.plans import dashboard, kpis
 from shelfline.plans.dims import calendar_from_days, load_calendar, load_items, load_vendors
 from shelfline.plans.fact import build_fact, daily_movements, grouped_fact, item_measures, item_turnover, rolling_usage
 from shelfline.plans.quality import lookup_report, star_report
-from shelfline.plans.warehouse import Star, load_star, read_star
+from shelfline.plans.warehouse import Dims, Star, load_dims, load_star, read_dims, read_star
 from shelfline.schemas import FACT_MEASURES
 from shelfline.session import shared_dir
 from shelfline.sources import clean_items, clean_movements, clean_supply, clean_vendors, fixtures
@@ -34,6 +34,7 @@ NATURAL_KEYS = ["movement_date", "mat_sku", "ven_acc"]
 
 _lock = Lock()
 _written: set[str] = set()
+_stars: dict[str, Star] = {}
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -70,10 +71,23 @@ def _once(path: str, write: Callable[[], object]) -> str:
 
 
 def star(spark: SparkSession, sf_dir: str) -> Star:
-    """The loaded star; loading happens on first use."""
+    """The loaded star; loading and listing its files happen on first use."""
     path = _folder(spark, sf_dir, "star")
-    _once(path, lambda: load_star(spark, fixtures.raw_inputs(spark, sf_dir), path))
-    return read_star(spark, path)
+
+    def load() -> None:
+        load_star(spark, fixtures.raw_inputs(spark, sf_dir), path)
+        _stars[path] = read_star(spark, path)
+
+    _once(path, load)
+    return _stars[path]
+
+
+def dims(spark: SparkSession, sf_dir: str) -> Dims:
+    """The written dimensions alone, for queries that build a fact themselves."""
+    path = _folder(spark, sf_dir, "dims")
+    raw = fixtures.raw_inputs(spark, sf_dir)
+    _once(path, lambda: load_dims(spark, raw, clean_movements(raw.movements), path))
+    return read_dims(spark, path)
 
 
 def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,7 +177,7 @@ def _grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _grouped(spark, sf_dir)
+    return _grouped(spark, sf_dir).drop("day_number")
 
 
 def fact_turnover(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -180,23 +194,22 @@ def coverage_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return measured.select(*NATURAL_KEYS, "closed_qty", "stock_coverage_days")
 
 
-def _lazy_fact(spark: SparkSession, sf_dir: str, movements: DataFrame, scope: tuple[str, ...] = ()) -> DataFrame:
-    """The fact with natural keys as one lazy plan, dimensions included."""
-    daily = daily_movements(movements, scope)
-    items = load_items(_items(spark, sf_dir))
-    vendors = load_vendors(_vendors(spark, sf_dir))
+def _natural_fact(spark: SparkSession, sf_dir: str, movements: DataFrame, scope: tuple[str, ...] = ()) -> DataFrame:
+    """The fact with natural keys: one plan from raw movements and receipts over the written dimensions."""
+    known = dims(spark, sf_dir)
     keep = (*scope, *NATURAL_KEYS)
-    fact = build_fact(daily, _supply(spark, sf_dir), items, calendar_from_days(daily), vendors, scope, keep)
+    daily = daily_movements(movements, scope)
+    fact = build_fact(daily, _supply(spark, sf_dir), known.items, known.calendar, known.vendors, scope, keep)
     return fact.select(*keep, *FACT_MEASURES)
 
 
 def fact_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _plain(_lazy_fact(spark, sf_dir, _movements(spark, sf_dir)))
+    return _plain(_natural_fact(spark, sf_dir, _movements(spark, sf_dir)))
 
 
 def fact_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact with item measures confined to each source file."""
-    return _plain(_lazy_fact(spark, sf_dir, _movements(spark, sf_dir, "source_file"), ("source_file",)))
+    return _plain(_natural_fact(spark, sf_dir, _movements(spark, sf_dir, "source_file"), ("source_file",)))
 
 
 def fact_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -249,7 +262,7 @@ def upsert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
 def accumulate_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The facts of two batches of movements, added up."""
     rows = _movements(spark, sf_dir, "batch")
-    old, new = (_lazy_fact(spark, sf_dir, rows.where(F.col("batch") == b)) for b in ("A", "R"))
+    old, new = (_natural_fact(spark, sf_dir, rows.where(F.col("batch") == b)) for b in ("A", "R"))
     return _plain(merge.accumulate(old, new, NATURAL_KEYS, "mat_sku", "movement_date"))
 
 
@@ -263,7 +276,7 @@ def stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
         incremental.ingest(fixtures.movement_rows(lines), f"{path}/daily", f"{path}/checkpoint").awaitTermination()
 
     _once(path, run)
-    return grouped_fact(incremental.read_daily(spark, f"{path}/daily"), _supply(spark, sf_dir))
+    return grouped_fact(incremental.read_daily(spark, f"{path}/daily"), _supply(spark, sf_dir)).drop("day_number")
 
 
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
