@@ -63,6 +63,24 @@ def read_star(spark: SparkSession, path: str) -> Star:
     return Star(*(read_table(spark, f"{path}/{name}", schema) for name, schema in TABLES.items()))
 
 
+def deploy_schema(spark: SparkSession, path: str, database: str = "default") -> None:
+    """Create the star tables over ``path`` in the catalog where they do not exist yet."""
+    for name, schema in TABLES.items():
+        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+        partitions = "PARTITIONED BY (date_id_fk)" if name == "fact_inventory" else ""
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet {partitions}"
+            f" LOCATION '{path}/{name}'"
+        )
+
+
+def refresh_tables(spark: SparkSession, database: str = "default") -> None:
+    """Make the catalog see newly written files and fact partitions."""
+    for name in TABLES:
+        spark.catalog.refreshTable(f"{database}.{name}")
+    spark.catalog.recoverPartitions(f"{database}.fact_inventory")
+
+
 def register_views(star: Star, names: dict[str, str] | None = None) -> None:
     """Expose the star to SQL. ``names`` maps a table to the view name a caller's SQL expects."""
     names = names or {}

@@ -1,4 +1,12 @@
 from shelfline.sources.clean import clean_items, clean_movements, clean_supply, clean_vendors
-from shelfline.sources.raw import RawInputs, read_raw
+from shelfline.sources.raw import RawInputs, read_raw, stream_movements
 
-__all__ = ["RawInputs", "clean_items", "clean_movements", "clean_supply", "clean_vendors", "read_raw"]
+__all__ = [
+    "RawInputs",
+    "clean_items",
+    "clean_movements",
+    "clean_supply",
+    "clean_vendors",
+    "read_raw",
+    "stream_movements",
+]

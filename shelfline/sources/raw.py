@@ -1,4 +1,4 @@
-"""CSV readers with explicit schemas."""
+"""CSV readers: every column as text, chosen by header name."""
 
 from dataclasses import dataclass
 
@@ -9,6 +9,9 @@ from pyspark.sql import types as T
 
 from shelfline import schemas
 
+# Doubled quotes inside quoted fields, as spreadsheet exports write them.
+CSV_OPTIONS = {"header": True, "quote": '"', "escape": '"'}
+
 
 @dataclass(frozen=True)
 class RawInputs:
@@ -20,28 +23,34 @@ class RawInputs:
     movements: DataFrame
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Read CSV files with a header, matching columns by header name.
+def header_schema(spark: SparkSession, path: str) -> T.StructType:
+    """All header columns as text; reads one header line. No type inference, so "007" keeps its zeros.
 
-    Raises FileNotFoundError for a missing path and for a folder without rows'
-    worth of files, before any load starts. ``enforceSchema=false`` makes Spark
-    check the header, so a reordered file fails instead of shifting columns.
+    Raises FileNotFoundError for a missing path or a folder without files,
+    before any load starts.
     """
     try:
-        frame = spark.read.csv(path, schema=schema, header=True, enforceSchema=False)
+        frame = spark.read.csv(path, inferSchema=False, **CSV_OPTIONS)
     except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise FileNotFoundError(f"missing input: {path}") from error
         raise
-    if not frame.inputFiles():
+    if not frame.columns:
         raise FileNotFoundError(f"no files in {path}")
-    return frame
+    return frame.schema
+
 
+def read_csv(spark: SparkSession, path: str, wanted: T.StructType, *, multi_line: bool = False) -> DataFrame:
+    """The wanted columns of CSV files that may hold more.
 
-def read_movements(spark: SparkSession, path: str) -> DataFrame:
-    """All movement files as one frame, each row tagged with its file."""
-    frame = read_csv(spark, path, schemas.MOVEMENT_RAW)
-    return frame.withColumn("source_file", F.col("_metadata.file_name"))
+    Spark matches CSV columns by position, so the schema comes from the header
+    and ``enforceSchema=False`` checks it against every file: a file with its
+    columns in another order fails instead of shifting values.
+    ``multi_line`` allows line breaks inside quotes but makes files unsplittable.
+    """
+    schema = header_schema(spark, path)
+    frame = spark.read.csv(path, schema=schema, enforceSchema=False, multiLine=multi_line, **CSV_OPTIONS)
+    return frame.select(*wanted.names, F.col("_metadata.file_name").alias("source_file"))
 
 
 def read_raw(spark: SparkSession, items: str, vendors: str, supply: str, movements: str) -> RawInputs:
@@ -50,5 +59,15 @@ def read_raw(spark: SparkSession, items: str, vendors: str, supply: str, movemen
         items=read_csv(spark, items, schemas.ITEM_RAW),
         vendors=read_csv(spark, vendors, schemas.VENDOR_RAW),
         supply=read_csv(spark, supply, schemas.SUPPLY_RAW),
-        movements=read_movements(spark, movements),
+        movements=read_csv(spark, movements, schemas.MOVEMENT_RAW),
+    )
+
+
+def stream_movements(spark: SparkSession, folder: str, files_per_batch: int = 1) -> DataFrame:
+    """Movement files of a folder as a stream, a few files per micro-batch."""
+    return (
+        spark.readStream.schema(header_schema(spark, folder))
+        .options(**CSV_OPTIONS, enforceSchema=False, maxFilesPerTrigger=files_per_batch)
+        .csv(folder)
+        .select(*schemas.MOVEMENT_RAW.names)
     )
