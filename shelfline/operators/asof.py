@@ -13,8 +13,18 @@ from pyspark.sql import functions as F
 
 
 def latest_receipts(supply: DataFrame) -> DataFrame:
-    """One vendor per (SKU, date): the greatest account wins a same-day tie."""
-    return supply.groupBy("mat_sku", "rcvd_date").agg(F.max("ven_acc").alias("ven_acc"))
+    """One vendor per (SKU, date): the greatest account wins a same-day tie.
+
+    Receipts without a SKU, date or vendor are dropped, the latter two after
+    grouping so that dates are parsed once.
+    """
+    return (
+        supply.where(F.col("mat_sku").isNotNull())
+        .groupBy("mat_sku", "rcvd_date")
+        .agg(F.max("ven_acc").alias("ven_acc"), F.count("rcvd_date").alias("_dated"))
+        .where((F.col("_dated") > 0) & F.col("ven_acc").isNotNull())
+        .drop("_dated")
+    )
 
 
 def asof_carry(daily: DataFrame, receipts: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfline.functions import money, ratio, round2
 from shelfline.operators.surrogate import assign_ids
-from shelfline.operators.windows import coverage, trailing_mean, turnover_ratio
+from shelfline.operators.windows import coverage, turnover_ratio
 from shelfline.schemas import QUANTITIES
 
 
@@ -74,7 +74,7 @@ def accumulate(old: DataFrame, new: DataFrame, keys: list[str], item: str, day:
             "wastage_ratio_pct": _once("_surplus", ratio((received - issued) * 100.0, received)),
         }
     ).drop("_n", "_availability", "_surplus")
-    return with_history(merged, item, day).select(*old.columns)
+    return with_history(merged, keys, item, day).select(*old.columns)
 
 
 def _once(stored: str, recomputed: Column) -> Column:
@@ -82,28 +82,27 @@ def _once(stored: str, recomputed: Column) -> Column:
     return F.when(F.col("_n") == 1, F.col(stored)).otherwise(F.coalesce(money(round2(recomputed)), zero))
 
 
-def with_history(fact: DataFrame, item: str, day: str) -> DataFrame:
+def with_history(fact: DataFrame, keys: list[str], item: str, day: str, days: int = 30) -> DataFrame:
     """Set turnover and coverage from the stored quantities, over all dates of an item.
 
-    Merged batches may hold several vendors for one item and date. The windows
-    run on daily totals, one row per item and date, and are joined back.
+    Merged batches may hold several vendors for one item and date, so the mean
+    usage divides by dates, not rows: the first row of each date counts as 1.
+    All windows share one shuffle and sort by item and date.
     """
-    daily = fact.groupBy(item, day).agg(
-        F.count(F.lit(1)).alias("_rows"),
-        F.sum("opening_qty").cast("double").alias("_opened"),
-        F.sum("issued_qty").cast("double").alias("_issued"),
-    )
+    rest = [k for k in keys if k not in (item, day)]
     whole = Window.partitionBy(item)
-    mean_open = F.sum("_opened").over(whole) / F.sum("_rows").over(whole)
-    history = daily.select(
-        item,
-        day,
-        money(turnover_ratio(F.sum("_issued").over(whole), mean_open)).alias("turnover_ratio"),
-        trailing_mean("_issued", [item], F.unix_date(day)).alias("_mean"),
-    )
-    closed = F.col("closed_qty").cast("double")
+    recent = Window.partitionBy(item).orderBy("_day").rangeBetween(-(days - 1), Window.currentRow)
+    on_day = Window.partitionBy(item, "_day").orderBy(*rest)
+    mean_open = ratio(F.sum("opening_qty").over(whole), F.count(F.lit(1)).over(whole))
+    mean_usage = ratio(F.sum("issued_qty").over(recent), F.sum("_new_day").over(recent))
     return (
-        fact.join(history, [item, day])
-        .withColumn("stock_coverage_days", money(coverage(closed, F.col("_mean"))))
-        .drop("_mean")
+        fact.withColumn("_day", F.unix_date(day))
+        .withColumn("_new_day", (F.row_number().over(on_day) == 1).cast("int"))
+        .withColumns(
+            {
+                "turnover_ratio": money(turnover_ratio(F.sum("issued_qty").over(whole), mean_open)),
+                "stock_coverage_days": money(coverage(F.col("closed_qty").cast("double"), mean_usage)),
+            }
+        )
+        .drop("_day", "_new_day")
     )

@@ -6,6 +6,9 @@ from the same fact. Rounding and null order are spelled out as in the library.
 """
 
 
+from shelfline.constants import BAND_RAW, BAND_STORED, CURRENCY_RATE
+
+
 def _r2(x: str) -> str:
     return f"CAST(ROUND(CAST({x} AS DECIMAL(28,8)), 2) AS DOUBLE)"
 
@@ -295,7 +298,7 @@ SELECT medicine_name, type_description,
 FROM newest GROUP BY ALL ORDER BY stock_availability_pct ASC NULLS LAST, medicine_name, type_description LIMIT 10""",
     "kpi_raw_2": f"""{STAR}
 SELECT type_description, CAST(sum({STOCK}) AS DOUBLE) AS current_stock_qty,
-       CAST(round(sum(({STOCK}) * unit_cost * 15000), 2) AS DOUBLE) AS total_valuasi_idr
+       CAST(round(sum(({STOCK}) * unit_cost * {CURRENCY_RATE}), 2) AS DOUBLE) AS total_valuasi_idr
 FROM newest GROUP BY type_description ORDER BY total_valuasi_idr DESC NULLS FIRST, type_description""",
     "kpi_raw_3": f"""{STAR}
 SELECT year, month, month_name, type_description, sum(issued_qty) AS total_qty_issued
@@ -312,8 +315,8 @@ cover AS (
   SELECT medicine_name, type_description, {LEFT_OVER} / nullif(avg_issued, 0) AS days
   FROM newest JOIN usage USING (mat_sku) GROUP BY medicine_name, type_description, avg_issued)
 SELECT medicine_name, type_description, {_r2("days")} AS coverage_days,
-       CASE WHEN days > 30 THEN 'GREEN (Safe)' WHEN days BETWEEN 14 AND 30 THEN 'YELLOW (Reorder Warning)'
-            ELSE 'RED (Urgent Stockout Risk)' END AS status
+       CASE WHEN days > 30 THEN '{BAND_RAW[0]}' WHEN days BETWEEN 14 AND 30 THEN '{BAND_RAW[1]}'
+            ELSE '{BAND_RAW[2]}' END AS status
 FROM cover ORDER BY coverage_days ASC NULLS LAST, medicine_name, type_description, status LIMIT 15""",
     "kpi_raw_6": f"""{STAR}
 SELECT type_description, vendor_name, sum(received_qty) AS total_received, sum(issued_qty) AS total_issued,
@@ -323,7 +326,7 @@ FROM star GROUP BY ALL ORDER BY wastage_ratio_pct DESC NULLS FIRST, type_descrip
 SELECT medicine_name, type_description, stock_availability_pct FROM newest
 ORDER BY stock_availability_pct ASC NULLS LAST, medicine_name, type_description LIMIT 10""",
     "kpi_mat_2": f"""{STAR}
-SELECT type_description, CAST(round(sum({_exact("valuasi")} * 15000), 2) AS DOUBLE) AS total_valuasi_idr
+SELECT type_description, CAST(round(sum({_exact("valuasi")} * {CURRENCY_RATE}), 2) AS DOUBLE) AS total_valuasi_idr
 FROM newest GROUP BY type_description ORDER BY total_valuasi_idr DESC NULLS FIRST, type_description""",
     "kpi_mat_3": f"""{STAR}
 SELECT year, month_name, type_description, sum(issued_qty) AS total_pengeluaran
@@ -334,9 +337,9 @@ SELECT medicine_name, type_description, turnover_ratio FROM newest
 ORDER BY turnover_ratio DESC NULLS FIRST, medicine_name, type_description LIMIT 10""",
     "kpi_mat_5": f"""{STAR}
 SELECT medicine_name, type_description, stock_coverage_days,
-       CASE WHEN stock_coverage_days > 30 THEN 'GREEN (Aman)'
-            WHEN stock_coverage_days BETWEEN 14 AND 30 THEN 'YELLOW (Beli Baru)'
-            ELSE 'RED (Kritis - Risiko Kosong)' END AS status
+       CASE WHEN stock_coverage_days > 30 THEN '{BAND_STORED[0]}'
+            WHEN stock_coverage_days BETWEEN 14 AND 30 THEN '{BAND_STORED[1]}'
+            ELSE '{BAND_STORED[2]}' END AS status
 FROM newest WHERE stock_coverage_days > 0
 ORDER BY stock_coverage_days ASC NULLS LAST, medicine_name, type_description LIMIT 15""",
     "kpi_mat_6": f"""{STAR}

@@ -10,15 +10,16 @@ from shelfline.operators.surrogate import assign_ids
 
 
 def calendar_from_days(days: DataFrame, col: str = "movement_date") -> DataFrame:
-    """Calendar row per distinct date of ``days``.
+    """Calendar row per distinct date of ``days``; missing dates are dropped.
 
     The key is the date written as yyyymmdd: unique, stable over reloads, and
     ordered like the dates, which keeps fact partitions prunable by range.
     """
     key = (F.year("full_date") * 10000 + F.month("full_date") * 100 + F.dayofmonth("full_date")).cast("bigint")
     return (
-        days.select(F.col(col).alias("full_date"))
-        .distinct()
+        days.groupBy(F.col(col).alias("full_date"))
+        .agg(F.count(col).alias("_dated"))
+        .where(F.col("_dated") > 0)
         .withColumns({"date_id_pk": key, **calendar_columns(F.col("full_date"))})
         .select(*schemas.DIM_CALENDAR.names)
     )

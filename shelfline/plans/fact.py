@@ -17,12 +17,19 @@ from shelfline.schemas import QUANTITIES
 
 
 def daily_movements(movements: DataFrame, scope: tuple[str, ...] = ()) -> DataFrame:
-    """Quantities summed per date and SKU.
+    """Quantities summed per date and SKU; rows without a date are dropped.
 
+    They are dropped by a count after summing. A filter on the date column would
+    be pushed below the projection that parses it, and every date parsed twice.
     ``scope`` adds grouping columns; ``("source_file",)`` confines the item
     measures to one input file each.
     """
-    return movements.groupBy(*scope, "mat_sku", "movement_date").agg(*[F.sum(q).alias(q) for q in QUANTITIES])
+    return (
+        movements.groupBy(*scope, "mat_sku", "movement_date")
+        .agg(*[F.sum(q).alias(q) for q in QUANTITIES], F.count("movement_date").alias("_dated"))
+        .where(F.col("_dated") > 0)
+        .drop("_dated")
+    )
 
 
 def grouped_fact(daily: DataFrame, supply: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from shelfline import schemas
 from shelfline.plans.dims import load_calendar, load_items, load_vendors
 from shelfline.plans.fact import build_fact, daily_movements
-from shelfline.sources import RawInputs, clean_items, clean_movements, clean_supply, clean_vendors
+from shelfline.sources import RawInputs, clean_items, clean_vendors, type_movements, type_supply
 
 
 @dataclass(frozen=True)
@@ -117,10 +117,10 @@ def load_star(spark: SparkSession, raw: RawInputs, path: str, previous: Star | N
     rebuilt; the dimensions continue ``previous``.
     """
     staged = f"{path}/_daily_movements"
-    rows = {"daily_movements": write_table(daily_movements(clean_movements(raw.movements)), staged)}
+    rows = {"daily_movements": write_table(daily_movements(type_movements(raw.movements)), staged)}
     daily = spark.read.parquet(staged)
     rows |= load_dims(spark, raw, daily, path, previous)
     dims = read_dims(spark, path)
-    fact = build_fact(daily, clean_supply(raw.supply), dims.items, dims.calendar, dims.vendors)
+    fact = build_fact(daily, type_supply(raw.supply), dims.items, dims.calendar, dims.vendors)
     rows["fact_inventory"] = write_fact(fact, f"{path}/fact_inventory")
     return rows

@@ -22,7 +22,15 @@ from shelfline.plans.quality import lookup_report, star_report
 from shelfline.plans.warehouse import Dims, Star, load_dims, load_star, read_dims, read_star
 from shelfline.schemas import FACT_MEASURES
 from shelfline.session import shared_dir
-from shelfline.sources import clean_items, clean_movements, clean_supply, clean_vendors, fixtures
+from shelfline.sources import (
+    clean_items,
+    clean_movements,
+    clean_supply,
+    clean_vendors,
+    fixtures,
+    type_movements,
+    type_supply,
+)
 from shelfline.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,7 +94,7 @@ def dims(spark: SparkSession, sf_dir: str) -> Dims:
     """The written dimensions alone, for queries that build a fact themselves."""
     path = _folder(spark, sf_dir, "dims")
     raw = fixtures.raw_inputs(spark, sf_dir)
-    _once(path, lambda: load_dims(spark, raw, clean_movements(raw.movements), path))
+    _once(path, lambda: load_dims(spark, raw, type_movements(raw.movements), path))
     return read_dims(spark, path)
 
 
@@ -114,11 +122,11 @@ def _vendors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _movements(spark: SparkSession, sf_dir: str, *keep: str) -> DataFrame:
-    return clean_movements(fixtures.raw_movements(spark, sf_dir), keep)
+    return type_movements(fixtures.raw_movements(spark, sf_dir), keep)
 
 
 def _supply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return clean_supply(fixtures.raw_supply(spark, sf_dir))
+    return type_supply(fixtures.raw_supply(spark, sf_dir))
 
 
 def dim_item(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,11 +165,11 @@ def surrogate_key_check(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def movement_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _movements(spark, sf_dir)
+    return clean_movements(fixtures.raw_movements(spark, sf_dir))
 
 
 def supply_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _supply(spark, sf_dir)
+    return clean_supply(fixtures.raw_supply(spark, sf_dir))
 
 
 def asof_vendor(spark: SparkSession, sf_dir: str) -> DataFrame:

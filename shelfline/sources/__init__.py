@@ -1,4 +1,11 @@
-from shelfline.sources.clean import clean_items, clean_movements, clean_supply, clean_vendors
+from shelfline.sources.clean import (
+    clean_items,
+    clean_movements,
+    clean_supply,
+    clean_vendors,
+    type_movements,
+    type_supply,
+)
 from shelfline.sources.raw import RawInputs, read_raw, stream_movements
 
 __all__ = [
@@ -9,4 +16,6 @@ __all__ = [
     "clean_vendors",
     "read_raw",
     "stream_movements",
+    "type_movements",
+    "type_supply",
 ]

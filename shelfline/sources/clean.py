@@ -32,17 +32,22 @@ def clean_vendors(raw: DataFrame) -> DataFrame:
     return keep_one(typed, ["vendor_account"])
 
 
-def clean_supply(raw: DataFrame) -> DataFrame:
-    """Receipts with a SKU, a readable date and a vendor; other rows are dropped."""
+def type_supply(raw: DataFrame) -> DataFrame:
+    """Receipts with parsed dates; unreadable ones are null."""
     return raw.select(
         F.col("MAT_SKU").cast("string").alias("mat_sku"),
         parse_day(F.col("RCVD_DATE")).alias("rcvd_date"),
         F.col("VEN_ACC").cast("string").alias("ven_acc"),
-    ).na.drop("any")
+    )
 
 
-def clean_movements(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Movements with a readable date; missing quantities count as 0.
+def clean_supply(raw: DataFrame) -> DataFrame:
+    """Receipts with a SKU, a readable date and a vendor; other rows are dropped."""
+    return type_supply(raw).na.drop("any")
+
+
+def type_movements(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Movements with parsed dates, unreadable ones null; missing quantities count as 0.
 
     ``keep`` names extra raw columns to carry, such as ``source_file``.
     """
@@ -54,4 +59,9 @@ def clean_movements(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         quantity(F.col("RCVD_QTY")).alias("received_qty"),
         quantity(F.col("ISSD_QTY")).alias("issued_qty"),
         quantity(F.col("CLSD_QTY")).alias("closed_qty"),
-    ).na.drop(subset=["movement_date"])
+    )
+
+
+def clean_movements(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Movements with a readable date; other rows are dropped."""
+    return type_movements(raw, keep).na.drop(subset=["movement_date"])

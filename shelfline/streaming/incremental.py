@@ -13,12 +13,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shelfline.plans.fact import daily_movements
 from shelfline.schemas import QUANTITIES
-from shelfline.sources import clean_movements
+from shelfline.sources import type_movements
 
 
 def write_batch(raw_batch: DataFrame, batch_id: int, path: str) -> None:
     """Store the daily sums of one batch under its id."""
-    daily_movements(clean_movements(raw_batch)).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    daily_movements(type_movements(raw_batch)).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
 def ingest(raw: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
