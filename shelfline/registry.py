@@ -42,7 +42,7 @@ NATURAL_KEYS = ["movement_date", "mat_sku", "ven_acc"]
 
 _lock = Lock()
 _written: set[str] = set()
-_stars: dict[str, Star] = {}
+_opened: dict[str, Dims] = {}
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -84,18 +84,23 @@ def star(spark: SparkSession, sf_dir: str) -> Star:
 
     def load() -> None:
         load_star(spark, fixtures.raw_inputs(spark, sf_dir), path)
-        _stars[path] = read_star(spark, path)
+        _opened[path] = read_star(spark, path)
 
     _once(path, load)
-    return _stars[path]
+    return _opened[path]
 
 
 def dims(spark: SparkSession, sf_dir: str) -> Dims:
     """The written dimensions alone, for queries that build a fact themselves."""
     path = _folder(spark, sf_dir, "dims")
-    raw = fixtures.raw_inputs(spark, sf_dir)
-    _once(path, lambda: load_dims(spark, raw, type_movements(raw.movements), path))
-    return read_dims(spark, path)
+
+    def load() -> None:
+        raw = fixtures.raw_inputs(spark, sf_dir)
+        load_dims(spark, raw, type_movements(raw.movements), path)
+        _opened[path] = read_dims(spark, path)
+
+    _once(path, load)
+    return _opened[path]
 
 
 def wide(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,3 +32,15 @@ def test_plan_has_no_pair_joins_or_python(spark, name):
 
 def test_entry_returns_rows(spark):
     assert entry_point.entry(spark).limit(1).count() == 1
+
+
+@pytest.mark.parametrize("name", ["fact_inventory", "asof_vendor", "kpi_raw_5", "kpi_raw_6", "accumulate_load", "quality_report"])
+def test_matches_sql_when_nothing_is_small_enough_to_broadcast(spark, con, name):
+    thresholds = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    try:
+        for key in thresholds:
+            spark.conf.set(key, "-1")
+        assert differences(entry_point.queries()[name](spark, SF_DIR), con, entry_point.oracle_sql()[name]) is None
+    finally:
+        for key in thresholds:
+            spark.conf.unset(key)
