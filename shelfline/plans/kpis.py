@@ -1,9 +1,9 @@
 """Six KPIs in two families.
 
 ``raw_*`` compute from base quantities, ``stored_*`` read the metrics kept in
-the fact. They differ on purpose; see each docstring. All of them sum the fact
-per surrogate key first and look names up afterwards, so a dimension join sees
-one row per key. Every limited result is ordered by all its columns, so ties
+the fact. They differ on purpose; see each docstring. Sums run per surrogate key
+first and names are looked up afterwards, so a dimension join sees one row per
+key; row lists are cut to the contenders before the lookup. Every limited result is ordered by all its columns, so ties
 resolve the same way on every run.
 
 Null ratios sort last ascending and first descending.
@@ -188,10 +188,24 @@ def raw_surplus(star: Star, limit: int = 15) -> DataFrame:
 # --- from stored metrics --------------------------------------------------------------------------
 
 
+def _contenders(rows: DataFrame, value: str, limit: int, *, largest: bool) -> DataFrame:
+    """Rows whose value is not beyond the ``limit``-th one, ties and nulls included.
+
+    Names only break ties, so the lookups need no other rows. Finding the value
+    costs one pass over one column. It relies on every fact row having its
+    dimension rows, which the load guarantees and the quality report checks.
+    """
+    order = F.desc_nulls_last(value) if largest else F.asc_nulls_last(value)
+    edge = F.min(value) if largest else F.max(value)
+    last = rows.select(value).orderBy(order).limit(limit).agg(edge).scalar()
+    within = F.col(value) >= last if largest else F.col(value) <= last
+    return rows.where(within | F.col(value).isNull())
+
+
 def stored_availability(star: Star, limit: int = 10) -> DataFrame:
     """Lowest stored availability among single fact rows of the newest date."""
     return (
-        _with_items(latest_fact(star), star)
+        _with_items(_contenders(latest_fact(star), "stock_availability_pct", limit, largest=False), star)
         .select(*NAMES, "stock_availability_pct")
         .orderBy(F.asc_nulls_last("stock_availability_pct"), *NAMES)
         .limit(limit)
@@ -222,7 +236,7 @@ def stored_monthly_issued(star: Star, limit: int = 15) -> DataFrame:
 def stored_turnover(star: Star, limit: int = 10) -> DataFrame:
     """Highest stored turnover among single fact rows of the newest date."""
     return (
-        _with_items(latest_fact(star), star)
+        _with_items(_contenders(latest_fact(star), "turnover_ratio", limit, largest=True), star)
         .select(*NAMES, "turnover_ratio")
         .orderBy(F.desc_nulls_first("turnover_ratio"), *NAMES)
         .limit(limit)
@@ -232,8 +246,9 @@ def stored_turnover(star: Star, limit: int = 10) -> DataFrame:
 def stored_coverage(star: Star, limit: int = 15) -> DataFrame:
     """Lowest positive stored coverage on the newest date; the band is taken from the rounded value."""
     days = F.col("stock_coverage_days")
+    rows = _contenders(latest_fact(star).where(days > 0), "stock_coverage_days", limit, largest=False)
     return (
-        _with_items(latest_fact(star).where(days > 0), star)
+        _with_items(rows, star)
         .select(*NAMES, days, _band(days, BAND_STORED).alias("status"))
         .orderBy(F.asc_nulls_last("stock_coverage_days"), *NAMES)
         .limit(limit)
@@ -244,7 +259,7 @@ def stored_surplus(star: Star, limit: int = 15) -> DataFrame:
     """Highest positive stored surplus among single fact rows, all dates."""
     rows = star.fact.where(F.col("wastage_ratio_pct") > 0).select("medicine_id_fk", "vendor_id_fk", "wastage_ratio_pct")
     return (
-        _with_vendors(_with_items(rows, star), star)
+        _with_vendors(_with_items(_contenders(rows, "wastage_ratio_pct", limit, largest=True), star), star)
         .select("type_description", "vendor_name", "wastage_ratio_pct")
         .orderBy(F.desc_nulls_first("wastage_ratio_pct"), "type_description", "vendor_name")
         .limit(limit)

@@ -135,6 +135,22 @@ def test_stored_surplus_lists_single_rows(make_star):
     assert [float(r.wastage_ratio_pct) for r in kpis.stored_surplus(make_star(rows)).collect()] == [7.0, 5.0]
 
 
+def test_ties_at_the_limit_are_resolved_by_name(make_star):
+    rows = [
+        fact_row(D32, 4, 1, surplus=5, avail=5, turn=5),
+        fact_row(D32, 2, 1, surplus=5, avail=5, turn=5),
+        fact_row(D32, 1, 2, surplus=5, avail=5, turn=5),
+        fact_row(D32, 1, 1, surplus=9, avail=1, turn=9),
+        fact_row(D32, 3, 1, surplus=1, avail=9, turn=1),
+    ]
+    star = make_star(rows)
+    surplus = [(r.type_description, r.vendor_name) for r in kpis.stored_surplus(star, limit=3).collect()]
+    assert surplus == [("T", "one"), ("T", "one"), ("T", "two")]
+    assert [r.medicine_name for r in kpis.stored_availability(star, limit=3).collect()] == ["a", "a", "b"]
+    assert [r.medicine_name for r in kpis.stored_turnover(star, limit=3).collect()] == ["a", "a", "b"]
+    assert kpis.stored_turnover(star, limit=50).count() == 5
+
+
 def test_quality_report_finds_each_kind(make_star):
     rows = [fact_row(D1, 1, 1, avail=1000), fact_row(D1, 1, 1), fact_row(D1, 99, 1), fact_row(dt.date(2030, 1, 1), 1, 77)]
     found = {(r.rule, r.column_name): r.violations for r in star_report(make_star(rows)).where("violations > 0").collect()}

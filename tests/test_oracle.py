@@ -30,6 +30,14 @@ def test_plan_has_no_pair_joins_or_python(spark, name):
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin|Python|InPandas", plan)
 
 
+def test_accumulated_quantities_equal_a_full_load(spark):
+    keys = ["movement_date", "mat_sku", "ven_acc"]
+    columns = [*keys, "opening_qty", "received_qty", "issued_qty", "closed_qty"]
+    queries = entry_point.queries()
+    full, added = (queries[n](spark, SF_DIR).select(columns) for n in ("fact_inventory", "accumulate_load"))
+    assert full.exceptAll(added).count() == added.exceptAll(full).count() == 0
+
+
 def test_entry_returns_rows(spark):
     assert entry_point.entry(spark).limit(1).count() == 1
 
