@@ -153,6 +153,7 @@ def exact_groups(docs: DataFrame, digest_bytes: int = DIGEST_BYTES) -> DataFrame
         lists = written(refined(docs, lists, clashes, digest_bytes), "recipes")
     best = F.max(F.struct("doc_id", "row"))
     groups = lists.groupBy("recipe").agg(best.alias("best"), F.count(F.lit(1)).alias("group_size"))
+    groups = written(groups, "groups")  # so that both sides of the join are dealt for it, and hot recipes split
     return lists.join(groups, "recipe").select(
         "doc_id",
         "row",
