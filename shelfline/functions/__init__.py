@@ -1,4 +1,4 @@
 from shelfline.functions.dates import calendar_columns, parse_day
-from shelfline.functions.numeric import money, quantity, ratio, round2
+from shelfline.functions.numeric import money, number, quantity, ratio, round2, whole
 
-__all__ = ["calendar_columns", "money", "parse_day", "quantity", "ratio", "round2"]
+__all__ = ["calendar_columns", "money", "number", "parse_day", "quantity", "ratio", "round2", "whole"]

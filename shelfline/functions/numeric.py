@@ -11,9 +11,23 @@ MONEY = "decimal(18,2)"
 _EXACT = "decimal(28,8)"
 
 
+def number(col: Column) -> Column:
+    """Text or number to double; missing is 0, unreadable is null. NaN and infinities count as unreadable."""
+    text = F.trim(col.cast("string"))
+    value = text.try_cast("double")
+    finite = F.when(~F.isnan(value) & (F.abs(value) < float("inf")), value)
+    return F.when(text.isNull() | (text == ""), 0.0).otherwise(finite)
+
+
 def quantity(col: Column) -> Column:
-    """Untrusted text or number to double; missing or unreadable becomes 0."""
-    return F.coalesce(col.try_cast("double"), F.lit(0.0))
+    """As ``number``, unreadable counting as 0 as well; ``input_report`` counts those and a load refuses too many."""
+    return F.coalesce(number(col), F.lit(0.0))
+
+
+def whole(col: Column) -> Column:
+    """Text or number to int, also when written with a zero fraction; missing is 0, anything else null."""
+    value = number(col)
+    return F.when(value == F.floor(value), value.try_cast("int"))
 
 
 def ratio(numerator: Column, denominator: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.schemas import Rules
@@ -38,6 +38,46 @@ def check_reference(df: DataFrame, table: str, col: str, parent: DataFrame, pare
     return _long(counted, [("reference", table, col, "_0")])
 
 
+def check_keys(
+    df: DataFrame, table: str, key: tuple[str, ...], parents: dict[str, tuple[DataFrame, str]]
+) -> list[DataFrame]:
+    """Uniqueness of a key and the references in its columns, all from one grouping by the whole key.
+
+    Each part plans the same grouping, which is then computed once and reused.
+    """
+    keys = df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
+    parts = [_long(keys.agg(F.count_if(F.col("_n") > 1).alias("_0")), [("unique", table, "+".join(key), "_0")])]
+    for col, (parent, parent_col) in parents.items():
+        counted = (
+            keys.groupBy(F.col(col).alias("_ref"))
+            .agg(F.sum("_n").alias("_n"))
+            .join(parent.select(F.col(parent_col).alias("_ref")), "_ref", "left_anti")
+            .agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_0"))
+        )
+        parts.append(_long(counted, [("reference", table, col, "_0")]))
+    return parts
+
+
+def problem_counts(tests: dict[tuple[str, str], Column]) -> list[Column]:
+    """Aggregates: rows in all, and rows with each problem."""
+    return [F.count(F.lit(1)).alias("_rows"), *[F.count_if(t).alias(f"_{i}") for i, t in enumerate(tests.values())]]
+
+
+def count_problems(df: DataFrame, table: str, tests: dict[tuple[str, str], Column]) -> DataFrame:
+    """Rows with each problem in one pass: (table_name, column_name, problem, n_rows, n_bad)."""
+    rows = [
+        F.struct(
+            F.lit(table).alias("table_name"),
+            F.lit(col).alias("column_name"),
+            F.lit(problem).alias("problem"),
+            F.col("_rows").alias("n_rows"),
+            F.col(f"_{i}").alias("n_bad"),
+        )
+        for i, (col, problem) in enumerate(tests)
+    ]
+    return df.agg(*problem_counts(tests)).select(F.inline(F.array(*rows)))
+
+
 def _long(counted: DataFrame, names: list[tuple[str, str, str, str]]) -> DataFrame:
     rows = [
         F.struct(

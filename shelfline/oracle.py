@@ -19,8 +19,8 @@ def _exact(x: str) -> str:
 
 DAY_TEXT = """CASE WHEN l_tax = 0.0 AND l_discount = 0.05 THEN NULL
     WHEN l_tax = 0.08 AND l_discount = 0.05 THEN '2'
-    WHEN l_tax = 0.08 AND l_discount = 0.06 THEN '2025' || substr(CAST(CAST(l_shipdate AS DATE) AS VARCHAR), 5) || ' 00:00:00'
-    ELSE '2025' || substr(CAST(CAST(l_shipdate AS DATE) AS VARCHAR), 5) END"""
+    WHEN l_tax = 0.08 AND l_discount = 0.06 THEN CAST(CAST(l_shipdate AS DATE) + 8766 AS VARCHAR) || ' 00:00:00'
+    ELSE CAST(CAST(l_shipdate AS DATE) + 8766 AS VARCHAR) END"""
 SKU = "CASE WHEN l_linenumber = 7 THEN 'E' ELSE 'M' END || CAST(l_partkey AS VARCHAR)"
 OPENED = "l_quantity * l_linenumber"
 RECEIVED = "CASE WHEN l_returnflag = 'R' THEN ROUND(l_tax * 100) * l_linenumber * 2 ELSE 0.0 END"
@@ -124,10 +124,47 @@ WIDE = f"""WITH wide AS (
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
   JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey),
 today AS (SELECT max("Date") AS d FROM wide),
-recent AS (SELECT wide.* FROM wide, today WHERE "Date" BETWEEN d - 30 AND d)
+recent AS (SELECT wide.* FROM wide, today WHERE "Date" BETWEEN d - 30 AND d),
+chosen AS (
+  SELECT wide.* FROM wide, today WHERE "Date" BETWEEN d - 900 AND d - 350
+  AND "Medicine_Type" IN ('ECONOMY', 'PROMO', 'SMALL')
+  AND "Vendor_Name" BETWEEN 'Supplier#000000000' AND 'Supplier#000000039')
 """
 
 
+def _inputs() -> str:
+    """Raw text columns with the defects of the text fixtures, counted."""
+    junk = "count_if(l_tax = 0.01 AND l_discount = 0.01)"
+    counts = [
+        ("items", "COST_UN", "unreadable", "count_if(p_size = 9)", "part"),
+        ("items", "EXP_MON", "unreadable", "count_if(p_size = 7)", "part"),
+        ("items", "MED_ID", "missing_key", "0", "part"),
+        ("vendors", "VEN_ACC", "missing_key", "0", "supplier"),
+        ("supply", "MAT_SKU", "missing_key", "0", "lineitem WHERE l_returnflag = 'N'"),
+        ("movements", "OPEN_QTY", "unreadable", junk, "lineitem WHERE l_returnflag <> 'N'"),
+        ("movements", "RCVD_QTY", "unreadable", junk, "lineitem WHERE l_returnflag <> 'N'"),
+        ("movements", "ISSD_QTY", "unreadable", junk, "lineitem WHERE l_returnflag <> 'N'"),
+        ("movements", "CLSD_QTY", "unreadable", "0", "lineitem WHERE l_returnflag <> 'N'"),
+        ("movements", "MAT_SKU", "missing_key", "count_if(l_tax = 0.07)", "lineitem WHERE l_returnflag <> 'N'"),
+    ]
+    parts = [
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, '{p}' AS problem, count(*) AS n_rows,"
+        f" CAST({n} AS BIGINT) AS n_bad FROM {source}"
+        for t, c, p, n, source in counts
+    ]
+    return "\nUNION ALL ".join(parts)
+
+
+_PANELS = """
+SELECT 'total_value' AS panel, 'all' AS label, CAST(coalesce(sum("Total_Value"), 0) AS BIGINT) AS value FROM chosen
+UNION ALL SELECT 'critical_items', 'all', count(DISTINCT "Medicine_Name") FROM chosen WHERE "Issued_Qty" > "Remaining_Qty"
+UNION ALL (SELECT 'top_items', "Medicine_Name", CAST(sum("Remaining_Qty") AS BIGINT) AS q FROM chosen
+           GROUP BY "Medicine_Name" ORDER BY q DESC, "Medicine_Name" LIMIT 10)
+UNION ALL SELECT 'demand', CAST("Date" AS VARCHAR), CAST(sum("Issued_Qty") AS BIGINT) FROM chosen GROUP BY "Date"
+UNION ALL SELECT 'usage', "Age_Group", CAST(sum("Issued_Qty") AS BIGINT) FROM chosen GROUP BY "Age_Group"
+UNION ALL SELECT 'vendors', "Vendor_Name", CAST(sum("Received_Qty") AS BIGINT) FROM chosen GROUP BY "Vendor_Name\""""
+
+
 def _cards(rows: str) -> str:
     return f"""{WIDE}
 SELECT CAST(coalesce(sum("Total_Value"), 0) AS BIGINT) AS total_inventory_value,
@@ -145,7 +182,7 @@ LEFT_OVER = "(sum(opening_qty) + sum(received_qty) - sum(issued_qty))"
 _CHECKED = {
     "dim_item": (
         "item",
-        ["medicine_sku", "medicine_name"],
+        ["medicine_sku", "medicine_name", "unit_cost"],
         {"medicine_sku": 20, "medicine_name": 100, "type_description": 100, "storage_type": 100},
         ["unit_cost"],
         {"medicine_sku": "medicine_sku"},
@@ -376,7 +413,11 @@ UNION ALL SELECT DISTINCT 'vendor', s_name FROM supplier ORDER BY 1, 2""",
     "dashboard_calendar": f"""{WIDE}, days AS (
   SELECT CAST(d - CAST(n AS INTEGER) AS DATE) AS "Date" FROM today, range(90) AS r(n))
 SELECT "Date", CAST(day("Date") AS INTEGER) AS "Day", strftime("Date", '%B') AS "Month",
-       CAST(year("Date") AS INTEGER) AS "Year", strftime("Date", '%A') AS "Day_of_Week" FROM days""",
+       CAST(year("Date") AS INTEGER) AS "Year", strftime("Date", '%A') AS "Day_of_Week",
+       (SELECT CAST(coalesce(sum("Issued_Qty"), 0) AS BIGINT) FROM wide WHERE wide."Date" = days."Date") AS "Issued_Qty"
+FROM days""",
+    "filtered_selection": f"{WIDE} SELECT * FROM chosen",
+    "filtered_panels": f"{WIDE} {_PANELS}",
     "upsert_overwrite": f"""{STAGED}
 SELECT medicine_sku, medicine_name, type_description, storage_type, CAST(unit_cost AS DOUBLE) + 1 AS unit_cost,
        expiration_months, type_description <> 'ECONOMY' AS kept_id, false AS clashing_id FROM item""",
@@ -384,6 +425,9 @@ SELECT medicine_sku, medicine_name, type_description, storage_type, CAST(unit_co
 SELECT * REPLACE (CASE WHEN month <= 6 THEN upper(month_name) ELSE month_name END AS month_name) FROM calendar""",
     "accumulate_load": _accumulated(),
     "stream_daily": f"{GROUPED} SELECT * FROM fact_grouped",
+    "star_incremental": f"{GROUPED} SELECT {FACT_COLUMNS} FROM fact",
+    "fact_from_csv": f"{GROUPED} SELECT {FACT_COLUMNS} FROM fact",
+    "input_report": _inputs(),
     "quality_report": _quality(),
     "lookup_losses": _losses(),
 }

@@ -2,8 +2,9 @@
 
 from collections.abc import Collection
 from datetime import date
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.constants import AGE_GROUPS
@@ -25,6 +26,14 @@ def wide_fact(
     )
 
 
+#: First day of a row's month, the partition column of the written wide table.
+MONTH = "Month_Start"
+
+
+def by_month(wide: DataFrame) -> DataFrame:
+    return wide.withColumn(MONTH, F.trunc("Date", "month"))
+
+
 def newest_date(wide: DataFrame) -> Column:
     return wide.agg(F.max("Date")).scalar()
 
@@ -39,11 +48,16 @@ def filter_fact(
     """Rows inside an inclusive date range, of the selected types and vendors.
 
     ``None`` leaves a bound or selection open; an empty selection keeps nothing.
+    Rows that carry MONTH, as the written table's partitions do, are filtered by
+    it as well, so that only the months of the range are read.
     """
-    if start is not None:
-        wide = wide.where(F.col("Date") >= start)
-    if end is not None:
-        wide = wide.where(F.col("Date") <= end)
+    bounds = [(start, F.col("Date").__ge__, F.col(MONTH).__ge__), (end, F.col("Date").__le__, F.col(MONTH).__le__)]
+    for bound, on_date, on_month in bounds:
+        if bound is not None:
+            bound = bound if isinstance(bound, Column) else F.lit(bound)
+            wide = wide.where(on_date(bound))
+            if MONTH in wide.columns:
+                wide = wide.where(on_month(F.trunc(bound, "month")))
     if types is not None:
         wide = wide.where(F.col("Medicine_Type").isin(list(types)))
     if vendors is not None:
@@ -107,9 +121,10 @@ def cards(filtered: DataFrame, today: Column) -> DataFrame:
 
 
 def top_items_by_stock(filtered: DataFrame, n: int = 10) -> DataFrame:
-    """The ``n`` items with the largest summed remaining quantity, shown ascending."""
+    """The ``n`` items with the largest summed remaining quantity, shown ascending; rows without a name don't count."""
     return (
-        filtered.groupBy("Medicine_Name")
+        filtered.where("Medicine_Name is not null")
+        .groupBy("Medicine_Name")
         .agg(F.sum("Remaining_Qty").alias("Remaining_Qty"))
         .orderBy(F.desc("Remaining_Qty"), "Medicine_Name")
         .limit(n)
@@ -118,17 +133,17 @@ def top_items_by_stock(filtered: DataFrame, n: int = 10) -> DataFrame:
 
 
 def demand_trend(filtered: DataFrame) -> DataFrame:
-    """Issued quantity per day."""
-    return filtered.groupBy("Date").agg(F.sum("Issued_Qty").alias("Issued_Qty")).orderBy("Date")
+    """Issued quantity per day; rows without a date don't count."""
+    return filtered.where("Date is not null").groupBy("Date").agg(F.sum("Issued_Qty").alias("Issued_Qty")).orderBy("Date")
 
 
 def usage_by_group(filtered: DataFrame, order: Collection[str] = AGE_GROUPS) -> DataFrame:
     """Issued quantity per customer group with its share, in the given display order.
 
     Groups outside ``order`` keep their share and come last. The total is taken
-    over the already grouped rows.
+    over the already grouped rows. Rows without a group don't count.
     """
-    per_group = filtered.groupBy("Age_Group").agg(F.sum("Issued_Qty").alias("Issued_Qty"))
+    per_group = filtered.where("Age_Group is not null").groupBy("Age_Group").agg(F.sum("Issued_Qty").alias("Issued_Qty"))
     total = per_group.agg(F.sum("Issued_Qty")).scalar()
     rank = F.nullif(F.array_position(F.array(*[F.lit(g) for g in order]), F.col("Age_Group")), F.lit(0))
     return per_group.withColumn(
@@ -137,9 +152,10 @@ def usage_by_group(filtered: DataFrame, order: Collection[str] = AGE_GROUPS) ->
 
 
 def vendor_received(filtered: DataFrame) -> DataFrame:
-    """Received quantity per vendor, smallest first."""
+    """Received quantity per vendor, smallest first; rows without a vendor don't count."""
     return (
-        filtered.groupBy("Vendor_Name")
+        filtered.where("Vendor_Name is not null")
+        .groupBy("Vendor_Name")
         .agg(F.sum("Received_Qty").alias("Received_Qty"))
         .orderBy("Received_Qty", "Vendor_Name")
     )
@@ -152,13 +168,37 @@ def filter_options(items: DataFrame, vendors: DataFrame) -> DataFrame:
     return types.unionByName(names).distinct().orderBy("option_kind", "option_value")
 
 
-def calendar_range(spark: SparkSession, end: Column, days: int = 90) -> DataFrame:
-    """``days`` consecutive dates up to ``end`` with their calendar attributes."""
-    span = F.sequence(F.date_sub(end, days - 1), end)
-    return spark.range(1).select(F.explode(span).alias("Date")).select(
+def calendar_range(end: Column, demand: DataFrame, days: int = 90) -> DataFrame:
+    """``days`` consecutive dates up to ``end`` with their attributes and the demand of each, 0 on dates without.
+
+    ``demand`` holds Date and Issued_Qty once a date; dates between come from the range of its own.
+    """
+    start = F.date_sub(end, days - 1)
+    every = demand.agg(F.explode(F.sequence(F.any_value(start), F.any_value(end))).alias("Date"))
+    return every.join(demand, "Date", "left").select(
         "Date",
         F.dayofmonth("Date").alias("Day"),
         F.date_format("Date", "MMMM").alias("Month"),
         F.year("Date").alias("Year"),
         F.date_format("Date", "EEEE").alias("Day_of_Week"),
+        F.coalesce("Issued_Qty", F.lit(0)).cast("bigint").alias("Issued_Qty"),
     )
+
+
+def panels(filtered: DataFrame, groups: Collection[str] = AGE_GROUPS) -> DataFrame:
+    """The figures of all panels over one selection, as rows (panel, label, value)."""
+
+    def rows(df: DataFrame, panel: str, label: str, value: str) -> DataFrame:
+        return df.select(
+            F.lit(panel).alias("panel"), F.col(label).cast("string").alias("label"), F.col(value).cast("bigint").alias("value")
+        )
+
+    parts = [
+        rows(total_value(filtered).withColumn("label", F.lit("all")), "total_value", "label", "total_inventory_value"),
+        rows(critical_items(filtered).withColumn("label", F.lit("all")), "critical_items", "label", "n_critical"),
+        rows(top_items_by_stock(filtered), "top_items", "Medicine_Name", "Remaining_Qty"),
+        rows(demand_trend(filtered), "demand", "Date", "Issued_Qty"),
+        rows(usage_by_group(filtered, groups), "usage", "Age_Group", "Issued_Qty"),
+        rows(vendor_received(filtered), "vendors", "Vendor_Name", "Received_Qty"),
+    ]
+    return reduce(DataFrame.unionByName, parts)

@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from shelfline import schemas
 from shelfline.functions import money, ratio, round2
-from shelfline.operators.asof import asof_carry, latest_receipts
-from shelfline.operators.windows import coverage, trailing_mean, turnover
+from shelfline.operators.asof import asof_carry, asof_rows, latest_receipts
+from shelfline.operators.windows import coverage, trailing_mean, turnover, turnover_ratio
 from shelfline.schemas import QUANTITIES
 
 
@@ -32,9 +32,16 @@ def daily_movements(movements: DataFrame, scope: tuple[str, ...] = ()) -> DataFr
     )
 
 
-def grouped_fact(daily: DataFrame, supply: DataFrame) -> DataFrame:
-    """Daily rows with the vendor of the latest receipt; rows without one are dropped."""
-    return asof_carry(daily.where(F.col("mat_sku").isNotNull()), latest_receipts(supply))
+def grouped_fact(daily: DataFrame, supply: DataFrame, scope: tuple[str, ...] = ()) -> DataFrame:
+    """Daily rows with the vendor of the latest receipt; rows without one are dropped.
+
+    With a scope a SKU may have many rows on one date, so the vendor is found
+    once per (SKU, date) and joined back.
+    """
+    known, receipts = daily.where(F.col("mat_sku").isNotNull()), latest_receipts(supply)
+    if not scope:
+        return asof_carry(known, receipts)
+    return asof_rows(known, receipts).withColumn("day_number", F.unix_date("movement_date"))
 
 
 def item_measures(grouped: DataFrame, scope: tuple[str, ...] = ()) -> DataFrame:
@@ -53,8 +60,7 @@ def item_turnover(grouped: DataFrame) -> DataFrame:
     per_item = grouped.groupBy("mat_sku").agg(
         F.sum("issued_qty").alias("total_issued"), F.avg("opening_qty").alias("avg_opening")
     )
-    value = F.when(F.col("avg_opening") > 0, ratio(F.col("total_issued"), F.col("avg_opening")))
-    return per_item.withColumn("turnover_ratio", F.coalesce(round2(value), F.lit(0.0)))
+    return per_item.withColumn("turnover_ratio", turnover_ratio(F.col("total_issued"), F.col("avg_opening")))
 
 
 def rolling_usage(grouped: DataFrame, days: int = 30) -> DataFrame:
@@ -117,7 +123,7 @@ def build_fact(
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """The fact in its stored types. ``keep`` carries natural-key columns along."""
-    keyed = with_keys(item_measures(grouped_fact(daily, supply), scope), items, calendar, vendors)
+    keyed = with_keys(item_measures(grouped_fact(daily, supply, scope), scope), items, calendar, vendors)
     return row_measures(keyed).select(
         *keep, *schemas.FACT_KEYS, *[money(F.col(m)).alias(m) for m in schemas.FACT_MEASURES]
     )

@@ -3,8 +3,9 @@
 ``raw_*`` compute from base quantities, ``stored_*`` read the metrics kept in
 the fact. They differ on purpose; see each docstring. Sums run per surrogate key
 first and names are looked up afterwards, so a dimension join sees one row per
-key; row lists are cut to the contenders before the lookup. Every limited result is ordered by all its columns, so ties
-resolve the same way on every run.
+key; row lists carry only keys and the value into the lookup and are cut after
+it, since a row without its dimension row doesn't count. Every limited result is
+ordered by all its columns, so ties resolve the same way on every run.
 
 Null ratios sort last ascending and first descending.
 """
@@ -14,7 +15,8 @@ from pyspark.sql import functions as F
 
 from shelfline.constants import BAND_RAW, BAND_STORED, COVERAGE_HIGH, COVERAGE_LOW, CURRENCY_RATE
 from shelfline.functions import ratio, round2
-from shelfline.plans.warehouse import Star
+from shelfline.plans.warehouse import Star, month_of
+from shelfline.schemas import MONTH_ID
 
 NAMES = ["medicine_name", "type_description"]
 
@@ -23,11 +25,16 @@ def latest_fact(star: Star) -> DataFrame:
     """Fact rows of the newest calendar date.
 
     The date comes from the calendar: if every row of that day was dropped at
-    load, the result is empty. The scalar subquery filters the partition column,
-    so only that day's files are read.
+    load, the result is empty. Scalar subqueries filter the partition column and
+    the date, so only that month's files are opened and most of them skipped.
     """
     newest = star.calendar.agg(F.max_by("date_id_pk", "full_date")).scalar()
-    return star.fact.where(F.col("date_id_fk") == newest)
+    return _months(star.fact, newest).where(F.col("date_id_fk") == newest)
+
+
+def _months(fact: DataFrame, since: Column) -> DataFrame:
+    """Rows from the month of a date id on; a fact that isn't stored by month stays whole."""
+    return fact.where(F.col(MONTH_ID) >= month_of(since)) if MONTH_ID in fact.columns else fact
 
 
 def _with_items(df: DataFrame, star: Star) -> DataFrame:
@@ -136,9 +143,11 @@ def raw_coverage(star: Star, limit: int = 15, days: int = 30) -> DataFrame:
     window = star.calendar.where(F.col("full_date") >= F.date_sub(newest_day, days)).select(
         F.col("date_id_pk").alias("date_id_fk"), (F.col("full_date") == newest_day).alias("newest")
     )
+    since = window.agg(F.min("date_id_fk")).scalar()
     stock = F.coalesce("opening_qty", F.lit(0)) + F.coalesce("received_qty", F.lit(0)) - F.coalesce("issued_qty", F.lit(0))
     per_item = (
-        star.fact.join(window, "date_id_fk")
+        _months(star.fact, since)
+        .join(window, "date_id_fk")
         .groupBy("medicine_id_fk")
         .agg(
             ratio(_total("issued_qty"), F.count(F.lit(1))).alias("avg_issued"),
@@ -188,24 +197,10 @@ def raw_surplus(star: Star, limit: int = 15) -> DataFrame:
 # --- from stored metrics --------------------------------------------------------------------------
 
 
-def _contenders(rows: DataFrame, value: str, limit: int, *, largest: bool) -> DataFrame:
-    """Rows whose value is not beyond the ``limit``-th one, ties and nulls included.
-
-    Names only break ties, so the lookups need no other rows. Finding the value
-    costs one pass over one column. It relies on every fact row having its
-    dimension rows, which the load guarantees and the quality report checks.
-    """
-    order = F.desc_nulls_last(value) if largest else F.asc_nulls_last(value)
-    edge = F.min(value) if largest else F.max(value)
-    last = rows.select(value).orderBy(order).limit(limit).agg(edge).scalar()
-    within = F.col(value) >= last if largest else F.col(value) <= last
-    return rows.where(within | F.col(value).isNull())
-
-
 def stored_availability(star: Star, limit: int = 10) -> DataFrame:
     """Lowest stored availability among single fact rows of the newest date."""
     return (
-        _with_items(_contenders(latest_fact(star), "stock_availability_pct", limit, largest=False), star)
+        _with_items(latest_fact(star).select("medicine_id_fk", "stock_availability_pct"), star)
         .select(*NAMES, "stock_availability_pct")
         .orderBy(F.asc_nulls_last("stock_availability_pct"), *NAMES)
         .limit(limit)
@@ -236,7 +231,7 @@ def stored_monthly_issued(star: Star, limit: int = 15) -> DataFrame:
 def stored_turnover(star: Star, limit: int = 10) -> DataFrame:
     """Highest stored turnover among single fact rows of the newest date."""
     return (
-        _with_items(_contenders(latest_fact(star), "turnover_ratio", limit, largest=True), star)
+        _with_items(latest_fact(star).select("medicine_id_fk", "turnover_ratio"), star)
         .select(*NAMES, "turnover_ratio")
         .orderBy(F.desc_nulls_first("turnover_ratio"), *NAMES)
         .limit(limit)
@@ -246,7 +241,7 @@ def stored_turnover(star: Star, limit: int = 10) -> DataFrame:
 def stored_coverage(star: Star, limit: int = 15) -> DataFrame:
     """Lowest positive stored coverage on the newest date; the band is taken from the rounded value."""
     days = F.col("stock_coverage_days")
-    rows = _contenders(latest_fact(star).where(days > 0), "stock_coverage_days", limit, largest=False)
+    rows = latest_fact(star).where(days > 0).select("medicine_id_fk", "stock_coverage_days")
     return (
         _with_items(rows, star)
         .select(*NAMES, days, _band(days, BAND_STORED).alias("status"))
@@ -259,7 +254,7 @@ def stored_surplus(star: Star, limit: int = 15) -> DataFrame:
     """Highest positive stored surplus among single fact rows, all dates."""
     rows = star.fact.where(F.col("wastage_ratio_pct") > 0).select("medicine_id_fk", "vendor_id_fk", "wastage_ratio_pct")
     return (
-        _with_vendors(_with_items(_contenders(rows, "wastage_ratio_pct", limit, largest=True), star), star)
+        _with_vendors(_with_items(rows, star), star)
         .select("type_description", "vendor_name", "wastage_ratio_pct")
         .orderBy(F.desc_nulls_first("wastage_ratio_pct"), "type_description", "vendor_name")
         .limit(limit)

@@ -1,36 +1,37 @@
 """Load, write and read the star."""
 
-from dataclasses import dataclass
-
-from pyspark.sql import DataFrame, Observation, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfline import schemas
+from shelfline.operators.quality import problem_counts
 from shelfline.plans.dims import load_calendar, load_items, load_vendors
 from shelfline.plans.fact import build_fact, daily_movements
-from shelfline.sources import RawInputs, clean_items, clean_vendors, type_movements, type_supply
-
+from shelfline.plans.quality import input_report, star_report
+from shelfline.sources import RawInputs, clean_items, clean_vendors, input_problems, type_movements, type_supply
+from shelfline.star import Dims, Star
 
-@dataclass(frozen=True)
-class Dims:
-    items: DataFrame
-    vendors: DataFrame
-    calendar: DataFrame
 
+class RefusedLoad(Exception):
+    """A load whose input or result breaks the rules; nothing of it can be read."""
 
-@dataclass(frozen=True)
-class Star(Dims):
-    fact: DataFrame
 
+#: Share of unreadable numbers in a column that a load accepts, counting them as 0.
+TOLERANCE = 0.0
+#: Rules that a published star keeps; lengths and overflows are only reported.
+ENFORCED = ("not_null", "unique", "reference")
 
 TABLES = {
     "dim_item": schemas.DIM_ITEM,
     "dim_vendor": schemas.DIM_VENDOR,
     "dim_calendar": schemas.DIM_CALENDAR,
-    "fact_inventory": schemas.FACT,
+    "fact_inventory": schemas.FACT_STORED,
 }
 DIM_TABLES = ("dim_item", "dim_vendor", "dim_calendar")
+PUBLISHED = "_published"
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by: str | None = None) -> int:
@@ -41,7 +42,15 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
-    return seen.get["rows"]
+    return observed(seen).get("rows", 0)
+
+
+def observed(seen: Observation) -> dict[str, int]:
+    """Metrics of a finished write; none where Spark knew the input to be empty and left the counting out of the plan."""
+    try:
+        return seen.get
+    except Py4JJavaError:
+        return {}
 
 
 def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -50,24 +59,62 @@ def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 
 
 def write_fact(fact: DataFrame, path: str, mode: str = "overwrite") -> int:
-    """Write the fact partitioned by date.
+    """Write the fact partitioned by month and sorted by date, so that a date filter skips most of a month's files.
 
-    The rebalance hint gathers each date into few files and, with adaptive
-    execution, splits a date that is far larger than the others.
+    The rebalance hint gathers each month into few files and, with adaptive
+    execution, splits a month that is far larger than the others.
     """
-    gathered = fact.select(*schemas.FACT.names).hint("rebalance", "date_id_fk")
-    return write_table(gathered, path, mode, partition_by="date_id_fk")
+    return write_table(by_month(fact), path, mode, partition_by=schemas.MONTH_ID)
+
+
+def month_of(date_id: Column) -> Column:
+    return F.floor(date_id / 100).cast("int")
+
+
+def by_month(fact: DataFrame) -> DataFrame:
+    """Fact rows gathered for writing by month."""
+    rows = fact.select(*schemas.FACT.names, month_of(F.col("date_id_fk")).alias(schemas.MONTH_ID))
+    return rows.hint("rebalance", schemas.MONTH_ID).sortWithinPartitions(schemas.MONTH_ID, "date_id_fk")
 
 
 def read_star(spark: SparkSession, path: str) -> Star:
+    """A published star; fails for one whose load didn't end or was refused."""
+    try:
+        spark.read.parquet(f"{path}/{PUBLISHED}").schema  # noqa: B018  opening it is the check
+    except AnalysisException as error:
+        raise RefusedLoad(f"{path} holds no published star") from error
+    return _open_star(spark, path)
+
+
+def _open_star(spark: SparkSession, path: str) -> Star:
     return Star(*(read_table(spark, f"{path}/{name}", schema) for name, schema in TABLES.items()))
 
 
-def deploy_schema(spark: SparkSession, path: str, database: str = "default") -> None:
-    """Create the star tables over ``path`` in the catalog where they do not exist yet."""
+def publish(spark: SparkSession, path: str) -> None:
+    """Make a written star readable if it keeps the enforced rules."""
+    broken = star_report(_open_star(spark, path)).where("violations > 0").collect()  # a row for each rule at most
+    broken = [r for r in broken if r["rule"] in ENFORCED]
+    if broken:
+        raise RefusedLoad("; ".join(f"{r.rule} {r.table_name}.{r.column_name}: {r.violations}" for r in broken))
+    spark.range(1).write.mode("overwrite").parquet(f"{path}/{PUBLISHED}")
+
+
+def deploy_schema(spark: SparkSession, path: str, database: str = "default", *, replace: bool = False) -> None:
+    """Create the star tables over ``path`` in the catalog where they do not exist yet, or anew with ``replace``.
+
+    Dropping such a table forgets the catalog entry and leaves its files.
+    """
     for name, schema in TABLES.items():
-        columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
-        partitions = "PARTITIONED BY (date_id_fk)" if name == "fact_inventory" else ""
+        required, defaults = schemas.RULES[name].not_null, schemas.DEFAULTS.get(name, {})
+        columns = ", ".join(
+            f"{f.name} {f.dataType.simpleString()}"
+            + (" NOT NULL" if f.name in required else "")
+            + (f" DEFAULT {defaults[f.name]}" if f.name in defaults else "")
+            for f in schema.fields
+        )
+        partitions = f"PARTITIONED BY ({schemas.MONTH_ID})" if name == "fact_inventory" else ""
+        if replace:
+            spark.sql(f"DROP TABLE IF EXISTS {database}.{name}")
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {database}.{name} ({columns}) USING parquet {partitions}"
             f" LOCATION '{path}/{name}'"
@@ -108,19 +155,53 @@ def load_dims(
     return {name: write_table(df, f"{path}/{name}") for name, df in loaded.items()}
 
 
-def load_star(spark: SparkSession, raw: RawInputs, path: str, previous: Star | None = None) -> dict[str, int]:
+def refuse_unreadable(counts: list[tuple[str, str, int, int]], tolerance: float) -> None:
+    """Fail if any (table, column, rows, unreadable ones) is over the tolerance."""
+    bad = [f"{t}.{c}: {n} of {rows}" for t, c, rows, n in counts if n > tolerance * rows]
+    if bad:
+        raise RefusedLoad("unreadable numbers in " + "; ".join(bad))
+
+
+def write_daily(movements: DataFrame, path: str, tolerance: float = TOLERANCE) -> int:
+    """Write the daily sums of raw movements; unreadable numbers are counted in the same pass."""
+    seen, tests = Observation(), input_problems("movements")
+    watched = movements.observe(seen, *problem_counts(tests))
+    rows = write_table(daily_movements(type_movements(watched)), path)
+    found = observed(seen)
+    counts = [
+        ("movements", col, found.get("_rows", 0), found.get(f"_{i}", 0))
+        for i, (col, problem) in enumerate(tests)
+        if problem == "unreadable"
+    ]
+    refuse_unreadable(counts, tolerance)
+    return rows
+
+
+def check_inputs(raw: RawInputs, tolerance: float = TOLERANCE) -> None:
+    """Fail on too many unreadable numbers in the master data."""
+    found = input_report(raw, ("items", "vendors", "supply")).where("problem = 'unreadable'").collect()
+    refuse_unreadable([(r.table_name, r.column_name, r.n_rows, r.n_bad) for r in found], tolerance)
+
+
+def load_star(
+    spark: SparkSession, raw: RawInputs, path: str, previous: Star | None = None, tolerance: float = TOLERANCE
+) -> dict[str, int]:
     """Full load into ``path``, which must be new; returns rows written per table.
 
     Movements are read once: their daily sums are written first, and calendar
     and fact both start from that table. It also cuts the lineage, so a lost
     executor never forces a second pass over the raw files. The fact is always
-    rebuilt; the dimensions continue ``previous``.
+    rebuilt; the dimensions continue ``previous``. Raises RefusedLoad, and
+    leaves nothing readable, for unreadable numbers beyond the tolerance or a
+    result that breaks an enforced rule.
     """
+    check_inputs(raw, tolerance)
     staged = f"{path}/_daily_movements"
-    rows = {"daily_movements": write_table(daily_movements(type_movements(raw.movements)), staged)}
+    rows = {"daily_movements": write_daily(raw.movements, staged, tolerance)}
     daily = spark.read.parquet(staged)
     rows |= load_dims(spark, raw, daily, path, previous)
     dims = read_dims(spark, path)
     fact = build_fact(daily, type_supply(raw.supply), dims.items, dims.calendar, dims.vendors)
     rows["fact_inventory"] = write_fact(fact, f"{path}/fact_inventory")
+    publish(spark, path)
     return rows

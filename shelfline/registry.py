@@ -6,9 +6,9 @@ shared folder. The others are single lazy plans from the raw views.
 """
 
 from collections.abc import Callable
-from threading import Lock
+from threading import RLock
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,31 +18,37 @@ from shelfline.operators.asof import asof_interval, asof_rows, latest_receipts
 from shelfline.plans import dashboard, kpis
 from shelfline.plans.dims import calendar_from_days, load_calendar, load_items, load_vendors
 from shelfline.plans.fact import build_fact, daily_movements, grouped_fact, item_measures, item_turnover, rolling_usage
-from shelfline.plans.quality import lookup_report, star_report
-from shelfline.plans.warehouse import Dims, Star, load_dims, load_star, read_dims, read_star
-from shelfline.schemas import FACT_MEASURES
-from shelfline.session import shared_dir
+from shelfline.plans.quality import input_report, lookup_report, star_report
+from shelfline.plans.star_batches import add_batch, read_batches
+from shelfline.plans.warehouse import load_dims, load_star, read_dims, read_star
+from shelfline.schemas import FACT_MEASURES, MOVEMENT_RAW
+from shelfline.session import discard, shared_dir
 from shelfline.sources import (
+    RawInputs,
     clean_items,
     clean_movements,
     clean_supply,
     clean_vendors,
     fixtures,
+    read_raw,
     type_movements,
     type_supply,
 )
+from shelfline.star import Dims, Star
 from shelfline.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Receipts up to this many rows may be broadcast as intervals: about 50 bytes each, 50 MB in all.
-BROADCAST_ROWS = 1_000_000
+#: Selections of the dashboard's filters.
+SOME_TYPES = ("ECONOMY", "PROMO", "SMALL")
+SOME_VENDORS = tuple(f"Supplier#{n:09d}" for n in range(40))
 
 NATURAL_KEYS = ["movement_date", "mat_sku", "ven_acc"]
 
-_lock = Lock()
+_lock = RLock()  # one written table may ask for another
 _written: set[str] = set()
 _opened: dict[str, Dims] = {}
+_versions: dict[tuple[str, str], str] = {}
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -59,15 +65,31 @@ def _plain(df: DataFrame) -> DataFrame:
 
 
 def _version(spark: SparkSession, sf_dir: str) -> str:
-    """Identifies the input files by path, size and time; lists them without reading."""
-    names = ("customer", "lineitem", "nation", "orders", "part", "region", "supplier")
-    files = spark.read.format("binaryFile").load([f"{sf_dir}/{n}.parquet" for n in names])
-    stamp = F.bit_xor(F.xxhash64("path", "modificationTime", "length"))
-    return f"{files.agg(F.hex(stamp)).first()[0]}"
+    """Identifies the input files by path, size and time; lists them once a session, without reading."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _versions:
+        names = ("customer", "lineitem", "nation", "orders", "part", "region", "supplier")
+        files = spark.read.format("binaryFile").load([f"{sf_dir}/{n}.parquet" for n in names])
+        stamp = F.bit_xor(F.xxhash64("path", "modificationTime", "length"))
+        _versions[key] = f"{files.agg(F.hex(stamp)).first()[0]}"
+    return _versions[key]
+
+
+def _shared(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/shelfline/{spark.sparkContext.applicationId}"
 
 
 def _folder(spark: SparkSession, sf_dir: str, name: str) -> str:
-    return f"{shared_dir(spark)}/shelfline/{spark.sparkContext.applicationId}/{_version(spark, sf_dir)}/{name}"
+    return f"{_shared(spark)}/{_version(spark, sf_dir)}/{name}"
+
+
+def discard_shared(spark: SparkSession) -> None:
+    """Delete every table that this session's queries have written; they are written anew when asked for."""
+    with _lock:
+        discard(spark, _shared(spark))
+        _written.clear()
+        _opened.clear()
+        _versions.clear()
 
 
 def _once(path: str, write: Callable[[], object]) -> str:
@@ -104,17 +126,24 @@ def dims(spark: SparkSession, sf_dir: str) -> Dims:
 
 
 def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The written wide dashboard table, gathered and sorted by date so that date filters skip row groups."""
+    """The written wide dashboard table, partitioned by month so that date filters read the months they need."""
     path = _folder(spark, sf_dir, "wide")
 
     def write() -> None:
-        rows = fixtures.dashboard_wide(spark, sf_dir).hint("rebalance", "Date")
-        rows.sortWithinPartitions("Date").write.mode("overwrite").parquet(path)
+        rows = dashboard.by_month(fixtures.dashboard_wide(spark, sf_dir)).hint("rebalance", dashboard.MONTH)
+        rows.write.mode("overwrite").partitionBy(dashboard.MONTH).parquet(path)
 
     _once(path, write)
     return spark.read.parquet(path)
 
 
+def wide_today(spark: SparkSession, sf_dir: str) -> Column:
+    """Newest date of the wide table, from its own small table of dates."""
+    path = _folder(spark, sf_dir, "wide_days")
+    _once(path, lambda: wide(spark, sf_dir).select("Date").distinct().write.mode("overwrite").parquet(path))
+    return dashboard.newest_date(spark.read.parquet(path))
+
+
 # --- dimensions -----------------------------------------------------------------------------------
 
 
@@ -182,7 +211,7 @@ def asof_vendor(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def asof_vendor_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return asof_interval(_movements(spark, sf_dir), latest_receipts(_supply(spark, sf_dir)), BROADCAST_ROWS)
+    return asof_interval(_movements(spark, sf_dir), latest_receipts(_supply(spark, sf_dir)))
 
 
 def _grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -225,9 +254,8 @@ def fact_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain(_natural_fact(spark, sf_dir, _movements(spark, sf_dir, "source_file"), ("source_file",)))
 
 
-def fact_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The written fact, resolved back to natural keys."""
-    loaded = star(spark, sf_dir)
+def _natural(loaded: Star) -> DataFrame:
+    """A star's fact, resolved back to natural keys."""
     return _plain(
         loaded.fact.join(
             loaded.calendar.select(F.col("date_id_pk").alias("date_id_fk"), F.col("full_date").alias("movement_date")),
@@ -247,6 +275,11 @@ def fact_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fact_loaded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The written fact, resolved back to natural keys."""
+    return _natural(star(spark, sf_dir))
+
+
 # --- merging --------------------------------------------------------------------------------------
 
 
@@ -280,18 +313,71 @@ def accumulate_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Movements ingested by an available-now stream, then the grouped fact from the stored sums."""
+    """Movements ingested file by file by an available-now stream, then the grouped fact from the stored sums."""
     path = _folder(spark, sf_dir, "stream")
 
     def run() -> None:
-        schema = fixtures.table(spark, sf_dir, "lineitem").schema
-        lines = spark.readStream.schema(schema).parquet(f"{sf_dir}/lineitem*.parquet")
-        incremental.ingest(fixtures.movement_rows(lines), f"{path}/daily", f"{path}/checkpoint").awaitTermination()
+        lines = fixtures.table(spark, sf_dir, "lineitem")
+        lines.repartition(4, "l_linenumber").write.mode("overwrite").parquet(f"{path}/files")
+        files = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/files")
+        incremental.ingest(fixtures.movement_rows(files), f"{path}/daily", f"{path}/checkpoint").awaitTermination()
 
     _once(path, run)
     return grouped_fact(incremental.read_daily(spark, f"{path}/daily"), _supply(spark, sf_dir)).drop("day_number")
 
 
+def fact_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The loaded fact of a star read from CSV files, the movement files in two column orders."""
+    path = _folder(spark, sf_dir, "csv")
+
+    def run() -> None:
+        raw = fixtures.raw_inputs(spark, sf_dir)
+        moves = raw.movements.select("batch", *MOVEMENT_RAW.names)
+        frames = {
+            "items": raw.items,
+            "vendors": raw.vendors,
+            "supply": raw.supply,
+            "movements/a": moves.where("batch = 'A'"),
+            "movements/r": moves.where("batch = 'R'").select(*reversed(moves.columns)),
+        }
+        for name, frame in frames.items():
+            frame.write.mode("overwrite").csv(f"{path}/{name}", header=True, quote='"', escape='"')
+        inputs = read_raw(spark, f"{path}/items", f"{path}/vendors", f"{path}/supply", f"{path}/movements/*")
+        load_star(spark, inputs, f"{path}/star")
+
+    _once(path, run)
+    return _natural(read_star(spark, f"{path}/star"))
+
+
+def star_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact of a star that took three batches: a base, more movements, and late receipts with the rest."""
+    path = _folder(spark, sf_dir, "batches")
+
+    def run() -> None:
+        raw = fixtures.raw_inputs(spark, sf_dir)
+        late = F.crc32("VEN_ACC") % 3 == 0
+        first, rest = F.col("batch") == "A", F.col("MAT_SKU") < "M5"
+        parts = [
+            (raw.movements.where(first), raw.supply.where(~late | F.col("VEN_ACC").isNull())),
+            (raw.movements.where(~first & ~rest), raw.supply.limit(0)),
+            (raw.movements.where(~first & rest), raw.supply.where(late)),
+        ]
+        for number, (movements, supply) in enumerate(parts):
+            add_batch(spark, RawInputs(raw.items, raw.vendors, supply, movements), path, number)
+
+    _once(path, run)
+    return _natural(read_batches(spark, path))
+
+
+def input_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unreadable numbers and missing keys of raw inputs whose numbers are text."""
+    raw = fixtures.raw_inputs(spark, sf_dir)
+    texts = RawInputs(
+        fixtures.text_items(spark, sf_dir), raw.vendors, raw.supply, fixtures.text_movements(spark, sf_dir)
+    )
+    return input_report(texts)
+
+
 def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return star_report(star(spark, sf_dir))
 
@@ -318,24 +404,36 @@ def wide_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def filtered_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The default selection: the last 30 days, all types and vendors."""
-    rows = wide(spark, sf_dir)
-    return dashboard.last_days(rows, dashboard.newest_date(rows))
+    return dashboard.last_days(wide(spark, sf_dir), wide_today(spark, sf_dir)).drop(dashboard.MONTH)
 
 
 def filtered_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = wide(spark, sf_dir)
-    today = dashboard.newest_date(rows)
-    return dashboard.cards(dashboard.last_days(rows, today), today)
+    today = wide_today(spark, sf_dir)
+    return dashboard.cards(dashboard.last_days(wide(spark, sf_dir), today), today)
 
 
 def dashboard_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = wide(spark, sf_dir)
-    return dashboard.cards(rows, dashboard.newest_date(rows))
+    return dashboard.cards(wide(spark, sf_dir), wide_today(spark, sf_dir))
 
 
 def issued_today_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dashboard.issued_today(wide(spark, sf_dir), wide_today(spark, sf_dir))
+
+
+def _selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A year and a half of dates, some types, some vendors."""
+    today = wide_today(spark, sf_dir)
     rows = wide(spark, sf_dir)
-    return dashboard.issued_today(rows, dashboard.newest_date(rows))
+    return dashboard.filter_fact(rows, F.date_sub(today, 900), F.date_sub(today, 350), SOME_TYPES, SOME_VENDORS)
+
+
+def filtered_selection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _selection(spark, sf_dir).drop(dashboard.MONTH)
+
+
+def filtered_panels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All panels over one selection of dates, types and vendors."""
+    return dashboard.panels(_selection(spark, sf_dir), fixtures.SEGMENTS)
 
 
 def filter_options(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -343,7 +441,10 @@ def filter_options(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dashboard_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return dashboard.calendar_range(spark, dashboard.newest_date(wide(spark, sf_dir)))
+    """The last 90 dates with the quantity issued on each."""
+    rows, today = wide(spark, sf_dir), wide_today(spark, sf_dir)
+    demand = dashboard.demand_trend(dashboard.filter_fact(rows, F.date_sub(today, 89), today))
+    return dashboard.calendar_range(today, demand)
 
 
 QUERIES: dict[str, Query] = {
@@ -377,6 +478,8 @@ QUERIES: dict[str, Query] = {
     "wide_fact": wide_fact,
     "filtered_fact": filtered_fact,
     "filtered_cards": filtered_cards,
+    "filtered_selection": filtered_selection,
+    "filtered_panels": filtered_panels,
     "dashboard_cards": dashboard_cards,
     "total_value": _panel(dashboard.total_value),
     "issued_today_delta": issued_today_delta,
@@ -391,6 +494,9 @@ QUERIES: dict[str, Query] = {
     "upsert_ignore": upsert_ignore,
     "accumulate_load": accumulate_load,
     "stream_daily": stream_daily,
+    "star_incremental": star_incremental,
+    "fact_from_csv": fact_from_csv,
+    "input_report": input_problems,
     "quality_report": quality_report,
     "lookup_losses": lookup_losses,
 }

@@ -67,6 +67,9 @@ FACT = _struct(
     turnover_ratio=_MONEY,
     stock_coverage_days=_MONEY,
 )
+#: The written fact is partitioned by month, yyyymm, and sorted by date within.
+MONTH_ID = "month_id"
+FACT_STORED = T.StructType([*FACT.fields, T.StructField(MONTH_ID, _INT)])
 
 QUANTITIES = ["opening_qty", "received_qty", "issued_qty", "closed_qty"]
 FACT_KEYS = ["date_id_fk", "medicine_id_fk", "vendor_id_fk"]
@@ -83,9 +86,15 @@ class Rules:
     max_abs: dict[str, float]
 
 
+#: Columns that a row may leave out, and the value it then has.
+DEFAULTS = {
+    "dim_item": {"unit_cost": "0.00", "expiration_months": "0"},
+    "fact_inventory": {m: "0.00" for m in FACT_MEASURES},
+}
+
 ITEM_RULES = Rules(
     key=("medicine_sku",),
-    not_null=("medicine_sku", "medicine_name"),
+    not_null=("medicine_sku", "medicine_name", "unit_cost"),
     max_length={"medicine_sku": 20, "medicine_name": 100, "type_description": 100, "storage_type": 100},
     max_abs={"unit_cost": 1e16},
 )
@@ -113,3 +122,9 @@ FACT_RULES = Rules(
     max_length={},
     max_abs={m: 1e3 if m.endswith("_pct") else 1e16 for m in FACT_MEASURES},
 )
+RULES = {
+    "dim_item": ITEM_RULES,
+    "dim_vendor": VENDOR_RULES,
+    "dim_calendar": CALENDAR_RULES,
+    "fact_inventory": FACT_RULES,
+}

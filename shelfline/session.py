@@ -14,14 +14,14 @@ SETTINGS = {
 }
 
 
-def local_session(cores: int = 8, app: str = "shelfline", **extra: str) -> SparkSession:
-    """A session on this machine, for tests and the benchmark."""
+def local_session(cores: int = 8, app: str = "shelfline", memory: str = "6g", **extra: str) -> SparkSession:
+    """A session on this machine with a driver of ``memory``, for tests and the benchmark."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(cores))
-        .config("spark.driver.memory", "20g")
+        .config("spark.driver.memory", memory)
     )
     for key, value in {**SETTINGS, **extra}.items():
         builder = builder.config(key, value)
@@ -41,3 +41,9 @@ def shared_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="shelfline-"))
     return spark.sparkContext.getCheckpointDir().rstrip("/")
+
+
+def discard(spark: SparkSession, path: str) -> bool:
+    """Delete a folder of intermediate tables, wherever the file system keeps it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)

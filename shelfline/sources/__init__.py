@@ -3,6 +3,7 @@ from shelfline.sources.clean import (
     clean_movements,
     clean_supply,
     clean_vendors,
+    input_problems,
     type_movements,
     type_supply,
 )
@@ -14,6 +15,7 @@ __all__ = [
     "clean_movements",
     "clean_supply",
     "clean_vendors",
+    "input_problems",
     "read_raw",
     "stream_movements",
     "type_movements",

@@ -1,27 +1,27 @@
 """Projection, typing and row rules for the raw inputs."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.functions import money, parse_day, quantity
+from shelfline.functions import money, number, parse_day, quantity, whole
 from shelfline.operators.dedupe import keep_one
 
 
 def clean_items(raw: DataFrame) -> DataFrame:
-    """Item master: one row per SKU, cost and shelf life defaulting to 0."""
+    """Item master: one row per SKU, cost and shelf life defaulting to 0. Rows without a SKU are dropped."""
     typed = raw.select(
         F.col("MED_ID").cast("string").alias("medicine_sku"),
         F.col("MED_NAME").cast("string").alias("medicine_name"),
         F.col("TYPE_DES").cast("string").alias("type_description"),
         F.col("STRG_DES").cast("string").alias("storage_type"),
         money(quantity(F.col("COST_UN"))).alias("unit_cost"),
-        F.coalesce(F.col("EXP_MON").try_cast("int"), F.lit(0)).alias("expiration_months"),
+        F.coalesce(whole(F.col("EXP_MON")), F.lit(0)).alias("expiration_months"),
     )
-    return keep_one(typed, ["medicine_sku"])
+    return keep_one(typed.where("medicine_sku is not null"), ["medicine_sku"])
 
 
 def clean_vendors(raw: DataFrame) -> DataFrame:
-    """Vendor master: one row per account."""
+    """Vendor master: one row per account. Rows without an account are dropped."""
     typed = raw.select(
         F.col("VEN_ACC").cast("string").alias("vendor_account"),
         F.col("VEN_NAME").cast("string").alias("vendor_name"),
@@ -29,7 +29,7 @@ def clean_vendors(raw: DataFrame) -> DataFrame:
         F.col("CTRY_NAME").cast("string").alias("country_name"),
         F.col("VSTAT_DES").cast("string").alias("vendor_status"),
     )
-    return keep_one(typed, ["vendor_account"])
+    return keep_one(typed.where("vendor_account is not null"), ["vendor_account"])
 
 
 def type_supply(raw: DataFrame) -> DataFrame:
@@ -65,3 +65,16 @@ def type_movements(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
 def clean_movements(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """Movements with a readable date; other rows are dropped."""
     return type_movements(raw, keep).na.drop(subset=["movement_date"])
+
+
+#: Raw columns that hold numbers, whole numbers and keys, by table.
+NUMBERS = {"items": ["COST_UN"], "movements": ["OPEN_QTY", "RCVD_QTY", "ISSD_QTY", "CLSD_QTY"]}
+WHOLE_NUMBERS = {"items": ["EXP_MON"]}
+KEYS = {"items": ["MED_ID"], "vendors": ["VEN_ACC"], "supply": ["MAT_SKU"], "movements": ["MAT_SKU"]}
+
+
+def input_problems(table: str) -> dict[tuple[str, str], Column]:
+    """Test of each (column, problem) of a raw table: unreadable numbers and missing keys."""
+    tests = {(c, "unreadable"): number(F.col(c)).isNull() for c in NUMBERS.get(table, [])}
+    tests |= {(c, "unreadable"): whole(F.col(c)).isNull() for c in WHOLE_NUMBERS.get(table, [])}
+    return tests | {(c, "missing_key"): F.col(c).isNull() for c in KEYS[table]}

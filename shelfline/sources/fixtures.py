@@ -1,9 +1,8 @@
 """Raw inputs and dashboard records as views over the TPC-H-like test tables.
 
 Every row of ``part``, ``supplier`` and ``lineitem`` is used: returned lines
-(flags A and R) are stock movements, the others are receipts. Ship dates are
-moved into the year 2025, so 29 February becomes an unreadable date. Chosen
-discount and tax values stand for the defects of real exports: missing dates,
+(flags A and R) are stock movements, the others are receipts. Ship dates move
+by a fixed number of days and span seven years. Chosen discount and tax values stand for the defects of real exports: missing dates,
 dates with a time part, missing quantities and vendors. Line number 7 is
 equipment that the item master does not list; line number 6 came from a vendor
 the vendor master does not list.
@@ -15,6 +14,9 @@ from pyspark.sql import functions as F
 from shelfline.plans.dashboard import wide_fact
 from shelfline.sources.raw import RawInputs
 
+#: From ship dates to stock dates: 24 years.
+DAYS_ON = 8766
+
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 
 
@@ -27,7 +29,7 @@ def _text(prefix: str, key: str) -> Column:
 
 
 def _day_text() -> Column:
-    moved = F.concat(F.lit("2025"), F.substring(F.col("l_shipdate").cast("date").cast("string"), 5, 6))
+    moved = F.date_add(F.col("l_shipdate").cast("date"), DAYS_ON).cast("string")
     no_tax, full_tax = F.col("l_tax") == 0.0, F.col("l_tax") == 0.08
     return (
         F.when(no_tax & (F.col("l_discount") == 0.05), None)
@@ -114,6 +116,32 @@ def raw_movements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return movement_rows(table(spark, sf_dir, "lineitem"))
 
 
+def text_movements(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Movements with their numbers as text, some unreadable, and some without a SKU."""
+    lines = table(spark, sf_dir, "lineitem").where(F.col("l_returnflag").isin("A", "R"))
+    junk = (F.col("l_tax") == 0.01) & (F.col("l_discount") == 0.01)
+    texts = {"OPEN_QTY": "abc", "RCVD_QTY": "NaN", "ISSD_QTY": "1,234.50", "CLSD_QTY": " "}
+    plain = {"OPEN_QTY": _opened(), "RCVD_QTY": _received(), "ISSD_QTY": _issued(), "CLSD_QTY": _opened()}
+    return lines.select(
+        F.when(F.col("l_tax") != 0.07, _sku()).alias("MAT_SKU"),
+        _day_text().alias("INGTN_TS"),
+        *[F.when(junk, text).otherwise(plain[c].cast("string")).alias(c) for c, text in texts.items()],
+    )
+
+
+def text_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The item master as text; shelf lives are written with a fraction, some of them not zero."""
+    months = F.concat(F.col("p_size").cast("string"), F.when(F.col("p_size") == 7, ".5").otherwise(".0"))
+    return raw_items(spark, sf_dir).drop("EXP_MON", "COST_UN").join(
+        table(spark, sf_dir, "part").select(
+            _text("M", "p_partkey").alias("MED_ID"),
+            F.when(F.col("p_size") == 9, "n/a").otherwise(F.col("p_retailprice").cast("string")).alias("COST_UN"),
+            months.alias("EXP_MON"),
+        ),
+        "MED_ID",
+    )
+
+
 def raw_inputs(spark: SparkSession, sf_dir: str) -> RawInputs:
     return RawInputs(
         items=raw_items(spark, sf_dir),

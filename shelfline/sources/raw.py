@@ -1,6 +1,9 @@
 """CSV readers: every column as text, chosen by header name."""
 
+import csv
 from dataclasses import dataclass
+from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -40,17 +43,44 @@ def header_schema(spark: SparkSession, path: str) -> T.StructType:
     return frame.schema
 
 
+def header_groups(spark: SparkSession, path: str, wanted: T.StructType) -> list[tuple[list[str], list[str]]]:
+    """Files by their header: (columns, files) for each different one.
+
+    A line that names every wanted column is a header; one job finds all of
+    them, whatever the number of files. Raises ValueError for a file with lines
+    but without such a header.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    named = reduce(lambda test, name: test & F.contains("value", F.lit(name)), wanted.names, F.lit(True))
+    found = lines.where(named).groupBy("value").agg(F.collect_set("file").alias("files")).collect()
+    groups = []
+    for row in found:
+        columns = [c.strip().lstrip("\ufeff") for c in next(csv.reader([row["value"]]))]
+        if set(wanted.names) <= set(columns):
+            groups.append((columns, sorted(unquote(f) for f in row["files"])))
+    filled = spark.read.format("binaryFile").load(path).where("length > 0").select("path").count()
+    if len({f for _, files in groups for f in files}) < filled:
+        raise ValueError(f"{path}: a file has no header with {', '.join(wanted.names)}")
+    return groups
+
+
 def read_csv(spark: SparkSession, path: str, wanted: T.StructType, *, multi_line: bool = False) -> DataFrame:
-    """The wanted columns of CSV files that may hold more.
+    """The wanted columns of CSV files that may hold more, in whatever order each file has them.
 
-    Spark matches CSV columns by position, so the schema comes from the header
-    and ``enforceSchema=False`` checks it against every file: a file with its
-    columns in another order fails instead of shifting values.
-    ``multi_line`` allows line breaks inside quotes but makes files unsplittable.
+    Spark matches CSV columns by position, so files are read in groups of one
+    header, each with its own explicit schema, and the groups united by name.
+    ``source_file`` is the full path. ``multi_line`` allows line breaks inside
+    quotes but makes files unsplittable.
     """
-    schema = header_schema(spark, path)
-    frame = spark.read.csv(path, schema=schema, enforceSchema=False, multiLine=multi_line, **CSV_OPTIONS)
-    return frame.select(*wanted.names, F.col("_metadata.file_name").alias("source_file"))
+    header_schema(spark, path)
+    parts = [
+        spark.read.csv(files, schema=", ".join(f"`{c}` string" for c in columns), multiLine=multi_line, **CSV_OPTIONS)
+        .select(*wanted.names, F.col("_metadata.file_path").alias("source_file"))
+        for columns, files in header_groups(spark, path, wanted)
+    ]
+    if not parts:
+        raise ValueError(f"{path}: no header with {', '.join(wanted.names)}")
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_raw(spark: SparkSession, items: str, vendors: str, supply: str, movements: str) -> RawInputs:

@@ -7,6 +7,7 @@ folders; turnover, coverage and the other measures are then built globally,
 which per-file processing cannot do.
 """
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -15,10 +16,23 @@ from shelfline.plans.fact import daily_movements
 from shelfline.schemas import QUANTITIES
 from shelfline.sources import type_movements
 
+#: One row, the highest folded batch id; readers of Parquet folders pass over names with an underscore.
+FOLDED = "_folded"
+
+
+def folded_upto(spark: SparkSession, path: str) -> int:
+    """Highest batch id that compaction folded into this folder; -1 for none."""
+    try:
+        return spark.read.parquet(f"{path}/{FOLDED}").first()["batch_id"]
+    except AnalysisException:
+        return -1
+
 
 def write_batch(raw_batch: DataFrame, batch_id: int, path: str) -> None:
-    """Store the daily sums of one batch under its id."""
-    daily_movements(type_movements(raw_batch)).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    """Store the daily sums of one batch under its id; a batch already folded is not stored again."""
+    if batch_id > folded_upto(raw_batch.sparkSession, path):
+        daily = daily_movements(type_movements(raw_batch))
+        daily.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
 
 def ingest(raw: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -41,5 +55,12 @@ def read_daily(spark: SparkSession, path: str) -> DataFrame:
 
 
 def compact(spark: SparkSession, path: str, target: str) -> None:
-    """Rewrite all batches as one folder at a new path, as if they had been batch 0."""
-    read_daily(spark, path).write.mode("overwrite").parquet(f"{target}/batch_id=0")
+    """Rewrite all batches as one folder at a new path, which remembers the highest id it holds.
+
+    A stream that goes on at ``target`` may replay a batch that was written but
+    not committed before; its id tells that it is there already.
+    """
+    newest = spark.read.parquet(path).agg(F.max("batch_id").cast("long").alias("batch_id"))
+    upto = newest.select(F.greatest("batch_id", F.lit(folded_upto(spark, path))).alias("batch_id"))
+    read_daily(spark, path).write.mode("overwrite").parquet(f"{target}/batch_id=-1")
+    upto.write.mode("overwrite").parquet(f"{target}/{FOLDED}")

@@ -27,8 +27,7 @@ SUPPLY = "mat_sku string, rcvd_date date, ven_acc string"
 def strategies():
     return {
         "rows": lambda rows, receipts: asof_rows(rows, receipts),
-        "interval": lambda rows, receipts: asof_interval(rows, receipts, 10_000),
-        "interval_over_limit": lambda rows, receipts: asof_interval(rows, receipts, 1),
+        "interval": asof_interval,
     }
 
 
@@ -62,7 +61,7 @@ def test_missing_sku_never_matches(spark):
     rows = spark.createDataFrame([(None, day(3), 1)], ROWS)
     receipts = latest_receipts(spark.createDataFrame([("A", day(1), "V1")], SUPPLY))
     assert asof_rows(rows, receipts).count() == 0
-    assert asof_interval(rows, receipts, 10).count() == 0
+    assert asof_interval(rows, receipts).count() == 0
 
 
 def test_carry_keeps_row_columns(spark):

@@ -88,9 +88,10 @@ def test_trend_vendors_and_options(wide):
 
 
 def test_calendar_range_ends_today(spark):
-    got = dashboard.calendar_range(spark, F.lit(TODAY), 3).orderBy("Date").collect()
+    demand = spark.createDataFrame([(TODAY, 5)], "Date date, Issued_Qty long")
+    got = dashboard.calendar_range(F.lit(TODAY), demand, 3).orderBy("Date").collect()
     assert [tuple(r) for r in got] == [
-        (back(2), 8, "March", 2025, "Saturday"),
-        (back(1), 9, "March", 2025, "Sunday"),
-        (TODAY, 10, "March", 2025, "Monday"),
+        (back(2), 8, "March", 2025, "Saturday", 0),
+        (back(1), 9, "March", 2025, "Sunday", 0),
+        (TODAY, 10, "March", 2025, "Monday", 5),
     ]

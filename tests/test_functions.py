@@ -2,7 +2,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from shelfline.functions import calendar_columns, money, parse_day, quantity, ratio, round2
+from shelfline.functions import calendar_columns, money, number, parse_day, quantity, ratio, round2, whole
 
 
 def values(spark, rows, ddl, expr):
@@ -50,3 +50,9 @@ def test_calendar_names_are_full_english(spark):
         "day": 3,
         "day_of_week": "Wednesday",
     }
+
+
+def test_missing_is_zero_and_unreadable_is_null(spark):
+    texts = [(None,), ("",), (" ",), ("1.5",), ("abc",), ("NaN",), ("1,234.50",), ("Infinity",), ("-3",)]
+    assert values(spark, texts, "t string", number(F.col("t"))) == [0.0, 0.0, 0.0, 1.5, None, None, None, None, -3.0]
+    assert values(spark, [("12.0",), ("12.5",), ("7",), (None,), ("x",)], "t string", whole(F.col("t"))) == [12, None, 7, 0, None]

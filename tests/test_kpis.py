@@ -10,6 +10,7 @@ from shelfline.plans.quality import star_report
 from shelfline.plans.warehouse import (
     Star,
     deploy_schema,
+    publish,
     read_star,
     refresh_tables,
     register_views,
@@ -170,13 +171,15 @@ def written(spark, make_star, tmp_path_factory):
     for name, df in (("dim_item", star.items), ("dim_vendor", star.vendors), ("dim_calendar", star.calendar)):
         write_table(df, f"{path}/{name}")
     assert write_fact(star.fact, f"{path}/fact_inventory") == 3
+    publish(spark, path)
     return path
 
 
 def test_latest_date_reads_one_partition(spark, written):
     latest = kpis.latest_fact(read_star(spark, written))
     plan = latest._jdf.queryExecution().executedPlan().toString()
-    assert "date_id_fk" in plan.split("PartitionFilters: [", 1)[1].split("]", 1)[0]
+    scan = next(line for line in plan.splitlines() if "FileScan" in line and "medicine_id_fk" in line)
+    assert "month_id" in scan.split("PartitionFilters: [", 1)[1].split("PushedFilters", 1)[0]
     assert {r.date_id_fk for r in latest.collect()} == {key(D32)}
 
 
@@ -198,6 +201,12 @@ def test_deployed_tables_see_the_files(spark, written):
     refresh_tables(spark, "mart")
     assert spark.table("mart.fact_inventory").where(F.col("date_id_fk") == key(D32)).count() == 2
     assert spark.table("mart.dim_item").count() == 4
+    spark.sql("CREATE TABLE mart.extra AS SELECT 1 AS x")
+    deploy_schema(spark, written, "mart", replace=True)
+    refresh_tables(spark, "mart")
+    assert spark.table("mart.dim_item").count() == 4 and spark.table("mart.fact_inventory").count() == 3
+    created = spark.sql("SHOW CREATE TABLE mart.dim_item").first()[0]
+    assert "DEFAULT 0" in created
     spark.sql("DROP DATABASE mart CASCADE")
 
 
@@ -206,3 +215,16 @@ def test_append_mode_adds_rows(spark, make_star, tmp_path):
     write_fact(fact, str(tmp_path / "f"))
     write_fact(fact.withColumn("medicine_id_fk", F.lit(2).cast("bigint")), str(tmp_path / "f"), mode="append")
     assert spark.read.parquet(str(tmp_path / "f")).count() == 2
+
+
+def test_rows_without_an_item_take_no_place(spark, make_star):
+    """The list is cut after the lookup: unlisted items, however extreme, don't shorten it."""
+    star = make_star(
+        [fact_row(D32, 100 + k, 1, avail=0, turn=99, cover=1, surplus=99) for k in range(20)]
+        + [fact_row(D32, 1 + k % 4, 1 + k % 2, avail=5 + k, turn=1 + k, cover=5 + k, surplus=1 + k) for k in range(27)]
+    )
+    assert kpis.stored_availability(star).count() == 10
+    assert kpis.stored_turnover(star).count() == 10
+    assert kpis.stored_coverage(star).count() == 15
+    assert kpis.stored_surplus(star).count() == 15
+    assert kpis.stored_availability(star).first().stock_availability_pct == 5

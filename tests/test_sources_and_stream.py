@@ -1,9 +1,11 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
-from shelfline.plans.warehouse import load_star, read_star
-from shelfline.sources import clean_movements, clean_supply, read_raw, stream_movements
+from shelfline.plans.star_batches import add_batch, read_batches
+from shelfline.plans.warehouse import RefusedLoad, load_star, publish, read_star, write_fact, write_table
+from shelfline.sources import RawInputs, clean_movements, clean_supply, read_raw, stream_movements
 from shelfline.streaming import incremental
 
 MOVE_HEADER = "ID,MAT_SKU,INGTN_TS,OPEN_QTY,RCVD_QTY,ISSD_QTY,CLSD_QTY\n"
@@ -33,7 +35,8 @@ def test_columns_are_chosen_by_name_and_stay_text(spark, files):
     raw = open_all(spark, files)
     first = raw.items.orderBy("MED_ID").first()
     assert (first.MED_ID, first.MED_NAME, first.EXP_MON, first.COST_UN) == ("007", 'Syrup "mild", 5 ml', None, "2.50")
-    assert {r.source_file for r in raw.movements.collect()} == {"m1.csv", "m2.csv"}
+    files_seen = {r.source_file for r in raw.movements.collect()}
+    assert len(files_seen) == 2 and all(f.endswith(("/moves/m1.csv", "/moves/m2.csv")) for f in files_seen)
 
 
 def test_bad_rows_are_dropped_or_defaulted(spark, files):
@@ -50,10 +53,20 @@ def test_missing_input_fails_fast(spark, files, missing):
         read_raw(spark, f"{files}/items.csv", f"{files}/vendors.csv", f"{files}/supply.csv", f"{files}/{missing}")
 
 
-def test_reordered_file_fails_instead_of_shifting(spark, files):
-    (files / "moves" / "m3.csv").write_text("ID,INGTN_TS,MAT_SKU,OPEN_QTY,RCVD_QTY,ISSD_QTY,CLSD_QTY\n6,2025-01-02,007,1,1,1,1\n")
-    with pytest.raises(Exception, match="CSV header"):
-        clean_movements(open_all(spark, files).movements).collect()
+def test_reordered_file_is_read_by_name(spark, files):
+    other = files / "moves" / "other"
+    other.mkdir()
+    (other / "m1.csv").write_text("CLSD_QTY,EXTRA,INGTN_TS,MAT_SKU,OPEN_QTY,RCVD_QTY,ISSD_QTY\n9,x,2025-01-02,007,8,7,6\n")
+    raw = read_raw(spark, f"{files}/items.csv", f"{files}/vendors.csv", f"{files}/supply.csv", f"{files}/moves/{{*.csv,other}}")
+    rows = clean_movements(raw.movements, ("source_file",)).where("opening_qty = 8").collect()
+    assert [(r.mat_sku, r.received_qty, r.issued_qty, r.closed_qty) for r in rows] == [("007", 7.0, 6.0, 9.0)]
+    assert raw.movements.select("source_file").distinct().count() == 3  # one name in two folders is two files
+
+
+def test_file_without_the_columns_fails(spark, files):
+    (files / "moves" / "m3.csv").write_text("A,B\n1,2\n")
+    with pytest.raises(ValueError, match="no header"):
+        open_all(spark, files)
 
 
 def test_load_from_files_and_reload(spark, files, tmp_path):
@@ -80,14 +93,105 @@ def test_stream_equals_batch_and_replay_counts_once(spark, files, tmp_path):
     batches = sorted(r.batch_id for r in spark.read.parquet(out).select("batch_id").distinct().collect())
     assert batches == [0, 1]
 
-    incremental.write_batch(raw.movements.where("source_file = 'm1.csv'"), 0, out)
-    incremental.write_batch(raw.movements.where("source_file = 'm2.csv'"), 1, out)
+    incremental.write_batch(raw.movements.where("source_file like '%/m1.csv'"), 0, out)
+    incremental.write_batch(raw.movements.where("source_file like '%/m2.csv'"), 1, out)
     assert sorted(incremental.read_daily(spark, out).collect()) == expected
 
     incremental.compact(spark, out, f"{tmp_path}/compact")
     assert sorted(incremental.read_daily(spark, f"{tmp_path}/compact").collect()) == expected
 
 
+def test_replay_after_compaction_counts_once(spark, files, tmp_path):
+    raw, out, target = open_all(spark, files), f"{tmp_path}/daily", f"{tmp_path}/folded"
+    parts = [raw.movements.where(f"source_file like '%/m{n}.csv'") for n in (1, 2)]
+    for number, part in enumerate(parts):
+        incremental.write_batch(part, number, out)
+    incremental.compact(spark, out, target)
+    expected = sorted(incremental.read_daily(spark, out).collect())
+    incremental.write_batch(parts[1], 1, target)  # written before, not committed, replayed
+    assert sorted(incremental.read_daily(spark, target).collect()) == expected
+    incremental.write_batch(parts[0], 2, target)
+    incremental.compact(spark, target, f"{tmp_path}/again")
+    incremental.write_batch(parts[0], 2, f"{tmp_path}/again")
+    twice = {r.mat_sku: r.opening_qty for r in incremental.read_daily(spark, f"{tmp_path}/again").collect()}
+    assert incremental.folded_upto(spark, f"{tmp_path}/again") == 2 and twice["007"] == 25.0
+
+
+@pytest.mark.parametrize("value", ["abc", "NaN", "1 234", "Infinity"])
+def test_unreadable_numbers_refuse_a_load(spark, files, tmp_path, value):
+    (files / "moves" / "m3.csv").write_text(MOVE_HEADER + f'7,007,2025-01-02,{value},1,1,1\n8,007,2025-01-02,"1,234.50",1,1,1\n')
+    with pytest.raises(RefusedLoad, match="OPEN_QTY: 2 of 7"):
+        load_star(spark, open_all(spark, files), f"{tmp_path}/v")
+    with pytest.raises(RefusedLoad):
+        read_star(spark, f"{tmp_path}/v")
+    load_star(spark, open_all(spark, files), f"{tmp_path}/w", tolerance=0.5)
+    assert float(read_star(spark, f"{tmp_path}/w").fact.first().opening_qty) == 15.0
+
+
+def test_null_keys_do_not_multiply_on_reloads(spark, files, tmp_path):
+    with (files / "items.csv").open("a") as f:
+        f.write(",Nameless,g,T1,cold,12.0,1\n9,Nine,g,T1,cold,12.0,1\n")
+    with (files / "vendors.csv").open("a") as f:
+        f.write(",Nobody,Local,X,Active\n")
+    previous, sizes = None, []
+    for number in range(3):
+        load_star(spark, open_all(spark, files), f"{tmp_path}/v{number}", previous)
+        previous = read_star(spark, f"{tmp_path}/v{number}")
+        sizes.append((previous.items.count(), previous.vendors.count()))
+    assert sizes == [(3, 1)] * 3
+    assert previous.items.where("medicine_sku = '9'").first().expiration_months == 12
+
+
+def test_broken_star_stays_unreadable(spark, files, tmp_path):
+    load_star(spark, open_all(spark, files), f"{tmp_path}/v")
+    good = read_star(spark, f"{tmp_path}/v")
+    for name, fact in {"twice": good.fact.unionByName(good.fact), "orphan": good.fact.withColumn("vendor_id_fk", F.lit(99).cast("long"))}.items():
+        path = f"{tmp_path}/{name}"
+        for table, frame in (("dim_item", good.items), ("dim_vendor", good.vendors), ("dim_calendar", good.calendar)):
+            write_table(frame, f"{path}/{table}")
+        write_fact(fact, f"{path}/fact_inventory")
+        with pytest.raises(RefusedLoad):
+            publish(spark, path)
+        with pytest.raises(RefusedLoad):
+            read_star(spark, path)
+
+
+def test_batches_rewrite_affected_months_only(spark, files, tmp_path):
+    path = f"{tmp_path}/star"
+    raw = open_all(spark, files)
+    schema = "MAT_SKU string, INGTN_TS string, OPEN_QTY string, RCVD_QTY string, ISSD_QTY string, CLSD_QTY string, source_file string"
+
+    def moves(*rows):
+        return spark.createDataFrame([(s, d, "10", "0", q, "8", "f") for s, d, q in rows], schema)
+
+    def supply(*rows):
+        return spark.createDataFrame(list(rows), "MAT_SKU string, RCVD_DATE string, VEN_ACC string, source_file string")
+
+    first = moves(("007", "2025-01-05", "2"), ("007", "2025-01-20", "4"), ("007", "2025-03-10", "1"), ("8", "2025-03-11", "1"))
+    later = moves(("007", "2025-03-12", "3"))
+    receipts = supply(("007", "2025-01-01", "V1", "f"), ("8", "2025-03-01", "V1", "f"))
+    late = supply(("007", "2025-01-15", "V2", "f"), ("007", "2025-01-25", "V1", "f"))
+    vendors = spark.createDataFrame([(v, v, "t", "c", "s") for v in ("V1", "V2")], raw.vendors.drop("source_file").schema)
+    items = raw.items
+    assert add_batch(spark, RawInputs(items, vendors, receipts, first), path, 0)
+
+    def january():
+        return {(f.name, f.stat().st_mtime_ns) for f in (tmp_path / "star" / "fact" / "month_id=202501").iterdir()}
+
+    before = january()
+    assert add_batch(spark, RawInputs(items, vendors, receipts.limit(0), later), path, 1)
+    assert january() == before
+    assert not add_batch(spark, RawInputs(items, vendors, receipts.limit(0), later), path, 1)
+    assert add_batch(spark, RawInputs(items, vendors, late, later.limit(0)), path, 2)
+    assert january() != before
+
+    everything = RawInputs(items, vendors, receipts.unionByName(late), first.unionByName(later))
+    load_star(spark, everything, f"{tmp_path}/full")
+    full, got = read_star(spark, f"{tmp_path}/full"), read_batches(spark, path)
+    assert sorted(got.fact.collect()) == sorted(full.fact.select(*got.fact.columns).collect())
+    assert sorted(got.vendors.collect()) == sorted(full.vendors.collect())
+
+
 def test_stream_resumes_with_new_files_only(spark, files, tmp_path):
     out, checkpoint = f"{tmp_path}/daily", f"{tmp_path}/ck"
     incremental.ingest(stream_movements(spark, f"{files}/moves"), out, checkpoint).awaitTermination()
