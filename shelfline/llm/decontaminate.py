@@ -3,9 +3,9 @@
 1. Count, over all documents, in how many each word n-gram of the test items
    occurs. Only these counts, one for each n-gram of the benchmark, are
    gathered.
-2. In every stretch of consecutive n-grams of an item its rarest is a seed, so
-   any unchanged stretch of SEED + STRETCH - 1 words holds a seed however
-   widespread its copies are, while common phrases rarely become seeds.
+2. In every stretch of consecutive n-grams of an item the rarest that occurs is
+   a seed, so any unchanged stretch of SEED + STRETCH - 1 words holds a seed
+   however widespread its copies are, while common phrases rarely become seeds.
 3. A seed in a document names an item and where it would lie. The words around
    are aligned with the item by Smith-Waterman over words; the score as a share
    of a perfect one is the similarity, which edits and paraphrase lower but do
@@ -74,11 +74,16 @@ class Items:
         self.short = [(int(i), tuple(self.words[self.first[i] : self.first[i + 1]])) for i in np.flatnonzero(short & (self.size > 0))]
 
     def choose(self, counts: np.ndarray) -> None:
-        """Seeds: the rarest n-gram (the first of equals) of each stretch; counts go with ``known``."""
+        """Seeds: of each stretch the rarest n-gram that occurs, the first of equals; counts go with ``known``.
+
+        An n-gram that no document holds finds nothing; were it taken for the rarest, an edited copy, whose edits
+        make such n-grams, would be missed by them.
+        """
         if not len(self.grams):
             self.seeds = self.seed_item = self.seed_at = np.zeros(0, np.int64)
             return
         count = counts[np.searchsorted(self.known, self.grams)]
+        count = np.where(count == 0, np.iinfo(np.int64).max, count)
         chosen = np.zeros(len(self.grams), bool)
         for item in np.unique(self.gram_item):
             here = np.flatnonzero(self.gram_item == item)
