@@ -34,8 +34,8 @@ MEASURES = (
 #: Corners of each measure's curve; measures lie between 0 and 1.
 KNOTS = np.array([0.0, 0.01, 0.03, 0.06, 0.1, 0.17, 0.25, 0.4, 0.6, 0.8, 1.0])
 SIZE = len(MEASURES) * len(KNOTS)
-#: Ridge on the curves' heights; thresholds of the prior's histograms.
-RIDGE, BINS = 1e-3, 200
+#: Ridge on the curves' heights, in all and as so many rows; thresholds of the prior's histograms.
+RIDGE, RIDGE_ROWS, BINS = 1e-3, 4.0, 200
 
 _WORDS = Rolling(7)
 _CLASS = np.zeros((8, 256), bool)
@@ -126,35 +126,24 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return utf8(column)[0].view(np.float32).reshape(-1, len(MEASURES)).astype(float)
 
 
-def _sums(rows: DataFrame, statistic) -> dict[tuple[bool, int], float]:
-    """Sums over all rows of statistic(measures), an array, apart for positives and unlabelled; added up by Spark."""
+def _sums(rows: DataFrame, statistic, size: int) -> np.ndarray:
+    """Sums over all rows of statistic(measures), an array of this size, for each kind from 0 to 3; added up by Spark."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[bool, np.ndarray] = {}
+        total = np.zeros((4, size))
         for batch in batches:
-            positive = np.array(batch.column("positive").to_pylist(), bool)
+            kind = np.asarray(batch.column("kind"), np.int64)
             measures = _matrix(batch.column("measures"))
-            for kind in (True, False):
-                if (positive == kind).any():
-                    add = statistic(measures[positive == kind])
-                    total[kind] = total[kind] + add if kind in total else add
-        for kind, values in total.items():
-            at = np.flatnonzero(values)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([kind] * len(at)), pa.array(at, pa.int64()), pa.array(values[at])], ["positive", "at", "value"]
-            )
-
-    parts = scan(rows.select("positive", "measures"), work, "positive boolean, at long, value double")
-    found = parts.groupBy("positive", "at").agg(F.sum("value").alias("value")).collect()  # fixed size: moments or bins
-    return {(r["positive"], r["at"]): r["value"] for r in found}
+            for k in np.unique(kind).tolist():
+                total[k] += statistic(measures[kind == k])
+        at = np.flatnonzero(total.ravel())
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(total.ravel()[at])], ["at", "value"])
 
-
-def _dense(sums: dict[tuple[bool, int], float], kind: bool, size: int) -> np.ndarray:
-    out = np.zeros(size)
-    for (positive, at), value in sums.items():
-        if positive == kind:
-            out[at] = value
-    return out
+    parts = scan(rows.select("kind", "measures"), work, "at long, value double")
+    out = np.zeros(4 * size)
+    for r in parts.groupBy("at").agg(F.sum("value").alias("value")).collect():  # fixed size: moments or bins
+        out[r["at"]] = r["value"]
+    return out.reshape(4, size)
 
 
 @dataclass(frozen=True)
@@ -178,6 +167,14 @@ class Moments:
     mean_u: np.ndarray
     second_p: np.ndarray
     second_u: np.ndarray
+    #: Rows behind the smaller of both.
+    n: float
+
+    @staticmethod
+    def of(sums_p: np.ndarray, sums_u: np.ndarray) -> Moments:
+        """From sums of outer products; the last feature is constant, hence its product counts rows."""
+        p, u = (x / max(x[-1, -1], 1) for x in (sums_p, sums_u))
+        return Moments(p[-1], u[-1], p, u, min(sums_p[-1, -1], sums_u[-1, -1]))
 
     def negative_risk(self, w: np.ndarray, prior: float) -> tuple[float, np.ndarray]:
         """Risk of taking negatives for positives, from unlabelled less positives, and its gradient."""
@@ -191,7 +188,7 @@ class Moments:
 
     def fit(self, prior: float, steps: int = 200) -> np.ndarray:
         """Least non-negative risk: the unbiased risk's minimum, then steps back while its negative part is below 0."""
-        ridge = RIDGE * np.eye(len(self.mean_p))
+        ridge = (RIDGE + RIDGE_ROWS / self.n) * np.eye(len(self.mean_p))
         ridge[-1, -1] = 1e-9
         w = np.linalg.solve(self.second_u + ridge, 2 * prior * self.mean_p - self.mean_u)
         pace = 1 / max(np.linalg.eigvalsh(self.second_u + self.second_p)[-1], 1e-9)
@@ -220,7 +217,11 @@ def class_prior(above_p: np.ndarray, above_u: np.ndarray) -> float:
 
 
 def fit(rows: DataFrame) -> Model | None:
-    """rows: positive boolean, measures binary; the training positives and unlabelled documents, all of them."""
+    """rows: kind, measures; all training documents. kind is 2 for positives, 0 for unlabelled, plus 0 or 1 for the half.
+
+    The prior is estimated across halves: positives score higher under a function fitted to themselves, which would
+    make unlabelled ones look rarer than they are.
+    """
     size = SIZE + 1
     upper = np.triu_indices(size)
 
@@ -228,27 +229,29 @@ def fit(rows: DataFrame) -> Model | None:
         x = curve(measures)
         return (x.T @ x)[upper]
 
-    sums = _sums(rows, moments)
-    parts = []
-    for kind in (True, False):
-        second = np.zeros((size, size))
-        second[upper] = _dense(sums, kind, len(upper[0]))
-        second = second + np.triu(second, 1).T
-        if not second[-1, -1]:
-            return None
-        parts.append(second / second[-1, -1])
-    second_p, second_u = parts
-    all_moments = Moments(second_p[-1], second_u[-1], second_p, second_u)
-    first = all_moments.fit(0.5)  # tells positives from unlabelled; its order of documents is all the prior needs
-
-    def above(measures: np.ndarray) -> np.ndarray:
-        bins = np.clip(((curve(measures) @ first + 2) / 4 * BINS).astype(int), 0, BINS - 1)
-        return np.bincount(bins, minlength=BINS).astype(float)
-
-    counts = _sums(rows, above)
-    tails = [np.cumsum(_dense(counts, kind, BINS)[::-1])[::-1] for kind in (True, False)]
-    prior = class_prior(*tails)
-    return Model(all_moments.fit(prior), prior)
+    sums = np.zeros((4, size, size))
+    for kind, flat in enumerate(_sums(rows, moments, len(upper[0]))):
+        sums[kind][upper] = flat
+        sums[kind] += np.triu(sums[kind], 1).T
+    whole = Moments.of(sums[2] + sums[3], sums[0] + sums[1])
+    if not whole.n:
+        return None
+    # what tells positives from unlabelled orders documents, and their order is all the prior needs
+    halves = [m.fit(0.5) if (m := Moments.of(sums[2 + h], sums[h])).n else whole.fit(0.5) for h in (0, 1)]
+
+    def counts(measures: np.ndarray) -> np.ndarray:
+        x = curve(measures)
+        out = []
+        for w in halves:
+            bins = np.clip(((x @ w + 2) / 4 * BINS).astype(int), 0, BINS - 1)
+            out.append(np.bincount(bins, minlength=BINS))
+        return np.concatenate(out).astype(float)
+
+    found = _sums(rows, counts, 2 * BINS).reshape(4, 2, BINS)
+    # each half is counted under the other's order
+    positive, unlabelled = found[2, 1] + found[3, 0], found[0, 1] + found[1, 0]
+    prior = class_prior(*(np.cumsum(x[::-1])[::-1] for x in (positive, unlabelled)))
+    return Model(whole.fit(prior), prior)
 
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -268,7 +271,7 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
         table.where(~F.col("held_out"))
         .join(marks, "doc_id", "left")
         .where("quality is null or quality = 1")
-        .select(F.col("quality").isNotNull().alias("positive"), "measures")
+        .select((F.col("quality").isNotNull().cast("int") * 2 + F.pmod(F.xxhash64("doc_id"), F.lit(2))).alias("kind"), "measures")
     )
     model = fit(training)
 
