@@ -6,6 +6,8 @@ import pytest
 from compare import connect, differences
 
 import __spark_entry__ as entry_point
+from shelfline.oracle import ORACLE
+from shelfline.registry import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -16,24 +18,25 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(entry_point.queries()) == set(entry_point.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_point.queries()) and set(ORACLE) <= set(entry_point.oracle_sql())
 
 
-@pytest.mark.parametrize("name", entry_point.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_matches_sql(spark, con, name):
-    assert differences(entry_point.queries()[name](spark, SF_DIR), con, entry_point.oracle_sql()[name]) is None
+    assert differences(QUERIES[name](spark, SF_DIR), con, ORACLE[name]) is None
 
 
-@pytest.mark.parametrize("name", entry_point.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_plan_has_no_pair_joins_or_python(spark, name):
-    plan = entry_point.queries()[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    plan = QUERIES[name](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
     assert not re.search(r"CartesianProduct|BroadcastNestedLoopJoin|Python|InPandas", plan)
 
 
 def test_accumulated_quantities_equal_a_full_load(spark):
     keys = ["movement_date", "mat_sku", "ven_acc"]
     columns = [*keys, "opening_qty", "received_qty", "issued_qty", "closed_qty"]
-    queries = entry_point.queries()
+    queries = QUERIES
     full, added = (queries[n](spark, SF_DIR).select(columns) for n in ("fact_inventory", "accumulate_load"))
     assert full.exceptAll(added).count() == added.exceptAll(full).count() == 0
 
@@ -48,7 +51,7 @@ def test_matches_sql_when_nothing_is_small_enough_to_broadcast(spark, con, name)
     try:
         for key in thresholds:
             spark.conf.set(key, "-1")
-        assert differences(entry_point.queries()[name](spark, SF_DIR), con, entry_point.oracle_sql()[name]) is None
+        assert differences(QUERIES[name](spark, SF_DIR), con, ORACLE[name]) is None
     finally:
         for key in thresholds:
             spark.conf.unset(key)
