@@ -8,7 +8,6 @@ schema.
 
 from __future__ import annotations
 
-import gc
 import shutil
 import tempfile
 import uuid
@@ -39,25 +38,38 @@ BLOCK_BYTES = 1 << 20
 # --- written tables -------------------------------------------------------------------------------
 
 
+#: Spark's own setting that ends a query's shuffle files with the query.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows as written to the shared folder: computed once, safe from lost executors, with no lineage."""
+    """The rows as written to the shared folder: computed once, safe from lost executors, with no lineage.
+
+    The shuffle files behind them go as soon as the write has ended, since nothing reads them again.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/shelfline-llm/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Lets Spark delete shuffle files of finished steps whose results are written."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 _shipped: set[str] = set()
 
+#: Rows of an Arrow batch between Spark and Python, where the session keeps Spark's default of 10,000. Whole texts are
+#: far longer than the rows that default is meant for, and both sides hold some batches at once.
+BATCH_ROWS = 500
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
 
 def ship(spark: SparkSession) -> None:
-    """Sends this package's code to the executors, once for each application."""
+    """Sends this package's code to the executors, once for each application, and sets the size of Arrow batches."""
+    if spark.conf.get(_BATCH) == "10000":
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
     app = spark.sparkContext.applicationId
     if app not in _shipped:
         package = Path(shelfline.__file__).resolve().parent

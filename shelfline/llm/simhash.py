@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.base import LOWER, blocks, each_bytes, keep_ids, release, scan, written
+from shelfline.llm.base import LOWER, blocks, each_bytes, keep_ids, scan, written
 from shelfline.llm.components import components
 
 SHINGLE, DISTANCE, SEED = 4, 4, 42
@@ -283,7 +283,6 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, most: int = DISTANCE, l
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
     roots = written(roots, "roots")
-    release(docs.sparkSession)
     least = roots.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = roots.join(least, "root").select("fp", "component_id")
     return prints.join(classes, "fp").select(

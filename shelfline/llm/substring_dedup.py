@@ -35,11 +35,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.base import NOT_SPACE, Rolling, blocks, pack, release, scan, ship, split_words, unpack, utf8, written
+from shelfline.llm.base import NOT_SPACE, Rolling, blocks, pack, scan, ship, split_words, unpack, utf8, written
 
 WINDOW, BLOCK = 20, 10
-#: Text bytes behind a bucket (about 3 million words) and behind a group of documents.
-BUCKET_BYTES, GROUP_BYTES = 20 << 20, 8 << 20
+#: Text bytes behind a bucket (about 1.3 million words) and behind a group of documents.
+BUCKET_BYTES, GROUP_BYTES = 8 << 20, 3 << 20
 
 _WORDS, _PROBES, _WIDE, _WIDE_TOO = Rolling(21), Rolling(22), Rolling(23), Rolling(24)
 _NULL_ID = np.iinfo(np.int64).min
@@ -93,7 +93,7 @@ _HITS = "part int, refs binary, places binary"
 
 def _probe(block: int, buckets: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in blocks(batches, limit=4 << 20):
+        for batch in blocks(batches, limit=2 << 20):
             texts = Texts(batch)
             at, h = _PROBES.windows(texts.words, texts.first, block)
             doc, place = texts.place(at)
@@ -135,6 +135,7 @@ def _meet(parts: int):
     """Hits of a bucket, by the group of documents they go to."""
 
     def work(table: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()
         key = np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in table.column("keys")])
         ref, place = _join(table, "refs"), _join(table, "places")
         order, begin = _groups(key >> np.uint32(1))
@@ -191,6 +192,7 @@ def _earlier(ids: np.ndarray, refs: np.ndarray, places: np.ndarray, *keys: np.nd
 
 def _extend(window: int, block: int, buckets: int):
     def work(docs: pa.Table, hits: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()
         names = ["bucket", "keys", "ids", "refs", "places", "gone_ids", "gone_refs", "gone_places"]
         kinds = [pa.int32(), *[pa.binary()] * 7]
         if not docs.num_rows or not hits.num_rows:
@@ -296,9 +298,7 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, texts_too: bool = True
     buckets, parts = 1 + size // BUCKET_BYTES, 1 + size // GROUP_BYTES
     probed = scan(rows, _probe(block, buckets), _PROBED)
     hits = written(probed.groupBy("bucket").applyInArrow(_meet(parts), _HITS), "hits")
-    release(spark)
     grouped = rows.withColumn("part", F.pmod("ref", F.lit(parts)).cast("int"))
     windows = grouped.groupBy("part").cogroup(hits.groupBy("part")).applyInArrow(_extend(window, block, buckets), _WINDOWS)
     gone = written(windows.groupBy("bucket").applyInArrow(_first_wins(parts), _GONE), "gone")
-    release(spark)
     return grouped.groupBy("part").cogroup(gone.groupBy("part")).applyInArrow(_remove(window, texts_too), _RESULT)
