@@ -5,11 +5,12 @@ model is read once, on the driver, and its few tables travel to the tasks.
 Texts split before each run of spaces, as no piece of such a model reaches over
 one (checked on reading). Within a unit the agenda holds each adjacent pair
 that forms a piece, best score first and leftmost of equals. A candidate's
-merge is skipped for good if a hash keyed by the seed, of unit, variant and the
-candidate's two ends, falls below the dropout rate. A unit's place in its
-document picks one of VARIANTS variants, likewise by keyed hash; hence the same
-word is cut in several ways, every run gives the same pieces, and each
-different (unit, variant) is cut once a task batch.
+merge is skipped for good if a hash keyed by the seed, of doc_id, text, the
+unit's place in the document and the candidate (left, middle, right), falls
+below the dropout rate. Hence every occurrence of a word is cut on its own, and
+every run gives the same pieces. An occurrence whose coins skip none of the
+merges that its plain cut makes has just that cut, which is made once a task
+batch; all others are cut one occurrence at a time.
 
 Spaces become U+2581 after one is put in front; characters that are no piece
 become byte pieces, and so does U+2581 itself where a text holds it. Decoding
@@ -35,13 +36,14 @@ from shelfline.llm.base import Rolling, blocks, each_bytes, mix, scan, utf8
 
 #: Where the public tokenizers lie; a parameter of every entry point.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
-DROPOUT, SEED, VARIANTS = 0.1, 20, 4
+DROPOUT, SEED = 0.1, 20
 ENCODED = "doc_id long, ids array<int>, n_pieces long, n_bytes long, text_sha256 string"
 SPACE = "▁"
 #: Units of up to so many characters are cut many at a time, longer ones one by one.
 SHORT = 32
 
-_UNITS = Rolling(13)
+_TEXTS = Rolling(13)
+_LEFT, _MIDDLE, _RIGHT = 0x9E3779B97F4A7C15, 0xA0761D6478BD642F, 0xC2B2AE3D27D4EB4F
 
 
 class Vocabulary:
@@ -135,10 +137,20 @@ def _threshold(dropout: float) -> int:
     return min(int(dropout * 2.0**64), 2**64 - 1)
 
 
-def _coin(key: int, left: int, right: int) -> int:
-    """The keyed hash that decides on the candidate from character left up to character right."""
-    value = np.array([(key + left * 0x9E3779B97F4A7C15 + right * 0xC2B2AE3D27D4EB4F) & (2**64 - 1)], np.uint64)
-    return int(mix(value)[0])
+def _coin(key: int, left: int, middle: int, right: int) -> int:
+    """The keyed hash that decides on the candidate of the characters from left to middle and from there to right."""
+    x = (key + left * _LEFT + middle * _MIDDLE + right * _RIGHT) & (2**64 - 1)
+    for _ in range(2):  # as mix, of one value
+        x = (x ^ (x >> 32)) * 0xD6E8FEB86659FD93 & (2**64 - 1)
+    return x ^ (x >> 32)
+
+
+def _candidate(left: np.ndarray, middle: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """What a candidate adds to the key of its coin."""
+    out = left.astype(np.uint64) * np.uint64(_LEFT)
+    out += middle.astype(np.uint64) * np.uint64(_MIDDLE)
+    out += right.astype(np.uint64) * np.uint64(_RIGHT)
+    return out
 
 
 def cut_one(vocabulary: Vocabulary, symbols: list[int], key: int, dropout: float) -> list[int]:
@@ -161,7 +173,7 @@ def cut_one(vocabulary: Vocabulary, symbols: list[int], key: int, dropout: float
         _, left, right, to, merged = heapq.heappop(heap)
         if not alive[left] or right >= n or not alive[right] or end[left] != right or end[right] != to:
             continue
-        if limit and _coin(key, left, to) < limit:
+        if limit and _coin(key, left, right, to) < limit:
             continue
         piece[left], end[left], alive[right] = merged, to, False
         if to < n:
@@ -175,11 +187,18 @@ def cut_one(vocabulary: Vocabulary, symbols: list[int], key: int, dropout: float
 # --- many units at a time -------------------------------------------------------------------------
 
 
-def cut_many(vocabulary: Vocabulary, symbols: np.ndarray, keys: np.ndarray, dropout: float) -> np.ndarray:
+def cut_many(
+    vocabulary: Vocabulary,
+    symbols: np.ndarray,
+    keys: np.ndarray,
+    dropout: float,
+    made: list[tuple[np.ndarray, np.ndarray]] | None = None,
+) -> np.ndarray:
     """The same for all rows of symbols at once, -1 filling up; one merge of each row a round, the best of its agenda.
 
-    A candidate's coin depends on its ends alone, so a skipped one is simply
-    never on the agenda.
+    A candidate's coin depends on its place in the row alone, so a skipped one
+    is simply never on the agenda. The merges of each round (rows, candidates)
+    are appended to made.
     """
     symbols = symbols.astype(np.int32)
     n, width = symbols.shape
@@ -192,9 +211,7 @@ def cut_many(vocabulary: Vocabulary, symbols: np.ndarray, keys: np.ndarray, drop
         ranks = vocabulary.merge(piece[:, :-1], piece[:, 1:])
         if limit:
             rows, at = np.nonzero(ranks < vocabulary.size)
-            ends = begin[rows, at].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-            ends += end[rows, at + 1].astype(np.uint64) * np.uint64(0xC2B2AE3D27D4EB4F)
-            skip = mix(key[rows] + ends) < limit
+            skip = mix(key[rows] + _candidate(begin[rows, at], end[rows, at], end[rows, at + 1])) < limit
             ranks[rows[skip], at[skip]] = vocabulary.size
         return ranks
 
@@ -213,6 +230,8 @@ def cut_many(vocabulary: Vocabulary, symbols: np.ndarray, keys: np.ndarray, drop
             if not len(active):
                 break
         rows, columns = np.arange(len(active)), np.arange(piece.shape[1])
+        if made is not None:
+            made.append((active, _candidate(begin[rows, best], end[rows, best], end[rows, best + 1])))
         piece[rows, best] = vocabulary.by_rank[lowest]
         end[rows, best] = end[rows, best + 1]
         # close the gap left by the right part
@@ -255,11 +274,11 @@ def as_bytes(symbols: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
 class Encoder:
     """Pieces of texts; remembers nothing from one batch to the next."""
 
-    def __init__(self, vocabulary: Vocabulary, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS) -> None:
+    def __init__(self, vocabulary: Vocabulary, dropout: float = DROPOUT, seed: int = SEED, variants: int | None = None) -> None:
+        """variants has no effect; it once bounded in how many ways a word was cut."""
         if not 0 <= dropout <= 1:
             raise ValueError("a dropout rate lies between 0 and 1")
         self.vocabulary, self.dropout = vocabulary, dropout
-        self.variants = variants if dropout else 1
         self.seed = np.uint64(int.from_bytes(hashlib.blake2b(str(seed).encode(), digest_size=8).digest(), "little"))
         self.symbol = vocabulary.size + np.arange(0x110000)
         for character, piece in vocabulary.characters.items():
@@ -268,13 +287,19 @@ class Encoder:
         if SPACE in vocabulary.characters:
             self.symbol[ord(" ")] = vocabulary.characters[SPACE]
 
-    def cut(self, units: pa.Array, which: np.ndarray, variants: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Pieces of units[which], each in its variant, end to end, and how many each has."""
+    def cut(
+        self,
+        units: pa.Array,
+        which: np.ndarray,
+        keys: np.ndarray,
+        dropout: float,
+        made: list[tuple[np.ndarray, np.ndarray]] | None = None,
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """Pieces of units[which], each with its key, end to end, and how many each has; made as in cut_many."""
         data, offsets = utf8(units)
         lead = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])  # characters before each byte
         symbols = self.symbol[np.frombuffer(data.tobytes().decode().encode("utf-32-le"), np.uint32)]
         begin, size = lead[offsets[:-1]][which], np.diff(lead[offsets])[which]
-        keys = mix(_UNITS.of_words(data, offsets[:-1], offsets[1:]) ^ self.seed)[which] + mix(variants.astype(np.uint64) + np.uint64(1))
         owners, values = [], []
         for low, high in ((0, 4), (4, 6), (6, 8), (8, 11), (11, 16), (16, SHORT)):
             group = np.flatnonzero((size > low) & (size <= high))
@@ -283,11 +308,14 @@ class Encoder:
                 columns = np.arange(high)
                 at = np.minimum(begin[part, None] + columns, len(symbols) - 1)
                 rows = np.where(columns < size[part, None], symbols[at], -1)
-                rows = cut_many(self.vocabulary, rows, keys[part], self.dropout)
+                merges: list[tuple[np.ndarray, np.ndarray]] | None = None if made is None else []
+                rows = cut_many(self.vocabulary, rows, keys[part], dropout, merges)
+                if made is not None:
+                    made += [(part[of], candidates) for of, candidates in merges]
                 owners.append(np.repeat(part, (rows >= 0).sum(axis=1)))
                 values.append(rows[rows >= 0])
         for i in np.flatnonzero(size > SHORT).tolist():
-            row = cut_one(self.vocabulary, symbols[begin[i] : begin[i] + size[i]].tolist(), int(keys[i]), self.dropout)
+            row = cut_one(self.vocabulary, symbols[begin[i] : begin[i] + size[i]].tolist(), int(keys[i]), dropout)
             owners.append(np.full(len(row), i))
             values.append(np.array(row))
         owner = np.concatenate([np.zeros(0, np.int64), *owners])
@@ -297,8 +325,25 @@ class Encoder:
         ids = np.where(raw < 0, np.repeat(value, n), self.vocabulary.byte_ids[np.maximum(raw, 0)])
         return ids.astype(np.int32), np.bincount(np.repeat(owner[order], n), minlength=len(which))
 
+    def skipping(self, unit: np.ndarray, keys: np.ndarray, n_units: int, made: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """Whether an occurrence's own coins skip any merge that its unit's plain cut makes."""
+        owner = np.concatenate([np.zeros(0, np.int64), *(of for of, _ in made)])
+        order = np.argsort(owner, kind="stable")
+        candidates = np.concatenate([np.zeros(0, np.uint64), *(c for _, c in made)])[order]
+        n_merges = np.bincount(owner, minlength=n_units)
+        begin = np.cumsum(n_merges) - n_merges
+        out = np.zeros(len(unit), bool)
+        for start in range(0, len(unit), 1 << 17):
+            part = unit[start : start + (1 << 17)]
+            n = n_merges[part]
+            of = np.repeat(np.arange(len(part)), n)
+            at = np.arange(len(of)) + np.repeat(begin[part] - (np.cumsum(n) - n), n)
+            skip = mix(keys[start : start + (1 << 17)][of] + candidates[at]) < np.uint64(_threshold(self.dropout))
+            out[start + of[skip]] = True
+        return out
+
     def encode(self, texts: pa.Array, ids: list[int | None]) -> tuple[np.ndarray, np.ndarray]:
-        """Piece ids of all texts end to end, and where each text's begin. ids key the choice of variants."""
+        """Piece ids of all texts end to end, and where each text's begin. ids and texts key the coins."""
         raw, offsets = utf8(texts)
         filled = np.diff(offsets) > 0
         data = np.insert(raw, offsets[:-1][filled], np.uint8(32))  # the space in front
@@ -310,19 +355,33 @@ class Encoder:
         starts = np.flatnonzero(new)
         first = np.searchsorted(starts, edges)
         bounds = pa.py_buffer(np.append(starts, len(data)).astype(np.int32))
-        units = pa.Array.from_buffers(pa.binary(), len(starts), [None, bounds, pa.py_buffer(data)])
-        coded = pc.dictionary_encode(units)
-        counts = np.diff(first)
-        place = np.arange(len(starts)) - np.repeat(first[:-1], counts)
-        doc = np.repeat(np.array([i or 0 for i in ids], np.int64).astype(np.uint64), counts)
-        spin = mix(mix(doc + self.seed) + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
-        variant = (spin % np.uint64(self.variants)).astype(np.int64)
-        both = np.asarray(coded.indices, np.int64) * self.variants + variant
-        seen = np.zeros(len(coded.dictionary) * self.variants, bool)
-        seen[both] = True
-        some = np.flatnonzero(seen)
-        where = (np.cumsum(seen) - 1)[both]
-        pool, sizes = self.cut(coded.dictionary, some // self.variants, some % self.variants)
+        coded = pc.dictionary_encode(pa.Array.from_buffers(pa.binary(), len(starts), [None, bounds, pa.py_buffer(data)]))
+        units, unit = coded.dictionary, np.asarray(coded.indices, np.int64)
+        n_units = len(units)
+        if not self.dropout:
+            pool, sizes = self.cut(units, np.arange(n_units), np.zeros(n_units, np.uint64), 0.0)
+            where = unit
+        else:
+            counts = np.diff(first)
+            place = np.arange(len(starts)) - np.repeat(first[:-1], counts)
+            # rows without an id, or with the same one, differ by their texts
+            doc = mix(np.array([i or 0 for i in ids], np.int64).astype(np.uint64) + self.seed)
+            doc ^= _TEXTS.of_words(data, edges[:-1], edges[1:])
+            keys = mix(np.repeat(mix(doc), counts) + place.astype(np.uint64) * np.uint64(_LEFT))
+            # the plain cut pays where a unit stands in several places; a long one hardly ever keeps all its merges
+            characters = np.asarray(pc.utf8_length(units.cast(pa.string())), np.int64)
+            shared = np.flatnonzero((np.bincount(unit, minlength=n_units) > 1) & (characters <= SHORT))
+            number = np.full(n_units, -1, np.int64)
+            number[shared] = np.arange(len(shared))
+            made: list[tuple[np.ndarray, np.ndarray]] = []
+            pool, sizes = self.cut(units, shared, np.zeros(len(shared), np.uint64), 0.0, made)
+            where = number[unit]
+            plain = np.flatnonzero(where >= 0)
+            where[plain[self.skipping(where[plain], keys[plain], len(shared), made)]] = -1
+            own = np.flatnonzero(where < 0)
+            where[own] = len(shared) + np.arange(len(own))
+            more, more_sizes = self.cut(units, unit[own], keys[own], self.dropout)
+            pool, sizes = np.concatenate([pool, more]), np.concatenate([sizes, more_sizes])
         begin = np.cumsum(sizes) - sizes
         n = sizes[where]
         total = np.concatenate([[0], np.cumsum(n)])
@@ -338,15 +397,13 @@ def decode(vocabulary: Vocabulary, ids: list[int]) -> bytes:
 # --- operators ------------------------------------------------------------------------------------
 
 
-def encode_documents(
-    docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, seed: int = SEED, variants: int = VARIANTS
-) -> DataFrame:
+def encode_documents(docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
     """One row for each row of docs (doc_id, text): doc_id, ids, n_pieces, n_bytes, text_sha256.
 
     ids are the piece ids, n_bytes counts the byte pieces among them, and the digest of the text's UTF-8 lets a
     reader of the pieces prove that nothing was lost.
     """
-    encoder = Encoder(read_model(docs.sparkSession, model), dropout, seed, variants)
+    encoder = Encoder(read_model(docs.sparkSession, model), dropout, seed)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, limit=2 << 20):

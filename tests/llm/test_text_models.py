@@ -223,6 +223,28 @@ def test_seeds_vary_and_repeat(vocabulary):
     assert len(words) > 1
 
 
+def test_every_occurrence_of_a_word_is_cut_by_its_own_coins(vocabulary):
+    texts = [" understanding" * 3000, " of a the" * 400, " understanding" * 50, "x" + "anders" * 9 + " the of" * 30]
+    encoder = pieces.Encoder(vocabulary, 0.1, 1)
+    got = encoded(encoder, texts)
+    cuts = [tuple(vocabulary.bytes_of[i] for i in ids) for ids in got]
+    words, word = {}, []
+    for piece in cuts[0]:
+        if piece.startswith(b" ") and word:
+            words[tuple(word)] = words.get(tuple(word), 0) + 1
+            word = []
+        word.append(piece)
+    assert len(words) > 20
+    plain = tuple(vocabulary.bytes_of[i] for i in encoded(pieces.Encoder(vocabulary, 0.0), [" understanding"])[0])[1:]
+    assert 0.05 < words.get((b" " + plain[0].lstrip(), *plain[1:]), 0) / 3000 < 0.9
+    # the plain cut, where it is taken, is the cut that the occurrence's own coins give
+    shared, encoder.skipping = encoder, lambda unit, keys, n_units, made: np.ones(len(unit), bool)
+    assert encoded(shared, texts) == got
+    # equal ids or none: different texts have coins of their own
+    ids, edges = pieces.Encoder(vocabulary, 0.1, 1).encode(pa.array([" understanding" * 40 + " a", " understanding" * 40 + " b"]), [None, None])
+    assert ids[: edges[1] - 1].tolist() != ids[edges[1] : -1].tolist()
+
+
 def test_documents_round_trip(spark):
     rows = [(k, t) for k, t in enumerate(ODD)] + [(None, "x"), (99, None), (1, ODD[1])]
     docs = spark.createDataFrame(rows, DOCS).withColumns({"ids": F.lit(1), "n_pieces": F.lit("x")})
