@@ -1,15 +1,19 @@
-"""Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
-
-1. Count, over all documents, in how many each word n-gram of the test items
-   occurs. Only these counts, one for each n-gram of the benchmark, are
-   gathered.
-2. In every stretch of consecutive n-grams of an item the rarest that occurs is
-   a seed, so any unchanged stretch of SEED + STRETCH - 1 words holds a seed
-   however widespread its copies are, while common phrases rarely become seeds.
-3. A seed in a document names an item and where it would lie. The words around
-   are aligned with the item by Smith-Waterman over words; the score as a share
-   of a perfect one is the similarity, which edits and paraphrase lower but do
-   not end.
+"""Benchmark decontamination: word pair seeds, counted, then Smith-Waterman alignment.
+
+1. A pair is two words of an item with at most one word between them. Count how
+   often each pair occurs over all documents. Only these counts, two for each
+   word of the benchmark, are gathered.
+2. An alignment of n item words that scores 2 * similarity * n or more holds at
+   least need = ceil(similarity * n) - 1 pairs, each at a word of its own: with
+   m matches it can pay 2 * (m - similarity * n) for edits, and only a pair of
+   neighbouring matches with two edits between them, at that price, is no pair
+   of step 1. So of an item's words, all but the need - ask whose pairs are the
+   commonest are seeds, and an alignment holds at least ask of these, however
+   its edits lie and whatever other documents hold.
+3. Where ask seeds of an item stand within the span of an alignment, the words
+   around are aligned with the item by Smith-Waterman over words; the score as
+   a share of a perfect one is the similarity, which edits and paraphrase lower
+   but do not end.
 
 All work on documents is one scan for each step; no document moves. The
 benchmark is taken in blocks of at most BLOCK_WORDS words, hence what tasks
@@ -29,16 +33,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.base import ALNUM, LOWER, Rolling, blocks, keep_ids, scan, split_words, utf8
+from shelfline.llm.base import ALNUM, LOWER, Rolling, blocks, keep_ids, mix, scan, split_words, utf8
 
-SEED, STRETCH = 3, 4
+#: An item of fewer words is found only as it stands.
+SEED = 3
+#: Least number of seeds asked for, where an alignment must hold so many.
+ASK = 4
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: Least share of an item's perfect score.
 SIMILARITY = 0.5
-#: Words of test items worked on in one scan: about 60 MB in each task.
+#: Words of test items worked on in one scan: about 100 MB in each task.
 BLOCK_WORDS = 1 << 20
 
-_WORDS, _GRAMS = Rolling(11), Rolling(12)
+#: Words of a document that an alignment spans at most, as a multiple of the item's: each match pays for two edits.
+SPAN = 3
+#: Document words in one batch of alignments.
+CELLS = 1 << 18
+
+_WORDS = Rolling(11)
 _MATCHES = "doc_id long, item_id long, similarity double, score long, doc_start long, doc_end long"
 
 
@@ -58,41 +70,63 @@ def word_ids(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return _WORDS.of_words(data, starts, ends), first
 
 
+def word_pairs(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where each pair of words of one text with at most one between them begins, and its hash."""
+    end = np.repeat(first[1:], np.diff(first))
+    at, out = [], []
+    for step in (1, 2):
+        begin = np.flatnonzero(np.arange(len(words)) + step < end)
+        at.append(begin)
+        out.append(mix(words[begin] * np.uint64(0x9E3779B97F4A7C15) + words[begin + step]))
+    return np.concatenate(at), np.concatenate(out)
+
+
+class Table:
+    """Sorted hashes; a look in a few bits of each says that most others are absent."""
+
+    def __init__(self, keys: np.ndarray) -> None:
+        self.keys = keys
+        self.shift = np.uint64(64 - min(24, max(10, int(16 * len(keys)).bit_length())))
+        self.some = np.zeros(1 << (64 - int(self.shift)), bool)
+        self.some[(keys >> self.shift).astype(np.int64)] = True
+
+    def among(self, hashes: np.ndarray) -> np.ndarray:
+        """Places of those hashes that are in the table."""
+        at = np.flatnonzero(self.some[(hashes >> self.shift).astype(np.int64)])
+        place = np.minimum(np.searchsorted(self.keys, hashes[at]), len(self.keys) - 1)
+        return at[self.keys[place] == hashes[at]] if len(self.keys) else at[:0]
+
+
 class Items:
-    """A block of test items: words, n-grams and, once chosen, seeds."""
+    """A block of test items: words, pairs and, once chosen, seeds."""
 
-    def __init__(self, ids: list[int], texts: list[str]) -> None:
+    def __init__(self, ids: list[int], texts: list[str], similarity: float = SIMILARITY) -> None:
         self.ids = np.array(ids, np.int64)
         self.words, self.first = word_ids(pa.array(texts, pa.string()))
-        short = np.diff(self.first) < SEED
         self.size = np.diff(self.first)
-        at, grams = _GRAMS.windows(self.words, self.first, SEED)
+        short = self.size < SEED
+        at, pairs = word_pairs(self.words, self.first)
         item = np.searchsorted(self.first, at, "right") - 1
-        # an item of fewer words is one n-gram of its own length; see scan_short
-        self.grams, self.gram_item, self.gram_at = grams, item, at - self.first[item]
-        self.known = np.unique(grams)
+        long = ~short[item]
+        # an item of fewer words is found as it stands; see _align
+        self.pairs, self.pair_item, self.pair_at = pairs[long], item[long], at[long]
+        self.known = np.unique(self.pairs)
+        self.need = np.maximum(1, np.ceil(similarity * self.size - 1e-9).astype(np.int64) - 1)
+        self.ask = np.maximum(np.minimum(self.need, ASK), -(-self.need // 2))
         self.short = [(int(i), tuple(self.words[self.first[i] : self.first[i + 1]])) for i in np.flatnonzero(short & (self.size > 0))]
 
     def choose(self, counts: np.ndarray) -> None:
-        """Seeds: of each stretch the rarest n-gram that occurs, the first of equals; counts go with ``known``.
-
-        An n-gram that no document holds finds nothing; were it taken for the rarest, an edited copy, whose edits
-        make such n-grams, would be missed by them.
-        """
-        if not len(self.grams):
-            self.seeds = self.seed_item = self.seed_at = np.zeros(0, np.int64)
-            return
-        count = counts[np.searchsorted(self.known, self.grams)]
-        count = np.where(count == 0, np.iinfo(np.int64).max, count)
-        chosen = np.zeros(len(self.grams), bool)
-        for item in np.unique(self.gram_item):
-            here = np.flatnonzero(self.gram_item == item)
-            for start in range(max(1, len(here) - STRETCH + 1)):
-                part = here[start : start + STRETCH]
-                chosen[part[np.argmin(count[part])]] = True
-        order = np.argsort(self.grams[chosen], kind="stable")
-        self.seeds = self.grams[chosen][order]
-        self.seed_item, self.seed_at = self.gram_item[chosen][order], self.gram_at[chosen][order]
+        """Seeds: the pairs of all words of an item but its need - ask commonest; counts go with ``known``."""
+        common = np.zeros(len(self.words), np.int64)
+        np.add.at(common, self.pair_at, counts[np.searchsorted(self.known, self.pairs)])
+        item = np.repeat(np.arange(len(self.size)), self.size)
+        order = np.lexsort((-common, item))
+        seed = np.ones(len(self.words), bool)
+        seed[order[np.arange(len(order)) - self.first[item[order]] < (self.need - self.ask)[item[order]]]] = False
+        chosen = np.flatnonzero(seed[self.pair_at])
+        chosen = chosen[np.argsort(self.pairs[chosen], kind="stable")]
+        self.seeds, self.seed_item = self.pairs[chosen], self.pair_item[chosen]
+        self.seed_at = self.pair_at[chosen] - self.first[self.seed_item]
 
 
 def smith_waterman(items: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -131,55 +165,87 @@ def smith_waterman(items: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np
 
 
 def _count(items: Items):
-    """Of each batch, in how many of its documents each n-gram of the items occurs."""
+    """Of each partition, how often each pair of the items occurs."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(items.known), np.int64)
+        total, table = np.zeros(len(items.known), np.int64), Table(items.known)
         for batch in blocks(batches):
-            words, first = word_ids(batch.column("text"))
-            at, grams = _GRAMS.windows(words, first, SEED)
-            place = np.minimum(np.searchsorted(items.known, grams), len(items.known) - 1)
-            hit = np.flatnonzero(items.known[place] == grams)
-            doc = np.searchsorted(first, at[hit], "right") - 1
-            pairs = np.unique(doc * len(items.known) + place[hit])
-            total += np.bincount(pairs % len(items.known), minlength=len(items.known))
+            _, pairs = word_pairs(*word_ids(batch.column("text")))
+            total += np.bincount(np.searchsorted(items.known, pairs[table.among(pairs)]), minlength=len(items.known))
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some])], ["gram", "n"])
 
     return work
 
 
-def _candidates(items: Items, words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Document, item and the document word where the item would begin, for each seed found."""
-    at, grams = _GRAMS.windows(words, first, SEED)
-    low, high = np.searchsorted(items.seeds, grams), np.searchsorted(items.seeds, grams, "right")
-    hit = np.flatnonzero(high > low)
-    n = (high - low)[hit]
-    seed = np.repeat(low[hit], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-    place = np.repeat(at[hit], n)
-    return np.searchsorted(first, place, "right") - 1, items.seed_item[seed], place - items.seed_at[seed]
+def _candidates(items: Items, table: Table, words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, item and the document word where the item would begin, for each seed with enough others around.
+
+    A document word counts once for an item, whichever of its pairs are seeds. An alignment that scores as much as
+    it has item words or more spans at most twice as many words of the document, one that scores less (a lower
+    similarity) at most three times as many.
+    """
+    at, pairs = word_pairs(words, first)
+    hit = table.among(pairs)
+    low, high = (np.searchsorted(items.seeds, pairs[hit], side) for side in ("left", "right"))
+    n = high - low
+    seed = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    place, item = np.repeat(at[hit], n), items.seed_item[seed]
+    order = np.lexsort((place, item, np.searchsorted(first, place, "right") - 1))
+    place, item, begin = place[order], item[order], (place - items.seed_at[seed])[order]
+    doc = np.searchsorted(first, place, "right") - 1
+    new = np.ones(len(place), bool)
+    new[1:] = (place[1:] != place[:-1]) | (item[1:] != item[:-1])
+    once = np.flatnonzero(new)
+    # the ask-th place from each one on, within the same document and item and the span of an alignment
+    last = np.arange(len(once)) + items.ask[item[once]] - 1
+    to = once[np.minimum(last, len(once) - 1)] if len(once) else once
+    enough = (last < len(once)) & (doc[to] == doc[once]) & (item[to] == item[once])
+    enough &= place[to] - place[once] < SPAN * items.size[item[once]]
+    edge = np.zeros(len(once) + 1, np.int64)
+    np.add.at(edge, np.flatnonzero(enough), 1)
+    np.add.at(edge, last[enough] + 1, -1)
+    good = (np.cumsum(edge)[:-1] > 0)[np.cumsum(new) - 1]
+    return doc[good], item[good], begin[good]
+
+
+def _windows(items: Items, first: np.ndarray, doc: np.ndarray, item: np.ndarray, begin: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """Document, item and range of document words that hold every alignment around a seed.
+
+    Ranges that meet are joined, and long ones are cut into such that overlap by the span of an alignment.
+    """
+    order = np.lexsort((begin, item, doc))
+    ranges: list[tuple[int, int, int, int]] = []
+    for d, i, b in zip(doc[order].tolist(), item[order].tolist(), begin[order].tolist(), strict=True):
+        span = SPAN * int(items.size[i])
+        low, high = max(int(first[d]), b - span), min(int(first[d + 1]), b + int(items.size[i]) + span)
+        if ranges and ranges[-1][:2] == (d, i) and low <= ranges[-1][3]:
+            ranges[-1] = (d, i, ranges[-1][2], max(high, ranges[-1][3]))
+        else:
+            ranges.append((d, i, low, high))
+    out = []
+    for d, i, low, high in ranges:
+        span = SPAN * int(items.size[i])
+        while high - low > 4 * span:
+            out.append((d, i, low, low + 3 * span))
+            low += 2 * span
+        out.append((d, i, low, high))
+    return out
 
 
 def _align(items: Items, similarity: float):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = Table(items.seeds)
         for batch in blocks(batches):
             words, first = word_ids(batch.column("text"))
-            doc, item, begin = _candidates(items, words, first)
-            slack = np.maximum(4, items.size[item] // 3) if len(item) else item
-            # seeds of one copy agree on where it begins but for inserted or lost words: one window for those near
-            order = np.lexsort((begin, item, doc))
-            doc, item, begin, slack = doc[order], item[order], begin[order], slack[order]
-            windows: list[tuple[int, int, int, int]] = []
-            for d, i, b, s in zip(doc.tolist(), item.tolist(), begin.tolist(), slack.tolist(), strict=True):
-                low, high = max(int(first[d]), b - s), min(int(first[d + 1]), b + int(items.size[i]) + s)
-                if windows and windows[-1][:2] == (d, i) and low <= windows[-1][2] + s:
-                    windows[-1] = (d, i, windows[-1][2], max(high, windows[-1][3]))
-                else:
-                    windows.append((d, i, low, high))
+            windows = _windows(items, first, *_candidates(items, table, words, first))
             found: dict[tuple[int, int], tuple[int, int, int]] = {}
             windows.sort(key=lambda w: (items.size[w[1]], w[3] - w[2]))
-            for start in range(0, len(windows), 256):
-                part = windows[start : start + 256]
+            start = 0
+            while start < len(windows):
+                widest = max(h - lo for _, _, lo, h in windows[start : start + 256])
+                part = windows[start : start + max(1, min(256, CELLS // max(1, widest)))]
+                start += len(part)
                 deep, wide = max(int(items.size[i]) for _, i, _, _ in part), max(h - lo for _, _, lo, h in part)
                 left, right = np.zeros((len(part), deep), np.uint64), np.ones((len(part), wide), np.uint64)
                 for k, (_, i, low, high) in enumerate(part):
@@ -224,11 +290,11 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
     out = spark.createDataFrame([], _MATCHES)
     for part in range(parts):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).collect()  # at most about block_words
-        block = Items([r["item_id"] if r["item_id"] is not None else -1 for r in rows], [r["text"] for r in rows])
+        block = Items([r["item_id"] if r["item_id"] is not None else -1 for r in rows], [r["text"] for r in rows], similarity)
         counts = np.zeros(len(block.known), np.int64)
         if len(block.known):
             sums = scan(docs, _count(block), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-            for r in sums.collect():  # one for each n-gram of this block
+            for r in sums.collect():  # one for each pair of this block
                 counts[r["gram"]] = r["n"]
         block.choose(counts)
         out = out.unionByName(scan(docs, _align(block, similarity), _MATCHES))

@@ -164,6 +164,30 @@ def test_leaks_are_found_and_clean_texts_left(spark, block_words):
     assert (exact.doc_start, exact.doc_end, exact.similarity) == (1, 3, 1.0)
 
 
+def test_edited_copies_are_found_beside_exact_ones(spark):
+    rnd = random.Random(3)
+    vocabulary = [f"w{k}" for k in range(3000)]
+    items = [(k, " ".join(rnd.choices(vocabulary, k=n))) for k, n in enumerate([30, 31, 33, 40, 12, 7])]
+    rows, want = [], set()
+    for i, text in items:
+        for step, edit in ((0, ""), (5, "new"), (4, "new"), (3, "new"), (3, "gone"), (1, "more")):
+            words = []
+            for k, word in enumerate(text.split()):
+                if step and k % step == step - 1:
+                    words += {"new": ["xx"], "gone": [], "more": [word, "xx"]}[edit]
+                else:
+                    words.append(word)
+            around = [rnd.choices(vocabulary, k=60) for _ in range(2)]
+            rows.append((len(rows), " ".join([*around[0], *words, *around[1]])))
+            score = brute_align(text.split(), rows[-1][1].split())
+            if score >= len(text.split()):
+                want.add((len(rows) - 1, i, score))
+    assert len(want) >= 30
+    for docs in (rows, rows[1:]):
+        got = decontaminate.find_leaks(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)).collect()
+        assert {(r.doc_id, r.item_id, r.score) for r in got} == {w for w in want if w[0] >= docs[0][0]}
+
+
 def test_no_items_no_leaks(spark):
     docs, none = spark.createDataFrame([(1, "a b c d")], DOCS), spark.createDataFrame([], ITEMS)
     assert decontaminate.find_leaks(docs, none).count() == 0
