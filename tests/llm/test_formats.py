@@ -137,6 +137,50 @@ def test_base_phrases_count_words(spark):
     assert licenses.scan_licenses(docs.limit(0)).count() == 0
 
 
+def sample(rnd, parsed):
+    """A text that an expression matches, lookarounds aside."""
+    out = b""
+    for op, value in parsed:
+        name = str(op)
+        if name == "LITERAL":
+            out += bytes([value])
+        elif name in ("ANY", "NOT_LITERAL"):
+            out += b"x"
+        elif name == "IN":
+            kind, what = rnd.choice(value)
+            classes = {"CATEGORY_SPACE": [b" ", b"\n", b"  "], "CATEGORY_DIGIT": [b"1"]}
+            kinds = {"LITERAL": lambda: bytes([what]), "RANGE": lambda: bytes([what[0]]), "CATEGORY": lambda: rnd.choice(classes.get(str(what), [b"x"]))}
+            out += kinds.get(str(kind), lambda: b"x")()
+        elif name in ("MAX_REPEAT", "MIN_REPEAT"):
+            for _ in range(rnd.randint(value[0], max(value[0], min(value[1], 1)))):
+                out += sample(rnd, value[2])
+        elif name == "SUBPATTERN":
+            out += sample(rnd, value[-1])
+        elif name == "BRANCH":
+            out += sample(rnd, rnd.choice(value[1]))
+    return out
+
+
+def test_gated_rules_find_what_ungated_ones_find():
+    rnd, scanner = random.Random(4), licenses.Scanner()
+    rules = list(enumerate(licenses._rules()))
+    seen = set()
+    texts = [b"all rights\nreserved", b"permission is  hereby\ngranted, free of charge, to any person obtaining a copy of this software"]
+    texts += [b"may not be reproduced without prior written permission", b"see unlicense.org", b"www.wtfpl.net", b"commonsclause.com"]
+    for _, rule in rules:
+        for _ in range(24):
+            texts.append(b"so " + sample(rnd, re._parser.parse(rule.pattern.pattern, rule.pattern.flags)) + b" .")
+    for text in texts:
+        found = []
+        for order, rule in rules:
+            part = "at" if "at" in rule.pattern.groupindex else 0
+            found += [(m.start(part), -m.end(part), -rule.priority, order, rule) for m in rule.pattern.finditer(text)]
+        seen |= {f[3] for f in found}
+        assert scanner.places(text) == licenses.unsuppressed(found)
+        assert found or text not in texts[:6]
+    assert [rule for order, rule in rules if order not in seen] == []
+
+
 # --- pages ----------------------------------------------------------------------------------------
 
 
