@@ -47,6 +47,10 @@ BLOCKS = {
     "legend", "li", "main", "menu", "nav", "ol", "p", "pre", "search", "section", "summary", "table", "tbody", "td", "tfoot", "th",
     "thead", "tr", "ul",
 }
+#: Elements that a head may hold; any other one ends it, as does text.
+_IN_HEAD = {"base", "basefont", "bgsound", "head", "link", "meta", "noframes", "noscript", "script", "style", "template", "title"}
+#: Elements of other vocabularies, which "/>" ends.
+_FOREIGN = {"svg", "math"}
 #: Elements that close an open one of the same kind, up to the given container.
 _ENDS_SAME = {
     "li": ("ul", "ol", "menu"), "dd": ("dl",), "dt": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table"),
@@ -138,6 +142,8 @@ def blocks_of(page: str) -> list[Block]:
     out: list[Block] = []
 
     def text(raw: str) -> None:
+        if here.name == "head" and raw.strip(" \t\n\f\r"):
+            leave()
         if raw and not here.hidden:
             block.parts.append(html.unescape(raw))
             if links:
@@ -171,13 +177,16 @@ def blocks_of(page: str) -> list[Block]:
             if m.group().startswith("<![CDATA["):
                 text(m.group()[9:].removesuffix("]]>").replace("&", "&amp;"))
             continue
+        closes = m["close"] or m["close2"]
+        if here.name == "head" and (name not in _IN_HEAD and not closes or name in ("body", "html", "br") and closes):
+            leave()
         breaks = name in BLOCKS
         if name == "br":
             block.parts.append(" ")
             continue
         if breaks:
             finish()
-        if m["close"] or m["close2"]:
+        if closes:
             if open_names.get(name):
                 while here.name != name:
                     leave()
@@ -190,7 +199,7 @@ def blocks_of(page: str) -> list[Block]:
         if name in _ENDS_SAME and open_names.get(name):
             _close_to(here, name, leave, lambda: here, _ENDS_SAME[name])
         attributes = m["attrs"] if m["attrs"] is not None else m["attrs2"] or ""
-        if name in _EMPTY:
+        if name in _EMPTY or name in _FOREIGN and attributes.endswith("/"):
             continue
         if name in _RAW:
             end = _RAW_END[name].search(page, at)

@@ -230,3 +230,20 @@ def test_extract_keeps_rows(spark):
     assert sorted(str(r.page_id) for r in got) == ["1", "1", "2", "3", "None"]
     assert all(r.n_chars == len(r.text) for r in got)
     assert html_main.extract(pages.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<html><head><title>T</title><body>{}",
+        "<html><head><meta charset=utf-8><link rel=x>\n<p>{}</html>",
+        "<head><style>p {{}}</style><article>{}</article>",
+        "<html><head><script>x</script>{}</body>",
+        "<head><title>T</title></head><body><svg width='1' viewBox='0 0 1 1'/>{}<svg/></body>",
+        "<body><svg class=a /><p>{}</p><svg><text>no</text></svg>",
+        "<body><math/><p>{}</p>",
+    ],
+)
+def test_head_without_its_end_and_self_closed_drawings_hide_nothing(page):
+    prose = " ".join(["A sentence of plain words that goes on for a while, as an article does."] * 6)
+    assert html_main.main_text(page.format(prose)) == prose
