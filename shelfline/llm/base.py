@@ -16,7 +16,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import shelfline
@@ -84,10 +84,17 @@ def scan(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.R
     return df.mapInArrow(work, schema)
 
 
-def keep_ids(docs: DataFrame, ids: DataFrame, how: str = "left_semi") -> DataFrame:
-    """The rows of docs whose doc_id is (left_anti: is not) among ids; null ids are alike."""
-    ids = ids.select(F.col("doc_id").cast("long").alias("_id"))
-    return docs.join(ids, docs["doc_id"].cast("long").eqNullSafe(ids["_id"]), how)
+def text_mark() -> Column:
+    """A digest of the column text; with doc_id, which may be null or repeat, it tells rows apart."""
+    return F.unhex(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256))
+
+
+def keep_rows(docs: DataFrame, rows: DataFrame, how: str = "left_semi", mark: Column | None = None) -> DataFrame:
+    """The rows of docs that are (left_anti: are not) among rows, by doc_id and mark; null ids are alike."""
+    rows = rows.select(F.col("doc_id").cast("long").alias("_id"), F.col("mark").alias("_of"))
+    marked = docs.withColumn("_mark", text_mark() if mark is None else mark)
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_of"))
+    return marked.join(rows, same, how).drop("_mark")
 
 
 # --- texts as bytes -------------------------------------------------------------------------------

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.base import ALNUM, LOWER, Rolling, blocks, keep_ids, mix, scan, split_words, utf8
+from shelfline.llm.base import ALNUM, LOWER, Rolling, blocks, keep_rows, mix, scan, split_words, text_mark, utf8
 
 #: An item of fewer words is found only as it stands.
 SEED = 3
@@ -233,7 +233,7 @@ def _windows(items: Items, first: np.ndarray, doc: np.ndarray, item: np.ndarray,
     return out
 
 
-def _align(items: Items, similarity: float):
+def _align(items: Items, similarity: float, marked: bool = False):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Table(items.seeds)
         for batch in blocks(batches):
@@ -272,35 +272,43 @@ def _align(items: Items, similarity: float):
             ]
             names = ["doc_id", "item_id", "similarity", "score", "doc_start", "doc_end"]
             kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kinds[k]) for k in range(6)], names)
+            columns = [pa.array([r[k] for r in rows], kinds[k]) for k in range(6)]
+            if marked:
+                columns.append(batch.column("mark").take(pa.array([d for d, _ in sorted(found)], pa.int64())))
+                names.append("mark")
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return work
 
 
-def find_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, block_words: int = BLOCK_WORDS) -> DataFrame:
+def find_leaks(
+    docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, block_words: int = BLOCK_WORDS, marked: bool = False
+) -> DataFrame:
     """Rows (doc_id, item_id, similarity, score, doc_start, doc_end): the best alignment of each item found in a document.
 
     docs: doc_id, text; benchmark: item_id, text. doc_start and doc_end count the document's words from 0.
+    If marked, the mark of the document's text is a last column.
     """
     spark = docs.sparkSession
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    schema = _MATCHES + (", mark binary" if marked else "")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *([text_mark().alias("mark")] if marked else []))
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-total // (4 * block_words)))
-    out = spark.createDataFrame([], _MATCHES)
+    out = spark.createDataFrame([], schema)
     for part in range(parts):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).collect()  # at most about block_words
         block = Items([r["item_id"] if r["item_id"] is not None else -1 for r in rows], [r["text"] for r in rows], similarity)
         counts = np.zeros(len(block.known), np.int64)
         if len(block.known):
-            sums = scan(docs, _count(block), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
+            sums = scan(docs.select("text"), _count(block), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
             for r in sums.collect():  # one for each pair of this block
                 counts[r["gram"]] = r["n"]
         block.choose(counts)
-        out = out.unionByName(scan(docs, _align(block, similarity), _MATCHES))
+        out = out.unionByName(scan(docs, _align(block, similarity, marked), schema))
     return out
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The rows of docs in which no test item was found."""
-    return keep_ids(docs, find_leaks(docs, benchmark, similarity).select("doc_id").distinct(), "left_anti")
+    return keep_rows(docs, find_leaks(docs, benchmark, similarity, marked=True).select("doc_id", "mark").distinct(), "left_anti")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfline.llm.base import LOWER, blocks, keep_ids, mix, scan, utf8, written
+from shelfline.llm.base import LOWER, blocks, keep_rows, mix, scan, utf8, written
 
 #: Bytes that decide on a cut, least chunk, and one cut in so many bytes.
 WINDOW, LEAST, EVERY = 32, 256, 1024
@@ -166,6 +166,8 @@ def exact_groups(docs: DataFrame, digest_bytes: int = DIGEST_BYTES) -> DataFrame
 
 def drop_copies(docs: DataFrame) -> DataFrame:
     """The rows of docs that stay, with all their columns. Of rows that repeat both doc_id and text, one stays."""
-    stays = exact_groups(docs).where("kept").select("doc_id")
-    mark = F.sha2(F.coalesce("text", F.lit("")), 256)
-    return keep_ids(docs, stays).withColumn("_mark", mark).dropDuplicates(["doc_id", "_mark"]).drop("_mark")
+    stays = exact_groups(docs).where("kept").select("doc_id", F.col("text_sha256").alias("mark"))
+    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    mark = F.sha2(F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), upper, lower), 256)
+    kept = keep_rows(docs, stays, mark=mark)
+    return kept.withColumn("_mark", mark).dropDuplicates(["doc_id", "_mark"]).drop("_mark")

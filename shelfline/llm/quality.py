@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.base import NOT_SPACE, Rolling, blocks, keep_ids, scan, split_words, utf8, written
+from shelfline.llm.base import NOT_SPACE, Rolling, blocks, keep_rows, scan, split_words, text_mark, utf8, written
 
 MEASURES = (
     "upper", "digit", "mark", "symbol", "bar", "beyond_ascii", "line_ends", "word_length", "distinct_words",
@@ -109,17 +109,20 @@ def curve(measures: np.ndarray) -> np.ndarray:
     return out
 
 
-def measured(docs: DataFrame) -> DataFrame:
-    """doc_id and the measures of every whole text, as 4-byte numbers end to end."""
+def measured(docs: DataFrame, marked: bool = False) -> DataFrame:
+    """doc_id, the measures of every whole text, as 4-byte numbers end to end, and, if marked, the text's mark."""
+    marks = ["mark"] if marked else []
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches):
             rows = measure(*utf8(batch.column("text")))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([r.tobytes() for r in rows], pa.binary())], ["doc_id", "measures"]
+                [batch.column("doc_id"), pa.array([r.tobytes() for r in rows], pa.binary()), *(batch.column(m) for m in marks)],
+                ["doc_id", "measures", *marks],
             )
 
-    return scan(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), work, "doc_id long, measures binary")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *(text_mark().alias(m) for m in marks))
+    return scan(rows, work, "doc_id long, measures binary" + (", mark binary" if marked else ""))
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -254,13 +257,13 @@ def fit(rows: DataFrame) -> Model | None:
     return Model(whole.fit(prior), prior)
 
 
-def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score and predicted for every row of docs (doc_id, text).
+def score_documents(docs: DataFrame, labels: DataFrame, marked: bool = False) -> DataFrame:
+    """doc_id, held_out, score and predicted, and, if marked, the text's mark, for every row of docs (doc_id, text).
 
     labels: doc_id, quality (1: positive). Rows whose crc32 of the id leaves remainder 1 by 3 are held out.
     """
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
-    table = written(measured(docs).withColumn("held_out", held_out), "measures")
+    table = written(measured(docs, marked).withColumn("held_out", held_out), "measures")
     marks = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
         .where("doc_id is not null and quality is not null")
@@ -285,13 +288,15 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
                     batch.column("held_out"),
                     pa.array(score, pa.float64()),
                     pa.array((score >= 0.5).astype(np.int32)),
+                    *(batch.column(m) for m in marks),
                 ],
-                ["doc_id", "held_out", "score", "predicted"],
+                ["doc_id", "held_out", "score", "predicted", *marks],
             )
 
-    return scan(table, work, "doc_id long, held_out boolean, score double, predicted int")
+    marks = ["mark"] if marked else []
+    return scan(table, work, "doc_id long, held_out boolean, score double, predicted int" + (", mark binary" if marked else ""))
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The rows of docs not predicted 0."""
-    return keep_ids(docs, score_documents(docs, labels).where("predicted = 0").select("doc_id"), "left_anti")
+    return keep_rows(docs, score_documents(docs, labels, marked=True).where("predicted = 0"), "left_anti")

@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.base import LOWER, blocks, each_bytes, keep_ids, scan, written
+from shelfline.llm.base import LOWER, blocks, each_bytes, keep_rows, scan, text_mark, written
 from shelfline.llm.components import components
 
 SHINGLE, DISTANCE, SEED = 4, 4, 42
@@ -140,15 +140,19 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * counts > len(bits)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id and fp, the fingerprint as a signed 64-bit number."""
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, marked: bool = False) -> DataFrame:
+    """doc_id and fp, the fingerprint as a signed 64-bit number, and, if marked, the text's mark."""
+    marks = ["mark"] if marked else []
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches):
             prints = np.array([fingerprint(t, shingle) for t in each_bytes(batch.column("text"))], np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints.view(np.int64))], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(prints.view(np.int64)), *(batch.column(m) for m in marks)], ["doc_id", "fp", *marks]
+            )
 
-    return scan(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), work, "doc_id long, fp long")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *(text_mark().alias(m) for m in marks))
+    return scan(rows, work, "doc_id long, fp long" + (", mark binary" if marked else ""))
 
 
 # --- links ----------------------------------------------------------------------------------------
@@ -274,15 +278,18 @@ def links(prints: DataFrame, most: int = DISTANCE, limit: int = RUN) -> DataFram
     return near.unionByName(more.select("u", "v").where("u is not null"))
 
 
-def near_groups(docs: DataFrame, shingle: int = SHINGLE, most: int = DISTANCE, limit: int = RUN) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits) and component_id, the least doc_id reachable, for each row of docs (doc_id, text)."""
-    prints = written(fingerprints(docs, shingle), "fingerprints")
-    distinct = prints.groupBy("fp").agg(F.min("doc_id").alias("first"))
+def _rooted(distinct: DataFrame, most: int, limit: int) -> DataFrame:
+    """The rows of distinct (fp, first) with the root of their component."""
     found = components(links(distinct, most, limit))
-    roots = distinct.join(found.select(F.col("u").alias("fp"), F.col("v").alias("root")), "fp", "left").select(
+    return distinct.join(found.select(F.col("u").alias("fp"), F.col("v").alias("root")), "fp", "left").select(
         "fp", "first", F.coalesce("root", "fp").alias("root")
     )
-    roots = written(roots, "roots")
+
+
+def near_groups(docs: DataFrame, shingle: int = SHINGLE, most: int = DISTANCE, limit: int = RUN) -> DataFrame:
+    """doc_id, fingerprint (16 hex digits) and component_id, the least doc_id reachable, for each row of docs (doc_id, text)."""
+    prints = written(fingerprints(docs, shingle), "fingerprints")
+    roots = written(_rooted(prints.groupBy("fp").agg(F.min("doc_id").alias("first")), most, limit), "roots")
     least = roots.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = roots.join(least, "root").select("fp", "component_id")
     return prints.join(classes, "fp").select(
@@ -291,6 +298,12 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, most: int = DISTANCE, l
 
 
 def keep_firsts(docs: DataFrame, shingle: int = SHINGLE, most: int = DISTANCE) -> DataFrame:
-    """The rows of docs whose doc_id is the least of its group."""
-    stays = near_groups(docs, shingle, most).where("doc_id <=> component_id").select("doc_id").distinct()
-    return keep_ids(docs, stays)
+    """Of each group the row of docs with the least doc_id, null after all others, and of these the least mark.
+
+    Rows that repeat both doc_id and text are one document; drop_copies leaves one of them.
+    """
+    prints = written(fingerprints(docs, shingle, marked=True), "fingerprints")
+    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
+    roots = _rooted(written(prints.groupBy("fp").agg(F.min(row).alias("first")), "firsts"), most, RUN)
+    stays = roots.groupBy("root").agg(F.min("first").alias("first")).select("first.doc_id", "first.mark")
+    return keep_rows(docs, stays)

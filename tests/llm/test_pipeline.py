@@ -5,9 +5,10 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from shelfline.llm import pieces, quality, queries
+from shelfline.llm import base, decontaminate, exact_dedup, pieces, quality, queries, simhash
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
@@ -72,3 +73,41 @@ def test_stages_keep_the_columns_of_documents(spark):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, SF_DIR).columns == docs.columns
         assert stage(spark, docs.limit(0), SF_DIR).count() == 0
+
+
+def test_stages_decide_on_rows_whatever_their_ids(spark):
+    def left(stage, rows):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, kept string").repartition(3)
+        return sorted((r.doc_id if r.doc_id is not None else -1, r.text or "") for r in stage(docs).collect())
+
+    rows = [(1, "a", "x"), (1, "b", "x"), (2, "b", "x"), (None, "c", "x"), (None, "d", "x"), (3, "D", "x"), (4, "E", "x"), (4, "e", "x")]
+    got = left(exact_dedup.drop_copies, rows)
+    assert [r for r in got if r[0] != 4] == [(-1, "c"), (1, "a"), (2, "b"), (3, "D")] and len(got) == 5
+
+    words = [f"word{k} and{k} more{k}" for k in range(400)]
+    long = " ".join(words[:200])
+    other = " ".join(words[200:])
+    rows = [(1, long, "x"), (1, other, "x"), (2, long + " end", "x"), (2, "quite another text than these", "x"), (0, other + " end", "x")]
+    rows += [(None, "one more that has no id at all", "x"), (None, long + " more", "x")]
+    want = [(-1, rows[5][1]), (0, rows[4][1]), (1, long), (2, rows[3][1])]
+    assert left(simhash.keep_firsts, rows) == sorted(want)
+    assert len(left(simhash.keep_firsts, [(None, long, "x"), (None, long + " end", "x")])) == 1
+
+    items = spark.createDataFrame([(1, words[0] + " " + words[1] + " " + words[2])], "item_id long, text string")
+    rows = [(None, "see " + words[0] + " " + words[1] + " " + words[2], "x"), (None, other, "x"), (None, None, "x"), (5, other, "x"), (5, long, "x")]
+    assert left(lambda docs: decontaminate.drop_leaks(docs, items), rows) == sorted([(-1, other), (-1, ""), (5, other)])
+
+
+def test_one_bad_row_takes_no_other_of_its_id(spark, monkeypatch):
+    def scored(docs, labels, marked):
+        return docs.select("doc_id", base.text_mark().alias("mark"), (F.col("text") != "bad").cast("int").alias("predicted"))
+
+    monkeypatch.setattr(quality, "score_documents", scored)
+    docs = spark.createDataFrame([(None, "bad"), (None, "good"), (1, "good"), (1, "bad")], "doc_id long, text string")
+    assert [r.text for r in quality.keep_good(docs, None).collect()] == ["good", "good"]
+
+
+def test_scores_carry_the_mark_of_their_text(spark):
+    docs, labels = (spark.read.parquet(f"{SF_DIR}/{n}.parquet") for n in ("documents", "labels"))
+    marks = quality.score_documents(docs, labels, marked=True).select("doc_id", "mark")
+    assert marks.exceptAll(docs.select("doc_id", base.text_mark().alias("mark"))).count() == 0
