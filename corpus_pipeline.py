@@ -33,8 +33,8 @@ def clean_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def encoded_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of each document."""
-    return pieces.encode_documents(docs)
+    """Pieces of each document, and whether decoding them gives its text back."""
+    return pieces.checked_documents(docs)
 
 
 STAGES = [

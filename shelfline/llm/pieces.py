@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm.base import Rolling, blocks, each_bytes, mix, scan, utf8
+from shelfline.llm.base import Rolling, blocks, each_bytes, mix, scan, utf8, written
 
 #: Where the public tokenizers lie; a parameter of every entry point.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -424,6 +424,15 @@ def encode_documents(docs: DataFrame, model: str = MODEL, dropout: float = DROPO
     return scan(rows, work, ENCODED)
 
 
+def checked_documents(docs: DataFrame, model: str = MODEL, dropout: float = DROPOUT, seed: int = SEED) -> DataFrame:
+    """The rows of encode_documents with lossless: whether decoding the pieces gives the text back.
+
+    The pieces are written before they are decoded, so that a task runs one Python worker at a time.
+    """
+    decoded = decode_documents(written(encode_documents(docs, model, dropout, seed), "pieces"), model)
+    return decoded.withColumn("lossless", F.sha2("text", 256) == F.col("text_sha256")).drop("text")
+
+
 def decode_documents(encoded: DataFrame, model: str = MODEL) -> DataFrame:
     """The rows of encoded, as encode_documents gives them, with the decoded text; null ids give an empty one."""
     vocabulary = read_model(encoded.sparkSession, model)

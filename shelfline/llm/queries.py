@@ -17,7 +17,6 @@ from shelfline.llm import (
     simhash,
     substring_dedup,
 )
-from shelfline.llm.base import written
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,14 +44,8 @@ def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pieces of every document under merge-dropout, and whether decoding them gives its text back.
-
-    The pieces are written before they are decoded, so that a task runs one Python worker at a time.
-    """
-    encoded = written(pieces.encode_documents(table(spark, sf_dir, "documents")), "pieces")
-    decoded = pieces.decode_documents(encoded)
-    lossless = F.sha2("text", 256) == F.col("text_sha256")
-    return decoded.withColumn("lossless", lossless).drop("text")
+    """Pieces of every document under merge-dropout, and whether decoding them gives its text back."""
+    return pieces.checked_documents(table(spark, sf_dir, "documents"))
 
 
 def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -111,3 +111,12 @@ def test_scores_carry_the_mark_of_their_text(spark):
     docs, labels = (spark.read.parquet(f"{SF_DIR}/{n}.parquet") for n in ("documents", "labels"))
     marks = quality.score_documents(docs, labels, marked=True).select("doc_id", "mark")
     assert marks.exceptAll(docs.select("doc_id", base.text_mark().alias("mark"))).count() == 0
+
+
+def test_pipeline_says_whether_its_pieces_read_back(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "a text"), (None, None), (2, "  \u2581x")], "doc_id long, text string")
+    rows = corpus_pipeline.encoded_documents(spark, docs, SF_DIR).collect()
+    assert [r.lossless for r in rows] == [True] * 3 and all(r.n_pieces == len(r.ids) for r in rows)
+    decode = pieces.decode_documents
+    monkeypatch.setattr(pieces, "decode_documents", lambda *a: decode(*a).withColumn("text", F.upper("text")))
+    assert sorted(r.lossless for r in corpus_pipeline.encoded_documents(spark, docs, SF_DIR).collect()) == [False, False, True]
