@@ -261,6 +261,7 @@ def score_documents(docs: DataFrame, labels: DataFrame, marked: bool = False) ->
     """doc_id, held_out, score and predicted, and, if marked, the text's mark, for every row of docs (doc_id, text).
 
     labels: doc_id, quality (1: positive). Rows whose crc32 of the id leaves remainder 1 by 3 are held out.
+    Where every training row has a label, their texts without their labels are the unlabelled ones.
     """
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
     table = written(measured(docs, marked).withColumn("held_out", held_out), "measures")
@@ -270,13 +271,12 @@ def score_documents(docs: DataFrame, labels: DataFrame, marked: bool = False) ->
         .groupBy("doc_id")
         .agg(F.max("quality").alias("quality"))
     )
-    training = (
-        table.where(~F.col("held_out"))
-        .join(marks, "doc_id", "left")
-        .where("quality is null or quality = 1")
-        .select((F.col("quality").isNotNull().cast("int") * 2 + F.pmod(F.xxhash64("doc_id"), F.lit(2))).alias("kind"), "measures")
-    )
-    model = fit(training)
+    training = table.where(~F.col("held_out")).join(marks, "doc_id", "left")
+    half = F.pmod(F.xxhash64("doc_id"), F.lit(2))
+    positives = training.where("quality = 1").select((half + 2).alias("kind"), "measures")
+    model = fit(positives.unionByName(training.where("quality is null").select(half.alias("kind"), "measures")))
+    if model is None:  # no row without a label, or none with a positive one
+        model = fit(positives.unionByName(training.where("quality is not null").select(half.alias("kind"), "measures")))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

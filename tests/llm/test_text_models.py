@@ -75,6 +75,14 @@ def test_nothing_to_learn_scores_half(spark, labels):
     assert quality.score_documents(none, spark.createDataFrame(labels, "doc_id long, quality int, toxic int")).count() == 0
 
 
+def test_a_corpus_with_labels_throughout_is_learnt(spark, graded):
+    docs = spark.createDataFrame([r[:2] for r in graded[0]], DOCS)
+    marks = spark.createDataFrame([(r[0], int(r[2]), 0) for r in graded[0]], "doc_id long, quality int, toxic int")
+    truth = {r[0]: r[2] for r in graded[0]}
+    got = [r for r in quality.score_documents(docs, marks).collect() if r.held_out]
+    assert sum(r.predicted == truth[r.doc_id] for r in got) > 0.9 * len(got)
+
+
 # --- language -------------------------------------------------------------------------------------
 
 
