@@ -13,6 +13,7 @@ from shelfline.llm import (
     importance,
     language,
     licenses,
+    personal,
     pieces,
     quality,
     simhash,
@@ -88,6 +89,11 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(table(spark, sf_dir, "embeddings"))
 
 
+def op12_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return personal.find_personal(table(spark, sf_dir, "documents"))
+
+
 def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Importance of every document for the distribution of the test items, and the ranks of a draw of a tenth."""
     return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -105,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_licenses": op9_licenses,
     "op10_html": op10_html,
     "op11_vector_codes": op11_vector_codes,
+    "op12_personal": op12_personal,
     "op13_resample": op13_resample,
 }
 
