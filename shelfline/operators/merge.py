@@ -13,10 +13,12 @@ from shelfline.operators.windows import coverage, turnover_ratio
 from shelfline.schemas import QUANTITIES
 
 
-def upsert(old: DataFrame, new: DataFrame, key: str, id_col: str) -> DataFrame:
+def upsert(old: DataFrame, new: DataFrame, key: str, id_col: str, after: Column | None = None) -> DataFrame:
     """Overwrite on conflict: known keys keep their id and take the new attributes.
 
     ``new`` must hold each key once. One full outer join serves both branches.
+    New ids follow the greatest one of ``old``, or ``after`` where ``old`` is
+    only a part of a table.
     """
     attributes = [c for c in new.columns if c != key]
     both = (
@@ -32,18 +34,31 @@ def upsert(old: DataFrame, new: DataFrame, key: str, id_col: str) -> DataFrame:
     )
     kept = both.where("_known").drop("_known")
     added = both.where("_known is null").drop("_known", id_col)
-    return kept.unionByName(assign_ids(added, key, id_col, after=_top_id(old, id_col)))
+    return kept.unionByName(assign_ids(added, key, id_col, after=top_id(old, id_col) if after is None else after))
+
+
+def bucket_of(key: str, buckets: int) -> Column:
+    """Bucket of a key, from 0 up; the same one in every load."""
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+def changed_rows(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
+    """Rows of ``new`` whose key ``old`` doesn't hold, or holds with other attributes."""
+    attributes = [c for c in new.columns if c != key]
+    had = old.select(key, F.struct(*attributes).alias("_had"))
+    same = F.col("_had").eqNullSafe(F.struct(*attributes))
+    return new.join(had, key, "left").where(F.col("_had").isNull() | ~same).select(*new.columns)
 
 
 def insert_ignore(old: DataFrame, new: DataFrame, key: str, id_col: str | None = None) -> DataFrame:
     """Ignore on conflict: known keys stay as they are, new keys are added."""
     added = new.join(old.select(key), key, "left_anti")
     if id_col and id_col not in new.columns:
-        added = assign_ids(added, key, id_col, after=_top_id(old, id_col))
+        added = assign_ids(added, key, id_col, after=top_id(old, id_col))
     return old.unionByName(added.select(*old.columns))
 
 
-def _top_id(old: DataFrame, id_col: str) -> Column:
+def top_id(old: DataFrame, id_col: str) -> Column:
     return F.coalesce(old.agg(F.max(id_col)).scalar(), F.lit(0))
 
 

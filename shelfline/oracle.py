@@ -295,6 +295,29 @@ SELECT movement_date, mat_sku, ven_acc, opening_qty, received_qty, issued_qty, c
 FROM added JOIN rolled USING (mat_sku, movement_date)"""
 
 
+def _batch_loads() -> str:
+    """What each of three batches writes to the sums and dimensions, and a refused one."""
+    first, rest = "batch = 'A'", "mat_sku < 'M5'"
+    moves = {0: first, 1: f"NOT {first} AND NOT {rest}", 3: f"NOT {first} AND {rest}"}
+    parts = [
+        f"SELECT {n} AS batch_id, 'moves' AS table_name, count(*) AS n_rows, 'added' AS outcome"
+        f" FROM (SELECT DISTINCT mat_sku, movement_date FROM movement WHERE {test})"
+        for n, test in moves.items()
+    ]
+    parts += [
+        f"SELECT {n}, '{table}', {f'(SELECT count(*) FROM {source})' if n == 0 else '0'}, 'added'"
+        for n in moves
+        for table, source in (("dim_item", "item"), ("dim_vendor", "vendor"))
+    ]
+    dates = "SELECT movement_date, min(CASE WHEN batch = 'A' THEN 0 WHEN mat_sku < 'M5' THEN 3 ELSE 1 END) AS n"
+    parts += [
+        f"SELECT {n}, 'dim_calendar', count(*), 'added' FROM ({dates} FROM movement GROUP BY movement_date) WHERE n = {n}"
+        for n in moves
+    ]
+    parts.append("SELECT 2, NULL, NULL, 'refused'")
+    return f"{STAGED}\n" + "\nUNION ALL ".join(parts)
+
+
 ITEM_COLUMNS = (
     "medicine_sku, medicine_name, type_description, storage_type, CAST(unit_cost AS DOUBLE) AS unit_cost, expiration_months"
 )
@@ -426,8 +449,28 @@ SELECT * REPLACE (CASE WHEN month <= 6 THEN upper(month_name) ELSE month_name EN
     "accumulate_load": _accumulated(),
     "stream_daily": f"{GROUPED} SELECT * FROM fact_grouped",
     "star_incremental": f"{GROUPED} SELECT {FACT_COLUMNS} FROM fact",
+    "stream_star": f"{GROUPED} SELECT {FACT_COLUMNS} FROM fact",
+    "batch_quality": _quality(),
+    "batch_loads": _batch_loads(),
+    "item_buckets": f"""{STAGED}
+SELECT medicine_sku, medicine_name, type_description, storage_type,
+       CAST(unit_cost AS DOUBLE) + CASE WHEN medicine_sku = (SELECT min(medicine_sku) FROM item) THEN 1 ELSE 0 END AS unit_cost,
+       expiration_months FROM item""",
+    "append_load": f"""{STAGED}, daily AS (
+  SELECT batch, mat_sku, movement_date, sum(issued_qty) AS issued_qty FROM movement GROUP BY ALL)
+SELECT batch, count(*) AS n_rows, count(*) AS n_written, sum(issued_qty) AS issued_qty FROM daily GROUP BY batch""",
+    "catalog_tables": f"""{GROUPED}
+SELECT 'dim_item' AS table_name, count(*) AS n_rows FROM item UNION ALL SELECT 'dim_vendor', count(*) FROM vendor
+UNION ALL SELECT 'dim_calendar', count(*) FROM calendar UNION ALL SELECT 'fact_inventory', count(*) FROM fact
+UNION ALL SELECT 'joined', count(*) FROM fact""",
     "fact_from_csv": f"{GROUPED} SELECT {FACT_COLUMNS} FROM fact",
     "input_report": _inputs(),
     "quality_report": _quality(),
     "lookup_losses": _losses(),
 }
+ORACLE |= {f"sums_{name}": ORACLE[name] for name in ("kpi_raw_3", "kpi_raw_4", "kpi_raw_6", "kpi_mat_3")}
+ORACLE |= {
+    "rollup_panels": ORACLE["filtered_panels"],
+    "rollup_cards": ORACLE["filtered_cards"],
+    "rollup_critical_items": ORACLE["critical_items"],
+}

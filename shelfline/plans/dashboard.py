@@ -72,22 +72,22 @@ def last_days(wide: DataFrame, today: Column, days: int = 30) -> DataFrame:
 
 def total_value(filtered: DataFrame) -> DataFrame:
     """Summed value of all rows; 0 for an empty selection."""
-    return filtered.agg(_sum0("Total_Value").alias("total_inventory_value"))
+    return filtered.agg(sum_or_0("Total_Value").alias("total_inventory_value"))
 
 
-def _sum0(value: Column | str) -> Column:
+def sum_or_0(value: Column | str) -> Column:
     return F.coalesce(F.sum(value), F.lit(0)).cast("bigint")
 
 
-def _issued_on(day: Column) -> Column:
-    return _sum0(F.when(F.col("Date") == day, F.col("Issued_Qty")))
+def issued_on(day: Column) -> Column:
+    return sum_or_0(F.when(F.col("Date") == day, F.col("Issued_Qty")))
 
 
 def issued_today(filtered: DataFrame, today: Column) -> DataFrame:
     """Issued today and yesterday within the selection, in one pass; 0 for days outside it."""
     return (
         filtered.where(F.col("Date").isin(today, F.date_sub(today, 1)))
-        .agg(_issued_on(today).alias("issued_today"), _issued_on(F.date_sub(today, 1)).alias("issued_yesterday"))
+        .agg(issued_on(today).alias("issued_today"), issued_on(F.date_sub(today, 1)).alias("issued_yesterday"))
         .withColumn("issued_delta", F.col("issued_today") - F.col("issued_yesterday"))
         .withColumn("issued_delta_abs", F.abs("issued_delta"))
     )
@@ -108,14 +108,14 @@ def cards(filtered: DataFrame, today: Column) -> DataFrame:
     yesterday = F.date_sub(today, 1)
     per_name = filtered.groupBy("Medicine_Name").agg(
         F.sum("Total_Value").alias("value"),
-        _issued_on(today).alias("today"),
-        _issued_on(yesterday).alias("yesterday"),
+        issued_on(today).alias("today"),
+        issued_on(yesterday).alias("yesterday"),
         F.coalesce(F.bool_or(F.col("Issued_Qty") > F.col("Remaining_Qty")), F.lit(False)).alias("critical"),
     )
     return per_name.agg(
-        _sum0("value").alias("total_inventory_value"),
-        _sum0("today").alias("issued_today"),
-        (_sum0("today") - _sum0("yesterday")).alias("issued_delta"),
+        sum_or_0("value").alias("total_inventory_value"),
+        sum_or_0("today").alias("issued_today"),
+        (sum_or_0("today") - sum_or_0("yesterday")).alias("issued_delta"),
         F.count_if(F.col("critical") & F.col("Medicine_Name").isNotNull()).alias("n_critical"),
     )
 
@@ -187,18 +187,30 @@ def calendar_range(end: Column, demand: DataFrame, days: int = 90) -> DataFrame:
 
 def panels(filtered: DataFrame, groups: Collection[str] = AGE_GROUPS) -> DataFrame:
     """The figures of all panels over one selection, as rows (panel, label, value)."""
+    return panel_rows(
+        total_value(filtered),
+        critical_items(filtered),
+        top_items_by_stock(filtered),
+        demand_trend(filtered),
+        usage_by_group(filtered, groups),
+        vendor_received(filtered),
+    )
+
+
+def panel_rows(
+    total: DataFrame, critical: DataFrame, top: DataFrame, demand: DataFrame, usage: DataFrame, vendors: DataFrame
+) -> DataFrame:
+    """Each panel's result as rows (panel, label, value)."""
 
-    def rows(df: DataFrame, panel: str, label: str, value: str) -> DataFrame:
-        return df.select(
-            F.lit(panel).alias("panel"), F.col(label).cast("string").alias("label"), F.col(value).cast("bigint").alias("value")
-        )
+    def rows(df: DataFrame, panel: str, label: Column, value: str) -> DataFrame:
+        return df.select(F.lit(panel).alias("panel"), label.cast("string").alias("label"), F.col(value).cast("bigint").alias("value"))
 
     parts = [
-        rows(total_value(filtered).withColumn("label", F.lit("all")), "total_value", "label", "total_inventory_value"),
-        rows(critical_items(filtered).withColumn("label", F.lit("all")), "critical_items", "label", "n_critical"),
-        rows(top_items_by_stock(filtered), "top_items", "Medicine_Name", "Remaining_Qty"),
-        rows(demand_trend(filtered), "demand", "Date", "Issued_Qty"),
-        rows(usage_by_group(filtered, groups), "usage", "Age_Group", "Issued_Qty"),
-        rows(vendor_received(filtered), "vendors", "Vendor_Name", "Received_Qty"),
+        rows(total, "total_value", F.lit("all"), "total_inventory_value"),
+        rows(critical, "critical_items", F.lit("all"), "n_critical"),
+        rows(top, "top_items", F.col("Medicine_Name"), "Remaining_Qty"),
+        rows(demand, "demand", F.col("Date"), "Issued_Qty"),
+        rows(usage, "usage", F.col("Age_Group"), "Issued_Qty"),
+        rows(vendors, "vendors", F.col("Vendor_Name"), "Received_Qty"),
     ]
     return reduce(DataFrame.unionByName, parts)

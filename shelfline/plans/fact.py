@@ -44,12 +44,15 @@ def grouped_fact(daily: DataFrame, supply: DataFrame, scope: tuple[str, ...] = (
     return asof_rows(known, receipts).withColumn("day_number", F.unix_date("movement_date"))
 
 
-def item_measures(grouped: DataFrame, scope: tuple[str, ...] = ()) -> DataFrame:
-    """Add turnover, 30-day mean usage and coverage. One shuffle and sort by SKU and day serve all of it."""
+def item_measures(grouped: DataFrame, scope: tuple[str, ...] = (), whole: bool = True) -> DataFrame:
+    """Add turnover, 30-day mean usage and coverage. One shuffle and sort by SKU and day serve all of it.
+
+    Rows that aren't the whole history of their items have no turnover; it is 0.
+    """
     item = ["mat_sku", *scope]
     return grouped.withColumns(
         {
-            "turnover_ratio": turnover(item),
+            "turnover_ratio": turnover(item) if whole else F.lit(0.0),
             "avg_issued_30d": trailing_mean("issued_qty", item, F.col("day_number")),
         }
     ).withColumn("stock_coverage_days", coverage(F.col("closed_qty"), F.col("avg_issued_30d")))
@@ -121,9 +124,10 @@ def build_fact(
     vendors: DataFrame,
     scope: tuple[str, ...] = (),
     keep: tuple[str, ...] = (),
+    whole: bool = True,
 ) -> DataFrame:
-    """The fact in its stored types. ``keep`` carries natural-key columns along."""
-    keyed = with_keys(item_measures(grouped_fact(daily, supply, scope), scope), items, calendar, vendors)
+    """The fact in its stored types. ``keep`` carries natural-key columns along; ``whole`` as in ``item_measures``."""
+    keyed = with_keys(item_measures(grouped_fact(daily, supply, scope), scope, whole), items, calendar, vendors)
     return row_measures(keyed).select(
         *keep, *schemas.FACT_KEYS, *[money(F.col(m)).alias(m) for m in schemas.FACT_MEASURES]
     )

@@ -10,7 +10,8 @@ from shelfline.star import Star
 
 def input_report(raw: RawInputs, tables: tuple[str, ...] = ("items", "vendors", "supply", "movements")) -> DataFrame:
     """Rows (table_name, column_name, problem, n_rows, n_bad) of the raw inputs, one pass over each table."""
-    return report([count_problems(getattr(raw, name), name, input_problems(name)) for name in tables])
+    frames = {name: getattr(raw, name) for name in tables}
+    return report([count_problems(frame, name, input_problems(frame, name)) for name, frame in frames.items()])
 
 
 def star_report(star: Star) -> DataFrame:

@@ -1,200 +1,518 @@
 """A stored star that takes batches of raw rows: one more file, one more month, a late receipt.
 
-Kept under one path, each batch in folders of its own id, so that a batch added
-again overwrites itself:
+The ledger (``plans/ledger.py``) says which folders are live; a batch writes
+only new ones, so a refused or broken-off batch leaves no trace in any result,
+and whoever reads while a batch is added sees the star before it. The tables:
 
-* ``daily`` and ``receipts``: sums per (date, SKU) and vendors per (SKU, date)
-  of each batch; small against raw rows and the only history that is read;
-* ``dims`` and ``totals``: dimensions and per-item totals after each batch;
-* ``fact``: partitions by month, of which a batch rewrites those it affects.
+* ``moves``, by month: sums per (date, SKU) of each batch, which add up;
+* ``receipts``: vendors per (SKU, date) that a batch brought or changed;
+* ``dim_item``, ``dim_vendor``, by hash bucket of the key: a batch rewrites the
+  buckets in which a row is new or differs; ``dim_calendar``: dates, added;
+* ``item_months``, by month: for each (SKU, month) its number of dates, first
+  and last date, and the sums behind turnover. It tells which months a batch
+  affects without a look at the history;
+* ``fact``, by month; ``fact_sums``, by month: sums per (month, item, vendor);
+  ``fact_checks`` and ``fact_ids``, by month: rule violations, and bitmaps of
+  the surrogate ids in use. All four are rewritten for affected months only.
 
 A movement affects its SKU's rows of that date and the 29 after it, whose mean
 usage changes. A receipt affects its SKU from its date to the next receipt, and
-29 dates on. New items and vendors affect all dates of their SKUs. Turnover
-depends on an item's whole history, so it is joined from the totals when the
-star is read. Stored values keep the unit cost known when their date was last
-written.
+29 dates on. New items and vendors affect all dates of their SKUs. To write a
+month again takes the daily sums of that month and of the 29 dates before it.
+Turnover depends on an item's whole history, so it is summed from
+``item_months`` when the star is read. Stored values keep the unit cost known
+when their date was last written.
 """
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+import datetime as dt
+from collections.abc import Callable, Collection, Iterable
+from concurrent.futures import ThreadPoolExecutor
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
+from pyspark.sql import types as T
 
 from shelfline import schemas
 from shelfline.functions import money, ratio
 from shelfline.operators.asof import latest_receipts
-from shelfline.operators.quality import check_keys, check_rows, report
+from shelfline.operators.merge import bucket_of, changed_rows, top_id, upsert
+from shelfline.operators.quality import check_rows, check_unique, report
 from shelfline.operators.windows import turnover_ratio
+from shelfline.plans import ledger
+from shelfline.plans.dims import calendar_from_days, load_items, load_vendors
 from shelfline.plans.fact import build_fact
-from shelfline.plans.warehouse import (
-    ENFORCED,
-    RefusedLoad,
-    by_month,
-    check_inputs,
-    load_dims,
-    read_dims,
-    read_table,
-    write_daily,
-)
-from shelfline.schemas import QUANTITIES
-from shelfline.sources import RawInputs, type_supply
+from shelfline.plans.ledger import Snapshot
+from shelfline.plans.warehouse import ENFORCED, RefusedLoad, by_month, check_inputs, month_of, write_daily, write_table
+from shelfline.schemas import MONTH_ID, QUANTITIES
+from shelfline.session import subfolders
+from shelfline.sources import RawInputs, clean_items, clean_vendors, type_supply
 from shelfline.star import Dims, Star
 
-_TOTALS = "mat_sku string, issued double, opened double, n_days long"
-_SPAN = 29
+BUCKET = "bucket"
+#: Partition column of each table.
+COLUMNS = {
+    "moves": MONTH_ID,
+    "receipts": None,
+    "dim_item": BUCKET,
+    "dim_vendor": BUCKET,
+    "dim_calendar": None,
+    "item_months": MONTH_ID,
+    "fact": MONTH_ID,
+    "fact_sums": MONTH_ID,
+    "fact_checks": MONTH_ID,
+    "fact_ids": MONTH_ID,
+}
+#: Buckets of a dimension; a batch that changes one row rewrites this share of it.
+BUCKETS = 16
+#: Dates after its own on which a movement has a say.
+SPAN = 29
+
+
+_TEXT, _LONG, _DATE, _DOUBLE, _SUM = T.StringType(), T.LongType(), T.DateType(), T.DoubleType(), T.DecimalType(28, 2)
+
+
+def _schema(**types: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in types.items()])
+
+
+_SCHEMAS = {
+    "moves": _schema(mat_sku=_TEXT, movement_date=_DATE, **dict.fromkeys(QUANTITIES, _DOUBLE)),
+    "receipts": _schema(mat_sku=_TEXT, rcvd_date=_DATE, ven_acc=_TEXT),
+    "dim_item": schemas.DIM_ITEM,
+    "dim_vendor": schemas.DIM_VENDOR,
+    "dim_calendar": schemas.DIM_CALENDAR,
+    "item_months": _schema(
+        mat_sku=_TEXT, first_day=_DATE, last_day=_DATE, n_dates=_LONG, issued=_DOUBLE, opened=_DOUBLE, n_days=_LONG
+    ),
+    "fact": schemas.FACT,
+    "fact_sums": _schema(
+        **dict.fromkeys(schemas.FACT_KEYS, _LONG), **dict.fromkeys(QUANTITIES[:3], _SUM), n_rows=_LONG
+    ),
+    "fact_checks": _schema(rule=_TEXT, table_name=_TEXT, column_name=_TEXT, violations=_LONG),
+    "fact_ids": _schema(column_name=_TEXT, chunk=_LONG, ids=T.BinaryType()),
+}
+#: Tables that are written anew for each affected month.
+_OF_MONTH = ("item_months", "fact", "fact_sums", "fact_checks", "fact_ids")
+
+
+def open_star(spark: SparkSession, path: str) -> Snapshot:
+    """The star's live folders just now; later batches don't change what is read through it."""
+    return ledger.snapshot(spark, path, COLUMNS)
 
 
 def last_batch(spark: SparkSession, path: str) -> int:
     """Id of the newest batch added whole; -1 for none."""
-    try:
-        return spark.read.parquet(f"{path}/_added").agg(F.max("batch_id")).first()[0]
-    except AnalysisException:
-        return -1
+    return open_star(spark, path).batch_id
+
+
+def _read(spark: SparkSession, snap: Snapshot, table: str, parts: Collection[int | None] | None = None) -> DataFrame:
+    return snap.read(spark, table, _SCHEMAS[table], parts)
 
 
-def _daily(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.parquet(f"{path}/daily")
+def _dims(spark: SparkSession, snap: Snapshot) -> Dims:
+    items, vendors = (_read(spark, snap, t).drop(BUCKET) for t in ("dim_item", "dim_vendor"))
+    return Dims(items, vendors, _read(spark, snap, "dim_calendar"))
+
+
+def _daily(spark: SparkSession, snap: Snapshot, months: Collection[int]) -> DataFrame:
+    """Quantities per (SKU, date) of some months."""
+    rows = _read(spark, snap, "moves", months)
+    if snap.whole("moves", months):
+        return rows.drop(MONTH_ID)
     return rows.groupBy("mat_sku", "movement_date").agg(*[F.sum(q).alias(q) for q in QUANTITIES])
 
 
-def _receipts(spark: SparkSession, path: str) -> DataFrame:
-    rows = spark.read.parquet(f"{path}/receipts")
-    return rows.groupBy("mat_sku", "rcvd_date").agg(F.max("ven_acc").alias("ven_acc"))
+def _receipts(spark: SparkSession, snap: Snapshot) -> DataFrame:
+    """One vendor per (SKU, date); a later batch may have brought a greater account for the same date."""
+    return _read(spark, snap, "receipts").groupBy("mat_sku", "rcvd_date").agg(F.max("ven_acc").alias("ven_acc"))
 
 
-def _new_keys(now: DataFrame, before: DataFrame | None, key: str) -> DataFrame:
-    return now.select(key) if before is None else now.select(key).join(before.select(key), key, "left_anti")
+def _month(day: Column | str) -> Column:
+    return F.year(day) * 100 + F.month(day)
 
 
-def _affected_dates(spark: SparkSession, path: str, batch: str, now: Dims, before: Dims | None) -> DataFrame:
-    """Distinct movement dates of all batches whose rows this batch may change."""
-    moved = spark.read.parquet(f"{path}/daily/{batch}").select(
-        "mat_sku", F.col("movement_date").alias("since"), F.date_add("movement_date", _SPAN).alias("until")
-    )
-    receipts = _receipts(spark, path)
-    following = F.lead("rcvd_date").over(Window.partitionBy("mat_sku").orderBy("rcvd_date"))
-    late = (
-        receipts.select("mat_sku", "rcvd_date", following.alias("next"))
-        .join(spark.read.parquet(f"{path}/receipts/{batch}").select("mat_sku", "rcvd_date"), ["mat_sku", "rcvd_date"])
-        .select("mat_sku", F.col("rcvd_date").alias("since"), F.date_add("next", _SPAN).alias("until"))
+def months_between(first: dt.date, last: dt.date) -> list[int]:
+    """Months, as yyyymm, from that of one date to that of another."""
+    return [y * 100 + m for y in range(first.year, last.year + 1) for m in range(1, 13) if (first.year, first.month) <= (y, m) <= (last.year, last.month)]
+
+
+def months_needed(months: Iterable[int]) -> set[int]:
+    """The months whose rows have a say in these ones: each and those of the 29 dates before it."""
+    out: set[int] = set()
+    for month in months:
+        first = dt.date(month // 100, month % 100, 1)
+        out |= set(months_between(first - dt.timedelta(days=SPAN), first))
+    return out
+
+
+def _together(*actions: Callable[[], object]) -> list:
+    """Run independent jobs side by side, as each is too small for all cores; the first failure is raised."""
+    with ThreadPoolExecutor(len(actions)) as pool:
+        return [done.result() for done in [pool.submit(action) for action in actions]]
+
+
+def _written_parts(spark: SparkSession, snap: Snapshot, table: str, batch_id: int) -> set[int]:
+    names = subfolders(spark, f"{snap.path}/{table}/batch_id={batch_id}")
+    return {int(name.partition("=")[2]) for name in names if name.startswith(f"{COLUMNS[table]}=")}
+
+
+# --- dimensions -----------------------------------------------------------------------------------
+
+
+def _merge_buckets(
+    spark: SparkSession, before: Snapshot, table: str, new: DataFrame, key: str, id_col: str, batch_id: int
+) -> tuple[set[int], set[int], int]:
+    """Write the buckets in which rows are new or differ: those buckets, those of them that hold new keys, and rows."""
+    folder = f"{before.path}/{table}/batch_id={batch_id}"
+    if before.parts(table):
+        old = _read(spark, before, table).drop(BUCKET)
+        changed = changed_rows(old, new, key).join(old.select(key, F.lit(True).alias("_known")), key, "left")
+        changed = changed.withColumn(BUCKET, bucket_of(key, BUCKETS))
+        found = changed.groupBy(BUCKET).agg(F.count_if(F.col("_known").isNull()).alias("n")).collect()  # BUCKETS at most
+        if not found:
+            return set(), set(), 0
+        part = _read(spark, before, table, {r[BUCKET] for r in found}).drop(BUCKET)
+        rows = upsert(part, changed.drop("_known", BUCKET), key, id_col, after=top_id(old, id_col))
+        fresh = {r[BUCKET] for r in found if r["n"]}
+    else:
+        rows, fresh = (load_items if table == "dim_item" else load_vendors)(new), None
+    rows = rows.select(*_SCHEMAS[table].names).withColumn(BUCKET, bucket_of(key, BUCKETS)).repartition(BUCKET)
+    n = write_table(rows, folder, partition_by=BUCKET)
+    touched = _written_parts(spark, before, table, batch_id)
+    return touched, touched if fresh is None else fresh, n
+
+
+def _added_keys(spark: SparkSession, before: Snapshot, after: Snapshot, table: str, key: str, buckets: set[int]) -> DataFrame:
+    """Keys in these buckets that the star did not hold before."""
+    now, old = (_read(spark, s, table, buckets).select(key) for s in (after, before))
+    return now.join(old, key, "left_anti")
+
+
+# --- affected months ------------------------------------------------------------------------------
+
+
+def affected_months(
+    spark: SparkSession, before: Snapshot, after: Snapshot, batch_id: int, fresh_items: set[int], fresh_vendors: set[int]
+) -> set[int]:
+    """Months whose rows a batch may change, from the batch and the index of (SKU, month)."""
+    own = {p for p, batches in after.live.get("moves", {}).items() if batch_id in batches}
+    if not before.parts("item_months"):
+        return own
+    index = _read(spark, before, "item_months").select("mat_sku", MONTH_ID, "first_day", "last_day")
+    moved = (
+        _read(spark, after.without("moves", after.parts("moves")).adding("moves", own, batch_id), "moves")
+        .groupBy("mat_sku", MONTH_ID)
+        .agg(F.max("movement_date").alias("last"))
     )
-    items = _new_keys(now.items, before and before.items, "medicine_sku").select(F.col("medicine_sku").alias("mat_sku"))
-    vendors = _new_keys(now.vendors, before and before.vendors, "vendor_account")
-    supplied = receipts.join(vendors, receipts["ven_acc"] == vendors["vendor_account"], "left_semi").select("mat_sku")
-    always = items.unionByName(supplied).distinct()
-    ranges = moved.unionByName(late).unionByName(
-        always.select("mat_sku", F.lit(None).cast("date").alias("since"), F.lit(None).cast("date").alias("until"))
+    until = F.date_add("last", SPAN)
+    later = F.sequence(F.trunc(F.add_months("last", 1), "month"), F.trunc(until, "month"), F.expr("interval 1 month"))
+    reach = moved.where(F.trunc(until, "month") > F.trunc("last", "month")).select(
+        "mat_sku", F.explode(later).alias("_start"), until.alias("until")
     )
-    # closed ranges become dates, so that the join is on both columns; of open ones a SKU keeps the earliest
-    open_ = ranges.where("since is null or until is null").groupBy("mat_sku").agg(
-        F.when(F.count("since") == F.count(F.lit(1)), F.min("since")).alias("since")
+    after_moves = (
+        reach.select("mat_sku", _month("_start").alias(MONTH_ID), "until")
+        .join(index, ["mat_sku", MONTH_ID])
+        .where("first_day <= until")
     )
-    closed = ranges.where("since is not null and until is not null").withColumn(
-        "day", F.explode(F.sequence("since", "until"))
+    found = [after_moves.select(MONTH_ID)]
+    if batch_id in after.live.get("receipts", {}).get(None, ()):
+        new = _read(spark, after.without("receipts", [None]).adding("receipts", [None], batch_id), "receipts")
+        skus = new.select("mat_sku").distinct()
+        following = F.lead("rcvd_date").over(Window.partitionBy("mat_sku").orderBy("rcvd_date"))
+        ranges = (
+            _receipts(spark, after)
+            .join(skus, "mat_sku", "left_semi")
+            .withColumn("until", F.date_add(following, SPAN))
+            .join(new.select("mat_sku", "rcvd_date"), ["mat_sku", "rcvd_date"], "left_semi")
+            .select("mat_sku", F.col("rcvd_date").alias("since"), "until")
+        )
+        late = ranges.join(index, "mat_sku").where("last_day >= since and (until is null or first_day <= until)")
+        found.append(late.select(MONTH_ID))
+    if fresh_items and before.parts("dim_item"):
+        items = _added_keys(spark, before, after, "dim_item", "medicine_sku", fresh_items)
+        found.append(index.join(items.withColumnRenamed("medicine_sku", "mat_sku"), "mat_sku", "left_semi").select(MONTH_ID))
+    if fresh_vendors and before.parts("dim_vendor"):
+        vendors = _added_keys(spark, before, after, "dim_vendor", "vendor_account", fresh_vendors)
+        skus = _read(spark, after, "receipts").join(vendors.withColumnRenamed("vendor_account", "ven_acc"), "ven_acc", "left_semi")
+        found.append(index.join(skus.select("mat_sku"), "mat_sku", "left_semi").select(MONTH_ID))
+    months = found[0]
+    for more in found[1:]:
+        months = months.unionByName(more)
+    return own | {r[MONTH_ID] for r in months.distinct().collect()}  # months
+
+
+# --- what is kept of each month -------------------------------------------------------------------
+
+
+def _item_months(daily: DataFrame, receipts: DataFrame, months: Collection[int]) -> DataFrame:
+    """Dates and turnover sums per (SKU, month); only dates from a SKU's first receipt on have a vendor and count."""
+    first = receipts.groupBy("mat_sku").agg(F.min("rcvd_date").alias("_first"))
+    supplied = F.col("movement_date") >= F.col("_first")
+    return (
+        daily.withColumn(MONTH_ID, _month("movement_date"))
+        .where(F.col(MONTH_ID).isin(list(months)) & F.col("mat_sku").isNotNull())
+        .join(first, "mat_sku", "left")
+        .groupBy("mat_sku", MONTH_ID)
+        .agg(
+            F.min("movement_date").alias("first_day"),
+            F.max("movement_date").alias("last_day"),
+            F.count(F.lit(1)).alias("n_dates"),
+            F.coalesce(F.sum(F.when(supplied, F.col("issued_qty"))), F.lit(0.0)).alias("issued"),
+            F.coalesce(F.sum(F.when(supplied, F.col("opening_qty"))), F.lit(0.0)).alias("opened"),
+            F.count_if(supplied).alias("n_days"),
+        )
     )
-    days = spark.read.parquet(f"{path}/daily").select("mat_sku", "movement_date").distinct()
-    by_day = days.join(
-        closed.select("mat_sku", F.col("day").alias("movement_date")).distinct(), ["mat_sku", "movement_date"], "left_semi"
+
+
+def _fact_sums(fact: DataFrame) -> DataFrame:
+    """Sums per (month, item, vendor), under the month's first date."""
+    return fact.groupBy(MONTH_ID, "medicine_id_fk", "vendor_id_fk").agg(
+        F.min("date_id_fk").alias("date_id_fk"),
+        *[F.sum(q).cast("decimal(28,2)").alias(q) for q in QUANTITIES[:3]],
+        F.count(F.lit(1)).alias("n_rows"),
     )
-    later = days.join(open_, "mat_sku").where("since is null or movement_date >= since")
-    return by_day.select("movement_date").unionByName(later.select("movement_date")).distinct()
 
 
-def _totals(spark: SparkSession, path: str, batch: str, before: DataFrame | None) -> DataFrame:
-    """Issued, opened and dates of each item, since its first receipt; computed for the batch's items, kept for others."""
-    touched = (
-        spark.read.parquet(f"{path}/daily/{batch}")
-        .select("mat_sku")
-        .unionByName(spark.read.parquet(f"{path}/receipts/{batch}").select("mat_sku"))
-        .distinct()
+def _fact_checks(fact: DataFrame) -> DataFrame:
+    """Violations of the fact's own rules in each month."""
+    rules = schemas.FACT_RULES
+    checks = [("not_null", c, F.col(c).isNull()) for c in rules.not_null]
+    checks += [("overflow", c, F.abs(F.col(c).cast("double")) >= n) for c, n in rules.max_abs.items()]
+    keys = fact.groupBy(MONTH_ID, *rules.key).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.count_if(test).alias(f"_{i}") for i, (_, _, test) in enumerate(checks)]
     )
-    first = _receipts(spark, path).groupBy("mat_sku").agg(F.min("rcvd_date").alias("first"))
-    new = (
-        _daily(spark, path)
-        .join(touched, "mat_sku", "left_semi")
-        .join(first, "mat_sku")
-        .where("movement_date >= first")
-        .groupBy("mat_sku")
-        .agg(
-            F.sum("issued_qty").alias("issued"),
-            F.sum("opening_qty").alias("opened"),
-            F.count(F.lit(1)).alias("n_days"),
+    counted = keys.groupBy(MONTH_ID).agg(
+        F.count_if(F.col("_n") > 1).alias("_unique"), *[F.sum(f"_{i}").alias(f"_{i}") for i in range(len(checks))]
+    )
+    rows = [("unique", "+".join(rules.key), "_unique")] + [(rule, c, f"_{i}") for i, (rule, c, _) in enumerate(checks)]
+    listed = [
+        F.struct(
+            F.lit(rule).alias("rule"),
+            F.lit("fact_inventory").alias("table_name"),
+            F.lit(column).alias("column_name"),
+            F.col(value).cast("long").alias("violations"),
         )
+        for rule, column, value in rows
+    ]
+    return counted.select(MONTH_ID, F.inline(F.array(*listed)))
+
+
+def _bitmaps(ids: DataFrame, *keys: str) -> DataFrame:
+    """Bitmaps of the ids in column id, one for each chunk of some 32,000 of them."""
+    return ids.groupBy(*keys, F.bitmap_bucket_number("id").alias("chunk")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("ids")
     )
-    return new if before is None else new.unionByName(before.join(touched, "mat_sku", "left_anti"))
 
 
-def _refuse_broken(fact: DataFrame, dims: Dims) -> None:
-    parents = {
-        "date_id_fk": (dims.calendar, "date_id_pk"),
-        "medicine_id_fk": (dims.items, "medicine_id_pk"),
-        "vendor_id_fk": (dims.vendors, "vendor_id_pk"),
-    }
-    rules = schemas.FACT_RULES
-    found = report([check_rows(fact, "fact", rules), *check_keys(fact, "fact", rules.key, parents)])
-    broken = [r for r in found.where("violations > 0").collect() if r["rule"] in ENFORCED]
+def _fact_ids(fact: DataFrame) -> DataFrame:
+    used = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("id")) for c in schemas.FACT_KEYS]
+    return _bitmaps(fact.select(MONTH_ID, F.inline(F.array(*used))), MONTH_ID, "column_name")
+
+
+def _orphans(used: DataFrame, dims: Dims) -> DataFrame:
+    """Surrogate ids in use that no dimension holds, counted by column.
+
+    Bits that appear only once the used ids join the dimension's are its orphans; no row of the fact is read.
+    """
+    parents = [
+        dims.calendar.select(F.lit("date_id_fk").alias("column_name"), F.col("date_id_pk").alias("id")),
+        dims.items.select(F.lit("medicine_id_fk").alias("column_name"), F.col("medicine_id_pk").alias("id")),
+        dims.vendors.select(F.lit("vendor_id_fk").alias("column_name"), F.col("vendor_id_pk").alias("id")),
+    ]
+    known = _bitmaps(report(parents), "column_name").withColumn("_known", F.lit(True))
+    both = known.unionByName(used.select("column_name", "chunk", "ids"), allowMissingColumns=True)
+    merged = both.groupBy("column_name", "chunk").agg(
+        F.bitmap_count(F.bitmap_or_agg("ids")).alias("n_all"),
+        F.coalesce(F.sum(F.when(F.col("_known"), F.bitmap_count("ids"))), F.lit(0)).alias("n_known"),
+    )
+    return merged.groupBy("column_name").agg(F.sum(F.col("n_all") - F.col("n_known")).alias("violations")).select(
+        F.lit("reference").alias("rule"), F.lit("fact_inventory").alias("table_name"), "column_name", "violations"
+    )
+
+
+def batch_report(spark: SparkSession, path: str, snap: Snapshot | None = None) -> DataFrame:
+    """Every declared rule with its violations, as ``star_report`` gives them, without reading the fact.
+
+    A reference counts ids without a row in the dimension, not the fact rows that hold them.
+    """
+    snap = snap or open_star(spark, path)
+    dims = _dims(spark, snap)
+    tables = [
+        ("dim_item", dims.items, schemas.ITEM_RULES),
+        ("dim_vendor", dims.vendors, schemas.VENDOR_RULES),
+        ("dim_calendar", dims.calendar, schemas.CALENDAR_RULES),
+    ]
+    parts = [check_rows(df, name, rules) for name, df, rules in tables]
+    parts += [check_unique(df, name, rules.key) for name, df, rules in tables]
+    stored = _read(spark, snap, "fact_checks").groupBy("rule", "table_name", "column_name")
+    parts.append(stored.agg(F.sum("violations").alias("violations")))
+    return report([*parts, _orphans(_read(spark, snap, "fact_ids"), dims)])
+
+
+# --- batches --------------------------------------------------------------------------------------
+
+
+def _refuse_broken(spark: SparkSession, after: Snapshot, months: Collection[int]) -> None:
+    """Fail on broken rules in the months just written; the others kept them when they were written."""
+    found = report(
+        [
+            _read(spark, after, "fact_checks", months).drop(MONTH_ID),
+            _orphans(_read(spark, after, "fact_ids", months), _dims(spark, after)),
+        ]
+    )
+    broken = [r for r in found.where("violations > 0").collect() if r["rule"] in ENFORCED]  # a row for each rule at most
     if broken:
-        raise RefusedLoad("; ".join(f"{r.rule} {r.column_name}: {r.violations}" for r in broken))
+        raise RefusedLoad("; ".join(sorted({f"{r.rule} {r.column_name}: {r.violations}" for r in broken})))
+
+
+def _write_batch(spark: SparkSession, raw: RawInputs, before: Snapshot, batch_id: int) -> tuple[Snapshot, dict[str, int]]:
+    """Write all folders of a batch; what the star consists of with them, and rows written by table."""
+    here = {table: f"{before.path}/{table}/batch_id={batch_id}" for table in COLUMNS}
+
+    def receipts() -> int:
+        new = latest_receipts(type_supply(raw.supply))
+        if before.parts("receipts"):  # only those that change the vendor of their date
+            known = _receipts(spark, before).withColumnRenamed("ven_acc", "_had")
+            new = new.join(known, ["mat_sku", "rcvd_date"], "left").where("_had is null or ven_acc > _had").drop("_had")
+        return write_table(new, here["receipts"])
+
+    _, n_moves, n_receipts, items, vendors = _together(
+        lambda: check_inputs(raw),
+        lambda: write_daily(raw.movements, here["moves"], by_month_too=True),
+        receipts,
+        lambda: _merge_buckets(
+            spark, before, "dim_item", clean_items(raw.items), "medicine_sku", "medicine_id_pk", batch_id
+        ),
+        lambda: _merge_buckets(
+            spark, before, "dim_vendor", clean_vendors(raw.vendors), "vendor_account", "vendor_id_pk", batch_id
+        ),
+    )
+    after = before.adding("moves", _written_parts(spark, before, "moves", batch_id), batch_id)
+    if n_receipts:
+        after = after.adding("receipts", [None], batch_id)
+    after = after.replacing("dim_item", items[0], batch_id).replacing("dim_vendor", vendors[0], batch_id)
+
+    def calendar() -> int:
+        own = after.without("moves", after.parts("moves")).adding(
+            "moves", _written_parts(spark, before, "moves", batch_id), batch_id
+        )
+        days = calendar_from_days(_read(spark, own, "moves"))
+        known = _read(spark, before, "dim_calendar").select("full_date")
+        return write_table(days.join(known, "full_date", "left_anti").coalesce(1), here["dim_calendar"])
+
+    n_days, months = _together(calendar, lambda: affected_months(spark, before, after, batch_id, items[1], vendors[1]))
+    if n_days:
+        after = after.adding("dim_calendar", [None], batch_id)
+    rows = {"moves": n_moves, "receipts": n_receipts, "dim_item": items[2], "dim_vendor": vendors[2], "dim_calendar": n_days}
+    if not months:
+        return after, rows
+
+    daily = _daily(spark, after, months_needed(months))
+    dims, known = _dims(spark, after), _receipts(spark, after)
+
+    def fact() -> int:
+        built = build_fact(daily, known, dims.items, dims.calendar, dims.vendors, whole=False)
+        return write_table(
+            by_month(built.where(month_of(F.col("date_id_fk")).isin(list(months)))), here["fact"], partition_by=MONTH_ID
+        )
+
+    def item_months() -> int:
+        # the affected months lie wholly within the daily sums, which also hold the 29 dates before them
+        table = _item_months(daily, known, months).repartition(MONTH_ID)
+        return write_table(table, here["item_months"], partition_by=MONTH_ID)
+
+    rows["fact"], rows["item_months"] = _together(fact, item_months)
+    written = after.without("fact", after.parts("fact")).replacing(
+        "fact", _written_parts(spark, after, "fact", batch_id), batch_id
+    )
+    stored = _read(spark, written, "fact")
+
+    def summary(table: str, frame: DataFrame) -> Callable[[], int]:
+        return lambda: write_table(frame.repartition(MONTH_ID), here[table], partition_by=MONTH_ID)
+
+    rows["fact_sums"], _, _ = _together(
+        summary("fact_sums", _fact_sums(stored)),
+        summary("fact_checks", _fact_checks(stored)),
+        summary("fact_ids", _fact_ids(stored)),
+    )
+    for table in _OF_MONTH:  # a month may have lost all its rows, so it is first taken out
+        after = after.without(table, months).replacing(table, _written_parts(spark, after, table, batch_id), batch_id)
+    _refuse_broken(spark, after, months)
+    return after, rows
 
 
 def add_batch(spark: SparkSession, raw: RawInputs, path: str, batch_id: int) -> bool:
     """Add a batch to the star under ``path``, the first one making it; False if it was added before.
 
-    Batches are numbered upward from 0. Each brings whole master data or what
-    changed, and movements and receipts not seen before.
+    Batches are numbered upward from 0, and an id up to the newest one's counts
+    as added. Each brings whole master data or what changed, movements not seen
+    before, and receipts of which some may be known. Raises RefusedLoad, and
+    leaves every result as it was, for unreadable numbers or broken rules.
     """
-    newest = last_batch(spark, path)
-    if batch_id <= newest:
+    before = open_star(spark, path)
+    if batch_id <= before.batch_id:
         return False
-    check_inputs(raw)
-    batch = f"batch_id={batch_id}"
-    write_daily(raw.movements, f"{path}/daily/{batch}")
-    latest_receipts(type_supply(raw.supply)).write.mode("overwrite").parquet(f"{path}/receipts/{batch}")
-    before = read_dims(spark, f"{path}/dims/batch_id={newest}") if newest >= 0 else None
-    load_dims(spark, raw, spark.read.parquet(f"{path}/daily/{batch}"), f"{path}/dims/{batch}", before)
-    dims = read_dims(spark, f"{path}/dims/{batch}")
-    old_totals = spark.read.parquet(f"{path}/totals/batch_id={newest}") if newest >= 0 else None
-    _totals(spark, path, batch, old_totals).write.mode("overwrite").parquet(f"{path}/totals/{batch}")
-
-    affected_path = f"{path}/_affected/{batch}"
-    dates = _affected_dates(spark, path, batch, dims, before)
-    dates.select(F.trunc("movement_date", "month").alias("month")).distinct().write.mode("overwrite").parquet(affected_path)
-    affected = spark.read.parquet(affected_path)
-    needed = affected.select(
-        F.explode(F.sequence(F.date_sub("month", _SPAN), F.last_day("month"))).alias("movement_date")
-    ).distinct()
-    daily = _daily(spark, path).join(needed, "movement_date", "left_semi")
-    receipts = _receipts(spark, path)
-    fact = build_fact(daily, receipts, dims.items, dims.calendar, dims.vendors, keep=("movement_date",))
-    staged = f"{path}/_staged/{batch}"
-    fact = fact.withColumn("month", F.trunc("movement_date", "month"))
-    rows = fact.join(affected, "month", "left_semi").select(*schemas.FACT.names)
-    rows.write.mode("overwrite").parquet(staged)
-    rows = read_table(spark, staged, schemas.FACT)
-    _refuse_broken(rows, dims)
-    (
-        by_month(rows)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(schemas.MONTH_ID)
-        .parquet(f"{path}/fact")
-    )
-    spark.range(batch_id, batch_id + 1).toDF("batch_id").write.mode("append").parquet(f"{path}/_added")
+    try:
+        after, rows = _write_batch(spark, raw, before, batch_id)
+    except RefusedLoad as refusal:
+        ledger.note_refusal(spark, path, batch_id, str(refusal))
+        raise
+    ledger.commit(spark, after, batch_id, rows)
     return True
 
 
-def read_batches(spark: SparkSession, path: str) -> Star:
-    """The star after the newest batch, turnover taken from the totals."""
-    newest = last_batch(spark, path)
-    if newest < 0:
-        raise RefusedLoad(f"{path} holds no batch")
-    dims = read_dims(spark, f"{path}/dims/batch_id={newest}")
-    totals = read_table(spark, f"{path}/totals/batch_id={newest}", _TOTALS)
-    rates = dims.items.join(totals, F.col("medicine_sku") == F.col("mat_sku")).select(
-        F.col("medicine_id_pk").alias("medicine_id_fk"),
-        money(turnover_ratio(F.col("issued"), ratio(F.col("opened"), F.col("n_days")))).alias("turnover_ratio"),
+def compact(spark: SparkSession, path: str) -> None:
+    """Fold what many batches added to the same month, and all receipts, into one folder each, as a new entry."""
+    snap = open_star(spark, path)
+    folded = -2 - snap.entry  # a name that no batch has
+    many = [m for m, batches in snap.live.get("moves", {}).items() if len(batches) > 1]
+    after = snap
+    if many:
+        rows = _daily(spark, snap, many).withColumn(MONTH_ID, _month("movement_date")).repartition(MONTH_ID)
+        write_table(rows, snap.folder("moves", folded, many[0]).rpartition("/")[0], partition_by=MONTH_ID)
+        after = after.replacing("moves", many, folded)
+    if not snap.whole("receipts", [None]):
+        write_table(_receipts(spark, snap), snap.folder("receipts", folded))
+        after = after.replacing("receipts", [None], folded)
+    if after is not snap:
+        ledger.commit(spark, after, snap.batch_id, {})
+
+
+def vacuum(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
+    """Delete what none of the newest entries of the ledger lists."""
+    return ledger.vacuum(spark, path, COLUMNS, keep)
+
+
+# --- reading --------------------------------------------------------------------------------------
+
+
+def _turnover(spark: SparkSession, snap: Snapshot, items: DataFrame) -> DataFrame:
+    totals = (
+        _read(spark, snap, "item_months")
+        .where("n_days > 0")
+        .groupBy(F.col("mat_sku").alias("medicine_sku"))
+        .agg(F.sum("issued").alias("issued"), F.sum("opened").alias("opened"), F.sum("n_days").alias("n_days"))
     )
-    stored = read_table(spark, f"{path}/fact", schemas.FACT_STORED).drop("turnover_ratio")
-    fact = stored.join(rates, "medicine_id_fk").select(*schemas.FACT_STORED.names)
+    rate = money(turnover_ratio(F.col("issued"), ratio(F.col("opened"), F.col("n_days"))))
+    return items.join(totals, "medicine_sku").select(F.col("medicine_id_pk").alias("medicine_id_fk"), rate.alias("turnover_ratio"))
+
+
+def read_batches(spark: SparkSession, path: str, snap: Snapshot | None = None) -> Star:
+    """The star after the newest batch, or as a snapshot of it lists; turnover is summed from the item months."""
+    snap = snap or open_star(spark, path)
+    if snap.batch_id < 0:
+        raise RefusedLoad(f"{path} holds no batch")
+    dims = _dims(spark, snap)
+    stored = _read(spark, snap, "fact").drop("turnover_ratio")
+    fact = stored.join(_turnover(spark, snap, dims.items), "medicine_id_fk").select(*schemas.FACT_STORED.names)
     return Star(dims.items, dims.vendors, dims.calendar, fact)
+
+
+def read_sums(spark: SparkSession, path: str, snap: Snapshot | None = None) -> Star:
+    """The star with sums per (month, item, vendor) in place of its fact: all that the KPIs over whole months need.
+
+    Rewriting a month replaces its sums, so what no longer holds is gone from them.
+    """
+    snap = snap or open_star(spark, path)
+    dims = _dims(spark, snap)
+    return Star(dims.items, dims.vendors, dims.calendar, _read(spark, snap, "fact_sums"))

@@ -11,7 +11,7 @@ from shelfline.operators.quality import problem_counts
 from shelfline.plans.dims import load_calendar, load_items, load_vendors
 from shelfline.plans.fact import build_fact, daily_movements
 from shelfline.plans.quality import input_report, star_report
-from shelfline.sources import RawInputs, clean_items, clean_vendors, input_problems, type_movements, type_supply
+from shelfline.sources import NUMBERS, RawInputs, clean_items, clean_vendors, parsed_numbers, type_movements, type_supply
 from shelfline.star import Dims, Star
 
 
@@ -162,18 +162,23 @@ def refuse_unreadable(counts: list[tuple[str, str, int, int]], tolerance: float)
         raise RefusedLoad("unreadable numbers in " + "; ".join(bad))
 
 
-def write_daily(movements: DataFrame, path: str, tolerance: float = TOLERANCE) -> int:
-    """Write the daily sums of raw movements; unreadable numbers are counted in the same pass."""
-    seen, tests = Observation(), input_problems("movements")
-    watched = movements.observe(seen, *problem_counts(tests))
-    rows = write_table(daily_movements(type_movements(watched)), path)
+def write_daily(movements: DataFrame, path: str, tolerance: float = TOLERANCE, by_month_too: bool = False) -> int:
+    """Write the daily sums of raw movements, if wanted by month; unreadable numbers are counted in the same pass.
+
+    Each number is parsed into a column of its own, from which both its value and its count are taken.
+    """
+    seen, parsed = Observation(), parsed_numbers(movements, "movements")
+    unreadable = {(c, "unreadable"): F.col(c).isNull() for c in NUMBERS["movements"]}
+    watched = parsed.observe(seen, *problem_counts(unreadable))
+    daily = daily_movements(type_movements(watched))
+    if by_month_too:
+        day = F.col("movement_date")
+        daily = daily.withColumn(schemas.MONTH_ID, F.year(day) * 100 + F.month(day)).repartition(schemas.MONTH_ID)
+    rows = write_table(daily, path, partition_by=schemas.MONTH_ID if by_month_too else None)
     found = observed(seen)
-    counts = [
-        ("movements", col, found.get("_rows", 0), found.get(f"_{i}", 0))
-        for i, (col, problem) in enumerate(tests)
-        if problem == "unreadable"
-    ]
-    refuse_unreadable(counts, tolerance)
+    refuse_unreadable(
+        [("movements", col, found.get("_rows", 0), found.get(f"_{i}", 0)) for i, (col, _) in enumerate(unreadable)], tolerance
+    )
     return rows
 
 

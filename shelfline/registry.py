@@ -15,12 +15,23 @@ from pyspark.sql import types as T
 from shelfline.functions import round2
 from shelfline.operators import merge
 from shelfline.operators.asof import asof_interval, asof_rows, latest_receipts
-from shelfline.plans import dashboard, kpis
+from shelfline.plans import dashboard, kpis, rollups
 from shelfline.plans.dims import calendar_from_days, load_calendar, load_items, load_vendors
 from shelfline.plans.fact import build_fact, daily_movements, grouped_fact, item_measures, item_turnover, rolling_usage
 from shelfline.plans.quality import input_report, lookup_report, star_report
-from shelfline.plans.star_batches import add_batch, read_batches
-from shelfline.plans.warehouse import load_dims, load_star, read_dims, read_star
+from shelfline.plans.ledger import load_ledger
+from shelfline.plans.star_batches import add_batch, batch_report, last_batch, open_star, read_batches, read_sums
+from shelfline.plans.warehouse import (
+    TABLES,
+    RefusedLoad,
+    deploy_schema,
+    load_dims,
+    load_star,
+    read_dims,
+    read_star,
+    refresh_tables,
+    write_table,
+)
 from shelfline.schemas import FACT_MEASURES, MOVEMENT_RAW
 from shelfline.session import discard, shared_dir
 from shelfline.sources import (
@@ -31,6 +42,7 @@ from shelfline.sources import (
     clean_vendors,
     fixtures,
     read_raw,
+    stream_files,
     type_movements,
     type_supply,
 )
@@ -49,6 +61,7 @@ _lock = RLock()  # one written table may ask for another
 _written: set[str] = set()
 _opened: dict[str, Dims] = {}
 _versions: dict[tuple[str, str], str] = {}
+_rollups: dict[str, rollups.Rollups] = {}
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -90,6 +103,7 @@ def discard_shared(spark: SparkSession) -> None:
         _written.clear()
         _opened.clear()
         _versions.clear()
+        _rollups.clear()
 
 
 def _once(path: str, write: Callable[[], object]) -> str:
@@ -349,24 +363,159 @@ def fact_from_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _natural(read_star(spark, f"{path}/star"))
 
 
-def star_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact of a star that took three batches: a base, more movements, and late receipts with the rest."""
+def _batched(spark: SparkSession, sf_dir: str) -> str:
+    """Path of a star that took three batches, a base, more movements, and late receipts with the rest, and refused one."""
     path = _folder(spark, sf_dir, "batches")
 
     def run() -> None:
         raw = fixtures.raw_inputs(spark, sf_dir)
         late = F.crc32("VEN_ACC") % 3 == 0
         first, rest = F.col("batch") == "A", F.col("MAT_SKU") < "M5"
+        junk = fixtures.text_movements(spark, sf_dir)
         parts = [
             (raw.movements.where(first), raw.supply.where(~late | F.col("VEN_ACC").isNull())),
             (raw.movements.where(~first & ~rest), raw.supply.limit(0)),
+            (junk, raw.supply),
             (raw.movements.where(~first & rest), raw.supply.where(late)),
         ]
         for number, (movements, supply) in enumerate(parts):
-            add_batch(spark, RawInputs(raw.items, raw.vendors, supply, movements), path, number)
+            try:
+                add_batch(spark, RawInputs(raw.items, raw.vendors, supply, movements), path, number)
+            except RefusedLoad:
+                if movements is not junk:
+                    raise
+
+    return _once(path, run)
+
+
+def star_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact of a star that took three batches and refused one with unreadable numbers."""
+    return _natural(read_batches(spark, _batched(spark, sf_dir)))
+
+
+def batch_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule violations of that star, from what its batches noted of each month."""
+    return batch_report(spark, _batched(spark, sf_dir))
+
+
+def batch_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows that each batch of that star wrote, and the batch that was refused."""
+    rows = load_ledger(spark, _batched(spark, sf_dir))
+    counted = ("moves", "dim_item", "dim_vendor", "dim_calendar")
+    return rows.where(F.col("table_name").isin(*counted) | F.col("table_name").isNull()).drop("reason")
+
+
+def _sums_kpi(build: Callable[[Star], DataFrame]) -> Query:
+    """A KPI of that star from its sums per (month, item, vendor), without the fact."""
+    return lambda spark, sf_dir: _plain(build(read_sums(spark, _batched(spark, sf_dir))))
+
+
+def stream_star(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact of a star that an available-now stream of CSV files built, one file a batch, one batch sent twice.
+
+    The files have their columns in two orders, and each is read by its own header.
+    """
+    path = _folder(spark, sf_dir, "stream_star")
+
+    def run() -> None:
+        raw = fixtures.raw_inputs(spark, sf_dir)
+        moves = raw.movements.select(*MOVEMENT_RAW.names)
+        third = F.pmod(F.xxhash64("MAT_SKU"), F.lit(3))
+        for number, columns in enumerate((moves.columns, moves.columns[::-1], moves.columns)):
+            part = moves.where(third == number).select(*columns).coalesce(1)
+            part.write.mode("overwrite").csv(f"{path}/files/part={number}", header=True, quote='"', escape='"')
+        files = stream_files(spark, f"{path}/files/*")
+        incremental.ingest_star(files, lambda: raw, f"{path}/star", f"{path}/checkpoint").awaitTermination()
+        newest = last_batch(spark, f"{path}/star")
+        assert not add_batch(spark, raw, f"{path}/star", newest)  # as a stream does that ended before its own commit
+
+    _once(path, run)
+    return _natural(read_batches(spark, f"{path}/star"))
+
+
+def append_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily sums of two batches appended to one table, which knows no keys, and the rows that each write counted."""
+    path = _folder(spark, sf_dir, "appended")
+
+    def run() -> None:
+        rows = _movements(spark, sf_dir, "batch")
+        for name in ("A", "R"):
+            part = daily_movements(rows.where(F.col("batch") == name)).withColumn("batch", F.lit(name))
+            n = write_table(part, f"{path}/daily", "append")
+            counted = spark.createDataFrame([(name, n)], "batch string, n_written long")
+            write_table(counted, f"{path}/loads", "append")
+
+    _once(path, run)
+    loads = spark.read.parquet(f"{path}/loads")
+    sums = spark.read.parquet(f"{path}/daily").groupBy("batch").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("issued_qty").alias("issued_qty")
+    )
+    return sums.join(loads, "batch")
+
+
+def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the star's tables as the catalog has them, one total through a join in SQL."""
+    path, name = _folder(spark, sf_dir, "star"), f"shelfline_{_version(spark, sf_dir).lower()}"
+    star(spark, sf_dir)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+    deploy_schema(spark, path, name, replace=True)
+    refresh_tables(spark, name)
+    counts = [f"SELECT '{t}' AS table_name, count(*) AS n_rows FROM {name}.{t}" for t in TABLES]
+    joined = f"""SELECT 'joined' AS table_name, count(*) AS n_rows FROM {name}.fact_inventory f
+        JOIN {name}.dim_item i ON f.medicine_id_fk = i.medicine_id_pk
+        JOIN {name}.dim_calendar c ON f.date_id_fk = c.date_id_pk AND f.month_id = c.year * 100 + c.month"""
+    return spark.sql(" UNION ALL ".join([*counts, joined]))
+
+
+def item_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of a star after a batch that raises the cost of one of them: all buckets but one keep their files."""
+    path = _folder(spark, sf_dir, "item_buckets")
+
+    def run() -> None:
+        raw = fixtures.raw_inputs(spark, sf_dir)
+        moves, supply = raw.movements.where(F.col("batch") == "A"), raw.supply.limit(0)
+        add_batch(spark, RawInputs(raw.items, raw.vendors, supply, moves.limit(0)), path, 0)
+        one = F.col("MED_ID") == raw.items.agg(F.min("MED_ID")).scalar()
+        raised = raw.items.where(one).withColumn("COST_UN", F.coalesce("COST_UN", F.lit(0.0)) + 1)
+        add_batch(spark, RawInputs(raised, raw.vendors, supply, moves.limit(0)), path, 1)
 
     _once(path, run)
-    return _natural(read_batches(spark, path))
+    rewritten = [batches for batches in open_star(spark, path).live["dim_item"].values() if batches != (0,)]
+    if rewritten != [(1,)]:
+        raise RuntimeError("a bucket without a change was written again")
+    return _plain(read_batches(spark, path).items.drop("medicine_id_pk"))
+
+
+# --- roll-ups -------------------------------------------------------------------------------------
+
+
+def dashboard_rollups(spark: SparkSession, sf_dir: str) -> rollups.Rollups:
+    """The written roll-ups of the wide table."""
+    path = _folder(spark, sf_dir, "rollups")
+    _once(path, lambda: _rollups.__setitem__(path, rollups.write_rollups(wide(spark, sf_dir), path)))
+    return _rollups[path]
+
+
+def _chosen(spark: SparkSession, sf_dir: str) -> rollups.Selection:
+    today = rollups.newest_date(dashboard_rollups(spark, sf_dir))
+    return rollups.Selection(F.date_sub(today, 900), F.date_sub(today, 350), SOME_TYPES, SOME_VENDORS)
+
+
+def rollup_panels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All panels over one selection of dates, types and vendors, without the wide table."""
+    return rollups.panels(dashboard_rollups(spark, sf_dir), _chosen(spark, sf_dir), fixtures.SEGMENTS)
+
+
+def rollup_cards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The headline figures of the default selection from the smallest roll-up and merged bitmaps."""
+    tables = dashboard_rollups(spark, sf_dir)
+    today = rollups.newest_date(tables)
+    return rollups.cards(tables, rollups.Selection(F.date_sub(today, 30), today), today)
+
+
+def rollup_critical_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct critical items of all dates, by merging one bitmap for each date, type and vendor."""
+    return rollups.critical_items(dashboard_rollups(spark, sf_dir), rollups.Selection())
 
 
 def input_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -495,6 +644,19 @@ QUERIES: dict[str, Query] = {
     "accumulate_load": accumulate_load,
     "stream_daily": stream_daily,
     "star_incremental": star_incremental,
+    "batch_quality": batch_quality,
+    "batch_loads": batch_loads,
+    "sums_kpi_raw_3": _sums_kpi(kpis.raw_monthly_issued),
+    "sums_kpi_raw_4": _sums_kpi(kpis.raw_turnover),
+    "sums_kpi_raw_6": _sums_kpi(kpis.raw_surplus),
+    "sums_kpi_mat_3": _sums_kpi(kpis.stored_monthly_issued),
+    "stream_star": stream_star,
+    "append_load": append_load,
+    "catalog_tables": catalog_tables,
+    "item_buckets": item_buckets,
+    "rollup_panels": rollup_panels,
+    "rollup_cards": rollup_cards,
+    "rollup_critical_items": rollup_critical_items,
     "fact_from_csv": fact_from_csv,
     "input_report": input_problems,
     "quality_report": quality_report,

@@ -47,3 +47,22 @@ def discard(spark: SparkSession, path: str) -> bool:
     """Delete a folder of intermediate tables, wherever the file system keeps it."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if it doesn't exist."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(folder):
+        return []
+    return sorted(s.getPath().getName() for s in system.listStatus(folder) if s.isDirectory())
+
+
+def move(spark: SparkSession, source: str, target: str) -> bool:
+    """Move a folder in one step; False, with nothing moved, if the target is there already."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    system = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.exists(path(target)):
+        return False
+    system.mkdirs(path(target).getParent())
+    return system.rename(path(source), path(target))

@@ -2,11 +2,16 @@
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfline.functions import money, number, parse_day, quantity, whole
 from shelfline.operators.dedupe import keep_one
 
 
+def _typed(raw: DataFrame, name: str) -> tuple[Column, T.DataType]:
+    return F.col(name), raw.schema[name].dataType
+
+
 def clean_items(raw: DataFrame) -> DataFrame:
     """Item master: one row per SKU, cost and shelf life defaulting to 0. Rows without a SKU are dropped."""
     typed = raw.select(
@@ -14,8 +19,8 @@ def clean_items(raw: DataFrame) -> DataFrame:
         F.col("MED_NAME").cast("string").alias("medicine_name"),
         F.col("TYPE_DES").cast("string").alias("type_description"),
         F.col("STRG_DES").cast("string").alias("storage_type"),
-        money(quantity(F.col("COST_UN"))).alias("unit_cost"),
-        F.coalesce(whole(F.col("EXP_MON")), F.lit(0)).alias("expiration_months"),
+        money(quantity(*_typed(raw, "COST_UN"))).alias("unit_cost"),
+        F.coalesce(whole(*_typed(raw, "EXP_MON")), F.lit(0)).alias("expiration_months"),
     )
     return keep_one(typed.where("medicine_sku is not null"), ["medicine_sku"])
 
@@ -55,10 +60,10 @@ def type_movements(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         *keep,
         F.col("MAT_SKU").cast("string").alias("mat_sku"),
         parse_day(F.col("INGTN_TS")).alias("movement_date"),
-        quantity(F.col("OPEN_QTY")).alias("opening_qty"),
-        quantity(F.col("RCVD_QTY")).alias("received_qty"),
-        quantity(F.col("ISSD_QTY")).alias("issued_qty"),
-        quantity(F.col("CLSD_QTY")).alias("closed_qty"),
+        quantity(*_typed(raw, "OPEN_QTY")).alias("opening_qty"),
+        quantity(*_typed(raw, "RCVD_QTY")).alias("received_qty"),
+        quantity(*_typed(raw, "ISSD_QTY")).alias("issued_qty"),
+        quantity(*_typed(raw, "CLSD_QTY")).alias("closed_qty"),
     )
 
 
@@ -73,8 +78,13 @@ WHOLE_NUMBERS = {"items": ["EXP_MON"]}
 KEYS = {"items": ["MED_ID"], "vendors": ["VEN_ACC"], "supply": ["MAT_SKU"], "movements": ["MAT_SKU"]}
 
 
-def input_problems(table: str) -> dict[tuple[str, str], Column]:
+def input_problems(raw: DataFrame, table: str) -> dict[tuple[str, str], Column]:
     """Test of each (column, problem) of a raw table: unreadable numbers and missing keys."""
-    tests = {(c, "unreadable"): number(F.col(c)).isNull() for c in NUMBERS.get(table, [])}
-    tests |= {(c, "unreadable"): whole(F.col(c)).isNull() for c in WHOLE_NUMBERS.get(table, [])}
+    tests = {(c, "unreadable"): number(*_typed(raw, c)).isNull() for c in NUMBERS.get(table, [])}
+    tests |= {(c, "unreadable"): whole(*_typed(raw, c)).isNull() for c in WHOLE_NUMBERS.get(table, [])}
     return tests | {(c, "missing_key"): F.col(c).isNull() for c in KEYS[table]}
+
+
+def parsed_numbers(raw: DataFrame, table: str) -> DataFrame:
+    """The raw table with its numbers as doubles, unreadable ones null, so that each is parsed once for all later uses."""
+    return raw.withColumns({c: number(*_typed(raw, c)) for c in NUMBERS[table]})

@@ -7,14 +7,18 @@ folders; turnover, coverage and the other measures are then built globally,
 which per-file processing cannot do.
 """
 
+from collections.abc import Callable
+from dataclasses import replace
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfline.plans.fact import daily_movements
-from shelfline.schemas import QUANTITIES
-from shelfline.sources import type_movements
+from shelfline.plans.star_batches import add_batch
+from shelfline.schemas import MOVEMENT_RAW, QUANTITIES
+from shelfline.sources import RawInputs, files_of, read_csv, type_movements
 
 #: One row, the highest folded batch id; readers of Parquet folders pass over names with an underscore.
 FOLDED = "_folded"
@@ -37,14 +41,46 @@ def write_batch(raw_batch: DataFrame, batch_id: int, path: str) -> None:
 
 def ingest(raw: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     """Start ingesting all files available now from a streaming frame of raw movements."""
+    return _each(raw, checkpoint, lambda batch, batch_id: write_batch(batch, batch_id, path))
+
+
+def _each(stream: DataFrame, checkpoint: str, work: Callable[[DataFrame, int], None]) -> StreamingQuery:
     return (
-        raw.writeStream.foreachBatch(lambda batch, batch_id: write_batch(batch, batch_id, path))
+        stream.writeStream.foreachBatch(work)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
     )
 
 
+def ingest_files(files: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
+    """The same from a stream of file names (``stream_files``): CSV files of any column order, each read once."""
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        if names := files_of(batch):
+            write_batch(read_csv(batch.sparkSession, names, MOVEMENT_RAW), batch_id, path)
+
+    return _each(files, checkpoint, work)
+
+
+def ingest_star(files: DataFrame, master: Callable[[], RawInputs], path: str, checkpoint: str) -> StreamingQuery:
+    """Add the movement files of each micro-batch to the stored star under ``path``, which readers see batch by batch.
+
+    ``master`` gives the items, vendors and receipts known at the time; its
+    movements are not used. The stream's batch id names the star's batch, so
+    that one which was committed to the star but not to the stream's
+    checkpoint, and is sent again, counts once. A refused batch ends the stream,
+    which goes on with it when started again.
+    """
+
+    def work(batch: DataFrame, batch_id: int) -> None:
+        if names := files_of(batch):
+            moves = read_csv(batch.sparkSession, names, MOVEMENT_RAW)
+            add_batch(batch.sparkSession, replace(master(), movements=moves), path, batch_id)
+
+    return _each(files, checkpoint, work)
+
+
 def read_daily(spark: SparkSession, path: str) -> DataFrame:
     """Daily sums over all batches so far."""
     return (
