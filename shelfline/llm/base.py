@@ -8,6 +8,7 @@ schema.
 
 from __future__ import annotations
 
+import ctypes
 import shutil
 import tempfile
 import uuid
@@ -20,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import shelfline
-from shelfline.session import shared_dir
+from shelfline.session import discard, shared_dir
 
 #: Lower-cases A-Z and leaves every other byte.
 LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -42,13 +43,19 @@ BLOCK_BYTES = 1 << 20
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+#: Folders that ``written`` has made and nobody has discarded, oldest first.
+_tables: list[str] = []
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """The rows as written to the shared folder: computed once, safe from lost executors, with no lineage.
 
-    The shuffle files behind them go as soon as the write has ended, since nothing reads them again.
+    The shuffle files behind them go as soon as the write has ended, since nothing reads them again. The table stays
+    until ``discard_written``, as a result that isn't computed yet may read it.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/shelfline-llm/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/shelfline/{spark.sparkContext.applicationId}/llm/{name}-{uuid.uuid4().hex}"
+    _tables.append(path)
     before = spark.conf.get(_CLEANUP, "false")
     spark.conf.set(_CLEANUP, "true")
     try:
@@ -58,6 +65,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def written_so_far() -> int:
+    """A mark for ``discard_written``."""
+    return len(_tables)
+
+
+def discard_written(spark: SparkSession, since: int = 0, but_last: bool = False) -> None:
+    """Delete the tables written since that mark, all or but the last one; what is lazily read from them is lost."""
+    upto = len(_tables) - but_last
+    for path in _tables[since:upto]:
+        discard(spark, path)
+    del _tables[since:upto]
+
+
 _shipped: set[str] = set()
 
 #: Rows of an Arrow batch between Spark and Python, where the session keeps Spark's default of 10,000. Whole texts are
@@ -79,22 +99,68 @@ def ship(spark: SparkSession) -> None:
 
 
 def scan(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """Rows that ``work`` makes of each partition's Arrow batches."""
+    """Rows that ``work`` makes of each partition's Arrow batches.
+
+    Spark goes on using a task's Python process, so what a task has freed goes back to the machine at its end.
+    """
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            release_memory()
+
     ship(df.sparkSession)
-    return df.mapInArrow(work, schema)
+    return df.mapInArrow(task, schema)
+
+
+def release_memory() -> None:
+    """Gives unused memory of Arrow and of the C library back to the machine."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library, which has no such call
+        return
+
+
+def keep_where(docs: DataFrame, test: Callable[[pa.RecordBatch], np.ndarray]) -> DataFrame:
+    """The rows of docs (text, ...) for which test, given blocks of rows, is true, decided within one scan."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in blocks(batches):
+            yield batch.filter(pa.array(test(batch)))
+
+    return scan(docs, work, docs.schema)
 
 
 def text_mark() -> Column:
-    """A digest of the column text; with doc_id, which may be null or repeat, it tells rows apart."""
+    """A digest of the column text, which orders rows of one doc_id."""
     return F.unhex(F.sha2(F.coalesce(F.col("text").cast("string"), F.lit("")), 256))
 
 
-def keep_rows(docs: DataFrame, rows: DataFrame, how: str = "left_semi", mark: Column | None = None) -> DataFrame:
-    """The rows of docs that are (left_anti: are not) among rows, by doc_id and mark; null ids are alike."""
-    rows = rows.select(F.col("doc_id").cast("long").alias("_id"), F.col("mark").alias("_of"))
-    marked = docs.withColumn("_mark", text_mark() if mark is None else mark)
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_of"))
-    return marked.join(rows, same, how).drop("_mark")
+#: Column that tells rows apart, as ids may be null or repeat.
+ROW = "_row_of_docs"
+
+
+def with_row(docs: DataFrame) -> DataFrame:
+    """docs and, as ROW, the file and the place in it of each row, the same ones however often the rows are read.
+
+    Docs that aren't read from Parquet files just as they stand are written first.
+    """
+    if docs._jdf.queryExecution().analyzed().nodeName() != "LogicalRelation" or "_metadata" in docs.columns:
+        docs = written(docs, "docs")
+    file = docs.metadataColumn("_metadata")
+    return docs.withColumn(ROW, F.struct(F.xxhash64(file["file_path"]).alias("file"), file["row_index"].alias("place")))
+
+
+def keep_rows(docs: DataFrame, rows: DataFrame, how: str = "left_semi") -> DataFrame:
+    """The rows of docs that are (left_anti: are not) among rows, both with ROW, and without it.
+
+    Texts move once and aren't sorted: the hint has Spark build each partition's table from the narrow rows.
+    """
+    narrow = rows.select(F.col(f"{ROW}.file").alias("_file"), F.col(f"{ROW}.place").alias("_place")).hint("shuffle_hash")
+    same = (F.col(f"{ROW}.file") == F.col("_file")) & (F.col(f"{ROW}.place") == F.col("_place"))
+    return docs.join(narrow, same, how).drop(ROW)
 
 
 # --- texts as bytes -------------------------------------------------------------------------------

@@ -14,9 +14,16 @@
    around are aligned with the item by Smith-Waterman over words; the score as
    a share of a perfect one is the similarity, which edits and paraphrase lower
    but do not end.
-
-All work on documents is one scan for each step; no document moves. The
-benchmark is taken in blocks of at most BLOCK_WORDS words, hence what tasks
+4. An alignment counts if it can't well be chance. Its score must be worth
+   LEAST_WORDS matches, or all words of a shorter item; and its matched words
+   must be rare enough: with each word's share of the corpus as its chance, a
+   corpus of this size holds such a run of words less than once in 1 / CHANCE
+   times; items of fewer words need as much more evidence, since words of a
+   common phrase aren't independent. Hence "yes", or "what is the", is no leak wherever it stands. Matches
+   that fail this are given only on request.
+
+All work on documents is one scan for each step; no document moves, and
+``drop_leaks`` decides within the scan. The benchmark is taken in blocks of at most BLOCK_WORDS words, hence what tasks
 receive has a fixed bound whatever its size.
 
 Words are runs of digits, letters and characters beyond ASCII, in lower case.
@@ -26,6 +33,7 @@ its own item_id; repeated documents each give a row.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,15 +41,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.base import ALNUM, LOWER, Rolling, blocks, keep_rows, mix, scan, split_words, text_mark, utf8
+from shelfline.llm.base import ALNUM, LOWER, Rolling, blocks, keep_where, mix, scan, split_words, utf8, written
 
 #: An item of fewer words is found only as it stands.
 SEED = 3
 #: Least number of seeds asked for, where an alignment must hold so many.
 ASK = 4
 MATCH, MISMATCH, GAP = 2, -1, -1
-#: Least share of an item's perfect score.
-SIMILARITY = 0.5
+#: Least share of an item's perfect score, least matches that the score is worth, and how likely chance may be.
+SIMILARITY, LEAST_WORDS, CHANCE = 0.5, 8, 1e-3
 #: Words of test items worked on in one scan: about 100 MB in each task.
 BLOCK_WORDS = 1 << 20
 
@@ -52,6 +60,7 @@ CELLS = 1 << 18
 
 _WORDS = Rolling(11)
 _MATCHES = "doc_id long, item_id long, similarity double, score long, doc_start long, doc_end long"
+_WEAK = ", evidence double, convincing boolean"
 
 
 def fold(data: np.ndarray) -> np.ndarray:
@@ -113,10 +122,22 @@ class Items:
         self.known = np.unique(self.pairs)
         self.need = np.maximum(1, np.ceil(similarity * self.size - 1e-9).astype(np.int64) - 1)
         self.ask = np.maximum(np.minimum(self.need, ASK), -(-self.need // 2))
+        self.least = MATCH * np.minimum(self.size, np.maximum(np.ceil(similarity * self.size - 1e-9), LEAST_WORDS).astype(np.int64))
+        self.vocabulary = np.unique(self.words)
         self.short = [(int(i), tuple(self.words[self.first[i] : self.first[i + 1]])) for i in np.flatnonzero(short & (self.size > 0))]
 
+    @property
+    def n_counts(self) -> int:
+        """Counts of pairs, of words, and of all words of the corpus."""
+        return len(self.known) + len(self.vocabulary) + 1
+
     def choose(self, counts: np.ndarray) -> None:
-        """Seeds: the pairs of all words of an item but its need - ask commonest; counts go with ``known``."""
+        """Seeds: the pairs of all words of an item but its need - ask commonest. counts: as n_counts says."""
+        total = max(1, int(counts[-1]))
+        of_words = np.maximum(1, counts[len(self.known) : -1])
+        self.surprise = dict(zip(self.vocabulary.tolist(), np.log(total / of_words).tolist(), strict=True))
+        self.enough = np.log(total / CHANCE) * LEAST_WORDS / np.clip(self.size, 1, LEAST_WORDS)
+        counts = counts[: len(self.known)]
         common = np.zeros(len(self.words), np.int64)
         np.add.at(common, self.pair_at, counts[np.searchsorted(self.known, self.pairs)])
         item = np.repeat(np.arange(len(self.size)), self.size)
@@ -128,6 +149,11 @@ class Items:
         self.seeds, self.seed_item = self.pairs[chosen], self.pair_item[chosen]
         self.seed_at = self.pair_at[chosen] - self.first[self.seed_item]
 
+    def evidence(self, item: int, words: np.ndarray) -> float:
+        """How much the words that an item shares with these say against chance: the sum of their -log shares."""
+        shared = Counter(self.words[self.first[item] : self.first[item + 1]].tolist()) & Counter(words.tolist())
+        return sum(n * self.surprise[w] for w, n in shared.items())
+
 
 def smith_waterman(items: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Best local score of each row of items with the same row of texts, and the range of text words it spans.
@@ -165,13 +191,20 @@ def smith_waterman(items: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np
 
 
 def _count(items: Items):
-    """Of each partition, how often each pair of the items occurs."""
+    """Of each partition, how often each pair and each word of the items occurs, and how many words there are."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, table = np.zeros(len(items.known), np.int64), Table(items.known)
+        total, tables = np.zeros(items.n_counts, np.int64), (Table(items.known), Table(items.vocabulary))
+        edge = len(items.known)
         for batch in blocks(batches):
-            _, pairs = word_pairs(*word_ids(batch.column("text")))
-            total += np.bincount(np.searchsorted(items.known, pairs[table.among(pairs)]), minlength=len(items.known))
+            words, first = word_ids(batch.column("text"))
+            _, pairs = word_pairs(words, first)
+            for keys, hashes, table, part in (
+                (items.known, pairs, tables[0], total[:edge]),
+                (items.vocabulary, words, tables[1], total[edge:-1]),
+            ):
+                part += np.bincount(np.searchsorted(keys, hashes[table.among(hashes)]), minlength=len(keys))
+            total[-1] += len(words)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[some])], ["gram", "n"])
 
@@ -233,82 +266,107 @@ def _windows(items: Items, first: np.ndarray, doc: np.ndarray, item: np.ndarray,
     return out
 
 
-def _align(items: Items, similarity: float, marked: bool = False):
+def _aligned(items: Items, table: Table, texts: pa.Array) -> dict[tuple[int, int], tuple[int, int, int, float]]:
+    """Score, range of words and evidence of the best alignment of each (text, item) that scores enough."""
+    words, first = word_ids(texts)
+    windows = _windows(items, first, *_candidates(items, table, words, first))
+    found: dict[tuple[int, int], tuple[int, int, int]] = {}
+    windows.sort(key=lambda w: (items.size[w[1]], w[3] - w[2]))
+    start = 0
+    while start < len(windows):
+        widest = max(h - lo for _, _, lo, h in windows[start : start + 256])
+        part = windows[start : start + max(1, min(256, CELLS // max(1, widest)))]
+        start += len(part)
+        deep, wide = max(int(items.size[i]) for _, i, _, _ in part), max(h - lo for _, _, lo, h in part)
+        left, right = np.zeros((len(part), deep), np.uint64), np.ones((len(part), wide), np.uint64)
+        for k, (_, i, low, high) in enumerate(part):
+            left[k, : items.size[i]] = items.words[items.first[i] : items.first[i + 1]]
+            right[k, : high - low] = words[low:high]
+        scores, begins, ends = smith_waterman(left, right)
+        for (d, i, low, _), score, a, b in zip(part, scores.tolist(), begins.tolist(), ends.tolist(), strict=True):
+            if score >= items.least[i]:
+                span = (score, low + a - int(first[d]), low + b - int(first[d]))
+                found[d, i] = max(found.get((d, i), span), span, key=lambda x: (x[0], -x[1]))
+    for i, short in items.short:  # items of fewer words than a seed: their words as they stand
+        same = np.ones(max(0, len(words) - len(short) + 1), bool)
+        for k, word in enumerate(short):
+            same &= words[k : len(words) - len(short) + 1 + k] == word
+        for place in np.flatnonzero(same).tolist():
+            d = int(np.searchsorted(first, place, "right")) - 1
+            if place + len(short) <= first[d + 1]:
+                span = (MATCH * len(short), place - int(first[d]), place - int(first[d]) + len(short))
+                found.setdefault((d, i), span)
+    return {(d, i): (*span, items.evidence(i, words[first[d] + span[1] : first[d] + span[2]])) for (d, i), span in found.items()}
+
+
+def _align(items: Items, weak: bool = False):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Table(items.seeds)
         for batch in blocks(batches):
-            words, first = word_ids(batch.column("text"))
-            windows = _windows(items, first, *_candidates(items, table, words, first))
-            found: dict[tuple[int, int], tuple[int, int, int]] = {}
-            windows.sort(key=lambda w: (items.size[w[1]], w[3] - w[2]))
-            start = 0
-            while start < len(windows):
-                widest = max(h - lo for _, _, lo, h in windows[start : start + 256])
-                part = windows[start : start + max(1, min(256, CELLS // max(1, widest)))]
-                start += len(part)
-                deep, wide = max(int(items.size[i]) for _, i, _, _ in part), max(h - lo for _, _, lo, h in part)
-                left, right = np.zeros((len(part), deep), np.uint64), np.ones((len(part), wide), np.uint64)
-                for k, (_, i, low, high) in enumerate(part):
-                    left[k, : items.size[i]] = items.words[items.first[i] : items.first[i + 1]]
-                    right[k, : high - low] = words[low:high]
-                scores, begins, ends = smith_waterman(left, right)
-                for (d, i, low, _), score, a, b in zip(part, scores.tolist(), begins.tolist(), ends.tolist(), strict=True):
-                    if score >= similarity * MATCH * items.size[i]:
-                        span = (score, low + a - int(first[d]), low + b - int(first[d]))
-                        found[d, i] = max(found.get((d, i), span), span, key=lambda x: (x[0], -x[1]))
-            for i, short in items.short:  # items of fewer words than a seed: their words as they stand
-                same = np.ones(max(0, len(words) - len(short) + 1), bool)
-                for k, word in enumerate(short):
-                    same &= words[k : len(words) - len(short) + 1 + k] == word
-                for place in np.flatnonzero(same).tolist():
-                    d = int(np.searchsorted(first, place, "right")) - 1
-                    if place + len(short) <= first[d + 1]:
-                        span = (MATCH * len(short), place - int(first[d]), place - int(first[d]) + len(short))
-                        found.setdefault((d, i), span)
             ids = batch.column("doc_id").to_pylist()
             rows = [
-                (ids[d], int(items.ids[i]), score / (MATCH * int(items.size[i])), score, a, b)
-                for (d, i), (score, a, b) in sorted(found.items())
+                (ids[d], int(items.ids[i]), score / (MATCH * int(items.size[i])), score, a, b, evidence, bool(evidence >= items.enough[i]))
+                for (d, i), (score, a, b, evidence) in sorted(_aligned(items, table, batch.column("text")).items())
+                if weak or evidence >= items.enough[i]
             ]
-            names = ["doc_id", "item_id", "similarity", "score", "doc_start", "doc_end"]
-            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
-            columns = [pa.array([r[k] for r in rows], kinds[k]) for k in range(6)]
-            if marked:
-                columns.append(batch.column("mark").take(pa.array([d for d, _ in sorted(found)], pa.int64())))
-                names.append("mark")
-            yield pa.RecordBatch.from_arrays(columns, names)
+            names = ["doc_id", "item_id", "similarity", "score", "doc_start", "doc_end", "evidence", "convincing"]
+            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.bool_()]
+            n = len(names) if weak else 6
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], kinds[k]) for k in range(n)], names[:n])
 
     return work
 
 
-def find_leaks(
-    docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, block_words: int = BLOCK_WORDS, marked: bool = False
-) -> DataFrame:
-    """Rows (doc_id, item_id, similarity, score, doc_start, doc_end): the best alignment of each item found in a document.
-
-    docs: doc_id, text; benchmark: item_id, text. doc_start and doc_end count the document's words from 0.
-    If marked, the mark of the document's text is a last column.
-    """
-    spark = docs.sparkSession
-    schema = _MATCHES + (", mark binary" if marked else "")
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *([text_mark().alias("mark")] if marked else []))
+def _blocks_of_items(docs: DataFrame, benchmark: DataFrame, similarity: float, block_words: int) -> Iterator[Items]:
+    """The benchmark in blocks, each with its seeds and the words' shares, counted over all documents."""
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = max(1, -(-total // (4 * block_words)))
-    out = spark.createDataFrame([], schema)
     for part in range(parts):
         rows = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).collect()  # at most about block_words
         block = Items([r["item_id"] if r["item_id"] is not None else -1 for r in rows], [r["text"] for r in rows], similarity)
-        counts = np.zeros(len(block.known), np.int64)
-        if len(block.known):
+        counts = np.zeros(block.n_counts, np.int64)
+        if len(block.words):
             sums = scan(docs.select("text"), _count(block), "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
-            for r in sums.collect():  # one for each pair of this block
+            for r in sums.collect():  # one for each pair and word of this block
                 counts[r["gram"]] = r["n"]
         block.choose(counts)
-        out = out.unionByName(scan(docs, _align(block, similarity, marked), schema))
+        yield block
+
+
+def find_leaks(
+    docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, block_words: int = BLOCK_WORDS, weak: bool = False
+) -> DataFrame:
+    """Rows (doc_id, item_id, similarity, score, doc_start, doc_end): the best alignment of each item found in a document.
+
+    docs: doc_id, text; benchmark: item_id, text. doc_start and doc_end count the document's words from 0.
+    With weak, alignments that may be chance are given too, and the columns evidence and convincing tell them apart.
+    """
+    schema = _MATCHES + (_WEAK if weak else "")
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    out = docs.sparkSession.createDataFrame([], schema)
+    for block in _blocks_of_items(docs, benchmark, similarity, block_words):
+        out = out.unionByName(scan(docs, _align(block, weak), schema))
     return out
 
 
-def drop_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """The rows of docs in which no test item was found."""
-    return keep_rows(docs, find_leaks(docs, benchmark, similarity, marked=True).select("doc_id", "mark").distinct(), "left_anti")
+def drop_leaks(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The rows of docs in which no test item was convincingly found; for each block of items, one scan that drops rows."""
+
+    def clean(items: Items):
+        table: list[Table] = []  # made in the task, once
+
+        def test(batch: pa.RecordBatch) -> np.ndarray:
+            if not table:
+                table.append(Table(items.seeds))
+            out = np.ones(batch.num_rows, bool)
+            for (d, i), found in _aligned(items, table[0], batch.column("text")).items():
+                out[d] &= found[3] < items.enough[i]
+            return out
+
+        return test
+
+    left = docs
+    for k, block in enumerate(_blocks_of_items(docs, benchmark, similarity, block_words)):
+        left = keep_where(written(left, "clean") if k else left, clean(block))  # one Python process a task at a time
+    return left

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfline.llm.base import LOWER, blocks, keep_rows, mix, scan, utf8, written
+from shelfline.llm.base import LOWER, ROW, blocks, keep_rows, mix, scan, utf8, with_row, written
 
 #: Bytes that decide on a cut, least chunk, and one cut in so many bytes.
 WINDOW, LEAST, EVERY = 32, 256, 1024
@@ -77,6 +77,10 @@ def _digest(chunk: bytes, size: int) -> bytes:
     return hashlib.blake2b(chunk, digest_size=size).digest()
 
 
+def _kind(docs: DataFrame) -> str:
+    return docs.schema["row"].dataType.simpleString()
+
+
 def recipes(docs: DataFrame, digest_bytes: int = DIGEST_BYTES) -> DataFrame:
     """doc_id, row, text_sha256 and the digests of each text's chunks, end to end."""
 
@@ -92,7 +96,7 @@ def recipes(docs: DataFrame, digest_bytes: int = DIGEST_BYTES) -> DataFrame:
             columns = [batch.column("doc_id"), batch.column("row"), pa.array(shas, pa.string()), pa.array(lists, pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["doc_id", "row", "text_sha256", "recipe"])
 
-    return scan(docs, work, "doc_id long, row long, text_sha256 string, recipe binary")
+    return scan(docs, work, f"doc_id long, row {_kind(docs)}, text_sha256 string, recipe binary")
 
 
 def chunk_rows(docs: DataFrame, digest_bytes: int = DIGEST_BYTES, place: bool = False) -> DataFrame:
@@ -101,16 +105,12 @@ def chunk_rows(docs: DataFrame, digest_bytes: int = DIGEST_BYTES, place: bool =
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, limit=8 << 20):
             if place:
-                rows = [
-                    (row, at, chunk)
-                    for row, chunks in zip(batch.column("row").to_pylist(), _chunks(batch), strict=True)
-                    for at, chunk in enumerate(chunks)
-                ]
+                rows = [(k, at, chunk) for k, chunks in enumerate(_chunks(batch)) for at, chunk in enumerate(chunks)]
             else:
                 rows = [(None, None, chunk) for chunk in {c for chunks in _chunks(batch) for c in chunks}]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([r[0] for r in rows], pa.int64()),
+                    batch.column("row").take(pa.array([r[0] for r in rows], pa.int64())),
                     pa.array([r[1] for r in rows], pa.int64()),
                     pa.array([_digest(r[2], digest_bytes) for r in rows], pa.binary()),
                     pa.array([r[2] for r in rows], pa.binary()),
@@ -118,7 +118,7 @@ def chunk_rows(docs: DataFrame, digest_bytes: int = DIGEST_BYTES, place: bool =
                 ["row", "place", "digest", "chunk"],
             )
 
-    return scan(docs, work, "row long, place long, digest binary, chunk binary")
+    return scan(docs, work, f"row {_kind(docs)}, place long, digest binary, chunk binary")
 
 
 def ambiguous(docs: DataFrame, digest_bytes: int = DIGEST_BYTES) -> DataFrame:
@@ -144,9 +144,11 @@ def refined(docs: DataFrame, lists: DataFrame, digests: DataFrame, digest_bytes:
 def exact_groups(docs: DataFrame, digest_bytes: int = DIGEST_BYTES) -> DataFrame:
     """One row per row of docs (doc_id, text): doc_id, row, keep_id, group_size, kept, text_sha256.
 
-    The row with the largest doc_id of each group of equal texts (A-Z lower-cased) stays.
+    The row with the largest doc_id of each group of equal texts (A-Z lower-cased) stays. row tells rows apart: docs'
+    own ROW where it has one, otherwise a number.
     """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("row"))
+    row = F.col(ROW) if ROW in docs.columns else F.monotonically_increasing_id()
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", row.alias("row"))
     lists = written(recipes(docs, digest_bytes), "recipes")
     clashes = written(ambiguous(docs, digest_bytes), "clashes")
     if not clashes.isEmpty():
@@ -165,9 +167,10 @@ def exact_groups(docs: DataFrame, digest_bytes: int = DIGEST_BYTES) -> DataFrame
 
 
 def drop_copies(docs: DataFrame) -> DataFrame:
-    """The rows of docs that stay, with all their columns. Of rows that repeat both doc_id and text, one stays."""
-    stays = exact_groups(docs).where("kept").select("doc_id", F.col("text_sha256").alias("mark"))
-    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    mark = F.sha2(F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), upper, lower), 256)
-    kept = keep_rows(docs, stays, mark=mark)
-    return kept.withColumn("_mark", mark).dropDuplicates(["doc_id", "_mark"]).drop("_mark")
+    """The rows of docs that stay, with all their columns: one of each group, even of rows that repeat doc_id and text.
+
+    Decisions are rows without texts; only the join that applies them moves a text, once.
+    """
+    docs = with_row(docs)
+    gone = exact_groups(docs).where(~F.col("kept")).select(F.col("row").alias(ROW))
+    return keep_rows(docs, gone, "left_anti")

@@ -274,13 +274,12 @@ def as_bytes(symbols: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
 class Encoder:
     """Pieces of texts; remembers nothing from one batch to the next."""
 
-    def __init__(self, vocabulary: Vocabulary, dropout: float = DROPOUT, seed: int = SEED, variants: int | None = None) -> None:
-        """variants has no effect; it once bounded in how many ways a word was cut."""
+    def __init__(self, vocabulary: Vocabulary, dropout: float = DROPOUT, seed: int = SEED) -> None:
         if not 0 <= dropout <= 1:
             raise ValueError("a dropout rate lies between 0 and 1")
         self.vocabulary, self.dropout = vocabulary, dropout
         self.seed = np.uint64(int.from_bytes(hashlib.blake2b(str(seed).encode(), digest_size=8).digest(), "little"))
-        self.symbol = vocabulary.size + np.arange(0x110000)
+        self.symbol = vocabulary.size + np.arange(0x110000, dtype=np.int32)
         for character, piece in vocabulary.characters.items():
             if character != SPACE:
                 self.symbol[ord(character)] = piece
@@ -406,7 +405,7 @@ def encode_documents(docs: DataFrame, model: str = MODEL, dropout: float = DROPO
     encoder = Encoder(read_model(docs.sparkSession, model), dropout, seed)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in blocks(batches, limit=2 << 20):
+        for batch in blocks(batches):
             ids, edges = encoder.encode(batch.column("text"), batch.column("doc_id").to_pylist())
             fallback = np.concatenate([[0], np.cumsum(encoder.vocabulary.is_byte[ids])])
             yield pa.RecordBatch.from_arrays(

@@ -4,11 +4,16 @@ Trusted positives are training documents labelled 1; unlabelled web text is
 every training document without a label. Labelled negatives are never used.
 With the squared loss the risk is a quadratic form of first and second moments
 of the features, so one pass over all documents gives the risk over all of
-them, exactly, whatever their number; only the moments (about 150 by 150
-numbers) reach the driver.
+them, exactly, whatever their number; only the moments (about 220 by 220
+numbers) reach the driver. The non-negative risk is the greatest, over shares
+from 0 to 1, of the positive part plus that share of the negative part. For each
+share it is a convex quadratic form, so its minimum is found by solving for the
+share at which the negative part is 0, or is that of the whole share where the
+unbiased risk's minimum has no negative part below 0.
 
 Model: a sum of one piecewise linear curve for each of a dozen measures of the
-text. Class prior: the least ratio, over thresholds, of unlabelled to positive
+text, and weights for the shares of words and of pairs of neighbouring words
+that hash to each of some buckets. Class prior: the least ratio, over thresholds, of unlabelled to positive
 documents that score above the threshold, from histograms over all documents.
 
 Null and empty texts have all measures 0 and a score like any other. With no
@@ -22,10 +27,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.base import NOT_SPACE, Rolling, blocks, keep_rows, scan, split_words, text_mark, utf8, written
+from shelfline.llm.base import NOT_SPACE, Rolling, blocks, keep_where, mix, scan, split_words, utf8, written
 
 MEASURES = (
     "upper", "digit", "mark", "symbol", "bar", "beyond_ascii", "line_ends", "word_length", "distinct_words",
@@ -34,8 +39,16 @@ MEASURES = (
 #: Corners of each measure's curve; measures lie between 0 and 1.
 KNOTS = np.array([0.0, 0.01, 0.03, 0.06, 0.1, 0.17, 0.25, 0.4, 0.6, 0.8, 1.0])
 SIZE = len(MEASURES) * len(KNOTS)
+#: Buckets of words, and of pairs of neighbouring words; numbers that stand for a text.
+WORD_BUCKETS, PAIR_BUCKETS = 32, 32
+HASHED = WORD_BUCKETS + PAIR_BUCKETS
+WIDTH = len(MEASURES) + HASHED
+#: All features: curves, hashed shares, and a constant one, which is last.
+FEATURES = SIZE + HASHED + 1
 #: Ridge on the curves' heights, in all and as so many rows; thresholds of the prior's histograms.
 RIDGE, RIDGE_ROWS, BINS = 1e-3, 4.0, 200
+#: The ridge of hashed shares, as a multiple: what they say must show in many more rows.
+HASHED_RIDGE = 10.0
 
 _WORDS = Rolling(7)
 _CLASS = np.zeros((8, 256), bool)
@@ -58,9 +71,9 @@ def _per_text(values: np.ndarray, edges: np.ndarray) -> np.ndarray:
 
 
 def measure(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """One row of measures, each from 0 to 1, for each text."""
+    """One row for each text: its measures, each from 0 to 1, and the root of each bucket's share of words and pairs."""
     n = len(offsets) - 1
-    out = np.zeros((n, len(MEASURES)), np.float32)
+    out = np.zeros((n, WIDTH), np.float32)
     if not len(data):
         return out
     starts, ends, first = split_words(data, offsets, NOT_SPACE)
@@ -92,41 +105,48 @@ def measure(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     if len(length):
         np.maximum.at(longest, text, length)
     out[:, 13] = np.minimum(1, longest / 60)
+    at = len(MEASURES)
+    together = np.flatnonzero(text[1:] == text[:-1])
+    pairs = mix(hashes[together] * np.uint64(0x9E3779B97F4A7C15) + hashes[together + 1])
+    for of, grams, buckets in ((text, hashes, WORD_BUCKETS), (text[together], pairs, PAIR_BUCKETS)):
+        bucket = (grams % np.uint64(buckets)).astype(np.int64)
+        counts = np.bincount(of * buckets + bucket, minlength=n * buckets).reshape(n, buckets)
+        out[:, at : at + buckets] = np.sqrt(counts / np.maximum(1, counts.sum(axis=1, keepdims=True)))
+        at += buckets
     return out
 
 
-def curve(measures: np.ndarray) -> np.ndarray:
-    """Each measure as its weights on the corners beside it, and a constant."""
-    n = len(measures)
-    out = np.zeros((n, SIZE + 1))
+def curve(numbers: np.ndarray) -> np.ndarray:
+    """Features of a text's numbers: each measure as its weights on the corners beside it, the hashed shares, a constant."""
+    n, measures = len(numbers), numbers[:, : len(MEASURES)]
+    out = np.zeros((n, FEATURES))
+    out[:, SIZE:-1] = numbers[:, len(MEASURES) :]
     left = np.clip(np.searchsorted(KNOTS, measures, "right") - 1, 0, len(KNOTS) - 2)
     share = (measures - KNOTS[left]) / (KNOTS[left + 1] - KNOTS[left])
     column = np.arange(len(MEASURES)) * len(KNOTS) + left
     rows = np.arange(n)[:, None]
     out[rows, column] = 1 - share
     out[rows, column + 1] = share
-    out[:, SIZE] = 1
+    out[:, -1] = 1
     return out
 
 
-def measured(docs: DataFrame, marked: bool = False) -> DataFrame:
-    """doc_id, the measures of every whole text, as 4-byte numbers end to end, and, if marked, the text's mark."""
-    marks = ["mark"] if marked else []
+def measured(docs: DataFrame) -> DataFrame:
+    """doc_id and the measures of every whole text, as 4-byte numbers end to end."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches):
             rows = measure(*utf8(batch.column("text")))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([r.tobytes() for r in rows], pa.binary()), *(batch.column(m) for m in marks)],
-                ["doc_id", "measures", *marks],
+                [batch.column("doc_id"), pa.array([r.tobytes() for r in rows], pa.binary())], ["doc_id", "measures"]
             )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *(text_mark().alias(m) for m in marks))
-    return scan(rows, work, "doc_id long, measures binary" + (", mark binary" if marked else ""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return scan(rows, work, "doc_id long, measures binary")
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
-    return utf8(column)[0].view(np.float32).reshape(-1, len(MEASURES)).astype(float)
+    return utf8(column)[0].view(np.float32).reshape(-1, WIDTH).astype(float)
 
 
 def _sums(rows: DataFrame, statistic, size: int) -> np.ndarray:
@@ -179,33 +199,37 @@ class Moments:
         p, u = (x / max(x[-1, -1], 1) for x in (sums_p, sums_u))
         return Moments(p[-1], u[-1], p, u, min(sums_p[-1, -1], sums_u[-1, -1]))
 
-    def negative_risk(self, w: np.ndarray, prior: float) -> tuple[float, np.ndarray]:
-        """Risk of taking negatives for positives, from unlabelled less positives, and its gradient."""
+    def negative_risk(self, w: np.ndarray, prior: float) -> float:
+        """Risk of taking negatives for positives, from unlabelled less positives."""
         mean = self.mean_u - prior * self.mean_p
         second = self.second_u - prior * self.second_p
-        return ((1 - prior) + 2 * w @ mean + w @ second @ w) / 4, (mean + second @ w) / 2
+        return float((1 - prior) + 2 * w @ mean + w @ second @ w) / 4
 
-    def positive_risk(self, w: np.ndarray, prior: float) -> tuple[float, np.ndarray]:
-        mean, second = prior * self.mean_p, prior * self.second_p
-        return (prior - 2 * w @ mean + w @ second @ w) / 4, (second @ w - mean) / 2
+    def positive_risk(self, w: np.ndarray, prior: float) -> float:
+        return float(prior - 2 * prior * w @ self.mean_p + prior * w @ self.second_p @ w) / 4
 
-    def fit(self, prior: float, steps: int = 200) -> np.ndarray:
-        """Least non-negative risk: the unbiased risk's minimum, then steps back while its negative part is below 0."""
+    def fit(self, prior: float) -> np.ndarray:
+        """The minimum of the non-negative risk with a ridge: the positive part plus what is above 0 of the negative part."""
         ridge = (RIDGE + RIDGE_ROWS / self.n) * np.eye(len(self.mean_p))
+        ridge[SIZE:-1] *= HASHED_RIDGE
         ridge[-1, -1] = 1e-9
-        w = np.linalg.solve(self.second_u + ridge, 2 * prior * self.mean_p - self.mean_u)
-        pace = 1 / max(np.linalg.eigvalsh(self.second_u + self.second_p)[-1], 1e-9)
-        best, least = w, np.inf
-        for _ in range(steps):
-            negative, slope = self.negative_risk(w, prior)
-            positive, rise = self.positive_risk(w, prior)
-            risk = positive + max(0.0, negative) + w @ ridge @ w / 4
-            if risk < least:
-                best, least = w, risk
-            if negative >= 0:
-                break
-            w = w + pace * (slope - 0.1 * rise)  # up the negative part, as the correction asks
-        return best
+
+        def least(share: float) -> np.ndarray:
+            """Where the positive part plus this share of the negative part is least; convex for shares from 0 to 1."""
+            form = (1 - share) * prior * self.second_p + share * self.second_u + ridge
+            return np.linalg.solve(form, prior * self.mean_p - share * (self.mean_u - prior * self.mean_p))
+
+        w = least(1.0)
+        if self.negative_risk(w, prior) >= 0:
+            return w
+        low, high = 0.0, 1.0  # the negative part at the minimum falls as its share grows
+        for _ in range(50):
+            middle = (low + high) / 2
+            if self.negative_risk(least(middle), prior) >= 0:
+                low = middle
+            else:
+                high = middle
+        return least(low)
 
 
 def class_prior(above_p: np.ndarray, above_u: np.ndarray) -> float:
@@ -225,7 +249,7 @@ def fit(rows: DataFrame) -> Model | None:
     The prior is estimated across halves: positives score higher under a function fitted to themselves, which would
     make unlabelled ones look rarer than they are.
     """
-    size = SIZE + 1
+    size = FEATURES
     upper = np.triu_indices(size)
 
     def moments(measures: np.ndarray) -> np.ndarray:
@@ -257,46 +281,53 @@ def fit(rows: DataFrame) -> Model | None:
     return Model(whole.fit(prior), prior)
 
 
-def score_documents(docs: DataFrame, labels: DataFrame, marked: bool = False) -> DataFrame:
-    """doc_id, held_out, score and predicted, and, if marked, the text's mark, for every row of docs (doc_id, text).
+def _held_out() -> Column:
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
 
-    labels: doc_id, quality (1: positive). Rows whose crc32 of the id leaves remainder 1 by 3 are held out.
-    Where every training row has a label, their texts without their labels are the unlabelled ones.
-    """
-    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False))
-    table = written(measured(docs, marked).withColumn("held_out", held_out), "measures")
+
+def learn(table: DataFrame, labels: DataFrame) -> Model | None:
+    """The model for a written table of measured documents; None where there is nothing to learn from."""
     marks = (
         labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("quality").cast("int").alias("quality"))
         .where("doc_id is not null and quality is not null")
         .groupBy("doc_id")
         .agg(F.max("quality").alias("quality"))
     )
-    training = table.where(~F.col("held_out")).join(marks, "doc_id", "left")
+    training = table.where(~_held_out()).join(marks, "doc_id", "left")
     half = F.pmod(F.xxhash64("doc_id"), F.lit(2))
     positives = training.where("quality = 1").select((half + 2).alias("kind"), "measures")
     model = fit(positives.unionByName(training.where("quality is null").select(half.alias("kind"), "measures")))
     if model is None:  # no row without a label, or none with a positive one
         model = fit(positives.unionByName(training.where("quality is not null").select(half.alias("kind"), "measures")))
+    return model
+
+
+def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, held_out, score and predicted for every row of docs (doc_id, text).
+
+    labels: doc_id, quality (1: positive). Rows whose crc32 of the id leaves remainder 1 by 3 are held out.
+    Where every training row has a label, their texts without their labels are the unlabelled ones.
+    """
+    table = written(measured(docs), "measures")
+    model = learn(table, labels)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = _matrix(batch.column("measures"))
             score = model.score(rows) if model else np.full(batch.num_rows, 0.5)
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("doc_id"),
-                    batch.column("held_out"),
-                    pa.array(score, pa.float64()),
-                    pa.array((score >= 0.5).astype(np.int32)),
-                    *(batch.column(m) for m in marks),
-                ],
-                ["doc_id", "held_out", "score", "predicted", *marks],
+                [batch.column("doc_id"), batch.column("held_out"), pa.array(score, pa.float64()), pa.array((score >= 0.5).astype(np.int32))],
+                ["doc_id", "held_out", "score", "predicted"],
             )
 
-    marks = ["mark"] if marked else []
-    return scan(table, work, "doc_id long, held_out boolean, score double, predicted int" + (", mark binary" if marked else ""))
+    return scan(table.withColumn("held_out", _held_out()), work, "doc_id long, held_out boolean, score double, predicted int")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of docs not predicted 0."""
-    return keep_rows(docs, score_documents(docs, labels, marked=True).where("predicted = 0"), "left_anti")
+    """The rows of docs not predicted 0; once the model is learnt, one scan that scores each row and passes it on."""
+    model = learn(written(measured(docs), "measures"), labels)
+
+    def good(batch: pa.RecordBatch) -> np.ndarray:
+        return model.score(measure(*utf8(batch.column("text"))).astype(float)) >= 0.5
+
+    return keep_where(docs, good) if model else docs

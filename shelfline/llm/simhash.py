@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.base import LOWER, blocks, each_bytes, keep_rows, scan, text_mark, written
+from shelfline.llm.base import LOWER, ROW, blocks, each_bytes, keep_rows, scan, text_mark, with_row, written
 from shelfline.llm.components import components
 
 SHINGLE, DISTANCE, SEED = 4, 4, 42
@@ -140,9 +140,9 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     return int.from_bytes(np.packbits(2 * counts > len(bits)).tobytes(), "big")
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, marked: bool = False) -> DataFrame:
-    """doc_id and fp, the fingerprint as a signed 64-bit number, and, if marked, the text's mark."""
-    marks = ["mark"] if marked else []
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
+    """doc_id and fp, the fingerprint as a signed 64-bit number, and, where docs has ROW, that and the text's mark."""
+    marks = ["mark", ROW] if ROW in docs.columns else []
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches):
@@ -151,8 +151,8 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, marked: bool = False)
                 [batch.column("doc_id"), pa.array(prints.view(np.int64)), *(batch.column(m) for m in marks)], ["doc_id", "fp", *marks]
             )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *(text_mark().alias(m) for m in marks))
-    return scan(rows, work, "doc_id long, fp long" + (", mark binary" if marked else ""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *([text_mark().alias("mark"), ROW] if marks else []))
+    return scan(rows, work, "doc_id long, fp long" + (f", mark binary, {ROW} struct<file:bigint,place:bigint>" if marks else ""))
 
 
 # --- links ----------------------------------------------------------------------------------------
@@ -300,10 +300,11 @@ def near_groups(docs: DataFrame, shingle: int = SHINGLE, most: int = DISTANCE, l
 def keep_firsts(docs: DataFrame, shingle: int = SHINGLE, most: int = DISTANCE) -> DataFrame:
     """Of each group the row of docs with the least doc_id, null after all others, and of these the least mark.
 
-    Rows that repeat both doc_id and text are one document; drop_copies leaves one of them.
+    Of rows that repeat both doc_id and text, one stays.
     """
-    prints = written(fingerprints(docs, shingle, marked=True), "fingerprints")
-    row = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark")
-    roots = _rooted(written(prints.groupBy("fp").agg(F.min(row).alias("first")), "firsts"), most, RUN)
-    stays = roots.groupBy("root").agg(F.min("first").alias("first")).select("first.doc_id", "first.mark")
+    docs = with_row(docs)
+    prints = written(fingerprints(docs, shingle), "fingerprints")
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "mark", ROW)
+    roots = _rooted(written(prints.groupBy("fp").agg(F.min(first).alias("first")), "firsts"), most, RUN)
+    stays = roots.groupBy("root").agg(F.min("first").alias("first")).select(f"first.{ROW}")
     return keep_rows(docs, stays)

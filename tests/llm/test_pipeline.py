@@ -99,18 +99,46 @@ def test_stages_decide_on_rows_whatever_their_ids(spark):
 
 
 def test_one_bad_row_takes_no_other_of_its_id(spark, monkeypatch):
-    def scored(docs, labels, marked):
-        return docs.select("doc_id", base.text_mark().alias("mark"), (F.col("text") != "bad").cast("int").alias("predicted"))
+    class Model:
+        def score(self, rows):
+            return (rows[:, quality.MEASURES.index("digit")] == 0).astype(float)
 
-    monkeypatch.setattr(quality, "score_documents", scored)
-    docs = spark.createDataFrame([(None, "bad"), (None, "good"), (1, "good"), (1, "bad")], "doc_id long, text string")
-    assert [r.text for r in quality.keep_good(docs, None).collect()] == ["good", "good"]
+    monkeypatch.setattr(quality, "learn", lambda table, labels: Model())
+    docs = spark.createDataFrame([(None, "bad 1"), (None, "good"), (1, "good"), (1, "bad 22"), (2, None)], "doc_id long, text string")
+    assert [r.text for r in quality.keep_good(docs, None).collect()] == ["good", "good", None]
 
 
-def test_scores_carry_the_mark_of_their_text(spark):
-    docs, labels = (spark.read.parquet(f"{SF_DIR}/{n}.parquet") for n in ("documents", "labels"))
-    marks = quality.score_documents(docs, labels, marked=True).select("doc_id", "mark")
-    assert marks.exceptAll(docs.select("doc_id", base.text_mark().alias("mark"))).count() == 0
+def test_filtering_keeps_what_scoring_keeps(spark):
+    docs, labels = (spark.read.parquet(f"{SF_DIR.replace('0.001', '0.01')}/{n}.parquet") for n in ("documents", "labels"))
+    kept = quality.keep_good(docs, labels)
+    good = quality.score_documents(docs, labels).where("predicted = 1").select("doc_id")
+    assert kept.columns == docs.columns and kept.select("doc_id").exceptAll(good).count() == 0 == good.exceptAll(kept.select("doc_id")).count()
+
+
+def test_filters_move_no_text(spark):
+    docs, labels, items = (spark.read.parquet(f"{SF_DIR}/{n}.parquet") for n in ("documents", "labels", "benchmark"))
+    for kept in (quality.keep_good(docs, labels), decontaminate.drop_leaks(docs, items)):
+        assert "Exchange" not in kept._jdf.queryExecution().executedPlan().toString()
+
+
+def test_rows_are_told_apart_by_their_place(spark, tmp_path):
+    frame = spark.range(1000).select((F.col("id") % 3).alias("doc_id"), F.lit("same").alias("text"))
+    frame.repartition(7).write.parquet(str(tmp_path / "docs"))
+    stored = spark.read.parquet(str(tmp_path / "docs"))
+    for docs in (stored, stored.unionAll(stored), frame):
+        rows = base.with_row(docs)
+        assert rows.select(base.ROW).distinct().count() == docs.count()
+        some = base.written(rows.where("doc_id = 1").select(base.ROW), "some")
+        assert base.keep_rows(rows, some, "left_anti").where("doc_id = 1").count() == 0
+        assert base.keep_rows(rows, some).where("doc_id = 1").count() == docs.where("doc_id = 1").count()
+
+
+def test_a_run_leaves_its_result_only(spark):
+    before = len(base._tables)
+    result = corpus_pipeline.run(spark, SF_DIR)
+    assert len(base._tables) == before + 1 and result.count() > 0
+    base.discard_written(spark, before)
+    assert len(base._tables) == before
 
 
 def test_pipeline_says_whether_its_pieces_read_back(spark, monkeypatch):

@@ -57,6 +57,61 @@ def test_negative_labels_teach_nothing(spark, graded):
     assert max(abs(one[k] - two[k]) for k in two) < 1e-9
 
 
+def some_moments(rng, n_p=60, n_u=90, size=12):
+    """Rows of a few positives and unlabelled, separable enough for the unbiased risk to go below 0, and their moments."""
+    x_p, x_u = (np.hstack([rng.normal(m, 1, (n, size - 1)), np.ones((n, 1))]) for m, n in ((0.4, n_p), (0.0, n_u)))
+    return x_p, x_u, quality.Moments.of(x_p.T @ x_p, x_u.T @ x_u)
+
+
+def test_risks_from_moments_equal_those_over_rows():
+    rng = np.random.default_rng(1)
+    x_p, x_u, moments = some_moments(rng)
+    for prior in (0.2, 0.7):
+        w = rng.normal(size=12)
+        positive = prior * ((x_p @ w - 1) ** 2).mean() / 4
+        negative = ((x_u @ w + 1) ** 2).mean() / 4 - prior * ((x_p @ w + 1) ** 2).mean() / 4
+        assert np.isclose(moments.positive_risk(w, prior), positive) and np.isclose(moments.negative_risk(w, prior), negative)
+
+
+@pytest.mark.parametrize("prior", [0.3, 0.6, 0.9])
+def test_the_fit_is_the_least_non_negative_risk(monkeypatch, prior):
+    monkeypatch.setattr(quality, "SIZE", 11)
+    rng = np.random.default_rng(7)
+    x_p, x_u, moments = some_moments(rng)
+    ridge = (quality.RIDGE + quality.RIDGE_ROWS / moments.n) * np.eye(12)
+    ridge[-1, -1] = 1e-9
+
+    def risk(w):
+        positive = prior * ((x_p @ w - 1) ** 2).mean() / 4
+        negative = ((x_u @ w + 1) ** 2).mean() / 4 - prior * ((x_p @ w + 1) ** 2).mean() / 4
+        return positive + max(0.0, negative) + w @ ridge @ w / 4, negative
+
+    w = moments.fit(prior)
+    least, negative = risk(w)
+    assert negative >= -1e-9
+    for size in (1e-3, 1e-2, 0.1, 1.0):  # the risk is convex, so no better place near means none anywhere
+        assert all(risk(w + size * rng.normal(size=12))[0] >= least - 1e-9 for _ in range(500))
+    slow, pace = np.zeros(12), 0.02  # plain descent over rows, from afar
+    for _ in range(20_000):
+        value, below = risk(slow)
+        slope = prior * x_p.T @ (x_p @ slow - 1) / len(x_p) / 2 + ridge @ slow / 2
+        if below > 0:
+            slope = slope + x_u.T @ (x_u @ slow + 1) / len(x_u) / 2 - prior * x_p.T @ (x_p @ slow + 1) / len(x_p) / 2
+        slow = slow - pace * slope
+        pace = max(pace * 0.9997, 1e-4)
+    assert risk(slow)[0] >= least - 1e-9 and risk(slow)[0] < least + 5e-3
+
+
+def test_learnt_risk_is_not_negative(spark, monkeypatch):
+    fits = []
+    fit = quality.Moments.fit
+    monkeypatch.setattr(quality.Moments, "fit", lambda m, prior: fits.append((m, fit(m, prior), prior)) or fits[-1][1])
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{n}.parquet") for n in ("documents", "labels"))
+    got = quality.score_documents(docs, labels).join(labels, "doc_id").where("held_out").collect()
+    assert all(m.negative_risk(w, prior) > -1e-9 for m, w, prior in fits)
+    assert sum(r.predicted == r.quality for r in got) > 0.97 * len(got)
+
+
 def test_prior_is_near_the_truth(graded):
     rows, _ = graded
     rng = np.random.default_rng(0)
@@ -163,13 +218,15 @@ def test_leaks_are_found_and_clean_texts_left(spark, block_words):
         rows.append((d, " ".join(words)))
     want |= {(d, 53) for d, i in want if i == 0}
     rows += [(500, None), (501, "x ab, cd y"), (502, rows[0][1]), (502, rows[0][1])]
-    want |= {(501, 50)} | {(502, i) for d, i in want if d == 0}
+    want |= {(502, i) for d, i in want if d == 0}
     docs = spark.createDataFrame(rows, DOCS).withColumn("item_id", F.lit("clash"))
     got = decontaminate.find_leaks(docs, spark.createDataFrame(items, ITEMS), block_words=block_words).collect()
     assert {(r.doc_id, r.item_id) for r in got} == want
     assert all(0.5 <= r.similarity <= 1 and r.doc_end > r.doc_start for r in got)
-    exact = next(r for r in got if r.doc_id == 501)
-    assert (exact.doc_start, exact.doc_end, exact.similarity) == (1, 3, 1.0)
+    weak = decontaminate.find_leaks(docs, spark.createDataFrame(items, ITEMS), block_words=block_words, weak=True).collect()
+    exact = next(r for r in weak if r.doc_id == 501)  # two words say too little, and are given on request
+    assert (exact.doc_start, exact.doc_end, exact.similarity, exact.convincing) == (1, 3, 1.0, False)
+    assert {(r.doc_id, r.item_id) for r in weak if r.convincing} == want
 
 
 def test_edited_copies_are_found_beside_exact_ones(spark):
@@ -188,14 +245,43 @@ def test_edited_copies_are_found_beside_exact_ones(spark):
             around = [rnd.choices(vocabulary, k=60) for _ in range(2)]
             rows.append((len(rows), " ".join([*around[0], *words, *around[1]])))
             score = brute_align(text.split(), rows[-1][1].split())
-            if score >= len(text.split()):
+            # half of a perfect score, worth eight matches at least or all words of a shorter item
+            if score >= max(len(text.split()), 2 * min(len(text.split()), 8)):
                 want.add((len(rows) - 1, i, score))
-    assert len(want) >= 30
+    assert len(want) >= 24
     for docs in (rows, rows[1:]):
         got = decontaminate.find_leaks(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)).collect()
         assert {(r.doc_id, r.item_id, r.score) for r in got} == {w for w in want if w[0] >= docs[0][0]}
 
 
+PROSE = [
+    ("What is the capital of Peru?", "She asked me what is the best way to get there before the night falls."),
+    ("Is it true that the earth is flat?", "It is true that the sky is blue, and that is all there is to it."),
+    ("yes", "Yes, he said, and yes again, and then yes once more."),
+    ("the answer is", "This is a sentence about the answer is what she thought of."),
+    ("Which of the following is a mammal that lives in the sea?", "Which of the following words is the one that she wrote in the book?"),
+]
+
+
+def test_natural_short_questions_leave_clean_texts_alone(spark):
+    rnd = random.Random(4)
+    common = "the of and to in is was for that with on as by from this not are but had which one all were it she he be at".split()
+    rest = [f"{a}{b}{c}" for a in ("ba", "ko", "ri", "mu") for b in ("ten", "lor", "sim", "var") for c in ("a", "is", "on", "ed", "y")]
+    filler = [(100 + k, " ".join(rnd.choice(common if rnd.random() < 0.6 else rest) for _ in range(300))) for k in range(60)]
+    clean = [(k, text) for k, (_, text) in enumerate(PROSE)]
+    question = "Which river of the old kingdom of Karvaly floods the vineyards below Mount Tessen each spring"
+    copy = question.lower().replace("old", "ancient").replace("each spring", "in every single spring")
+    docs = spark.createDataFrame([*filler, *clean, (50, f"and so {copy} it says"), (51, filler[0][1] + " " + question)], DOCS)
+    items = spark.createDataFrame([(k, q) for k, (q, _) in enumerate(PROSE)] + [(9, question)], ITEMS)
+    assert {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, items).collect()} == {(50, 9), (51, 9)}
+    weak = decontaminate.find_leaks(docs, items, weak=True).collect()
+    assert {(r.doc_id, r.item_id) for r in weak if r.convincing} == {(50, 9), (51, 9)}
+    assert (2, 2) in {(r.doc_id, r.item_id) for r in weak if not r.convincing}  # "yes", as it stands
+    left = {r.doc_id for r in decontaminate.drop_leaks(docs, items).collect()}
+    assert left == {k for k, _ in filler + clean}
+    assert {r.doc_id for r in decontaminate.drop_leaks(docs, items, block_words=20).collect()} == left
+
+
 def test_no_items_no_leaks(spark):
     docs, none = spark.createDataFrame([(1, "a b c d")], DOCS), spark.createDataFrame([], ITEMS)
     assert decontaminate.find_leaks(docs, none).count() == 0
@@ -251,7 +337,7 @@ def test_seeds_vary_and_repeat(vocabulary):
     assert one == same != other
     plain = encoded(pieces.Encoder(vocabulary, 0.0), text)[0]
     assert len(one) > len(plain)
-    words = {tuple(encoded(pieces.Encoder(vocabulary, 0.2, 1, variants=8), [" understanding" * 40])[0][k : k + 3]) for k in range(0, 60, 3)}
+    words = {tuple(encoded(pieces.Encoder(vocabulary, 0.2, 1), [" understanding" * 40])[0][k : k + 3]) for k in range(0, 60, 3)}
     assert len(words) > 1
 
 
