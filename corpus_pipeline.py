@@ -2,13 +2,14 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; run() writes
 each as Parquet to the shared folder and reads it again for the next, so a lost
-executor costs no more than the stage at hand.
+executor costs no more than the stage at hand. Tables that a stage needs for
+itself, and its input, are deleted once its result is written.
 """
 
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfline.llm import decontaminate, exact_dedup, pieces, quality, simhash
-from shelfline.llm.base import written
+from shelfline.llm.base import discard_written, written, written_so_far
 from shelfline.llm.queries import table
 
 
@@ -53,5 +54,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole of documents."""
     docs = table(spark, sf_dir, "documents")
     for number, (_, stage) in enumerate(STAGES, 1):
+        before = written_so_far()
         docs = written(stage(spark, docs, sf_dir), f"stage{number}")
+        discard_written(spark, max(0, before - (number > 1)), but_last=True)  # its own tables and its input
     return docs
