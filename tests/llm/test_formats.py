@@ -1,11 +1,14 @@
 """Chat formatting, license scans, HTML extraction."""
 
 import hashlib
+import html
 import itertools
 import json
 import random
 import re
+import time
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -247,3 +250,78 @@ def test_extract_keeps_rows(spark):
 def test_head_without_its_end_and_self_closed_drawings_hide_nothing(page):
     prose = " ".join(["A sentence of plain words that goes on for a while, as an article does."] * 6)
     assert html_main.main_text(page.format(prose)) == prose
+
+
+ARTICLE = "The council met on Tuesday evening to discuss the new bridge across the river. Several members raised concerns about its cost. " * 3
+WRAPPERS = [
+    '<body class="right-sidebar">{}</body>', '<body class="home has-sidebar">{}</body>', '<body class="nav-open">{}</body>',
+    '<body class="no-sidebar"><article>{}</article></body>', '<article class="post tag-bridge">{}</article>',
+    '<div class="post type-post tag-bridge category-news">{}</div>', '<div class="side-by-side">{}</div>',
+    '<main class="content-with-sidebar">{}</main>', '<article><div class="legal notice">{}</div></article>',
+    '<form><div class="article-body">{}</div></form>', "<form>{}</form>",
+]
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+@pytest.mark.parametrize("inner", ["<p>{}</p>", "<h1>New bridge</h1><p>{}</p><p>{}</p>"])
+def test_what_wraps_a_page_hides_no_article(wrapper, inner):
+    text = html_main.main_text(wrapper.format(inner.format(ARTICLE, ARTICLE)))
+    assert text.count(ARTICLE.strip()) == inner.count("{}")
+
+
+@pytest.mark.parametrize("outer", ["<main>{}</main>", "<div id=content>{}</div>", "<div>{}</div>"])
+def test_tables_lists_and_headings_stay(outer):
+    body = f"<h1>Title</h1><p>{ARTICLE}</p><h2>Costs</h2><table><tr><td>Steel</td><td>40</td></tr></table><ul><li>one</li><li>two</li></ul><p>{ARTICLE}</p>"
+    page = f"<body><nav><ul><li><a href=/>Home</a></li><li><a>News</a></li></ul></nav>{outer.format(body)}<footer><p>Copyright</p></footer></body>"
+    assert html_main.main_text(page) == f"Title {ARTICLE}Costs Steel 40 one two {ARTICLE}".strip()
+    assert html_main.main_text("<p>One short paragraph here.</p>") == "One short paragraph here."
+
+
+@pytest.mark.parametrize(
+    "rest",
+    [
+        f'<div class="ad">{ARTICLE}{ARTICLE}</div>', f'<div class="cookie-notice"><p>{ARTICLE}</p></div>', f"<aside><p>{ARTICLE}</p></aside>",
+        f'<section class="comments"><div class="comment"><p>{ARTICLE}</p></div><div class="comment"><p>{ARTICLE}</p></div></section>',
+        "<form class=newsletter><label>Your mail</label><p>Get our letter.</p></form>", "<header><h1>The Daily</h1><p>News and views</p></header>",
+    ],
+)
+def test_the_rest_of_a_page_goes(rest):
+    body = "<article><h1>On rivers</h1><p>Rivers run to the sea, and carry sand with them on their way.</p><p>Some of it stays.</p></article>"
+    for page in (f"<body>{rest}{body}</body>", f"<body>{body}{rest}</body>"):
+        assert html_main.main_text(page) == "On rivers Rivers run to the sea, and carry sand with them on their way. Some of it stays."
+
+
+def test_neighbours_decide_where_a_block_says_little():
+    model, flipped = html_main.learnt(), 0
+    for page in html_main.examples(200, seed=5):
+        found, truth = html_main.marked_blocks(page)
+        rows = html_main.rows_of(found)
+        costs, labels = model.costs(rows), model.cut(rows, html_main.edges_of(found))
+        flipped += sum((c > 0) != label and label == good for c, label, good in zip(costs, labels, truth, strict=True))
+        assert max(map(abs, costs)) <= html_main.BOUND < 2 * sum(model.ties)
+    assert flipped >= 10
+
+
+def test_held_out_pages():
+    right = total = 0
+    for page in html_main.examples(200, seed=6):
+        found, truth = html_main.marked_blocks(page)
+        right += sum(a == b for a, b in zip(html_main.learnt().labels(found), truth, strict=True))
+        total += len(found)
+    assert right > 0.98 * total  # some of what is written beside an article bears no sign of it
+
+
+def test_extraction_equals_the_written_articles():
+    """Of the test pages the article element's text, found by a plain pattern, is all."""
+    rows = duckdb.sql("SELECT html FROM '/root/testdata/sf0.01/pages.parquet'").fetchall()
+    for (page,) in rows:
+        article = re.search(r"<article>(.*?)</article>", page, re.DOTALL)[1]
+        parts = [html.unescape(re.sub(r"<b>|</b>|<a [^>]*>|</a>", "", re.sub(r"<br/?>", " ", p))) for p in re.split(r"</?(?:p|h1|ul|li|div)[^>]*>", article)]
+        assert html_main.main_text(page) == " ".join(" ".join(p.split()) for p in parts if p.split())
+
+
+@pytest.mark.parametrize("page", ["<div>x " * 20_000, "<p>a" * 50_000, "<div><p>w w w</p>" * 10_000, "<b>" * 50_000 + "x", "<table>" * 5000 + "<tr><td>x" * 9000, "a" * 2_000_000])
+def test_very_long_and_deep_pages_take_linear_time(page):
+    began = time.perf_counter()
+    html_main.main_text(page)
+    assert time.perf_counter() - began < 20
