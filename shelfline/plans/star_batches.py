@@ -4,16 +4,18 @@ The ledger (``plans/ledger.py``) says which folders are live; a batch writes
 only new ones, so a refused or broken-off batch leaves no trace in any result,
 and whoever reads while a batch is added sees the star before it. The tables:
 
-* ``moves``, by month: sums per (date, SKU) of each batch, which add up;
+* ``moves``: sums per (date, SKU) of each batch, which add up, in date order, so
+  that months not asked for are skipped by their files' statistics;
 * ``receipts``: vendors per (SKU, date) that a batch brought or changed;
 * ``dim_item``, ``dim_vendor``, by hash bucket of the key: a batch rewrites the
   buckets in which a row is new or differs; ``dim_calendar``: dates, added;
 * ``item_months``, by month: for each (SKU, month) its number of dates, first
   and last date, and the sums behind turnover. It tells which months a batch
   affects without a look at the history;
-* ``fact``, by month; ``fact_sums``, by month: sums per (month, item, vendor);
-  ``fact_checks`` and ``fact_ids``, by month: rule violations, and bitmaps of
-  the surrogate ids in use. All four are rewritten for affected months only.
+* ``fact``, by month, in a folder for each; ``fact_sums``, by month: sums per
+  (month, item, vendor); ``fact_checks`` and ``fact_ids``, by month: rule
+  violations, and bitmaps of the surrogate ids in use. All four are rewritten
+  for affected months only.
 
 A movement affects its SKU's rows of that date and the 29 after it, whose mean
 usage changes. A receipt affects its SKU from its date to the next receipt, and
@@ -41,26 +43,34 @@ from shelfline.operators.windows import turnover_ratio
 from shelfline.plans import ledger
 from shelfline.plans.dims import calendar_from_days, load_items, load_vendors
 from shelfline.plans.fact import build_fact
-from shelfline.plans.ledger import Snapshot
-from shelfline.plans.warehouse import ENFORCED, RefusedLoad, by_month, check_inputs, month_of, write_daily, write_table
+from shelfline.plans.ledger import Layout, Snapshot
+from shelfline.plans.warehouse import (
+    ENFORCED,
+    RefusedLoad,
+    by_month,
+    check_inputs,
+    in_date_order,
+    month_of,
+    write_daily,
+    write_table,
+)
 from shelfline.schemas import MONTH_ID, QUANTITIES
 from shelfline.session import subfolders
 from shelfline.sources import RawInputs, clean_items, clean_vendors, type_supply
 from shelfline.star import Dims, Star
 
 BUCKET = "bucket"
-#: Partition column of each table.
-COLUMNS = {
-    "moves": MONTH_ID,
-    "receipts": None,
-    "dim_item": BUCKET,
-    "dim_vendor": BUCKET,
-    "dim_calendar": None,
-    "item_months": MONTH_ID,
-    "fact": MONTH_ID,
-    "fact_sums": MONTH_ID,
-    "fact_checks": MONTH_ID,
-    "fact_ids": MONTH_ID,
+LAYOUTS = {
+    "moves": Layout(),
+    "receipts": Layout(),
+    "dim_item": Layout(BUCKET, folders=True),
+    "dim_vendor": Layout(BUCKET, folders=True),
+    "dim_calendar": Layout(),
+    "item_months": Layout(MONTH_ID),
+    "fact": Layout(MONTH_ID, folders=True),
+    "fact_sums": Layout(MONTH_ID),
+    "fact_checks": Layout(MONTH_ID),
+    "fact_ids": Layout(MONTH_ID),
 }
 #: Buckets of a dimension; a batch that changes one row rewrites this share of it.
 BUCKETS = 16
@@ -76,7 +86,7 @@ def _schema(**types: T.DataType) -> T.StructType:
 
 
 _SCHEMAS = {
-    "moves": _schema(mat_sku=_TEXT, movement_date=_DATE, **dict.fromkeys(QUANTITIES, _DOUBLE)),
+    "moves": _schema(mat_sku=_TEXT, movement_date=_DATE, **dict.fromkeys(QUANTITIES, _DOUBLE), month_id=T.IntegerType()),
     "receipts": _schema(mat_sku=_TEXT, rcvd_date=_DATE, ven_acc=_TEXT),
     "dim_item": schemas.DIM_ITEM,
     "dim_vendor": schemas.DIM_VENDOR,
@@ -91,13 +101,10 @@ _SCHEMAS = {
     "fact_checks": _schema(rule=_TEXT, table_name=_TEXT, column_name=_TEXT, violations=_LONG),
     "fact_ids": _schema(column_name=_TEXT, chunk=_LONG, ids=T.BinaryType()),
 }
-#: Tables that are written anew for each affected month.
-_OF_MONTH = ("item_months", "fact", "fact_sums", "fact_checks", "fact_ids")
-
 
 def open_star(spark: SparkSession, path: str) -> Snapshot:
     """The star's live folders just now; later batches don't change what is read through it."""
-    return ledger.snapshot(spark, path, COLUMNS)
+    return ledger.snapshot(spark, path, LAYOUTS)
 
 
 def last_batch(spark: SparkSession, path: str) -> int:
@@ -116,9 +123,9 @@ def _dims(spark: SparkSession, snap: Snapshot) -> Dims:
 
 def _daily(spark: SparkSession, snap: Snapshot, months: Collection[int]) -> DataFrame:
     """Quantities per (SKU, date) of some months."""
-    rows = _read(spark, snap, "moves", months)
-    if snap.whole("moves", months):
-        return rows.drop(MONTH_ID)
+    rows = _read(spark, snap, "moves").where(F.col(MONTH_ID).isin(sorted(months))).drop(MONTH_ID)
+    if snap.whole("moves", [None]):
+        return rows
     return rows.groupBy("mat_sku", "movement_date").agg(*[F.sum(q).alias(q) for q in QUANTITIES])
 
 
@@ -152,8 +159,14 @@ def _together(*actions: Callable[[], object]) -> list:
 
 
 def _written_parts(spark: SparkSession, snap: Snapshot, table: str, batch_id: int) -> set[int]:
+    """Parts in the folder of a batch."""
     names = subfolders(spark, f"{snap.path}/{table}/batch_id={batch_id}")
-    return {int(name.partition("=")[2]) for name in names if name.startswith(f"{COLUMNS[table]}=")}
+    return {int(name.partition("=")[2]) for name in names if name.startswith(f"{LAYOUTS[table].column}=")}
+
+
+def _of_batch(spark: SparkSession, snap: Snapshot, table: str, batch_id: int) -> DataFrame:
+    """What a batch wrote to a table without parts."""
+    return _read(spark, snap.without(table, [None]).adding(table, [None], batch_id), table)
 
 
 # --- dimensions -----------------------------------------------------------------------------------
@@ -195,15 +208,11 @@ def affected_months(
     spark: SparkSession, before: Snapshot, after: Snapshot, batch_id: int, fresh_items: set[int], fresh_vendors: set[int]
 ) -> set[int]:
     """Months whose rows a batch may change, from the batch and the index of (SKU, month)."""
-    own = {p for p, batches in after.live.get("moves", {}).items() if batch_id in batches}
+    mine = _of_batch(spark, after, "moves", batch_id)
     if not before.parts("item_months"):
-        return own
+        return {r[MONTH_ID] for r in mine.select(MONTH_ID).distinct().collect()}  # months
     index = _read(spark, before, "item_months").select("mat_sku", MONTH_ID, "first_day", "last_day")
-    moved = (
-        _read(spark, after.without("moves", after.parts("moves")).adding("moves", own, batch_id), "moves")
-        .groupBy("mat_sku", MONTH_ID)
-        .agg(F.max("movement_date").alias("last"))
-    )
+    moved = mine.groupBy("mat_sku", MONTH_ID).agg(F.max("movement_date").alias("last"))
     until = F.date_add("last", SPAN)
     later = F.sequence(F.trunc(F.add_months("last", 1), "month"), F.trunc(until, "month"), F.expr("interval 1 month"))
     reach = moved.where(F.trunc(until, "month") > F.trunc("last", "month")).select(
@@ -214,9 +223,9 @@ def affected_months(
         .join(index, ["mat_sku", MONTH_ID])
         .where("first_day <= until")
     )
-    found = [after_moves.select(MONTH_ID)]
+    found = [moved.select(MONTH_ID), after_moves.select(MONTH_ID)]
     if batch_id in after.live.get("receipts", {}).get(None, ()):
-        new = _read(spark, after.without("receipts", [None]).adding("receipts", [None], batch_id), "receipts")
+        new = _of_batch(spark, after, "receipts", batch_id)
         skus = new.select("mat_sku").distinct()
         following = F.lead("rcvd_date").over(Window.partitionBy("mat_sku").orderBy("rcvd_date"))
         ranges = (
@@ -238,7 +247,7 @@ def affected_months(
     months = found[0]
     for more in found[1:]:
         months = months.unionByName(more)
-    return own | {r[MONTH_ID] for r in months.distinct().collect()}  # months
+    return {r[MONTH_ID] for r in months.distinct().collect()}  # months
 
 
 # --- what is kept of each month -------------------------------------------------------------------
@@ -367,8 +376,6 @@ def _refuse_broken(spark: SparkSession, after: Snapshot, months: Collection[int]
 
 def _write_batch(spark: SparkSession, raw: RawInputs, before: Snapshot, batch_id: int) -> tuple[Snapshot, dict[str, int]]:
     """Write all folders of a batch; what the star consists of with them, and rows written by table."""
-    here = {table: f"{before.path}/{table}/batch_id={batch_id}" for table in COLUMNS}
-
     def receipts() -> int:
         new = latest_receipts(type_supply(raw.supply))
         if before.parts("receipts"):  # only those that change the vendor of their date
@@ -376,9 +383,10 @@ def _write_batch(spark: SparkSession, raw: RawInputs, before: Snapshot, batch_id
             new = new.join(known, ["mat_sku", "rcvd_date"], "left").where("_had is null or ven_acc > _had").drop("_had")
         return write_table(new, here["receipts"])
 
+    here = {table: f"{before.path}/{table}/batch_id={batch_id}" for table in LAYOUTS}
     _, n_moves, n_receipts, items, vendors = _together(
         lambda: check_inputs(raw),
-        lambda: write_daily(raw.movements, here["moves"], by_month_too=True),
+        lambda: write_daily(raw.movements, here["moves"], in_order=True),
         receipts,
         lambda: _merge_buckets(
             spark, before, "dim_item", clean_items(raw.items), "medicine_sku", "medicine_id_pk", batch_id
@@ -387,23 +395,24 @@ def _write_batch(spark: SparkSession, raw: RawInputs, before: Snapshot, batch_id
             spark, before, "dim_vendor", clean_vendors(raw.vendors), "vendor_account", "vendor_id_pk", batch_id
         ),
     )
-    after = before.adding("moves", _written_parts(spark, before, "moves", batch_id), batch_id)
+    after = before.adding("moves", [None], batch_id) if n_moves else before
     if n_receipts:
         after = after.adding("receipts", [None], batch_id)
     after = after.replacing("dim_item", items[0], batch_id).replacing("dim_vendor", vendors[0], batch_id)
 
+    rows = {"moves": n_moves, "receipts": n_receipts, "dim_item": items[2], "dim_vendor": vendors[2], "dim_calendar": 0}
+
     def calendar() -> int:
-        own = after.without("moves", after.parts("moves")).adding(
-            "moves", _written_parts(spark, before, "moves", batch_id), batch_id
-        )
-        days = calendar_from_days(_read(spark, own, "moves"))
+        days = calendar_from_days(_of_batch(spark, after, "moves", batch_id))
         known = _read(spark, before, "dim_calendar").select("full_date")
         return write_table(days.join(known, "full_date", "left_anti").coalesce(1), here["dim_calendar"])
 
-    n_days, months = _together(calendar, lambda: affected_months(spark, before, after, batch_id, items[1], vendors[1]))
-    if n_days:
+    def affected() -> set[int]:
+        return affected_months(spark, before, after, batch_id, items[1], vendors[1])
+
+    rows["dim_calendar"], months = _together(calendar, affected)
+    if rows["dim_calendar"]:
         after = after.adding("dim_calendar", [None], batch_id)
-    rows = {"moves": n_moves, "receipts": n_receipts, "dim_item": items[2], "dim_vendor": vendors[2], "dim_calendar": n_days}
     if not months:
         return after, rows
 
@@ -418,25 +427,19 @@ def _write_batch(spark: SparkSession, raw: RawInputs, before: Snapshot, batch_id
 
     def item_months() -> int:
         # the affected months lie wholly within the daily sums, which also hold the 29 dates before them
-        table = _item_months(daily, known, months).repartition(MONTH_ID)
-        return write_table(table, here["item_months"], partition_by=MONTH_ID)
+        return write_table(_item_months(daily, known, months), here["item_months"])
 
     rows["fact"], rows["item_months"] = _together(fact, item_months)
-    written = after.without("fact", after.parts("fact")).replacing(
-        "fact", _written_parts(spark, after, "fact", batch_id), batch_id
-    )
-    stored = _read(spark, written, "fact")
-
-    def summary(table: str, frame: DataFrame) -> Callable[[], int]:
-        return lambda: write_table(frame.repartition(MONTH_ID), here[table], partition_by=MONTH_ID)
-
+    held = _written_parts(spark, after, "fact", batch_id)  # a month may have lost all its rows
+    stored = _read(spark, after.without("fact", after.parts("fact")).replacing("fact", held, batch_id), "fact")
     rows["fact_sums"], _, _ = _together(
-        summary("fact_sums", _fact_sums(stored)),
-        summary("fact_checks", _fact_checks(stored)),
-        summary("fact_ids", _fact_ids(stored)),
+        lambda: write_table(_fact_sums(stored), here["fact_sums"]),
+        lambda: write_table(_fact_checks(stored), here["fact_checks"]),
+        lambda: write_table(_fact_ids(stored), here["fact_ids"]),
     )
-    for table in _OF_MONTH:  # a month may have lost all its rows, so it is first taken out
-        after = after.without(table, months).replacing(table, _written_parts(spark, after, table, batch_id), batch_id)
+    for table in ("item_months", "fact_sums", "fact_checks", "fact_ids"):
+        after = after.replacing(table, months, batch_id)
+    after = after.without("fact", months).replacing("fact", held, batch_id)
     _refuse_broken(spark, after, months)
     return after, rows
 
@@ -462,25 +465,30 @@ def add_batch(spark: SparkSession, raw: RawInputs, path: str, batch_id: int) ->
 
 
 def compact(spark: SparkSession, path: str) -> None:
-    """Fold what many batches added to the same month, and all receipts, into one folder each, as a new entry."""
-    snap = open_star(spark, path)
+    """Fold what many batches wrote to the tables that have one folder a batch into one each, as a new entry."""
+    snap = after = open_star(spark, path)
     folded = -2 - snap.entry  # a name that no batch has
-    many = [m for m, batches in snap.live.get("moves", {}).items() if len(batches) > 1]
-    after = snap
-    if many:
-        rows = _daily(spark, snap, many).withColumn(MONTH_ID, _month("movement_date")).repartition(MONTH_ID)
-        write_table(rows, snap.folder("moves", folded, many[0]).rpartition("/")[0], partition_by=MONTH_ID)
-        after = after.replacing("moves", many, folded)
-    if not snap.whole("receipts", [None]):
-        write_table(_receipts(spark, snap), snap.folder("receipts", folded))
-        after = after.replacing("receipts", [None], folded)
+    for table, layout in LAYOUTS.items():
+        if layout.folders or len({b for batches in snap.live.get(table, {}).values() for b in batches}) < 2:
+            continue
+        if table == "moves":
+            day = F.col("movement_date")
+            rows = in_date_order(_daily(spark, snap, _months(spark, snap)).withColumn(MONTH_ID, _month(day)))
+        else:
+            rows = _receipts(spark, snap) if table == "receipts" else _read(spark, snap, table)
+        write_table(rows, snap.folder(table, folded))
+        after = after.without(table, after.parts(table)).replacing(table, snap.parts(table), folded)
     if after is not snap:
         ledger.commit(spark, after, snap.batch_id, {})
 
 
+def _months(spark: SparkSession, snap: Snapshot) -> set[int]:
+    return {r[MONTH_ID] for r in _read(spark, snap, "moves").select(MONTH_ID).distinct().collect()}  # months
+
+
 def vacuum(spark: SparkSession, path: str, keep: int = 2) -> list[str]:
     """Delete what none of the newest entries of the ledger lists."""
-    return ledger.vacuum(spark, path, COLUMNS, keep)
+    return ledger.vacuum(spark, path, LAYOUTS, keep)
 
 
 # --- reading --------------------------------------------------------------------------------------

@@ -162,8 +162,15 @@ def refuse_unreadable(counts: list[tuple[str, str, int, int]], tolerance: float)
         raise RefusedLoad("unreadable numbers in " + "; ".join(bad))
 
 
-def write_daily(movements: DataFrame, path: str, tolerance: float = TOLERANCE, by_month_too: bool = False) -> int:
-    """Write the daily sums of raw movements, if wanted by month; unreadable numbers are counted in the same pass.
+def in_date_order(daily: DataFrame) -> DataFrame:
+    """Daily sums dealt and sorted by date, so that readers skip files and row groups of other dates."""
+    return daily.repartitionByRange("movement_date").sortWithinPartitions("movement_date")
+
+
+def write_daily(movements: DataFrame, path: str, tolerance: float = TOLERANCE, in_order: bool = False) -> int:
+    """Write the daily sums of raw movements; unreadable numbers are counted in the same pass.
+
+    With ``in_order`` they have their month and lie in date order.
 
     Each number is parsed into a column of its own, from which both its value and its count are taken.
     """
@@ -171,10 +178,10 @@ def write_daily(movements: DataFrame, path: str, tolerance: float = TOLERANCE, b
     unreadable = {(c, "unreadable"): F.col(c).isNull() for c in NUMBERS["movements"]}
     watched = parsed.observe(seen, *problem_counts(unreadable))
     daily = daily_movements(type_movements(watched))
-    if by_month_too:
+    if in_order:
         day = F.col("movement_date")
-        daily = daily.withColumn(schemas.MONTH_ID, F.year(day) * 100 + F.month(day)).repartition(schemas.MONTH_ID)
-    rows = write_table(daily, path, partition_by=schemas.MONTH_ID if by_month_too else None)
+        daily = in_date_order(daily.withColumn(schemas.MONTH_ID, F.year(day) * 100 + F.month(day)))
+    rows = write_table(daily, path)
     found = observed(seen)
     refuse_unreadable(
         [("movements", col, found.get("_rows", 0), found.get(f"_{i}", 0)) for i, (col, _) in enumerate(unreadable)], tolerance
