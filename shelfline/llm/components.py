@@ -10,13 +10,14 @@ def _large_star(edges: DataFrame) -> DataFrame:
     """Each node's larger neighbours move to the least of its neighbourhood."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+    least = written(least, "least")  # so that both sides of the join are dealt for it, and a hot node's rows split
     return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Each node and its smaller neighbours move to the least of these."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    least = down.groupBy("u").agg(F.min("v").alias("m"))
+    least = written(down.groupBy("u").agg(F.min("v").alias("m")), "least")
     moved = down.join(least, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
     return moved.unionByName(least.select("u", F.col("m").alias("v")))
 
@@ -26,8 +27,9 @@ def components(edges: DataFrame) -> DataFrame:
 
     edges: u, v of one orderable type. Each round is written, and its rows are
     at most as many as the edges; rounds grow with the logarithm of the
-    longest path. Grouping sums ahead of its shuffle, and hot nodes meet in
-    joins that Spark splits.
+    longest path. Grouping takes minima ahead of its shuffle; they are written
+    before they are joined, as adaptive execution splits a hot node's rows only
+    where no grouping sits on either side's shuffle.
     """
     edges = written(edges.where("u != v").distinct(), "edges")
     before = None
@@ -36,5 +38,5 @@ def components(edges: DataFrame) -> DataFrame:
         if state == before or not state[0]:
             return edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
         before = state
-        larger = _large_star(edges).where("u != v").distinct()
+        larger = written(_large_star(edges).where("u != v").distinct(), "larger")
         edges = written(_small_star(larger).where("u != v").distinct(), "edges")
