@@ -69,8 +69,16 @@ def accumulate(old: DataFrame, new: DataFrame, keys: list[str], item: str, day:
     surplus are recomputed from the added quantities, without the positive-value
     gates of a first load and with 0 for an empty denominator; keys on one side
     keep their stored values. Turnover and coverage are not additive, so they
-    are recomputed from the quantities over the whole history of the item.
+    are recomputed from the quantities over the whole history of the item, for
+    items of the batch; rows of other items pass through as they are.
     """
+    touched = new.select(item).distinct()
+    return _accumulated(old.join(touched, item, "left_semi"), new, keys, item, day).unionByName(
+        old.join(touched, item, "left_anti")
+    )
+
+
+def _accumulated(old: DataFrame, new: DataFrame, keys: list[str], item: str, day: str) -> DataFrame:
     additive = [*QUANTITIES, "valuasi", "pengeluaran"]
     summed = (
         old.unionByName(new)
