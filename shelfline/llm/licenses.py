@@ -62,7 +62,7 @@ BASE_CONFIDENCE = 0.8
 
 # Label, identifiers in tags, the name as written in prose, address. One line a license.
 _LICENSES = r"""
-mit :: mit :: (?:the )?mit(?: \(expat\))? licen[sc]e|licen[sc]ed under (?:the )?mit|expat licen[sc]e :: opensource\.org/licenses?/mit(?![\w-])
+mit :: mit :: (?:the )?mit(?: \(expat\))? licen[sc]e|licen[sc]ed under (?:the )?mit(?=\s*(?:[.,;:)\]"'/\n(]|licen[sc]e|terms|and|or|\Z))|expat licen[sc]e :: opensource\.org/licenses?/mit(?![\w-])
 mit-0 :: mit-0 :: mit no[ -]attribution(?: licen[sc]e)? :: opensource\.org/licenses?/mit-0
 x11 :: x11 :: x11 licen[sc]e|mit/x11 licen[sc]e ::
 apache :: apache-2\.0|apache-1\.[01] :: apache(?: software)? licen[sc]e(?:,? (?:version )?[12]\.\d)? :: apache\.org/licenses/license-[12]\.\d
@@ -164,13 +164,13 @@ lgpl :: 2 :: (?:gnu )?lesser general public licen[sc]e
 lgpl :: 2 :: (?:gnu )?library general public licen[sc]e
 gpl :: 1 :: (?<!lesser )(?<!library )(?<!affero )general public licen[sc]e
 gpl :: 1 :: (?<![\w-])gplv?[ -]?[23](?:\.0)?\+?(?![\w-])
-gpl :: 1 :: (?:under|with) (?:the )?gpl(?![\w-])
+gpl :: 1 :: under (?:the )?gpl(?![\w-])
 lgpl :: 1 :: (?<![\w-])lgplv?[ -]?[23](?:\.[01])?\+?(?![\w-])
 agpl :: 1 :: (?<![\w-])agplv?[ -]?3(?:\.0)?\+?(?![\w-])
 apache :: 1 :: (?:under|with) apache[ -]?2(?:\.0)?|(?<![\w-])apache[ -]2(?:\.0)?(?![\w-])
 bsd :: 1 :: (?<![\w-])bsd(?:-style)? licen[sc]e
 mit :: 1 :: mit-style licen[sc]e
-mit :: 1 :: under (?:the )?mit(?![\w-])
+mit :: 1 :: under (?:the )?mit(?=\s*(?:[.,;:)\]"'/\n(]|licen[sc]e|terms|and|or|\Z))
 mpl :: 1 :: (?<![\w-])mpl[ -]?[12]\.[01](?![\w-])
 epl :: 1 :: (?<![\w-])epl[ -]?[12]\.0(?![\w-])
 cc-by :: 2 :: (?<![\w-])cc[ -]by(?:[ -][1234]\.[05])?(?![ -](?:nc|nd|sa)|\w)
@@ -196,7 +196,10 @@ def _compiled(expression: str) -> re.Pattern[bytes]:
         part = m.group()
         return {" ?": r"\s*", " ": r"\s+"}.get(part, part.replace(" ", r"\s"))
 
-    return re.compile(_PART.sub(spaced, expression.strip()).encode(), re.DOTALL)
+    return re.compile(_PART.sub(spaced, expression.strip()).encode("latin-1"), re.DOTALL)
+
+
+_NAME_END = r"(?![\w\x80-\xff])"
 
 
 def _rules() -> list[Rule]:
@@ -208,10 +211,11 @@ def _rules() -> list[Rule]:
         rules += [_rule(label, 4, tag), _rule(label, 4, in_list)]
         if address.strip():
             rules.append(_rule(label, 3, rf"(?:https?://)?(?:www\.)?(?:{address.strip()})[\w./-]*"))
-        rules.append(_rule(label, 2, rf"(?<!\w)(?:{name})"))
+        # a name ends as a word does: closed by its own last letter or a plural's, and nothing of a word after it
+        rules.append(_rule(label, 2, rf"(?<![\w\x80-\xff])(?:{name})s?{_NAME_END}"))
     for line in _WORDINGS.strip().splitlines():
         label, priority, expression = line.split(" :: ")
-        rules.append(_rule(label, int(priority), expression))
+        rules.append(_rule(label, int(priority), rf"{expression}{_NAME_END}"))
     return rules
 
 
