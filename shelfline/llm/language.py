@@ -56,6 +56,10 @@ def grams_of(points: np.ndarray) -> np.ndarray:
     return np.concatenate([one, two, three])
 
 
+#: N-grams that a task counts before it hands on what it has.
+MOST_HELD = 1 << 20
+
+
 def _add(grams: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     values, where = np.unique(grams, return_inverse=True)
     return values, np.bincount(where, counts, len(values)).astype(np.int64)
@@ -76,6 +80,12 @@ def count_grams(rows: DataFrame) -> DataFrame:
                     values, counts = np.concatenate([total[lang][0], values]), np.concatenate([total[lang][1], counts])
                     values, counts = _add(values, counts)
                 total[lang] = values, counts
+            if sum(len(values) for values, _ in total.values()) > MOST_HELD:
+                yield from counted(total)
+                total = {}
+        yield from counted(total)
+
+    def counted(total: dict[str, tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
         for lang, (values, counts) in total.items():
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * len(values)), pa.array(values), pa.array(counts)], ["lang", "gram", "n"]
