@@ -5,8 +5,10 @@ variant's schema without scalar types and without fields that no layout knows
 (nested up to four deep),
 are hashed; the hash selects one of the declarative LAYOUTS, which says where
 turns, roles and texts lie. All layouts become rows (conversation, order, role,
-text); a record of no known layout becomes one row with role and text null, so
-that nothing is lost unseen.
+text); a record of no known layout becomes one row with role and text null that
+carries the record as JSON, so that nothing is lost. Where a message's content is
+a list of parts, its text joins them by an empty line, parts without text as
+JSON; calls of tools follow the text as JSON, each on a line of its own.
 
 The template writes a turn as
 
@@ -76,7 +78,11 @@ LAYOUTS = [
     Layout("dialog", "OBJECT<dialog: ARRAY<OBJECT<content: *, role: *>>>", "$.dialog", "$.role", "$.content"),
     Layout("no messages", "OBJECT<messages: ARRAY<*>>", "$.messages", "$.role", "$.content"),
     Layout("no conversations", "OBJECT<conversations: ARRAY<*>>", "$.conversations", "$.from", "$.value"),
+    Layout("messages parts", "OBJECT<messages: ARRAY<OBJECT<content: ARRAY<OBJECT<text: *>>, role: *>>>", "$.messages", "$.role", "$.content"),
+    Layout("messages other parts", "OBJECT<messages: ARRAY<OBJECT<content: ARRAY<OBJECT<>>, role: *>>>", "$.messages", "$.role", "$.content"),
+    Layout("messages strings", "OBJECT<messages: ARRAY<OBJECT<content: ARRAY<*>, role: *>>>", "$.messages", "$.role", "$.content"),
     Layout("list", "ARRAY<OBJECT<content: *, role: *>>", "$", "$.role", "$.content"),
+    Layout("list parts", "ARRAY<OBJECT<content: ARRAY<OBJECT<text: *>>, role: *>>", "$", "$.role", "$.content"),
     Layout("list from value", "ARRAY<OBJECT<from: *, value: *>>", "$", "$.from", "$.value"),
     *_pair("instruction", ("instruction",), "output", "input"),
     *_pair("instruction response", ("instruction",), "response", "context"),
@@ -114,6 +120,26 @@ def _text(record: Column, path: str) -> Column:
     return F.coalesce(F.try_variant_get(record, path, "string"), F.lit(""))
 
 
+#: Fields of a message that hold calls of tools.
+CALLS = ("tool_calls", "function_call")
+
+
+def _message_text(message: Column, path: str) -> Column:
+    """Text of a message: its content, which may be a list of parts, and the calls that it makes."""
+    parts = F.try_variant_get(message, path, "array<variant>")
+    texts = F.transform(
+        parts,
+        lambda p: F.coalesce(
+            F.try_variant_get(p, "$.text", "string"),
+            F.when(F.schema_of_variant(p) == "STRING", F.try_variant_get(p, "$", "string")),
+            F.to_json(p),
+        ),
+    )
+    calls = [F.nullif(F.to_json(F.try_variant_get(message, f"$.{c}", "variant")), F.lit("null")) for c in CALLS]
+    content = F.coalesce(F.array_join(texts, "\n\n"), _text(message, path))
+    return F.array_join(F.filter(F.array(content, *calls), lambda x: x.isNotNull() & (x != "")), "\n")
+
+
 def _role(role: Column) -> Column:
     return F.coalesce(F.create_map(*[F.lit(x) for pair in ROLES.items() for x in pair])[role], role)
 
@@ -123,7 +149,7 @@ def _turns(layout: Layout, record: Column) -> Column:
     if layout.each:
         items = F.try_variant_get(record, layout.each, "array<variant>")
         return F.transform(
-            items, lambda x: F.struct(_role(_text(x, layout.role)).alias("role"), _text(x, layout.text).alias("text"))
+            items, lambda x: F.struct(_role(_text(x, layout.role)).alias("role"), _message_text(x, layout.text).alias("text"))
         )
     if layout.turns:
         parts = []
@@ -135,10 +161,10 @@ def _turns(layout: Layout, record: Column) -> Column:
 
 
 def canonical_turns(records: DataFrame, conversation: str, order: str, record: str = "record") -> DataFrame:
-    """Rows (conv_id, at, place, layout, role, text) of all records, variants in any of LAYOUTS.
+    """Rows (conv_id, at, place, layout, role, text, raw) of all records, variants in any of LAYOUTS.
 
     ``order`` sorts the records of a conversation. A record of no known layout, or null, gives one row with layout,
-    role and text null; a known one without turns gives none.
+    role and text null and the record itself, as JSON, in raw; a known one without turns gives none.
     """
     rows = records.select(
         F.col(conversation).alias("conv_id"), F.col(order).alias("at"), F.col(record).alias("record")
@@ -150,9 +176,10 @@ def canonical_turns(records: DataFrame, conversation: str, order: str, record: s
         name = F.when(same, layout.name) if name is None else name.when(same, layout.name)
         turns = F.when(same, mapped) if turns is None else turns.when(same, mapped)
     unknown = F.array(F.struct(F.lit(None).cast("string").alias("role"), F.lit(None).cast("string").alias("text")))
-    rows = rows.select("conv_id", "at", name.alias("layout"), turns.otherwise(unknown).alias("turns"))
-    return rows.select("conv_id", "at", "layout", F.posexplode("turns").alias("place", "turn")).select(
-        "conv_id", "at", "place", "layout", "turn.role", "turn.text"
+    raw = F.when(name.isNull(), F.to_json("record"))
+    rows = rows.select("conv_id", "at", name.alias("layout"), raw.alias("raw"), turns.otherwise(unknown).alias("turns"))
+    return rows.select("conv_id", "at", "layout", "raw", F.posexplode("turns").alias("place", "turn")).select(
+        "conv_id", "at", "place", "layout", "turn.role", "turn.text", "raw"
     )
 
 
