@@ -53,6 +53,17 @@ LAYOUTS = [
     ({"role": "user", "content": "z", "weight": 1.5}, [("user", "z")]),
     ({"messages": []}, []),
     ({"unheard": 1}, [(None, None)]),
+    (
+        {"messages": [{"role": "user", "content": [{"type": "text", "text": "see"}, {"type": "image", "url": "u"}, {"type": "text", "text": "this"}]}]},
+        [("user", 'see\n\n{"type":"image","url":"u"}\n\nthis')],
+    ),
+    ({"messages": [{"role": "user", "content": ["a", "b"]}]}, [("user", "a\n\nb")]),
+    ({"messages": [{"role": "user", "content": "q"}, {"role": "user", "content": [{"type": "text", "text": "t"}]}]}, [("user", "q"), ("user", "t")]),
+    (
+        {"messages": [{"role": "assistant", "content": None, "tool_calls": [{"id": "1", "function": {"name": "f", "arguments": "{}"}}]}, {"role": "tool", "content": "42"}]},
+        [("assistant", '[{"function":{"arguments":"{}","name":"f"},"id":"1"}]'), ("tool", "42")],
+    ),
+    ([{"role": "user", "content": [{"type": "text", "text": "z"}]}], [("user", "z")]),
 ]
 
 
@@ -65,6 +76,16 @@ def test_layouts_become_turns(spark):
     assert got == {**{k: turns for k, (_, turns) in enumerate(LAYOUTS) if turns}, 77: [(None, None)]}
 
 
+def test_records_of_no_known_layout_are_carried_whole(spark):
+    known = {"messages": [{"role": "user", "content": "q"}]}
+    odd = {"unheard": [1, {"of": "it"}], "role": 3}
+    rows = [(0, 0, json.dumps(odd)), (1, 0, json.dumps(known)), (2, 0, None)]
+    records = spark.createDataFrame(rows, "c long, t long, j string").withColumn("record", F.parse_json("j"))
+    got = {r.conv_id: r for r in chat.canonical_turns(records, "c", "t").collect()}
+    assert json.loads(got[0].raw) == odd and got[0].layout is None and got[0].text is None
+    assert got[1].raw is None and got[2].raw is None
+
+
 def test_layout_shapes_are_distinct():
     shapes = [layout.paths for layout in chat.LAYOUTS]
     assert len(shapes) == len(set(shapes))
@@ -105,6 +126,27 @@ def test_rules_with_priority_and_containment(text, want):
     assert [label for label, _ in labels(text)] == want
 
 
+@pytest.mark.parametrize(
+    "text",
+    [
+        "the open railway museum", "commit cc0f1a9b", "a cc0unt", "public domain marketing", "under the MIT professor", "works under mitigation",
+        "studied under MIT researchers", "licensed under the MIT professor's name", "the apache licensee", "gnu general public licenséd",
+    ],
+)
+def test_near_misses_have_no_label(text):
+    scanner = licenses.Scanner()
+    found = {r.label for _, _, r in scanner.places(text.lower().encode())}
+    assert not found & {"openrail", "cc0", "cc-pdm", "mit", "apache", "gpl"}
+
+
+@pytest.mark.parametrize(
+    ("text", "label"),
+    [("the OpenRAIL-M license", "openrail"), ("under CC0.", "cc0"), ("under the MIT", "mit"), ("under the mit, or", "mit"), ("MIT licenses", "mit")],
+)
+def test_names_that_end_as_words_do_are_found(text, label):
+    assert label in {r.label for _, _, r in licenses.Scanner().places(text.lower().encode())}
+
+
 def test_there_are_hundreds_of_rules_and_every_one_compiles():
     rules = licenses._rules()
     assert len(rules) > 250 and all(not r.pattern.match(b"") for r in rules)

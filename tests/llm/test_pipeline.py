@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from shelfline.llm import base, decontaminate, exact_dedup, pieces, quality, queries, simhash
+from shelfline.llm import base, decontaminate, exact_dedup, importance, language, licenses, pieces, quality, queries, simhash
 
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
@@ -33,6 +33,9 @@ def test_every_query_has_its_contract_columns(spark):
         "op8": "doc_id held_out lang_pred score",
         "op9": "doc_id n_words n_base first_word last_word base_labels labels score",
         "op10": "page_id url text n_chars",
+        "op11": "vec_id code error label_error codebooks_sha256",
+        "op12": "doc_id n_email n_ip n_card n_phone base_sha256 spans",
+        "op13": "doc_id n_features weight score rank",
     }
     for name, query in queries.QUERIES.items():
         number = name.split("_")[0]
@@ -141,6 +144,25 @@ def test_a_run_leaves_its_result_only(spark):
     assert len(base._tables) == before
 
 
+def test_very_long_texts(spark):
+    """One text of some megabytes beside short ones: as many rows as came in, and what stands at its end is found."""
+    item = "which river floods the old vineyards below the northern mountain each spring when snow melts early"
+    long = "some plain words that go on and on\n" * 80_000
+    rows = [(1, long + item + " mit license"), (2, "short text of a few plain words"), (3, "x" * 2_000_000), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("lang", F.when(F.col("doc_id") == 2, "en"))
+    labels = spark.createDataFrame([(2, 1, 0), (1, 0, 0)], "doc_id long, quality int, toxic int")
+    items = spark.createDataFrame([(7, item)], "item_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs, items).collect()] == [(1, 7)]
+    assert sorted(r.doc_id for r in decontaminate.drop_leaks(docs, items).collect()) == [2, 3, 4]
+    assert sorted(r.doc_id for r in quality.score_documents(docs, labels).collect()) == [1, 2, 3, 4]
+    assert quality.keep_good(docs, labels).count() <= 4
+    found = {r.doc_id: r for r in licenses.scan_licenses(docs).collect()}
+    assert found[1].base_labels == "mit" and found[1].last_word == found[1].n_words - 2 and found[3].n_words == 1
+    assert {r.doc_id for r in language.learn_and_identify(docs).collect()} == {1, 2, 3, 4}
+    assert {r.doc_id: r.n_features for r in importance.resample(docs, items.select("text")).collect()}[3] == 1
+    assert {r.doc_id: r.n_pieces > 0 for r in pieces.checked_documents(docs).collect()} == {1: True, 2: True, 3: True, 4: False}
+
+
 def test_pipeline_says_whether_its_pieces_read_back(spark, monkeypatch):
     docs = spark.createDataFrame([(1, "a text"), (None, None), (2, "  \u2581x")], "doc_id long, text string")
     rows = corpus_pipeline.encoded_documents(spark, docs, SF_DIR).collect()
