@@ -7,18 +7,23 @@ multiple of BLOCK in its document, since 2 * BLOCK - 1 <= WINDOW. So:
 1. Index and probe. Each document gives its non-overlapping blocks as anchors
    and every rolling window of BLOCK words as a probe. Their hashes meet in
    buckets; a place is hit if its hash occurs twice and once as an anchor. A
-   task sends a hash it holds several times once, and packs what it sends: some
-   five bytes a word.
+   block of texts sends a hash it holds several times once, and packs what it
+   sends: some five bytes a word. Places that a block itself knows to be hit are
+   only passed on to their documents, by whatever bucket, so that of a passage
+   which very many documents share its own bucket gets one place a block.
 2. Extend. A window of WINDOW words can have a second occurrence only if the
    anchors within it are hit. Such windows, 128 bits each, meet in buckets; all
    but the earliest are repeats, and consecutive ones are the maximal repeats.
-   Again a task settles what it can and sends each window once.
+   Again a group settles what it can, sends each window once, and passes on what
+   it knows to be repeats.
 3. Remove. Each document meets its repeated windows and drops the words.
 
 Buckets and document groups have fixed expected sizes, so their number grows
 with the input and their memory does not. Steps are written to the shared
 folder. A 31-bit hash that agrees by chance in step 1 only adds windows for step
-2 to refuse.
+2 to refuse. Step 2 compares windows by 128 bits over 64-bit hashes of words, and
+not word by word: with a billion different words two of them share a hash by a
+chance of 3 %, and then matter only where all other 19 words agree as well.
 
 Null and empty texts have no words. Rows that repeat a doc_id with the same text
 are one document; with another text they are documents of their own, in the
@@ -32,6 +37,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -87,11 +93,12 @@ def _table(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.
 
 # --- step 1 ---------------------------------------------------------------------------------------
 
-_PROBED = "bucket int, keys binary, refs binary, places binary, hit_refs binary, hit_places binary"
+# With a part, refs and places are known to be hits and pass on to that group of documents.
+_PROBED = "bucket int, part int, keys binary, refs binary, places binary"
 _HITS = "part int, refs binary, places binary"
 
 
-def _probe(block: int, buckets: int):
+def _probe(block: int, buckets: int, parts: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in blocks(batches, limit=2 << 20):
             texts = Texts(batch)
@@ -110,18 +117,18 @@ def _probe(block: int, buckets: int):
             anchor[order[begin]] |= anchored & (size > 1)
             key = (h & np.uint64(0x7FFFFFFF)) << np.uint64(1) | anchor.astype(np.uint64)
             bucket = ((h >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
-            local = dict(_split(bucket[hit]))
-            index = np.flatnonzero(hit)
             rows = []
             sent = np.flatnonzero(send)
             for b, some in _split(bucket[sent]):
                 some = sent[some]
-                mine = index[local.get(b, np.zeros(0, np.int64))]
-                rows.append(
-                    (b, key[some].astype("<u4").tobytes(), pack(ref[some]), pack(place[some]), pack(ref[mine]), pack(place[mine]))
-                )
-            names = ["bucket", "keys", "refs", "places", "hit_refs", "hit_places"]
-            yield from _table(rows, names, [pa.int32(), *[pa.binary()] * 5]).to_batches()
+                rows.append((b, None, key[some].astype("<u4").tobytes(), pack(ref[some]), pack(place[some])))
+            index = np.flatnonzero(hit)
+            for part, own in _split(np.mod(ref[index], parts)):
+                own = index[own]
+                own = own[np.lexsort((place[own], ref[own]))]
+                rows.append((part % buckets, part, b"", pack(ref[own]), pack(place[own])))
+            names = ["bucket", "part", "keys", "refs", "places"]
+            yield from _table(rows, names, [pa.int32(), pa.int32(), *[pa.binary()] * 3]).to_batches()
 
     return work
 
@@ -131,31 +138,39 @@ def _join(table: pa.Table, name: str) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros(0, np.int64)
 
 
+def _passing(table: pa.Table, names: list[str]) -> tuple[pa.Table, pa.Table]:
+    """Rows of a bucket that pass on to a group of documents, and those that meet here."""
+    meets = pc.is_null(table.column("part"))
+    return table.filter(pc.invert(meets)).select(names), table.filter(meets)
+
+
 def _meet(parts: int):
-    """Hits of a bucket, by the group of documents they go to."""
+    """Hits of a bucket, by the group of documents they go to; those that blocks found themselves pass through."""
 
     def work(table: pa.Table) -> pa.Table:
         pa.default_memory_pool().release_unused()
+        known, table = _passing(table, ["part", "refs", "places"])
+        if not table.num_rows:
+            return known
         key = np.concatenate([np.frombuffer(x.as_py(), "<u4") for x in table.column("keys")])
         ref, place = _join(table, "refs"), _join(table, "places")
         order, begin = _groups(key >> np.uint32(1))
         size = np.diff(begin, append=len(order))
         anchored = np.logical_or.reduceat((key[order] & np.uint32(1)).astype(bool), begin)
         some = order[np.repeat((size > 1) & anchored, size)]
-        ref = np.concatenate([ref[some], _join(table, "hit_refs")])
-        place = np.concatenate([place[some], _join(table, "hit_places")])
+        ref, place = ref[some], place[some]
         rows = []
         for part, own in _split(np.mod(ref, parts)):
             own = own[np.lexsort((place[own], ref[own]))]
             rows.append((part, pack(ref[own]), pack(place[own])))
-        return _table(rows, ["part", "refs", "places"], [pa.int32(), pa.binary(), pa.binary()])
+        return pa.concat_tables([known, _table(rows, ["part", "refs", "places"], [pa.int32(), pa.binary(), pa.binary()])])
 
     return work
 
 
 # --- step 2 ---------------------------------------------------------------------------------------
 
-_WINDOWS = "bucket int, keys binary, ids binary, refs binary, places binary, gone_ids binary, gone_refs binary, gone_places binary"
+_WINDOWS = "bucket int, part int, keys binary, ids binary, refs binary, places binary"
 _GONE = "part int, ids binary, refs binary, places binary"
 
 
@@ -190,11 +205,11 @@ def _earlier(ids: np.ndarray, refs: np.ndarray, places: np.ndarray, *keys: np.nd
     return firsts, repeats
 
 
-def _extend(window: int, block: int, buckets: int):
+def _extend(window: int, block: int, buckets: int, parts: int):
     def work(docs: pa.Table, hits: pa.Table) -> pa.Table:
         pa.default_memory_pool().release_unused()
-        names = ["bucket", "keys", "ids", "refs", "places", "gone_ids", "gone_refs", "gone_places"]
-        kinds = [pa.int32(), *[pa.binary()] * 7]
+        names = ["bucket", "part", "keys", "ids", "refs", "places"]
+        kinds = [pa.int32(), pa.int32(), *[pa.binary()] * 4]
         if not docs.num_rows or not hits.num_rows:
             return _table([], names, kinds)
         texts = Texts(docs)
@@ -214,36 +229,38 @@ def _extend(window: int, block: int, buckets: int):
         firsts, repeats = _earlier(ids, refs, place, high, low)
         bucket = (low % np.uint64(buckets)).astype(np.int32)
         gone = np.flatnonzero(repeats)
-        local = dict(_split(bucket[gone]))
         sent = np.flatnonzero(firsts)
         rows = []
         for b, some in _split(bucket[sent]):
             some = sent[some]
-            mine = gone[local.get(b, np.zeros(0, np.int64))]
             keys = low[some].astype("<u8").tobytes() + high[some].astype("<u8").tobytes()
-            rows.append((b, keys, *(pack(x[some]) for x in (ids, refs, place)), *(pack(x[mine]) for x in (ids, refs, place))))
+            rows.append((b, None, keys, *(pack(x[some]) for x in (ids, refs, place))))
+        for part, own in _split(np.mod(refs[gone], parts)):
+            own = gone[own]
+            own = own[np.lexsort((place[own], refs[own], ids[own]))]
+            rows.append((part % buckets, part, b"", *(pack(x[own]) for x in (ids, refs, place))))
         return _table(rows, names, kinds)
 
     return work
 
 
 def _first_wins(parts: int):
-    """Repeated windows of a bucket, by the group of documents they go to."""
+    """Repeated windows of a bucket, by the group of documents they go to; those known before pass through."""
 
     def work(table: pa.Table) -> pa.Table:
+        known, table = _passing(table, ["part", "ids", "refs", "places"])
+        if not table.num_rows:
+            return known
         both = [np.frombuffer(x.as_py(), "<u8").reshape(2, -1) for x in table.column("keys")]
         low, high = np.concatenate(both, axis=1)
         ids, refs, places = (_join(table, n) for n in ("ids", "refs", "places"))
         _, repeats = _earlier(ids, refs, places, high, low)
-        ids, refs, places = (
-            np.concatenate([x[repeats], _join(table, n)])
-            for x, n in ((ids, "gone_ids"), (refs, "gone_refs"), (places, "gone_places"))
-        )
+        ids, refs, places = ids[repeats], refs[repeats], places[repeats]
         rows = []
         for part, own in _split(np.mod(refs, parts)):
             own = own[np.lexsort((places[own], refs[own], ids[own]))]
             rows.append((part, pack(ids[own]), pack(refs[own]), pack(places[own])))
-        return _table(rows, ["part", "ids", "refs", "places"], [pa.int32(), *[pa.binary()] * 3])
+        return pa.concat_tables([known, _table(rows, ["part", "ids", "refs", "places"], [pa.int32(), *[pa.binary()] * 3])])
 
     return work
 
@@ -296,9 +313,9 @@ def remove_repeats(docs: DataFrame, window: int = WINDOW, texts_too: bool = True
     )
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets, parts = 1 + size // BUCKET_BYTES, 1 + size // GROUP_BYTES
-    probed = scan(rows, _probe(block, buckets), _PROBED)
+    probed = scan(rows, _probe(block, buckets, parts), _PROBED)
     hits = written(probed.groupBy("bucket").applyInArrow(_meet(parts), _HITS), "hits")
     grouped = rows.withColumn("part", F.pmod("ref", F.lit(parts)).cast("int"))
-    windows = grouped.groupBy("part").cogroup(hits.groupBy("part")).applyInArrow(_extend(window, block, buckets), _WINDOWS)
+    windows = grouped.groupBy("part").cogroup(hits.groupBy("part")).applyInArrow(_extend(window, block, buckets, parts), _WINDOWS)
     gone = written(windows.groupBy("bucket").applyInArrow(_first_wins(parts), _GONE), "gone")
     return grouped.groupBy("part").cogroup(gone.groupBy("part")).applyInArrow(_remove(window, texts_too), _RESULT)
