@@ -10,7 +10,6 @@ which per-file processing cannot do.
 from collections.abc import Callable
 from dataclasses import replace
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -18,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from shelfline.plans.fact import daily_movements
 from shelfline.plans.star_batches import add_batch
 from shelfline.schemas import MOVEMENT_RAW, QUANTITIES
+from shelfline.session import subfolders
 from shelfline.sources import RawInputs, files_of, read_csv, type_movements
 
 #: One row, the highest folded batch id; readers of Parquet folders pass over names with an underscore.
@@ -26,10 +26,7 @@ FOLDED = "_folded"
 
 def folded_upto(spark: SparkSession, path: str) -> int:
     """Highest batch id that compaction folded into this folder; -1 for none."""
-    try:
-        return spark.read.parquet(f"{path}/{FOLDED}").first()["batch_id"]
-    except AnalysisException:
-        return -1
+    return spark.read.parquet(f"{path}/{FOLDED}").first()["batch_id"] if FOLDED in subfolders(spark, path) else -1
 
 
 def write_batch(raw_batch: DataFrame, batch_id: int, path: str) -> None:
