@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfline.plans.warehouse import RefusedLoad, load_star, publish, read_star, write_fact, write_table
-from shelfline.sources import RawInputs, clean_movements, clean_supply, read_raw, stream_files
+from shelfline.sources import clean_movements, clean_supply, read_raw, stream_files
 from shelfline.streaming import incremental
 
 MOVE_HEADER = "ID,MAT_SKU,INGTN_TS,OPEN_QTY,RCVD_QTY,ISSD_QTY,CLSD_QTY\n"
