@@ -6,23 +6,29 @@ and groups repeat within a day. A panel over a selection needs the columns it
 shows and those the selection filters by; it reads the smallest roll-up that
 has them all, by the row counts noted when they were written.
 
+All sums are written by one job from one exchange of the wide table, in date
+order: whole dates lie together, so that each roll-up groups without another.
+
 Distinct critical items are no sum. Their names are numbered, and for each
 (date, type, vendor) a bitmap holds the numbers of its critical items; bitmaps
-of any selection merge by OR, and the bits of the result are the count.
+of any selection merge by OR, and the bits of the result are the count. A bitmap
+is kept as its words of 64 bits that aren't 0, so that few items take few bytes.
 """
 
 from collections.abc import Collection
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.constants import AGE_GROUPS
 from shelfline.operators.surrogate import assign_ids
 from shelfline.plans import dashboard
 from shelfline.plans.dashboard import MONTH
-from shelfline.plans.warehouse import write_table
+from shelfline.plans.warehouse import observed, write_table
 
 MEASURES = ["Remaining_Qty", "Received_Qty", "Issued_Qty", "Total_Value"]
 TYPE, VENDOR, GROUP, NAME = "Medicine_Type", "Vendor_Name", "Age_Group", "Medicine_Name"
@@ -36,10 +42,13 @@ ROLLUPS = {
     "by_type_vendor_group": (TYPE, VENDOR, GROUP),
     "by_type_vendor_name": (TYPE, VENDOR, NAME),
 }
-#: The coarser ones are summed from a finer one instead of the wide table.
-_FROM = {"by_date": "by_type_vendor", "by_vendor": "by_type_vendor", "by_type_vendor": "by_type_vendor_group",
-         "by_group": "by_type_vendor_group", "by_name": "by_type_vendor_name"}
 CRITICAL = "critical"
+#: Folder of the roll-ups, and the column that tells them apart.
+SUMS, ROLLUP = "sums", "rollup"
+#: Rows of the wide table that one task sums, about.
+TASK_ROWS = 1_000_000
+#: Bits in a word of a bitmap.
+WORD = 64
 
 
 @dataclass(frozen=True)
@@ -51,7 +60,10 @@ class Rollups:
     rows: dict[str, int]
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.path}/{name}")
+        if name == CRITICAL:
+            return self.spark.read.parquet(f"{self.path}/{CRITICAL}")
+        rows = self.spark.read.parquet(f"{self.path}/{SUMS}/{ROLLUP}={name}")
+        return rows.select(MONTH, "Date", *ROLLUPS[name], *MEASURES)
 
     def covering(self, *columns: str) -> str:
         """The smallest roll-up with these columns."""
@@ -65,27 +77,45 @@ def _sums(rows: DataFrame, columns: tuple[str, ...]) -> DataFrame:
     return rows.groupBy(MONTH, "Date", *columns).agg(*[F.sum(m).cast("bigint").alias(m) for m in MEASURES])
 
 
+def in_date_order(rows: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Rows dealt in ranges of dates; a date lies in one task, a month in few."""
+    return rows.repartitionByRange(*([tasks] if tasks else []), MONTH, "Date")
+
+
+def _all_sums(wide: DataFrame) -> DataFrame:
+    """The rows of all roll-ups, told apart by ROLLUP; columns that one doesn't have are null."""
+    tasks = wide.count() // TASK_ROWS
+    if tasks <= int(wide.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        tasks = None  # as many as usual, which adaptive execution merges
+    # each roll-up starts from the same sums over all columns, hence from the same exchange
+    finest = _sums(in_date_order(wide.select(MONTH, "Date", TYPE, VENDOR, GROUP, NAME, *MEASURES), tasks), (TYPE, VENDOR, GROUP, NAME))
+    parts = [_sums(finest, columns).withColumn(ROLLUP, F.lit(name)) for name, columns in ROLLUPS.items()]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+
+
 def critical_bitmaps(wide: DataFrame) -> DataFrame:
-    """For each (date, type, vendor) with critical rows, bitmaps of the numbers of their item names."""
+    """For each (date, type, vendor) with critical rows, the words of the bitmap of their item names' numbers."""
     short = wide.where((F.col("Issued_Qty") > F.col("Remaining_Qty")) & F.col(NAME).isNotNull())
     numbers = assign_ids(short.select(NAME).distinct(), NAME, "id")
+    word = F.floor(F.col("id") / WORD).cast("bigint")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.pmod("id", F.lit(WORD)).cast("int"))
+    numbered = short.select(MONTH, "Date", TYPE, VENDOR, NAME).join(numbers, NAME)
     return (
-        short.select(MONTH, "Date", TYPE, VENDOR, NAME)
-        .join(numbers, NAME)
-        .groupBy(MONTH, "Date", TYPE, VENDOR, F.bitmap_bucket_number("id").alias("chunk"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("ids"))
+        in_date_order(numbered.select(MONTH, "Date", TYPE, VENDOR, word.alias("word"), bit.alias("ids")))
+        .groupBy(MONTH, "Date", TYPE, VENDOR, "word")
+        .agg(F.bit_or("ids").alias("ids"))
     )
 
 
 def write_rollups(wide: DataFrame, path: str) -> Rollups:
     """Write all roll-ups of a wide table that carries MONTH, partitioned by it."""
-    spark, rows = wide.sparkSession, {}
-    for name in sorted(ROLLUPS, key=lambda n: -len(ROLLUPS[n])):
-        source = spark.read.parquet(f"{path}/{_FROM[name]}") if name in _FROM else wide
-        table = _sums(source, ROLLUPS[name]).hint("rebalance", MONTH)
-        rows[name] = write_table(table, f"{path}/{name}", partition_by=MONTH)
-    rows[CRITICAL] = write_table(critical_bitmaps(wide).hint("rebalance", MONTH), f"{path}/{CRITICAL}", partition_by=MONTH)
-    return Rollups(spark, path, rows)
+    seen = Observation()
+    counted = _all_sums(wide).observe(seen, *[F.count_if(F.col(ROLLUP) == name).alias(name) for name in ROLLUPS])
+    counted.write.mode("overwrite").partitionBy(ROLLUP, MONTH).parquet(f"{path}/{SUMS}")
+    found = observed(seen)
+    rows = {name: found.get(name, 0) for name in ROLLUPS}
+    rows[CRITICAL] = write_table(critical_bitmaps(wide), f"{path}/{CRITICAL}", partition_by=MONTH)
+    return Rollups(wide.sparkSession, path, rows)
 
 
 @dataclass(frozen=True)
@@ -113,8 +143,8 @@ def critical_items(rollups: Rollups, selection: Selection) -> DataFrame:
     """Distinct critical item names of a selection, by merging bitmaps."""
     merged = (
         selection.of(rollups.read(CRITICAL))
-        .groupBy("chunk")
-        .agg(F.bitmap_count(F.bitmap_or_agg("ids")).alias("n"))
+        .groupBy("word")
+        .agg(F.bit_count(F.bit_or("ids")).alias("n"))
     )
     return merged.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("n_critical"))
 

@@ -85,3 +85,25 @@ def test_bitmaps_hold_many_items(spark, tmp_path):
     )
     kept = rollups.write_rollups(dashboard.by_month(many), str(tmp_path / "r"))
     assert rollups.critical_items(kept, Selection()).collect() == dashboard.critical_items(many).collect()
+
+
+def final_plan(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def test_all_rollups_come_from_one_exchange(tables):
+    plan = final_plan(rollups._all_sums(tables[0]))
+    assert "Exchange rangepartitioning" in plan and "Exchange hashpartitioning" not in plan
+    assert plan.count("ReusedExchange") == len(rollups.ROLLUPS) - 1
+
+
+def test_a_critical_item_takes_a_word_not_a_page(tables):
+    wide, kept = tables
+    stored = kept.read(rollups.CRITICAL)
+    assert stored.schema["ids"].dataType.simpleString() == "bigint"
+    short = wide.where("Issued_Qty > Remaining_Qty and Medicine_Name is not null")
+    groups = short.select("Date", "Medicine_Type", "Vendor_Name").distinct()
+    assert stored.count() == groups.count() == kept.rows[rollups.CRITICAL]
+    named = short.select("Date", "Medicine_Type", "Vendor_Name", "Medicine_Name").distinct()
+    assert stored.agg(F.sum(F.bit_count("ids"))).first()[0] == named.count()
