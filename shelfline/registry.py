@@ -57,6 +57,10 @@ SOME_VENDORS = tuple(f"Supplier#{n:09d}" for n in range(40))
 
 NATURAL_KEYS = ["movement_date", "mat_sku", "ven_acc"]
 
+#: Rows of a file that a stream takes, about; larger tables make more files.
+FILE_ROWS = 2_000_000
+STREAM_KEYS = ["l_orderkey", "l_linenumber"]
+
 _lock = RLock()  # one written table may ask for another
 _written: set[str] = set()
 _opened: dict[str, Dims] = {}
@@ -332,7 +336,8 @@ def stream_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     def run() -> None:
         lines = fixtures.table(spark, sf_dir, "lineitem")
-        lines.repartition(4, "l_linenumber").write.mode("overwrite").parquet(f"{path}/files")
+        files = max(4, lines.count() // FILE_ROWS)
+        lines.repartition(files, *STREAM_KEYS).write.mode("overwrite").parquet(f"{path}/files")
         files = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/files")
         incremental.ingest(fixtures.movement_rows(files), f"{path}/daily", f"{path}/checkpoint").awaitTermination()
 
