@@ -18,7 +18,7 @@ def latest_receipts(supply: DataFrame) -> DataFrame:
     Receipts without a SKU, date or vendor are dropped, the latter two after
     grouping so that dates are parsed once. Raw rows first collapse to distinct
     triples by a hash aggregate; the maximum of a text, which needs a sort, is
-    taken over that small rest.
+    taken over that small rest, dealt by SKU as the as-of join needs it.
     """
     distinct = (
         supply.where(F.col("mat_sku").isNotNull())
@@ -26,7 +26,7 @@ def latest_receipts(supply: DataFrame) -> DataFrame:
         .agg(F.count("rcvd_date").alias("_dated"))
         .where((F.col("_dated") > 0) & F.col("ven_acc").isNotNull())
     )
-    return distinct.groupBy("mat_sku", "rcvd_date").agg(F.max("ven_acc").alias("ven_acc"))
+    return distinct.repartition("mat_sku").groupBy("mat_sku", "rcvd_date").agg(F.max("ven_acc").alias("ven_acc"))
 
 
 def asof_carry(daily: DataFrame, receipts: DataFrame) -> DataFrame:

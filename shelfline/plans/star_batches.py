@@ -126,12 +126,16 @@ def _daily(spark: SparkSession, snap: Snapshot, months: Collection[int]) -> Data
     rows = _read(spark, snap, "moves").where(F.col(MONTH_ID).isin(sorted(months))).drop(MONTH_ID)
     if snap.whole("moves", [None]):
         return rows
-    return rows.groupBy("mat_sku", "movement_date").agg(*[F.sum(q).alias(q) for q in QUANTITIES])
+    # dealt by SKU, as all that follows is; an item has a row for each date and batch
+    return rows.repartition("mat_sku").groupBy("mat_sku", "movement_date").agg(*[F.sum(q).alias(q) for q in QUANTITIES])
 
 
 def _receipts(spark: SparkSession, snap: Snapshot) -> DataFrame:
     """One vendor per (SKU, date); a later batch may have brought a greater account for the same date."""
-    return _read(spark, snap, "receipts").groupBy("mat_sku", "rcvd_date").agg(F.max("ven_acc").alias("ven_acc"))
+    rows = _read(spark, snap, "receipts")
+    if snap.whole("receipts", [None]):
+        return rows
+    return rows.repartition("mat_sku").groupBy("mat_sku", "rcvd_date").agg(F.max("ven_acc").alias("ven_acc"))
 
 
 def _month(day: Column | str) -> Column:

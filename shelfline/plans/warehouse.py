@@ -180,7 +180,7 @@ def write_daily(movements: DataFrame, path: str, tolerance: float = TOLERANCE, i
     daily = daily_movements(type_movements(watched))
     if in_order:
         day = F.col("movement_date")
-        daily = in_date_order(daily.withColumn(schemas.MONTH_ID, F.year(day) * 100 + F.month(day)))
+        daily = in_date_order(daily).withColumn(schemas.MONTH_ID, F.year(day) * 100 + F.month(day))
     rows = write_table(daily, path)
     found = observed(seen)
     refuse_unreadable(

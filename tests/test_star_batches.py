@@ -242,3 +242,18 @@ def test_months_before_an_affected_one():
     assert star_batches.months_needed([202503]) == {202501, 202502, 202503}
     assert star_batches.months_needed([202403]) == {202402, 202403}
     assert star_batches.months_needed([202501, 202512]) == {202412, 202501, 202511, 202512}
+
+
+def test_history_is_dealt_by_sku_once(spark, make, tmp_path):
+    """One vendor per (SKU, date) needs no exchange in one batch; over several, the as-of join reuses its exchange."""
+    from shelfline.operators.asof import asof_carry
+
+    path = str(tmp_path / "star")
+    add_batch(spark, make([("007", "2025-01-05", "2")], [("007", "2025-01-01", "V1")]), path, 0)
+    assert "Exchange" not in star_batches._receipts(spark, open_star(spark, path))._jdf.queryExecution().executedPlan().toString()
+    add_batch(spark, make([("8", "2025-01-05", "2")], [("007", "2025-01-01", "V2")]), path, 1)
+    snap = open_star(spark, path)
+    known = star_batches._receipts(spark, snap)
+    assert [tuple(r)[0::2] for r in known.collect()] == [("007", "V2")]
+    joined = asof_carry(star_batches._daily(spark, snap, [202501]), known)
+    assert joined._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 2
