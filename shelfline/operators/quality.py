@@ -38,6 +38,21 @@ def check_reference(df: DataFrame, table: str, col: str, parent: DataFrame, pare
     return _long(counted, [("reference", table, col, "_0")])
 
 
+def check_references(df: DataFrame, table: str, parents: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+    """``check_reference`` of several columns, from one pass over the rows: each is counted by column and reference as text."""
+    refs = [F.struct(F.lit(col).alias("_col"), F.col(col).cast("string").alias("_ref")) for col in parents]
+    known = [p.select(F.lit(col).alias("_col"), F.col(pk).cast("string").alias("_ref")) for col, (p, pk) in parents.items()]
+    orphans = (
+        df.select(F.inline(F.array(*refs)))
+        .groupBy("_col", "_ref")
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .join(report(known), ["_col", "_ref"], "left_anti")
+    )
+    sums = [F.sum(F.when(F.col("_col") == col, F.col("_n"))) for col in parents]
+    counted = orphans.agg(*[F.coalesce(s, F.lit(0)).alias(f"_{i}") for i, s in enumerate(sums)])
+    return _long(counted, [("reference", table, col, f"_{i}") for i, col in enumerate(parents)])
+
+
 def check_keys(
     df: DataFrame, table: str, key: tuple[str, ...], parents: dict[str, tuple[DataFrame, str]]
 ) -> list[DataFrame]:

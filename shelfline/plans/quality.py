@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 
 from shelfline import schemas
-from shelfline.operators.quality import check_keys, check_reference, check_rows, check_unique, count_problems, report
+from shelfline.operators.quality import check_keys, check_references, check_rows, check_unique, count_problems, report
 from shelfline.sources import RawInputs, input_problems
 from shelfline.star import Star
 
@@ -34,10 +34,9 @@ def star_report(star: Star) -> DataFrame:
 
 def lookup_report(grouped: DataFrame, star: Star) -> DataFrame:
     """Grouped rows that the key lookups are going to drop, per reason."""
-    return report(
-        [
-            check_reference(grouped, "grouped", "movement_date", star.calendar, "full_date"),
-            check_reference(grouped, "grouped", "mat_sku", star.items, "medicine_sku"),
-            check_reference(grouped, "grouped", "ven_acc", star.vendors, "vendor_account"),
-        ]
-    )
+    parents = {
+        "movement_date": (star.calendar, "full_date"),
+        "mat_sku": (star.items, "medicine_sku"),
+        "ven_acc": (star.vendors, "vendor_account"),
+    }
+    return check_references(grouped, "grouped", parents)
