@@ -416,9 +416,10 @@ def _sums_kpi(build: Callable[[Star], DataFrame]) -> Query:
 
 
 def stream_star(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact of a star that an available-now stream of CSV files built, one file a batch, one batch sent twice.
+    """The fact of a star that an available-now stream of CSV files built, a third a batch, one batch sent twice.
 
-    The files have their columns in two orders, and each is read by its own header.
+    The files have their columns in two orders, and each is read by its own header. A third is one file, or as many
+    as its rows need: one task can't write them all, and a batch for each would write the star's history as often.
     """
     path = _folder(spark, sf_dir, "stream_star")
 
@@ -426,10 +427,11 @@ def stream_star(spark: SparkSession, sf_dir: str) -> DataFrame:
         raw = fixtures.raw_inputs(spark, sf_dir)
         moves = raw.movements.select(*MOVEMENT_RAW.names)
         third = F.pmod(F.xxhash64("MAT_SKU"), F.lit(3))
+        files_a_third = max(1, fixtures.table(spark, sf_dir, "lineitem").count() // 3 // FILE_ROWS)
         for number, columns in enumerate((moves.columns, moves.columns[::-1], moves.columns)):
-            part = moves.where(third == number).select(*columns).coalesce(1)
+            part = moves.where(third == number).select(*columns).coalesce(files_a_third)
             part.write.mode("overwrite").csv(f"{path}/files/part={number}", header=True, quote='"', escape='"')
-        files = stream_files(spark, f"{path}/files/*")
+        files = stream_files(spark, f"{path}/files/*", files_a_third)
         incremental.ingest_star(files, lambda: raw, f"{path}/star", f"{path}/checkpoint").awaitTermination()
         newest = last_batch(spark, f"{path}/star")
         assert not add_batch(spark, raw, f"{path}/star", newest)  # as a stream does that ended before its own commit
