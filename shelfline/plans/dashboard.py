@@ -14,15 +14,24 @@ from shelfline.functions import ratio, round2
 def wide_fact(
     fact: DataFrame, items: DataFrame, staff: DataFrame, vendors: DataFrame, patients: DataFrame
 ) -> DataFrame:
-    """Fact rows with the attributes of all four dimensions, remaining quantity and total value."""
+    """Fact rows with the attributes of all four dimensions, remaining quantity and total value.
+
+    Dimensions that are likely too large to broadcast come first, so that the
+    exchanges for them move keys and quantities but few texts; what follows from
+    other columns is added last.
+    """
     remaining = F.col("Opening_Qty") + F.col("Received_Qty") - F.col("Issued_Qty")
+    order = ["Patient_ID", "Vendor_ID", "Staff_ID", "Medicine_ID"]
+    measures = [c for c in fact.columns if c not in order]
+    texts = [c for dim in (items, staff, vendors, patients) for c in dim.columns if c not in order]
     return (
-        fact.withColumn("Remaining_Qty", remaining)
-        .withColumn("Total_Value", F.col("Remaining_Qty") * F.col("Unit_Cost"))
+        fact.join(patients, "Patient_ID")
         .join(items, "Medicine_ID")
-        .join(staff, "Staff_ID")
         .join(vendors, "Vendor_ID")
-        .join(patients, "Patient_ID")
+        .join(staff, "Staff_ID")
+        .withColumn("Remaining_Qty", remaining)
+        .withColumn("Total_Value", F.col("Remaining_Qty") * F.col("Unit_Cost"))
+        .select(*order, *measures, "Remaining_Qty", "Total_Value", *texts)
     )
 
 

@@ -95,3 +95,24 @@ def test_calendar_range_ends_today(spark):
         (back(1), 9, "March", 2025, "Sunday", 0),
         (TODAY, 10, "March", 2025, "Monday", 5),
     ]
+
+
+def test_wide_fact_moves_names_last(spark, wide):
+    """Joins on the large dimensions come before the ones that add several texts, if none is broadcast."""
+    fact = spark.createDataFrame([(1, 1, 1, 1, 5, 0, 2, 3)], "Medicine_ID int, Staff_ID int, Vendor_ID int, Patient_ID int, Opening_Qty long, Received_Qty long, Issued_Qty long, Unit_Cost long")
+    dims = [spark.createDataFrame([(1, "x")], f"{key} int, {text} string") for key, text in (
+        ("Medicine_ID", "Medicine_Name"), ("Staff_ID", "Staff_Name"), ("Vendor_ID", "Vendor_Name"), ("Patient_ID", "Age_Group"))]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = dashboard.wide_fact(fact, *dims)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # outermost first: staff and vendors are joined after items, items after patients
+    keys = ["Staff_ID", "Vendor_ID", "Medicine_ID", "Patient_ID"]
+    places = [plan.index(f"SortMergeJoin [{k}") for k in keys]
+    assert places == sorted(places)
+    assert joined.columns == [
+        "Patient_ID", "Vendor_ID", "Staff_ID", "Medicine_ID", "Opening_Qty", "Received_Qty", "Issued_Qty", "Unit_Cost",
+        "Remaining_Qty", "Total_Value", "Medicine_Name", "Staff_Name", "Vendor_Name", "Age_Group",
+    ]
