@@ -208,14 +208,37 @@ def _added_keys(spark: SparkSession, before: Snapshot, after: Snapshot, table: s
 # --- affected months ------------------------------------------------------------------------------
 
 
+def _months_in_ranges(ranges: DataFrame, index: DataFrame, months: Collection[int]) -> DataFrame:
+    """Months of the index in which a SKU has dates from ``since`` to ``until``, or to the end where that is null.
+
+    Ranges are cut into months first, so that a SKU with many of them doesn't meet each of its months as often.
+    """
+    lowest, highest = (dt.date(m // 100, m % 100, 1) for m in (min(months), max(months)))
+    start = F.greatest(F.trunc("since", "month"), F.lit(lowest))
+    end = F.least(F.trunc("until", "month"), F.lit(highest))  # the least of those that aren't null
+    pieces = F.when(start <= end, F.sequence(start, end, F.expr("interval 1 month")))
+    return (
+        ranges.select("mat_sku", "since", "until", F.explode(pieces).alias("_start"))
+        .select("mat_sku", "since", "until", _month("_start").alias(MONTH_ID))
+        .join(index, ["mat_sku", MONTH_ID])
+        .where("last_day >= since and (until is null or first_day <= until)")
+        .select(MONTH_ID)
+    )
+
+
 def affected_months(
     spark: SparkSession, before: Snapshot, after: Snapshot, batch_id: int, fresh_items: set[int], fresh_vendors: set[int]
 ) -> set[int]:
-    """Months whose rows a batch may change, from the batch and the index of (SKU, month)."""
+    """Months whose rows a batch may change, from the batch and the index of (SKU, month).
+
+    The index is asked only about months in which the batch has no movements: the others are affected anyway.
+    """
     mine = _of_batch(spark, after, "moves", batch_id)
-    if not before.parts("item_months"):
-        return {r[MONTH_ID] for r in mine.select(MONTH_ID).distinct().collect()}  # months
-    index = _read(spark, before, "item_months").select("mat_sku", MONTH_ID, "first_day", "last_day")
+    moved_in = {r[MONTH_ID] for r in mine.select(MONTH_ID).distinct().collect()}  # months
+    open_months = before.parts("item_months") - moved_in
+    if not open_months:
+        return moved_in
+    index = _read(spark, before, "item_months", open_months).select("mat_sku", MONTH_ID, "first_day", "last_day")
     moved = mine.groupBy("mat_sku", MONTH_ID).agg(F.max("movement_date").alias("last"))
     until = F.date_add("last", SPAN)
     later = F.sequence(F.trunc(F.add_months("last", 1), "month"), F.trunc(until, "month"), F.expr("interval 1 month"))
@@ -227,7 +250,7 @@ def affected_months(
         .join(index, ["mat_sku", MONTH_ID])
         .where("first_day <= until")
     )
-    found = [moved.select(MONTH_ID), after_moves.select(MONTH_ID)]
+    found = [after_moves.select(MONTH_ID)]
     if batch_id in after.live.get("receipts", {}).get(None, ()):
         new = _of_batch(spark, after, "receipts", batch_id)
         skus = new.select("mat_sku").distinct()
@@ -239,8 +262,7 @@ def affected_months(
             .join(new.select("mat_sku", "rcvd_date"), ["mat_sku", "rcvd_date"], "left_semi")
             .select("mat_sku", F.col("rcvd_date").alias("since"), "until")
         )
-        late = ranges.join(index, "mat_sku").where("last_day >= since and (until is null or first_day <= until)")
-        found.append(late.select(MONTH_ID))
+        found.append(_months_in_ranges(ranges, index, open_months))
     if fresh_items and before.parts("dim_item"):
         items = _added_keys(spark, before, after, "dim_item", "medicine_sku", fresh_items)
         found.append(index.join(items.withColumnRenamed("medicine_sku", "mat_sku"), "mat_sku", "left_semi").select(MONTH_ID))
@@ -251,7 +273,7 @@ def affected_months(
     months = found[0]
     for more in found[1:]:
         months = months.unionByName(more)
-    return {r[MONTH_ID] for r in months.distinct().collect()}  # months
+    return moved_in | {r[MONTH_ID] for r in months.distinct().collect()}  # months
 
 
 # --- what is kept of each month -------------------------------------------------------------------
@@ -431,7 +453,8 @@ def _write_batch(spark: SparkSession, raw: RawInputs, before: Snapshot, batch_id
 
     def item_months() -> int:
         # the affected months lie wholly within the daily sums, which also hold the 29 dates before them
-        return write_table(_item_months(daily, known, months), here["item_months"])
+        # a SKU's first receipt is the same whichever vendor holds a date
+        return write_table(_item_months(daily, _read(spark, after, "receipts"), months), here["item_months"])
 
     rows["fact"], rows["item_months"] = _together(fact, item_months)
     held = _written_parts(spark, after, "fact", batch_id)  # a month may have lost all its rows

@@ -238,6 +238,50 @@ def test_untouched_buckets_keep_their_files_and_ids(spark, make, tmp_path):
     assert open_star(spark, path).live["dim_vendor"].keys() and all(b == (0,) for b in open_star(spark, path).live["dim_vendor"].values())
 
 
+def test_the_index_is_asked_only_about_months_without_movements(spark, make, tmp_path, monkeypatch):
+    path, asked, read = f"{tmp_path}/star", [], star_batches._read
+    first = make(FIRST, RECEIPTS)
+    everywhere = make([("8", "2025-01-31", "1"), ("8", "2025-03-02", "1")], [("007", "2025-01-02", "V2")])
+    march = make([("007", "2025-03-20", "1")], [("007", "2025-01-18", "V1")])
+    add_batch(spark, first, path, 0)
+
+    def watched(session, snap, table, parts=None):
+        if table == "item_months":
+            asked.append(parts)
+        return read(session, snap, table, parts)
+
+    monkeypatch.setattr(star_batches, "_read", watched)
+    add_batch(spark, everywhere, path, 1)
+    assert asked == []
+    add_batch(spark, march, path, 2)
+    assert asked == [{202501}]
+    monkeypatch.undo()
+    assert open_star(spark, path).live["item_months"] == {202501: (2,), 202503: (2,)}
+    same_as_full(spark, path, tmp_path, first, everywhere, march)
+
+
+def test_many_receipts_of_a_sku_meet_a_month_once_each(spark):
+    rnd = random.Random(7)
+    day = lambda: dt.date(2023, 11, 1) + dt.timedelta(rnd.randrange(800))
+    ends = [None, dt.date(9999, 12, 31)]
+    ranges, index = [("a", dt.date(1, 1, 1), dt.date(2024, 1, 3)), ("a", dt.date(9999, 1, 1), None)], []
+    for _ in range(40):
+        since = day()
+        ranges.append((rnd.choice("abc"), since, rnd.choice([*ends, *[since + dt.timedelta(rnd.randrange(70))] * 6])))
+    months = [m for m in star_batches.months_between(dt.date(2024, 1, 1), dt.date(2025, 6, 1)) if rnd.random() < 0.7]
+    for sku, month in ((s, m) for s in "abcd" for m in months if rnd.random() < 0.6):
+        days = sorted(dt.date(month // 100, month % 100, rnd.randrange(1, 29)) for _ in range(2))
+        index.append((sku, month, *days))
+    left = spark.createDataFrame(ranges, "mat_sku string, since date, until date")
+    right = spark.createDataFrame(index, "mat_sku string, month_id int, first_day date, last_day date")
+    found = star_batches._months_in_ranges(left, right, months)
+    wanted = [i[1] for r in ranges for i in index if r[0] == i[0] and i[3] >= r[1] and (r[2] is None or i[2] <= r[2])]
+    assert sorted(r[0] for r in found.collect()) == sorted(wanted)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    join = next(line for line in plan.splitlines() if "Join Inner" in line)
+    assert "mat_sku" in join and "month_id" in join
+
+
 def test_months_before_an_affected_one():
     assert star_batches.months_needed([202503]) == {202501, 202502, 202503}
     assert star_batches.months_needed([202403]) == {202402, 202403}
