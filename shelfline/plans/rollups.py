@@ -29,6 +29,7 @@ from shelfline.operators.surrogate import assign_ids
 from shelfline.plans import dashboard
 from shelfline.plans.dashboard import MONTH
 from shelfline.plans.warehouse import observed, write_table
+from shelfline.session import TASK_ROWS, bulk_write
 
 MEASURES = ["Remaining_Qty", "Received_Qty", "Issued_Qty", "Total_Value"]
 TYPE, VENDOR, GROUP, NAME = "Medicine_Type", "Vendor_Name", "Age_Group", "Medicine_Name"
@@ -42,11 +43,11 @@ ROLLUPS = {
     "by_type_vendor_group": (TYPE, VENDOR, GROUP),
     "by_type_vendor_name": (TYPE, VENDOR, NAME),
 }
+#: Order of the wide table's rows in which like ones lie together.
+ORDER = (MONTH, "Date", TYPE, VENDOR, NAME, GROUP)
 CRITICAL = "critical"
 #: Folder of the roll-ups, and the column that tells them apart.
 SUMS, ROLLUP = "sums", "rollup"
-#: Rows of the wide table that one task sums, about.
-TASK_ROWS = 1_000_000
 #: Bits in a word of a bitmap.
 WORD = 64
 
@@ -82,11 +83,13 @@ def in_date_order(rows: DataFrame, tasks: int | None = None) -> DataFrame:
     return rows.repartitionByRange(*([tasks] if tasks else []), MONTH, "Date")
 
 
-def _all_sums(wide: DataFrame) -> DataFrame:
-    """The rows of all roll-ups, told apart by ROLLUP; columns that one doesn't have are null."""
-    tasks = wide.count() // TASK_ROWS
-    if tasks <= int(wide.sparkSession.conf.get("spark.sql.shuffle.partitions")):
-        tasks = None  # as many as usual, which adaptive execution merges
+def _all_sums(wide: DataFrame, rows: int | None = None) -> DataFrame:
+    """The rows of all roll-ups, told apart by ROLLUP; columns that one doesn't have are null.
+
+    Tasks get about as many rows each as they can sum in memory. Adaptive
+    execution would merge them by bytes, and like rows take few in a shuffle.
+    """
+    tasks = 2 + (wide.count() if rows is None else rows) // TASK_ROWS
     # each roll-up starts from the same sums over all columns, hence from the same exchange
     finest = _sums(in_date_order(wide.select(MONTH, "Date", TYPE, VENDOR, GROUP, NAME, *MEASURES), tasks), (TYPE, VENDOR, GROUP, NAME))
     parts = [_sums(finest, columns).withColumn(ROLLUP, F.lit(name)) for name, columns in ROLLUPS.items()]
@@ -109,12 +112,13 @@ def critical_bitmaps(wide: DataFrame) -> DataFrame:
 
 def write_rollups(wide: DataFrame, path: str) -> Rollups:
     """Write all roll-ups of a wide table that carries MONTH, partitioned by it."""
-    seen = Observation()
-    counted = _all_sums(wide).observe(seen, *[F.count_if(F.col(ROLLUP) == name).alias(name) for name in ROLLUPS])
-    counted.write.mode("overwrite").partitionBy(ROLLUP, MONTH).parquet(f"{path}/{SUMS}")
-    found = observed(seen)
-    rows = {name: found.get(name, 0) for name in ROLLUPS}
-    rows[CRITICAL] = write_table(critical_bitmaps(wide), f"{path}/{CRITICAL}", partition_by=MONTH)
+    seen, n = Observation(), wide.count()
+    counted = _all_sums(wide, n).observe(seen, *[F.count_if(F.col(ROLLUP) == name).alias(name) for name in ROLLUPS])
+    with bulk_write(wide.sparkSession, n):
+        counted.write.mode("overwrite").partitionBy(ROLLUP, MONTH).parquet(f"{path}/{SUMS}")
+        found = observed(seen)
+        rows = {name: found.get(name, 0) for name in ROLLUPS}
+        rows[CRITICAL] = write_table(critical_bitmaps(wide), f"{path}/{CRITICAL}", partition_by=MONTH)
     return Rollups(wide.sparkSession, path, rows)
 
 

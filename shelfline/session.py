@@ -1,8 +1,10 @@
 """Session settings and the shared folder for written intermediate tables."""
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -43,6 +45,42 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
+#: Rows that one task sorts or sums, about.
+TASK_ROWS = 500_000
+#: Spark's own setting that ends a query's shuffle files with the query.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_PARTITIONS = "spark.sql.shuffle.partitions"
+#: Shuffled bytes that adaptive execution should give one task, and the most of them within a bulk write.
+_ADVISED, TASK_BYTES = "spark.sql.adaptive.advisoryPartitionSizeInBytes", 32 << 20
+
+
+@contextmanager
+def bulk_write(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Settings for writes of about so many rows, which keep them from filling disks.
+
+    Their shuffle files end with them, and not when the driver happens to collect
+    its garbage. There are as many shuffle partitions as tasks need to sort their
+    rows in memory; adaptive execution merges those that turn out small, but less
+    far than by default, as compressed rows are several times larger in memory.
+    """
+    before = {_CLEANUP: spark.conf.get(_CLEANUP, "false"), **{key: spark.conf.get(key) for key in (_PARTITIONS, _ADVISED)}}
+    advised = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before[_ADVISED])
+    spark.conf.set(_CLEANUP, "true")
+    spark.conf.set(_PARTITIONS, str(max(int(before[_PARTITIONS]), rows // TASK_ROWS)))
+    spark.conf.set(_ADVISED, f"{min(advised, TASK_BYTES)}b")
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether the planner, by its own estimate, would broadcast these rows to join them."""
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= limit
+
+
 def discard(spark: SparkSession, path: str) -> bool:
     """Delete a folder of intermediate tables, wherever the file system keeps it."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)

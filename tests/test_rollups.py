@@ -2,14 +2,18 @@
 
 import datetime as dt
 import random
+import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from shelfline.plans import dashboard, rollups
 from shelfline.plans.rollups import Selection
+from shelfline.session import TASK_BYTES, TASK_ROWS, bulk_write
 
 DAY = dt.date(2025, 1, 1)
+ADVISED = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
 GROUPS = ("0-17", "18-40", "41+")
 WIDE = (
     "Date date, Medicine_Name string, Medicine_Type string, Vendor_Name string, Age_Group string,"
@@ -98,6 +102,43 @@ def test_all_rollups_come_from_one_exchange(tables):
     assert plan.count("ReusedExchange") == len(rollups.ROLLUPS) - 1
 
 
+def test_tasks_get_rows_by_number(tables, monkeypatch):
+    """Like rows take few bytes in a shuffle, so that tasks merged by bytes would spill."""
+    monkeypatch.setattr(rollups, "TASK_ROWS", 1000)
+    plan = final_plan(rollups._all_sums(tables[0]))
+    deals = [line for line in plan.splitlines() if " Exchange rangepartitioning" in line]
+    assert deals and all(", 5), REPARTITION_BY_NUM" in line for line in deals) and "coalesced" not in plan
+
+
+def shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f for folder in folders for f in Path(folder.toString()).rglob("shuffle_*")}
+
+
+def test_written_rollups_leave_no_shuffle_files(spark, tables, tmp_path):
+    spark._jvm.System.gc()
+    before, partitions = shuffle_files(spark), spark.conf.get("spark.sql.shuffle.partitions")
+    rollups.write_rollups(tables[0], str(tmp_path / "r"))
+    end = time.time() + 20
+    while (left := shuffle_files(spark) - before) and time.time() < end:  # they go without being waited for
+        time.sleep(0.1)
+    assert not left and spark.conf.get("spark.sql.shuffle.partitions") == partitions
+
+
+def test_a_bulk_write_has_partitions_by_rows(spark):
+    usual = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with bulk_write(spark, 100 * TASK_ROWS):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "100"
+        assert spark.conf.get(ADVISED) == f"{TASK_BYTES}b"
+    spark.conf.set(ADVISED, "8m")
+    with bulk_write(spark, 10):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == str(usual)
+        assert spark.conf.get(ADVISED) == f"{8 << 20}b"
+    assert spark.conf.get(ADVISED) == "8m"
+    spark.conf.unset(ADVISED)
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
 def test_a_critical_item_takes_a_word_not_a_page(tables):
     wide, kept = tables
     stored = kept.read(rollups.CRITICAL)
