@@ -1,6 +1,6 @@
 """Dashboard data: the wide fact, its filter and the panels over the filtered frame."""
 
-from collections.abc import Collection
+from collections.abc import Collection, Mapping
 from datetime import date
 from functools import reduce
 
@@ -9,36 +9,61 @@ from pyspark.sql import functions as F
 
 from shelfline.constants import AGE_GROUPS
 from shelfline.functions import ratio, round2
+from shelfline.session import fits_broadcast
+
+
+#: First day of a row's month, the partition column of the written wide table.
+MONTH = "Month_Start"
 
 
 def wide_fact(
-    fact: DataFrame, items: DataFrame, staff: DataFrame, vendors: DataFrame, patients: DataFrame
+    fact: DataFrame,
+    items: DataFrame,
+    staff: DataFrame,
+    vendors: DataFrame,
+    patients: DataFrame,
+    links: Mapping[str, DataFrame] | None = None,
+    gathered: bool = False,
 ) -> DataFrame:
     """Fact rows with the attributes of all four dimensions, remaining quantity and total value.
 
-    Dimensions that are likely too large to broadcast come first, so that the
-    exchanges for them move keys and quantities but few texts; what follows from
+    Where the fact lacks the key of a dimension, ``links`` has rows (a key of the
+    fact, that key) under its name; they meet a large dimension before the fact,
+    which then moves once for both. ``gathered`` rows carry MONTH and are
+    gathered by it.
+
+    What is too large to broadcast is joined first, so that the exchanges for it
+    and the gathering move keys and quantities but few texts; what follows from
     other columns is added last.
     """
     remaining = F.col("Opening_Qty") + F.col("Received_Qty") - F.col("Issued_Qty")
     order = ["Patient_ID", "Vendor_ID", "Staff_ID", "Medicine_ID"]
-    measures = [c for c in fact.columns if c not in order]
+    lookups = [("Patient_ID", patients), ("Medicine_ID", items), ("Vendor_ID", vendors), ("Staff_ID", staff)]
     texts = [c for dim in (items, staff, vendors, patients) for c in dim.columns if c not in order]
+    large, small, spare = [], [], []
+    for key, dim in lookups:
+        fits = fits_broadcast(dim)
+        if key in (links or {}):
+            link = links[key]
+            fact_key = next(c for c in link.columns if c != key)
+            spare += [fact_key] if fact_key not in order else []
+            if fits:
+                (small if fits_broadcast(link) else large).append((fact_key, link))
+            else:
+                key, dim = fact_key, link.join(dim, key)
+        (small if fits else large).append((key, dim))
+    measures = [c for c in fact.columns if c not in order + spare]
+    rows = reduce(lambda r, found: r.join(found[1], found[0]), large, fact)
+    if gathered:
+        rows = by_month(rows).hint("rebalance", MONTH)
     return (
-        fact.join(patients, "Patient_ID")
-        .join(items, "Medicine_ID")
-        .join(vendors, "Vendor_ID")
-        .join(staff, "Staff_ID")
+        reduce(lambda r, found: r.join(found[1], found[0]), small, rows)
         .withColumn("Remaining_Qty", remaining)
         .withColumn("Total_Value", F.col("Remaining_Qty") * F.col("Unit_Cost"))
-        .select(*order, *measures, "Remaining_Qty", "Total_Value", *texts)
+        .select(*order, *measures, "Remaining_Qty", "Total_Value", *texts, *([MONTH] if gathered else []))
     )
 
 
-#: First day of a row's month, the partition column of the written wide table.
-MONTH = "Month_Start"
-
-
 def by_month(wide: DataFrame) -> DataFrame:
     return wide.withColumn(MONTH, F.trunc("Date", "month"))
 

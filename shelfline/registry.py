@@ -33,7 +33,7 @@ from shelfline.plans.warehouse import (
     write_table,
 )
 from shelfline.schemas import FACT_MEASURES, MOVEMENT_RAW
-from shelfline.session import discard, shared_dir
+from shelfline.session import bulk_write, discard, shared_dir
 from shelfline.sources import (
     RawInputs,
     clean_items,
@@ -148,8 +148,9 @@ def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _folder(spark, sf_dir, "wide")
 
     def write() -> None:
-        rows = dashboard.by_month(fixtures.dashboard_wide(spark, sf_dir)).hint("rebalance", dashboard.MONTH)
-        rows.write.mode("overwrite").partitionBy(dashboard.MONTH).parquet(path)
+        rows = fixtures.dashboard_wide(spark, sf_dir, gathered=True).sortWithinPartitions(*rollups.ORDER)
+        with bulk_write(spark, fixtures.table(spark, sf_dir, "lineitem").count()):
+            rows.write.mode("overwrite").partitionBy(dashboard.MONTH).parquet(path)
 
     _once(path, write)
     return spark.read.parquet(path)

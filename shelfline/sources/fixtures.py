@@ -165,29 +165,23 @@ def dashboard_vendors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def dashboard_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+def dashboard_wide(spark: SparkSession, sf_dir: str, gathered: bool = False) -> DataFrame:
     """Wide dashboard records: every lineitem, its order's customer as patient, its supplier's nation as staff."""
-    orders = table(spark, sf_dir, "orders").select(
+    visits = table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), F.col("o_custkey").alias("Patient_ID")
     )
     home = table(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("Staff_ID")
+        F.col("s_suppkey").alias("Vendor_ID"), F.col("s_nationkey").alias("Staff_ID")
     )
-    fact = (
-        table(spark, sf_dir, "lineitem")
-        .join(orders, "l_orderkey")
-        .join(home, "l_suppkey")
-        .select(
-            F.col("l_shipdate").cast("date").alias("Date"),
-            F.col("l_partkey").alias("Medicine_ID"),
-            "Staff_ID",
-            F.col("l_suppkey").alias("Vendor_ID"),
-            "Patient_ID",
-            _opened().cast("bigint").alias("Opening_Qty"),
-            _received().cast("bigint").alias("Received_Qty"),
-            _issued().cast("bigint").alias("Issued_Qty"),
-            F.floor(F.col("l_extendedprice") / F.col("l_quantity")).alias("Unit_Cost"),
-        )
+    fact = table(spark, sf_dir, "lineitem").select(
+        F.col("l_shipdate").cast("date").alias("Date"),
+        F.col("l_partkey").alias("Medicine_ID"),
+        F.col("l_suppkey").alias("Vendor_ID"),
+        "l_orderkey",
+        _opened().cast("bigint").alias("Opening_Qty"),
+        _received().cast("bigint").alias("Received_Qty"),
+        _issued().cast("bigint").alias("Issued_Qty"),
+        F.floor(F.col("l_extendedprice") / F.col("l_quantity")).alias("Unit_Cost"),
     )
     staff = table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("Staff_ID"), F.col("n_name").alias("Staff_Name")
@@ -195,4 +189,5 @@ def dashboard_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     patients = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("Patient_ID"), F.col("c_mktsegment").alias("Age_Group")
     )
-    return wide_fact(fact, dashboard_items(spark, sf_dir), staff, dashboard_vendors(spark, sf_dir), patients)
+    items, vendors = dashboard_items(spark, sf_dir), dashboard_vendors(spark, sf_dir)
+    return wide_fact(fact, items, staff, vendors, patients, {"Patient_ID": visits, "Staff_ID": home}, gathered)

@@ -116,3 +116,59 @@ def test_wide_fact_moves_names_last(spark, wide):
         "Patient_ID", "Vendor_ID", "Staff_ID", "Medicine_ID", "Opening_Qty", "Received_Qty", "Issued_Qty", "Unit_Cost",
         "Remaining_Qty", "Total_Value", "Medicine_Name", "Staff_Name", "Vendor_Name", "Age_Group",
     ]
+
+
+LINK_KEYS = {"Patient_ID": "Visit", "Staff_ID": "Vendor_ID"}
+
+
+def known_size(spark, names, rows):
+    """Rows whose size the planner knows."""
+    values = ", ".join("(" + ", ".join("null" if v is None else repr(v) for v in row) + ")" for row in rows)
+    return spark.sql(f"SELECT * FROM VALUES {values} AS t({names})")
+
+
+@pytest.mark.parametrize("limit", ["-1", "1100", "10m"])
+def test_links_and_gathering_change_no_rows(spark, limit):
+    """Keys found by way of links give the rows of a fact that has them, whatever is broadcast; keys repeat or are null."""
+    fact = spark.createDataFrame(
+        [(TODAY if n % 3 else None, n % 4, n % 3 or None, n % 5, 9, n, 2, 3) for n in range(60)],
+        "Date date, Medicine_ID int, Vendor_ID int, Visit int, Opening_Qty long, Received_Qty long, Issued_Qty long, Unit_Cost long",
+    )
+    links = {
+        "Patient_ID": known_size(spark, "Visit, Patient_ID", [(0, 7), (1, 7), (2, 8), (2, 9), (3, None), (None, 7)]),
+        "Staff_ID": known_size(spark, "Vendor_ID, Staff_ID", [(0, 1), (1, 1), (1, 2), (2, 2), (None, 1)]),
+    }
+    dims = [known_size(spark, f"{key}, {text}", rows) for key, text, rows in (
+        ("Medicine_ID", "Medicine_Name", [(0, "a"), (1, "b"), (1, "c"), (None, "d")]), ("Staff_ID", "Staff_Name", [(1, "s"), (2, "t")]),
+        ("Vendor_ID", "Vendor_Name", [(0, "x"), (1, "y"), (2, "y"), (None, "z")]),
+        ("Patient_ID", "Age_Group", [(n % 9, "g" * (n % 2 + 1)) for n in range(70)]))]
+    full = fact
+    for key, link in links.items():
+        full = full.join(link, LINK_KEYS[key])
+    want = dashboard.by_month(dashboard.wide_fact(full.drop("Visit"), *dims))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    try:
+        got = dashboard.wide_fact(fact, *dims, links, gathered=True)
+        rows = sorted(got.collect(), key=str)
+        plan = got._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got.columns == want.columns
+    assert rows and rows == sorted(want.collect(), key=str)
+    above = plan.split("REBALANCE_PARTITIONS_BY_COL")[0].count("Join [")
+    assert above == {"-1": 0, "1100": 4, "10m": 6}[limit]  # what is broadcast is joined after the rows are gathered
+
+
+def test_rows_move_once_for_large_links_and_patients(spark):
+    fact = spark.createDataFrame([(TODAY, 1, 1, 5, 9, 1, 2, 3)], "Date date, Medicine_ID int, Vendor_ID int, Visit int, Opening_Qty long, Received_Qty long, Issued_Qty long, Unit_Cost long")
+    links = {"Patient_ID": spark.createDataFrame([(5, 7)], "Visit int, Patient_ID int"),
+             "Staff_ID": spark.createDataFrame([(1, 1)], "Vendor_ID int, Staff_ID int")}
+    items, staff, vendors, patients = (spark.createDataFrame([(1, "x")], f"{key}_ID int, {key}_Name string") for key in ("Medicine", "Staff", "Vendor", "Patient"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = dashboard.wide_fact(fact, items, staff, vendors, patients, links)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moves = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    # on the way of the fact: by visit, item and vendor
+    assert sum("hashpartitioning(Patient_ID" in line for line in moves) == 2 and sum("hashpartitioning(Visit" in line for line in moves) == 2
